@@ -64,7 +64,9 @@ class PipelineConfig:
     measurement_mode: str = "upsert"
     aggregate_mode: str = "recompute"
     locality_mode: str = "rebuild"
-    drift_entities: tuple[str, ...] = ("sensor",)
+    # entities read with the footer-signature drift scan (pages written by a
+    # JSON normaliser drift in type and carry all-null, null-typed columns)
+    drift_entities: tuple[str, ...] = ("country", "parameter", "location", "sensor", "measurement")
     entities: tuple[str, ...] = ("country", "parameter", "location", "sensor", "measurement")
     extra: dict = field(default_factory=dict)
 

@@ -8,7 +8,8 @@ an int64 file fails at read time.  So:
 1. list the files (``binaryFile`` listing, no content read);
 2. read every file's Parquet footer in a distributed ``mapInPandas`` job
    and emit a signature: the columns whose physical type differs from the
-   target type;
+   target type, and the all-null (Parquet null-typed) columns, which are
+   read as missing;
 3. one ``spark.read`` per distinct signature (there are a handful, not one
    per file), cast to the target types, ``unionByName``.
 """
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 from medallion.functions.exprs import col_of
 from medallion.sources.landing import list_files
 
+VOID = "void"
 _SIMPLE = {
     "int8": T.ByteType(), "int16": T.ShortType(), "int32": T.IntegerType(), "int64": T.LongType(),
     "uint8": T.ShortType(), "uint16": T.IntegerType(), "uint32": T.LongType(),
@@ -62,7 +64,11 @@ def _signature_fn(targets: dict[str, str]):
                 diffs = []
                 for name, want in targets.items():
                     have = types.get(name)
-                    if have is None or have == "null":
+                    if have is None:
+                        continue
+                    if have == "null":
+                        # an all-null page column: read it as missing
+                        diffs.append(f"{name}={VOID}")
                         continue
                     spark_t = _SIMPLE.get(have)
                     if spark_t is not None and spark_t.simpleString() != want:
@@ -75,18 +81,17 @@ def _signature_fn(targets: dict[str, str]):
 
 def footer_signatures(files: DataFrame, schema: T.StructType) -> DataFrame:
     """``(path, signature)``: which target columns a file stores with another type."""
-    targets = {f.name: f.dataType.simpleString() for f in schema.fields
-               if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))}
+    targets = {f.name: f.dataType.simpleString() for f in schema.fields}
     return files.select("path").mapInPandas(_signature_fn(targets), "path string, signature string")
 
 
 def _read_schema(schema: T.StructType, signature: str) -> T.StructType:
-    overrides = {}
+    overrides: dict[str, T.DataType | None] = {}
     for item in filter(None, signature.split(";")):
         name, tname = item.rsplit("=", 1)
-        overrides[name] = T._parse_datatype_string(tname)
+        overrides[name] = None if tname == VOID else T._parse_datatype_string(tname)
     return T.StructType([T.StructField(f.name, overrides.get(f.name, f.dataType), True)
-                         for f in schema.fields])
+                         for f in schema.fields if f.name not in overrides or overrides[f.name] is not None])
 
 
 def scan_drifting(spark: SparkSession, path: str, schema: T.StructType, *,
@@ -107,8 +112,7 @@ def scan_drifting(spark: SparkSession, path: str, schema: T.StructType, *,
     parts = []
     for g in groups:
         rs = _read_schema(schema, g["signature"])
-        df = spark.read.schema(rs).parquet(*g["paths"])
-        parts.append(df.select(*[col_of(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]))
+        parts.append(align_to_schema(spark.read.schema(rs).parquet(*g["paths"]), schema))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
