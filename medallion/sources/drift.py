@@ -99,11 +99,18 @@ def scan_drifting(spark: SparkSession, path: str, schema: T.StructType, *,
     """Read every file under ``path`` aligned to ``schema`` (union by name).
 
     Missing columns are null-filled; a column stored as int in some files and
-    double in others comes out as the target type.  The driver only
-    handles the file paths, grouped by signature (Spark's file index lists
-    them on the driver anyway); rows never pass through it.
+    double in others comes out as the target type.
+    """
+    return read_drifting(spark, list_files(spark, path, glob), schema)
+
+
+def read_drifting(spark: SparkSession, files: DataFrame, schema: T.StructType) -> DataFrame:
+    """Read the files listed in ``files.path`` aligned to ``schema``.
+
+    The driver only handles the file paths, grouped by footer signature
+    (Spark's file index lists them on the driver anyway); rows never pass
+    through it.
     """
-    files = list_files(spark, path, glob)
     groups = (footer_signatures(files, schema)
               .groupBy("signature").agg(F.collect_list("path").alias("paths"))
               .collect())

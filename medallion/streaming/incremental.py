@@ -20,9 +20,11 @@ from medallion.plans.models import MODELS_BY_NAME, build_bronze
 from medallion.plans.runner import PipelineConfig, Runner
 from medallion.schemas import landing_schema
 from medallion.session import ensure_checkpoint_dir
+from medallion.sources.drift import read_drifting
 from medallion.sources.landing import entity_dir, new_dir
 
 ARCHIVE_DIR = "archive"
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def stream_checkpoint(spark: SparkSession, cfg: PipelineConfig, entity: str) -> str:
@@ -34,23 +36,32 @@ def stream_checkpoint(spark: SparkSession, cfg: PipelineConfig, entity: str) ->
 
 def landing_stream(spark: SparkSession, cfg: PipelineConfig, entity: str, *, archive: bool = True,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame over the pending batch folders of ``entity``."""
-    reader = spark.readStream.schema(landing_schema(entity)).format("parquet")
+    """Streaming DataFrame of the *paths* of newly landed files of ``entity``.
+
+    The file source tracks which files were seen (in its checkpoint) and
+    archives them; the rows are read per micro-batch with the drift scan,
+    because landed pages disagree on column types and one fixed streaming
+    schema cannot read them all.  Only ``path`` is selected, so the
+    ``binaryFile`` source never reads file content.
+    """
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("pathGlobFilter", "*.parquet"))
     if archive:
         reader = (reader.option("cleanSource", "archive")
                   .option("sourceArchiveDir", f"{entity_dir(cfg.landing_root, entity)}/{ARCHIVE_DIR}"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(f"{new_dir(cfg.landing_root, entity)}/*/*.parquet")
+    return reader.load(f"{new_dir(cfg.landing_root, entity)}/*/").select("path")
 
 
 def _bronze_writer(spark: SparkSession, cfg: PipelineConfig, entity: str):
     runner = Runner(spark, cfg)
     model = MODELS_BY_NAME[f"bronze_{entity}"]
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(files: DataFrame, batch_id: int) -> None:
         load_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        rows = build_bronze(batch, entity, load_ts=load_ts)
+        raw = read_drifting(spark, files, landing_schema(entity))
+        rows = build_bronze(raw, entity, load_ts=load_ts)
         table = runner.table(model)
         if not table.exists():
             table.overwrite(rows)
