@@ -77,14 +77,36 @@ def duplicate_branch(spec: KeySpec) -> DataFrame:
     return grouped.select(ident.alias("id"), F.lit(spec.table_name).alias("table_name"), "count")
 
 
+def _text_is_injective(spec: KeySpec) -> bool:
+    """Can two different keys of this branch render to the same text?
+
+    A single key casts injectively (null stays null).  A composite key
+    joined with ``|`` is injective when no part is text: numbers, dates and
+    times never contain ``|`` and are never empty, so null (rendered empty)
+    cannot collide either.
+    """
+    if len(spec.keys) == 1:
+        return True
+    types = dict(spec.frame.dtypes)
+    return all(types.get(k, "string") not in ("string", "binary") for k in spec.keys)
+
+
 def duplicate_report(specs: Sequence[KeySpec]) -> DataFrame:
     """Union (distinct) of the duplicate branches of many tables.
 
     Every branch is an independent partial+final aggregate; keys are cast to
-    text before the union so integer and composite keys mix.
+    text before the union so integer and composite keys mix.  Rows of
+    different branches differ in ``table_name``, so the ``UNION``'s
+    de-duplication is only needed inside a branch whose key text can
+    collide; only those branches get a ``distinct`` (on their small,
+    already aggregated output) and the union itself needs no shuffle.
     """
-    parts = [duplicate_branch(s) for s in specs]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    names = [s.table_name for s in specs]
+    if len(set(names)) != len(names):  # branches could repeat rows: full UNION semantics
+        return reduce(DataFrame.unionByName, [duplicate_branch(s) for s in specs]).distinct()
+    parts = [duplicate_branch(s) if _text_is_injective(s) else duplicate_branch(s).distinct()
+             for s in specs]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.operators.quality import run_checks
-from medallion.operators.watermark import high_watermark, newer_than
 from medallion.plans import checks
 from medallion.plans.models import (
     DEFAULT_COUNTRY_IDS,
@@ -36,7 +35,7 @@ from medallion.plans.models import (
     build_silver,
 )
 from medallion.schemas import LOAD_TS, landing_schema
-from medallion.sinks.tables import LayerTable
+from medallion.sinks.tables import LayerTable, distinct_values
 from medallion.sources.drift import scan_drifting
 from medallion.sources.landing import archive_new, entity_dir, files_exist, new_dir, scan_landing
 
@@ -71,6 +70,28 @@ class PipelineConfig:
     extra: dict = field(default_factory=dict)
 
 
+class _Batches:
+    """Rows of parent tables loaded after a target's high-water mark (all
+    rows when ``mark`` is None), remembering which partitions they can be in."""
+
+    def __init__(self, runner: "Runner", mark):
+        self.runner, self.mark, self._parts = runner, mark, {}
+
+    def read(self, parent: str) -> DataFrame:
+        t = self.runner.table(parent)
+        if self.mark is None:
+            df, parts = t.read(), None
+        else:
+            df, parts = t.read_since(self.mark)
+        if df is None:
+            raise RuntimeError(f"{parent} has not been built yet")
+        self._parts[parent] = parts
+        return df
+
+    def parts(self, parent: str) -> list | None:
+        return self._parts.get(parent)
+
+
 class Runner:
     def __init__(self, spark: SparkSession, cfg: PipelineConfig, load_ts: _dt.datetime | None = None):
         self.spark = spark
@@ -104,91 +125,79 @@ class Runner:
         full = full_refresh or not t.exists()
         if m.layer == "bronze":
             return self._run_bronze(m, t, full)
-        batch_of = self._batch_reader(t, full)
-        return getattr(self, f"_run_{m.layer}")(m, t, full, batch_of)
-
-    def _batch_reader(self, t: LayerTable, full: bool):
-        """Parent rows loaded after this table's newest load (all rows when full)."""
-        mark = None if full else high_watermark(t.read(), LOAD_TS)
-
-        def read(parent: str) -> DataFrame:
-            df = self.table(parent).read()
-            if df is None:
-                raise RuntimeError(f"{parent} has not been built yet")
-            return df if mark is None else newer_than(df, LOAD_TS, mark)
-
-        return read
+        return getattr(self, f"_run_{m.layer}")(m, t, full, _Batches(self, None if full else t.watermark()))
 
-    def _write(self, t: LayerTable, df: DataFrame, full: bool, mode: str) -> str:
+    def _write(self, t: LayerTable, df: DataFrame, full: bool, mode: str, parts: list | None = None) -> str:
         if full:
-            t.overwrite(df)
+            t.overwrite(df, load_ts=self.load_ts)
             return "full"
         if df.isEmpty():
             return "skip"
         if mode == "append":
-            t.append(df)
+            t.append(df, load_ts=self.load_ts, partitions=parts)
         else:
-            t.upsert(df)
+            t.upsert(df, load_ts=self.load_ts)
         return mode
 
     def _run_bronze(self, m: Model, t: LayerTable, full: bool) -> str:
         e = m.entity
         if full:
-            t.overwrite(build_bronze(self._raw(e, "all"), e, load_ts=self.load_ts))
+            t.overwrite(build_bronze(self._raw(e, "all"), e, load_ts=self.load_ts), load_ts=self.load_ts)
             return "full"
         if not files_exist(self.spark, new_dir(self.cfg.landing_root, e)):
             return "skip"
-        mark = high_watermark(t.read(), LOAD_TS) if self.cfg.bronze_watermark else None
+        mark = F.lit(t.watermark()).cast("timestamp") if self.cfg.bronze_watermark else None
         batch = build_bronze(self._raw(e, "new"), e, load_ts=self.load_ts, mark=mark)
         return self._write(t, batch, False, "upsert")
 
-    def _run_silver(self, m: Model, t: LayerTable, full: bool, batch_of) -> str:
-        df = build_silver(batch_of(m.inputs[0]), m.entity, load_ts=self.load_ts)
+    def _run_silver(self, m: Model, t: LayerTable, full: bool, batches: "_Batches") -> str:
+        src = batches.read(m.inputs[0])
+        df = build_silver(src, m.entity, load_ts=self.load_ts)
         mode = self.cfg.measurement_mode if m.entity == "measurement" else "upsert"
-        return self._write(t, df, full, mode)
+        return self._write(t, df, full, mode, batches.parts(m.inputs[0]))
 
-    def _run_gold(self, m: Model, t: LayerTable, full: bool, batch_of) -> str:
+    def _run_gold(self, m: Model, t: LayerTable, full: bool, batches: "_Batches") -> str:
         ts = self.load_ts
         alias = m.alias
         if alias == "country":
-            return self._write(t, build_gold_country(batch_of("silver_country"),
+            return self._write(t, build_gold_country(batches.read("silver_country"),
                                                      country_ids=self.cfg.country_ids, load_ts=ts), full, "upsert")
         if alias == "parameter":
             every = self.table("silver_measurement").read()
-            return self._write(t, build_gold_parameter(batch_of("silver_parameter"), every, load_ts=ts),
+            return self._write(t, build_gold_parameter(batches.read("silver_parameter"), every, load_ts=ts),
                                full, "upsert")
         if alias == "sensor":
-            return self._write(t, build_gold_sensor(batch_of("silver_sensor"), load_ts=ts), full, "upsert")
+            return self._write(t, build_gold_sensor(batches.read("silver_sensor"), load_ts=ts), full, "upsert")
         if alias in ("location", "locality"):
             rebuild = full or self.cfg.locality_mode == "rebuild"
-            loc = self.table("silver_location").read() if rebuild else batch_of("silver_location")
+            loc = self.table("silver_location").read() if rebuild else batches.read("silver_location")
             if alias == "location":
                 df = build_gold_location(loc, load_ts=ts)
             else:
                 df = build_gold_locality(loc, self.table("silver_country").read(), load_ts=ts)
             return self._write(t, df, rebuild, "upsert")
         if alias == "measurement":
-            return self._write(t, build_gold_measurement(batch_of("silver_measurement"), load_ts=ts),
-                               full, self.cfg.measurement_mode)
+            return self._write(t, build_gold_measurement(batches.read("silver_measurement"), load_ts=ts),
+                               full, self.cfg.measurement_mode, batches.parts("silver_measurement"))
         build = build_hourly if "hourly" in alias else build_daily
-        batch = batch_of("silver_measurement")
+        batch = batches.read("silver_measurement")
         if full:
-            t.overwrite(build(batch, load_ts=ts))
+            t.overwrite(build(batch, load_ts=ts), load_ts=ts)
             return "full"
         if self.cfg.aggregate_mode == "append":
-            return self._write(t, build(batch, load_ts=ts), False, "append")
+            return self._write(t, build(batch, load_ts=ts), False, "append", batches.parts("silver_measurement"))
         return self._recompute(t, batch, build)
 
     def _recompute(self, t: LayerTable, batch: DataFrame, build) -> str:
         """Rebuild the aggregate for every date the batch touches, from all
         silver rows of those dates (partition-pruned), and overwrite just
         those partitions."""
-        dates = [r[0] for r in batch.select(MEASUREMENT_DATE).distinct().collect()]
+        dates = distinct_values(batch, MEASUREMENT_DATE)
         if not dates:
             return "skip"
         silver = self.table("silver_measurement").read()
         rows = silver.where(F.col(MEASUREMENT_DATE).isin(dates))
-        t.replace_partitions(build(rows, load_ts=self.load_ts))
+        t.replace_partitions(build(rows, load_ts=self.load_ts), load_ts=self.load_ts, partitions=dates)
         return "recompute"
 
     # ---------------------------------------------------------------- layers

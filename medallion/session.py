@@ -27,6 +27,17 @@ SEMANTIC_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# Broadcast policy: never broadcast on a *static* estimate (the planner
+# sizes Parquet relations from compressed file sizes, which is no bound on
+# the rows), but let AQE broadcast a join side whose *measured* shuffle
+# output is small.  Known dimensions get an explicit hint behind a row
+# check (``operators.joins.bounded_broadcast``).  Applied unless the
+# submitter set the thresholds at launch.
+BROADCAST_POLICY = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+}
+
 
 def build_session(master: str | None = None, app_name: str = "medallion",
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -35,7 +46,7 @@ def build_session(master: str | None = None, app_name: str = "medallion",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
-    for key, value in {**SEMANTIC_CONF, **(extra or {})}.items():
+    for key, value in {**SEMANTIC_CONF, **BROADCAST_POLICY, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_semantic_conf(spark)
@@ -50,6 +61,10 @@ def apply_semantic_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
     # the session zone is semantic, not tuning: always UTC
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    launch = spark.sparkContext.getConf()
+    for key, value in BROADCAST_POLICY.items():
+        if not launch.contains(key):
+            spark.conf.set(key, value)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -65,6 +80,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         existing = sc.getCheckpointDir()
         if existing:
             return existing.rsplit("/", 1)[0]
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="medallion-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)

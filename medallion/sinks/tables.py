@@ -12,22 +12,43 @@ No table format (Delta/Iceberg) is assumed, so two storage shapes are used:
   partitions their batch touches (dynamic partition overwrite), after
   staging the merged rows under ``spark.checkpoint.dir`` so the overwrite
   never reads the files it replaces and retried tasks read durable input.
+  Every successful write appends its load time and the partitions it
+  touched to a small load log ``<path>/_loads/``.  The high-water mark and
+  "rows loaded since" reads come from that log, so an incremental run
+  never scans the whole fact table for ``max(load_timestamp)`` and reads
+  only the partitions loaded after the mark.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion.functions.exprs import EPOCH_FLOOR
 from medallion.operators.merge import upsert_frame
+from medallion.operators.watermark import newer_than
+from medallion.schemas import LOAD_TS
 from medallion.session import staging_path
 from medallion.sources.landing import files_exist
 
 # Guard for the driver-side list of touched partition values (dates).
 MAX_TOUCHED_PARTITIONS = 100_000
+FLOOR = _dt.datetime.fromisoformat(EPOCH_FLOOR)
+
+
+def distinct_values(df: DataFrame, column: str, limit: int = MAX_TOUCHED_PARTITIONS) -> list:
+    """Distinct values of a low-cardinality column (e.g. the dates of a
+    batch), collected with a guard: more than ``limit`` values is an error,
+    never a silent cap."""
+    values = [r[0] for r in df.select(column).distinct().limit(limit + 1).collect()]
+    if len(values) > limit:
+        raise ValueError(f"more than {limit} distinct {column} values; run a full refresh instead")
+    return values
 
 
 @dataclass
@@ -56,6 +77,9 @@ class LayerTable:
     def _data(self) -> str:
         return f"{self.path}/data"
 
+    def _loads(self) -> str:
+        return f"{self.path}/_loads"
+
     def current_version(self) -> int | None:
         if self.partition_by:
             return None
@@ -80,6 +104,57 @@ class LayerTable:
             return None
         return self.spark.read.parquet(f"{self.path}/v={v}")
 
+    # ------------------------------------------------------------- load log
+    def _load_log(self) -> DataFrame | None:
+        if not self.partition_by or not files_exist(self.spark, self._loads()):
+            return None
+        return self.spark.read.parquet(self._loads())
+
+    def watermark(self, column: str = LOAD_TS) -> _dt.datetime:
+        """Newest load time of the table (1900-01-01 when empty), as a value.
+
+        Partitioned tables answer from the load log; versioned (dimension)
+        tables take ``max(column)`` of the current version.
+        """
+        log = self._load_log()
+        if log is not None:
+            value = log.agg(F.max(LOAD_TS)).first()[0]
+        else:
+            df = self.read()
+            value = None if df is None else df.agg(F.max(column)).first()[0]
+        return value if value is not None else FLOOR
+
+    def read_since(self, mark: _dt.datetime, column: str = LOAD_TS) -> tuple[DataFrame | None, list | None]:
+        """Rows loaded after ``mark`` and the partitions they can be in.
+
+        The load log names the partitions the later loads touched, so only
+        they are scanned (static partition pruning) before the row-level
+        ``column > mark`` filter.  The partition list is ``None`` when the
+        table has no log (versioned tables).
+        """
+        df = self.read()
+        if df is None:
+            return None, None
+        log = self._load_log()
+        parts = None
+        if log is not None:
+            parts = distinct_values(log.where(F.col(LOAD_TS) > F.lit(mark).cast("timestamp")), self.partition_by)
+            df = df.where(F.col(self.partition_by).isin(parts))
+        return newer_than(df, column, F.lit(mark).cast("timestamp")), parts
+
+    def _log_load(self, partitions: list | None, load_ts: _dt.datetime | None, *, reset: bool = False) -> None:
+        if not self.partition_by or load_ts is None or not partitions:
+            return
+        dtype = _spark_type_of(partitions[0])
+        entry = uuid.uuid4().hex
+        log = self.spark.createDataFrame([(load_ts, p, entry) for p in partitions],
+                                         f"{LOAD_TS} timestamp, {self.partition_by} {dtype}, load string")
+        writer = log.coalesce(1).write.partitionBy("load")
+        if reset:  # a full refresh starts a new log
+            writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._loads())
+        else:
+            writer.mode("append").parquet(self._loads())
+
     # ----------------------------------------------------------------- write
     def _commit_version(self, df: DataFrame) -> int:
         v = (self.current_version() or 0) + 1
@@ -88,55 +163,83 @@ class LayerTable:
         marker.write.mode("overwrite").parquet(f"{self._commits()}/v={v}")
         return v
 
-    def overwrite(self, df: DataFrame) -> None:
+    def overwrite(self, df: DataFrame, *, load_ts: _dt.datetime | None = None) -> None:
         """Full refresh: the table becomes exactly ``df``."""
         if self.partition_by:
             (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
              .partitionBy(self.partition_by).parquet(self._data()))
+            if load_ts is not None and self.exists():
+                self._log_load(distinct_values(self.read(), self.partition_by), load_ts, reset=True)
         else:
             self._commit_version(df)
 
-    def append(self, batch: DataFrame) -> None:
-        """Add the batch rows (no key)."""
+    def append(self, batch: DataFrame, *, load_ts: _dt.datetime | None = None,
+               partitions: list | None = None) -> None:
+        """Add the batch rows (no key).  ``partitions``: a known superset of
+        the partitions the batch touches (else they are computed)."""
         if self.partition_by:
+            if load_ts is not None and partitions is None:
+                partitions = distinct_values(batch, self.partition_by)
             batch.write.mode("append").partitionBy(self.partition_by).parquet(self._data())
+            self._log_load(partitions, load_ts)
             return
         current = self.read()
         self._commit_version(batch if current is None else current.unionByName(batch.select(*current.columns)))
 
-    def upsert(self, batch: DataFrame) -> None:
-        """Replace rows whose key is in the batch, insert the rest."""
+    def upsert(self, batch: DataFrame, *, load_ts: _dt.datetime | None = None) -> None:
+        """Replace rows whose key is in the batch, insert the rest.
+
+        Partitioned tables: the batch is staged once under the checkpoint
+        folder (lineage cut; evaluated once), its partitions are read off
+        the staged copy, and only those partitions of the target are merged
+        and rewritten.
+        """
         if not self.keys:
             raise ValueError(f"{self.name} has no key; use append")
         current = self.read()
         if not self.partition_by:
             self._commit_version(upsert_frame(current, batch, self.keys))
             return
+        staged = self._stage(batch, "batch")
+        touched = distinct_values(staged, self.partition_by)
         if current is None:
-            batch.write.mode("overwrite").partitionBy(self.partition_by).parquet(self._data())
+            staged.write.mode("overwrite").partitionBy(self.partition_by).parquet(self._data())
+            self._log_load(touched, load_ts)
             return
-        touched = self._touched(batch)
         old = current.where(F.col(self.partition_by).isin(touched))
-        merged = upsert_frame(old, batch.select(*current.columns), self.keys)
-        self._replace_partitions_staged(merged)
-
-    def replace_partitions(self, df: DataFrame) -> None:
-        """Overwrite exactly the partitions present in ``df`` (recompute mode)."""
+        merged = self._stage(upsert_frame(old, staged.select(*current.columns), self.keys), "merged")
+        self._overwrite_partitions(merged)
+        self._log_load(touched, load_ts)
+
+    def replace_partitions(self, df: DataFrame, *, load_ts: _dt.datetime | None = None,
+                           partitions: list | None = None) -> None:
+        """Overwrite exactly the partitions present in ``df`` (recompute mode).
+        ``partitions``: the partitions ``df`` covers, when the caller knows."""
         if not self.partition_by:
             raise ValueError(f"{self.name} is not partitioned")
+        if load_ts is not None and partitions is None:
+            partitions = distinct_values(df, self.partition_by)
+        self._overwrite_partitions(df)
+        self._log_load(partitions, load_ts)
+
+    def _overwrite_partitions(self, df: DataFrame) -> None:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.partition_by).parquet(self._data()))
 
-    def _touched(self, batch: DataFrame) -> list:
-        values = [r[0] for r in batch.select(self.partition_by).distinct()
-                  .limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-        if len(values) > MAX_TOUCHED_PARTITIONS:
-            raise ValueError(f"batch touches more than {MAX_TOUCHED_PARTITIONS} partitions; "
-                             "run a full refresh instead")
-        return values
-
-    def _replace_partitions_staged(self, merged: DataFrame) -> None:
-        stage = staging_path(self.spark, self.alias)
-        merged.write.mode("overwrite").parquet(stage)
-        staged = self.spark.read.parquet(stage)
-        self.replace_partitions(staged)
+    def _stage(self, df: DataFrame, tag: str) -> DataFrame:
+        """Write ``df`` under the shared checkpoint folder and read it back."""
+        stage = staging_path(self.spark, f"{self.alias}-{tag}")
+        df.write.mode("overwrite").parquet(stage)
+        return self.spark.read.parquet(stage)
+
+
+def _spark_type_of(value) -> str:
+    if isinstance(value, _dt.datetime):
+        return "timestamp"
+    if isinstance(value, _dt.date):
+        return "date"
+    if isinstance(value, bool):
+        return "boolean"
+    if isinstance(value, int):
+        return "bigint"
+    return "string"

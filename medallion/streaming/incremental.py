@@ -64,9 +64,9 @@ def _bronze_writer(spark: SparkSession, cfg: PipelineConfig, entity: str):
         rows = build_bronze(raw, entity, load_ts=load_ts)
         table = runner.table(model)
         if not table.exists():
-            table.overwrite(rows)
+            table.overwrite(rows, load_ts=load_ts)
         elif not rows.isEmpty():
-            table.upsert(rows)
+            table.upsert(rows, load_ts=load_ts)
 
     return write
 

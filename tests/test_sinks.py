@@ -59,3 +59,30 @@ def test_partitioned_append_and_replace(spark, tmp_path):
     assert rows(t.read(), "n") == [(1,), (2,), (2,)]
     t.replace_partitions(spark.createDataFrame([(dt.date(2025, 1, 2), 5)], "date date, n long"))
     assert rows(t.read(), "n") == [(1,), (5,)]
+
+
+def test_load_log_gives_watermark_and_pruned_incremental_reads(spark, tmp_path):
+    t = LayerTable(spark, str(tmp_path), "silver", "measurement", ("sensor_id", "from_utc"), "measurement_date")
+    assert t.watermark() == dt.datetime(1900, 1, 1)
+    schema = "sensor_id long, from_utc string, value double, load_timestamp timestamp"
+
+    def batch(rows_, ts):
+        return spark.createDataFrame([(s, f, v, ts) for s, f, v in rows_], schema) \
+            .withColumn("measurement_date", F.to_date("from_utc"))
+
+    t1, t2 = dt.datetime(2025, 12, 30, 7), dt.datetime(2025, 12, 31, 7)
+    t.upsert(batch([(1, "2025-12-28T10:00:00Z", 1.0), (1, "2025-12-29T10:00:00Z", 2.0)], t1), load_ts=t1)
+    assert t.watermark() == t1
+    t.upsert(batch([(2, "2025-12-29T11:00:00Z", 3.0)], t2), load_ts=t2)
+    assert t.watermark() == t2
+    since, parts = t.read_since(t1)
+    assert parts == [dt.date(2025, 12, 29)]
+    assert rows(since, "sensor_id") == [(2,)]
+    plan = spark._jvm.PythonSQLUtils.explainString(since._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(measurement_date" in plan and "2025-12-29" in plan
+    # a full refresh (from another source, never from itself) starts a new log
+    current = t.read()
+    snapshot = spark.createDataFrame(current.collect(), current.schema)
+    t.overwrite(snapshot, load_ts=t2)
+    assert t.watermark() == t2
+    assert sorted(t.read_since(t1)[1]) == [dt.date(2025, 12, 28), dt.date(2025, 12, 29)]
