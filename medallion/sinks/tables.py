@@ -34,6 +34,7 @@ from medallion.operators.merge import upsert_frame
 from medallion.operators.watermark import newer_than
 from medallion.schemas import LOAD_TS
 from medallion.session import staging_path
+from medallion.sources import fs
 from medallion.sources.landing import files_exist
 
 # Guard for the driver-side list of touched partition values (dates).
@@ -81,12 +82,13 @@ class LayerTable:
         return f"{self.path}/_loads"
 
     def current_version(self) -> int | None:
+        """Newest committed version (from the commit-marker folder names)."""
         if self.partition_by:
             return None
-        if not files_exist(self.spark, self._commits()):
-            return None
-        row = self.spark.read.parquet(self._commits()).agg(F.max("v").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        versions = [int(d[2:]) for d in fs.child_dirs(self.spark, self._commits())
+                    if d.startswith("v=") and d[2:].isdigit()
+                    and fs.has_file(self.spark, f"{self._commits()}/{d}")]
+        return max(versions) if versions else None
 
     def exists(self) -> bool:
         if self.partition_by:

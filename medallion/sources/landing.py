@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from medallion.schemas import EXTRACTION_TS, landing_schema
+from medallion.sources import fs
 
 NEW_DIR = "new"
 
@@ -48,8 +49,9 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.parquet", recursiv
 
 
 def files_exist(spark: SparkSession, path: str, glob: str = "*.parquet") -> bool:
-    """Are there matching files under ``path``?  Stops at the first one."""
-    return list_files(spark, path, glob).limit(1).count() > 0
+    """Are there landed files under ``path``?  A metadata walk that stops at
+    the first match (no Spark job)."""
+    return fs.has_file(spark, path, glob.lstrip("*"))
 
 
 def scan_landing(spark: SparkSession, root: str, entity: str, *, scope: str = "all",
@@ -105,22 +107,15 @@ def land(df: DataFrame, root: str, entity: str, *, prefix: str = "", suffix: str
 def archive_new(spark: SparkSession, root: str, entity: str) -> int:
     """Move pending batch folders of ``entity`` from ``new/`` to the entity folder.
 
-    A metadata-only rename per batch folder through the Hadoop FileSystem of
-    the path (works for HDFS, object stores with rename, and local disk).
-    Returns the number of entries moved; an empty or missing ``new/`` is fine.
+    A metadata-only rename per batch folder (HDFS, object stores with
+    rename, local disk).  Returns the number of folders moved; an empty or
+    missing ``new/`` is fine.
     """
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    src = jvm.org.apache.hadoop.fs.Path(new_dir(root, entity))
-    fs = src.getFileSystem(hconf)
-    if not fs.exists(src):
-        return 0
-    dest_root = jvm.org.apache.hadoop.fs.Path(entity_dir(root, entity))
+    src = new_dir(root, entity)
     moved = 0
-    for status in fs.listStatus(src):
-        name = status.getPath().getName()
-        if name.startswith("_") or name.startswith("."):
+    for name in fs.child_dirs(spark, src):
+        if name.startswith(("_", ".")):
             continue
-        fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(dest_root, name))
+        fs.rename(spark, f"{src}/{name}", f"{entity_dir(root, entity)}/{name}")
         moved += 1
     return moved
