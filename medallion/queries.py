@@ -22,21 +22,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.functions.exprs import iso_text, text_date
+from medallion.functions.exprs import instant, iso_text, text_date
 from medallion.operators.aggregates import daily_aggregate, hourly_aggregate
 from medallion.operators.dedup import distinct_rows, latest_wins
 from medallion.operators.joins import semi_join
 from medallion.operators.merge import append_frame, empty_like, recompute_touched, upsert_frame
 from medallion.operators.quality import KeySpec, duplicate_report, not_null, relationships, unique
-from medallion.operators.watermark import high_watermark, newer_than, fresh_ids
+from medallion.operators.selection import period_between
+from medallion.operators.watermark import fresh_ids, high_watermark, newer_than
 from medallion.plans.models import (
+    build_bronze,
     build_gold_country,
     build_gold_locality,
     build_gold_location,
     build_gold_parameter,
     build_silver,
 )
-from medallion.sources.drift import union_aligned
+from medallion.schemas import landing_schema
+from medallion.sources.drift import align_to_schema, union_aligned
 from medallion.sources.flatten import dotted_to_snake, flatten_structs
 
 NBSP = "\u00a0"
@@ -52,6 +55,8 @@ LINEITEM_CUT = "1999-06-01 00:00:00"
 LINEITEM_OVERLAP_FROM = "1998-06-01 00:00:00"
 FRESH_EVENTS_MARK = "2024-01-29T00:00:00Z"
 FRESH_ORDERS_MARK = "2001-01-01T00:00:00Z"
+PERIOD_FROM = "2024-01-10T00:00:00Z"
+PERIOD_TO = "2024-01-12T00:00:00Z"
 
 
 def ts_ntz(text: str) -> Column:
@@ -331,6 +336,42 @@ def q_schema_drift_union(spark, d):
     return union_aligned([older, newer], _parse_datatype_string(target))
 
 
+def landed_measurements(lineitem: DataFrame) -> DataFrame:
+    """Landed measurement pages (dotted column names) from ``lineitem``: a line
+    is a reading of sensor ``l_orderkey`` for parameter ``l_linenumber``; a
+    line shipped again is a re-extraction of the same reading
+    (``extraction_timestamp`` = ``l_shipdate``)."""
+    raw = lineitem.select(
+        F.col("l_quantity").alias("value"),
+        F.lit("raw").alias("period.label"),
+        F.lit("01:00:00").alias("period.interval"),
+        F.lit("2024-01-01T00:00:00Z").alias("period.datetime_from.utc"),
+        F.lit("2024-01-01T01:00:00Z").alias("period.datetime_to.utc"),
+        F.col("l_linenumber").cast("bigint").alias("parameter.id"),
+        F.col("l_returnflag").alias("parameter.name"),
+        F.col("l_orderkey").alias("sensor_id"),
+        F.col("l_shipdate").cast("timestamp").alias("extraction_timestamp"),
+    )
+    return align_to_schema(raw, landing_schema("measurement"))
+
+
+def q_bronze_measurement_latest(spark, d):
+    bronze = build_bronze(landed_measurements(table(spark, d, "lineitem")), "measurement")
+    return bronze.select("sensor_id", "parameter_id", "parameter_name", "period_datetime_from_utc", "value",
+                         "measurement_date")
+
+
+def q_period_range(spark, d):
+    return period_between(table(spark, d, "events"), "ts", instant(F.lit(PERIOD_FROM)), instant(F.lit(PERIOD_TO)))
+
+
+def q_filtered_watermark(spark, d):
+    o = table(spark, d, "orders")
+    loaded = o.where(F.col("o_orderdate") < ts_ntz(ORDERS_BATCH_FROM))
+    return newer_than(o.where(F.col("o_orderstatus").isin("F", "P")), "o_orderdate",
+                      high_watermark(loaded, "o_orderdate"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_aggregate": q_hourly_aggregate,
     "daily_aggregate": q_daily_aggregate,
@@ -359,6 +400,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_relationships": q_dq_relationships,
     "duplicate_report": q_duplicate_report,
     "schema_drift_union": q_schema_drift_union,
+    "bronze_measurement_latest": q_bronze_measurement_latest,
+    "period_range": q_period_range,
+    "filtered_watermark": q_filtered_watermark,
 }
 
 _REGION = ", ".join(str(k) for k in REGION_KEYS)
@@ -491,4 +535,16 @@ GROUP BY user_id, event_type HAVING count(*) > 1""",
 FROM lineitem WHERE l_shipdate < TIMESTAMP '{LINEITEM_CUT}'
 UNION ALL
 SELECT l_orderkey, l_linenumber, l_quantity AS qty, l_tax FROM lineitem WHERE l_shipdate >= TIMESTAMP '{LINEITEM_CUT}'""",
+    "bronze_measurement_latest": """SELECT l_orderkey AS sensor_id, CAST(l_linenumber AS BIGINT) AS parameter_id,
+       l_returnflag AS parameter_name, '2024-01-01T00:00:00Z' AS period_datetime_from_utc, l_quantity AS value,
+       DATE '2024-01-01' AS measurement_date
+FROM lineitem
+WHERE (l_orderkey, l_linenumber, l_shipdate) IN
+      (SELECT l_orderkey, l_linenumber, max(l_shipdate) FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
+    "period_range": f"""SELECT * FROM events
+WHERE ts BETWEEN TIMESTAMP '{PERIOD_FROM[:-1].replace('T', ' ')}' AND TIMESTAMP '{PERIOD_TO[:-1].replace('T', ' ')}'""",
+    "filtered_watermark": f"""SELECT * FROM orders
+WHERE o_orderstatus IN ('F', 'P')
+  AND o_orderdate > (SELECT coalesce(max(o_orderdate), TIMESTAMP '1900-01-01') FROM orders
+                     WHERE o_orderdate < TIMESTAMP '{ORDERS_BATCH_FROM}')""",
 }

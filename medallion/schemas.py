@@ -73,6 +73,10 @@ ENTITY_FIELDS: dict[str, list[tuple[str, T.DataType]]] = {
 }
 
 EXTRACTION_TS = "extraction_timestamp"
+
+# Lineage column naming the parent of a child entity's request (stamped at
+# landing, not part of the API record).
+PARENT_COLUMN: dict[str, str] = {"sensor": "location_id", "measurement": "sensor_id"}
 LOAD_TS = "load_timestamp"
 
 # Natural keys of the bronze tables (snake names).
@@ -101,6 +105,8 @@ def nested_schema(entity: str) -> T.StructType:
     as found in raw JSON pages before flattening."""
     root: dict = {}
     for name, dtype in ENTITY_FIELDS[entity]:
+        if name == PARENT_COLUMN.get(entity):
+            continue
         node = root
         parts = name.split(".")
         for p in parts[:-1]:

@@ -93,3 +93,26 @@ def test_json_normalize_fixture_has_dotted_names(tmp_path):
     p = lf.write_page(str(tmp_path), "country", [lf.country(1, "A", "a")], "b", dt.datetime(2025, 1, 1))
     cols = pd.read_parquet(p).columns
     assert "parameters" in cols and "extraction_timestamp" in cols
+
+
+def test_read_api_pages_explode_flatten_stamp(spark, tmp_path):
+    import json
+
+    from medallion.sources.api_pages import read_api_pages
+
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    for sid, recs in [(1000, [lf.measurement(1.5, lf.PM25, lf.t(29, 10), lf.t(29, 11)),
+                              lf.measurement(2.5, lf.PM25, lf.t(29, 11), lf.t(29, 12))]),
+                      (1001, [lf.measurement(3.0, lf.NO2, lf.t(29, 10), lf.t(29, 11))])]:
+        (pages / f"page-{sid}.json").write_text(json.dumps({"meta": {"page": 1}, "parent_id": sid,
+                                                            "results": recs}))
+    got = read_api_pages(spark, str(pages), "measurement", extracted_at=dt.datetime(2025, 12, 30, 6))
+    assert got.columns == landing_schema("measurement").fieldNames()
+    assert rows(got, "sensor_id", "value", "period.datetime_from.utc", "parameter.id") == [
+        (1000, 1.5, lf.t(29, 10), 2), (1000, 2.5, lf.t(29, 11), 2), (1001, 3.0, lf.t(29, 10), 5)]
+    assert {r.extraction_timestamp for r in got.select("extraction_timestamp").collect()} == {
+        dt.datetime(2025, 12, 30, 6)}
+    # landed, it is read back by the landing scan
+    land(got, str(tmp_path / "raw"), "measurement")
+    assert scan_landing(spark, str(tmp_path / "raw"), "measurement", scope="new").count() == 3
