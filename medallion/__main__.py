@@ -47,6 +47,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--measurement-mode", default="upsert", choices=["upsert", "append"])
     p.add_argument("--aggregate-mode", default="recompute", choices=["recompute", "append"])
     p.add_argument("--locality-mode", default="rebuild", choices=["rebuild", "incremental"])
+    p.add_argument("--test-scope", default="all", choices=["all", "loaded"])
     args = p.parse_args(argv)
 
     spark = build_session(args.master)
@@ -55,13 +56,13 @@ def main(argv: list[str] | None = None) -> None:
     result = None
     if args.command == "run":
         result = runner.run_pipeline(full_refresh=args.full_refresh, archive=not args.no_archive,
-                                     test=not args.no_test)
+                                     test=not args.no_test, test_scope=args.test_scope)
     elif args.command == "layer":
         if not args.layer:
             p.error("layer needs bronze, silver or gold")
         print(json.dumps(runner.run_layer(args.layer, full_refresh=args.full_refresh)))
     elif args.command == "test":
-        result = runner.test()
+        result = runner.test(scope=args.test_scope)
     elif args.command == "archive":
         print(json.dumps(runner.archive()))
     else:

@@ -144,6 +144,20 @@ class LayerTable:
             df = df.where(F.col(self.partition_by).isin(parts))
         return newer_than(df, column, F.lit(mark).cast("timestamp")), parts
 
+    def partitions_loaded_since(self, mark: _dt.datetime, *, inclusive: bool = True) -> list | None:
+        """Partitions written by loads at (or after) ``mark``; None without a log."""
+        log = self._load_log()
+        if log is None:
+            return None
+        ts = F.lit(mark).cast("timestamp")
+        return distinct_values(log.where(F.col(LOAD_TS) >= ts if inclusive else F.col(LOAD_TS) > ts),
+                               self.partition_by)
+
+    def read_partitions(self, partitions: list) -> DataFrame | None:
+        """All rows of the given partitions (static partition pruning)."""
+        df = self.read()
+        return None if df is None else df.where(F.col(self.partition_by).isin(partitions))
+
     def _log_load(self, partitions: list | None, load_ts: _dt.datetime | None, *, reset: bool = False) -> None:
         if not self.partition_by or load_ts is None or not partitions:
             return

@@ -113,3 +113,22 @@ def test_reference_modes_append_partials(spark, tmp_path):
     assert r.read("silver", "measurement").where("sensor_id = 1000").count() == 5
     dups = {x.test: x.failures for x in r.test().collect()}["duplicates"]
     assert dups >= 1
+
+
+def test_loaded_scope_tests_only_this_runs_partitions(spark, tmp_path):
+    cfg = PipelineConfig(landing_root=str(tmp_path / "raw"), warehouse_root=str(tmp_path / "wh"),
+                         country_ids=(80, 110))
+    lf.land_first_batch(cfg.landing_root)
+    Runner(spark, cfg, load_ts=T1).run_pipeline(test=False)
+    lf.land_second_batch(cfg.landing_root)
+    r = Runner(spark, cfg, load_ts=T2)
+    r.run_pipeline(test=False)
+    # the second batch touched 2025-12-29 and 2025-12-30 only; the tied
+    # duplicate of the first batch sits on 2025-12-29 23:00 (bronze), so it
+    # is in scope, while untouched partitions are not read at all
+    loaded = r._read_loaded("bronze", "measurement")
+    assert sorted({x.measurement_date for x in loaded.select("measurement_date").collect()}) == [
+        dt.date(2025, 12, 29), dt.date(2025, 12, 30)]
+    scoped = {x.test: x.failures for x in r.test(scope="loaded", store=False).collect()}
+    full = {x.test: x.failures for x in r.test(scope="all", store=False).collect()}
+    assert scoped == full
