@@ -211,14 +211,14 @@ class Runner:
         return {e: archive_new(self.spark, self.cfg.landing_root, e) for e in self.cfg.entities}
 
     def _read_loaded(self, layer: str, alias: str) -> DataFrame | None:
-        """Partitioned fact tables: only the partitions this run loaded;
-        dimension tables: whole."""
+        """Partitioned fact tables: only the partitions of their latest load
+        (this run's, when the run wrote them); dimension tables: whole."""
         for m in MODELS:
             if m.layer == layer and m.alias == alias:
                 t = self.table(m)
                 if not m.partition_by:
                     return t.read()
-                parts = t.partitions_loaded_since(self.load_ts)
+                parts = t.partitions_loaded_since(t.watermark())
                 return t.read() if parts is None else t.read_partitions(parts)
         return None
 
