@@ -207,6 +207,10 @@ class Runner:
                 for m in MODELS if m.layer == layer and (m.entity is None or m.entity in self.cfg.entities
                                                           or m.layer != "bronze")}
 
+    def vacuum(self, keep: int = 3) -> dict[str, list[int]]:
+        """Drop old versions of the versioned (dimension) tables."""
+        return {m.name: self.table(m).vacuum(keep) for m in MODELS if not m.partition_by}
+
     def archive(self) -> dict[str, int]:
         return {e: archive_new(self.spark, self.cfg.landing_root, e) for e in self.cfg.entities}
 

@@ -106,6 +106,23 @@ class LayerTable:
             return None
         return self.spark.read.parquet(f"{self.path}/v={v}")
 
+    def vacuum(self, keep: int = 3) -> list[int]:
+        """Delete committed versions older than the newest ``keep`` and any
+        uncommitted version folder below the newest commit.  Returns the
+        removed version numbers.  Readers of the kept versions are unaffected."""
+        if self.partition_by or keep < 1:
+            return []
+        current = self.current_version()
+        if current is None:
+            return []
+        removed = []
+        for d in fs.child_dirs(self.spark, self.path):
+            if d.startswith("v=") and d[2:].isdigit() and int(d[2:]) <= current - keep:
+                fs.delete(self.spark, f"{self._commits()}/{d}")
+                fs.delete(self.spark, f"{self.path}/{d}")
+                removed.append(int(d[2:]))
+        return sorted(removed)
+
     # ------------------------------------------------------------- load log
     def _load_log(self) -> DataFrame | None:
         if not self.partition_by or not files_exist(self.spark, self._loads()):

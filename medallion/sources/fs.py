@@ -55,3 +55,9 @@ def rename(spark: SparkSession, src: str, dest: str) -> bool:
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` (a metadata operation on the file system)."""
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))

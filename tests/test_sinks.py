@@ -86,3 +86,15 @@ def test_load_log_gives_watermark_and_pruned_incremental_reads(spark, tmp_path):
     t.overwrite(snapshot, load_ts=t2)
     assert t.watermark() == t2
     assert sorted(t.read_since(t1)[1]) == [dt.date(2025, 12, 28), dt.date(2025, 12, 29)]
+
+
+def test_vacuum_keeps_newest_versions(spark, tmp_path):
+    t = LayerTable(spark, str(tmp_path), "gold", "country", ("id",))
+    for i in range(5):
+        t.upsert(spark.createDataFrame([(i, "x")], "id long, v string")) if t.exists() else \
+            t.overwrite(spark.createDataFrame([(i, "x")], "id long, v string"))
+    assert t.current_version() == 5
+    assert t.vacuum(keep=2) == [1, 2, 3]
+    assert t.current_version() == 5
+    assert rows(t.read(), "id") == [(0,), (1,), (2,), (3,), (4,)]
+    assert rows(spark.read.parquet(f"{t.path}/v=4"), "id") == [(0,), (1,), (2,), (3,)]
