@@ -40,8 +40,15 @@ def _pairs(left_keys: Sequence[str], right_keys: Sequence[str] | None) -> list[t
 
 
 def _keyed_right(right: DataFrame, pairs: list[tuple[str, str]], tag: str) -> tuple[DataFrame, list[str]]:
+    """The right side's distinct join keys.
+
+    The ``distinct`` is a partial + final aggregate: repeated keys (every
+    measurement row of a parameter) collapse map-side before the shuffle,
+    and the final aggregate's hash partitioning already satisfies the
+    join's, so it adds no exchange.
+    """
     names = [f"__{tag}_k{i}" for i in range(len(pairs))]
-    keyed = right.select(*[col_of(r).alias(n) for (_, r), n in zip(pairs, names)])
+    keyed = right.select(*[col_of(r).alias(n) for (_, r), n in zip(pairs, names)]).distinct()
     return keyed, names
 
 
@@ -63,13 +70,12 @@ def semi_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
               broadcast_rows: int | None = None) -> DataFrame:
     """Rows of ``left`` whose key appears in ``right`` (``IN`` / ``EXISTS``).
 
-    Only the key columns of ``right`` are read; Spark adds the distinct
-    (partial aggregate) on the build side itself.
+    Only the key columns of ``right`` are read, de-duplicated map-side.
     """
     pairs = _pairs(left_keys, right_keys)
     keyed, names = _keyed_right(right, pairs, "semi")
     if broadcast_rows:
-        keyed = bounded_broadcast(keyed.distinct(), broadcast_rows)
+        keyed = bounded_broadcast(keyed, broadcast_rows)
     return left.join(keyed, _condition(left, pairs, names, null_safe), "left_semi")
 
 
@@ -80,7 +86,7 @@ def anti_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     pairs = _pairs(left_keys, right_keys)
     keyed, names = _keyed_right(right, pairs, "anti")
     if broadcast_rows:
-        keyed = bounded_broadcast(keyed.distinct(), broadcast_rows)
+        keyed = bounded_broadcast(keyed, broadcast_rows)
     return left.join(keyed, _condition(left, pairs, names, null_safe), "left_anti")
 
 
