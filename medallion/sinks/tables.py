@@ -233,16 +233,18 @@ class LayerTable:
         if not self.partition_by:
             self._commit_version(upsert_frame(current, batch, self.keys))
             return
-        staged = self._stage(batch, "batch")
+        stages: list[str] = []
+        staged = self._stage(batch, "batch", stages)
         touched = distinct_values(staged, self.partition_by)
         if current is None:
             staged.write.mode("overwrite").partitionBy(self.partition_by).parquet(self._data())
-            self._log_load(touched, load_ts)
-            return
-        old = current.where(F.col(self.partition_by).isin(touched))
-        merged = self._stage(upsert_frame(old, staged.select(*current.columns), self.keys), "merged")
-        self._overwrite_partitions(merged)
+        else:
+            old = current.where(F.col(self.partition_by).isin(touched))
+            merged = self._stage(upsert_frame(old, staged.select(*current.columns), self.keys), "merged", stages)
+            self._overwrite_partitions(merged)
         self._log_load(touched, load_ts)
+        for path in stages:  # the table now holds the rows; staged copies go
+            fs.delete(self.spark, path)
 
     def replace_partitions(self, df: DataFrame, *, load_ts: _dt.datetime | None = None,
                            partitions: list | None = None) -> None:
@@ -259,10 +261,12 @@ class LayerTable:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.partition_by).parquet(self._data()))
 
-    def _stage(self, df: DataFrame, tag: str) -> DataFrame:
-        """Write ``df`` under the shared checkpoint folder and read it back."""
-        stage = staging_path(self.spark, f"{self.alias}-{tag}")
+    def _stage(self, df: DataFrame, tag: str, stages: list[str]) -> DataFrame:
+        """Write ``df`` under the shared checkpoint folder and read it back
+        (lineage cut: retried tasks read durable files)."""
+        stage = staging_path(self.spark, f"{self.layer}-{self.alias}-{tag}")
         df.write.mode("overwrite").parquet(stage)
+        stages.append(stage)
         return self.spark.read.parquet(stage)
 
 
