@@ -39,17 +39,22 @@ def _pairs(left_keys: Sequence[str], right_keys: Sequence[str] | None) -> list[t
     return list(zip(left_keys, right_keys))
 
 
-def _keyed_right(right: DataFrame, pairs: list[tuple[str, str]], tag: str) -> tuple[DataFrame, list[str]]:
-    """The right side's distinct join keys.
-
-    The ``distinct`` is a partial + final aggregate: repeated keys (every
-    measurement row of a parameter) collapse map-side before the shuffle,
-    and the final aggregate's hash partitioning already satisfies the
-    join's, so it adds no exchange.
+def _keyed_right(right: DataFrame, pairs: list[tuple[str, str]], tag: str,
+                 dedup: bool) -> tuple[DataFrame, list[str]]:
+    """The right side's join keys, optionally de-duplicated.
+
+    ``dedup``: a partial + final aggregate, so repeated keys (every
+    measurement row of a parameter) collapse map-side before the shuffle;
+    its hash partitioning already satisfies the join, so no exchange is
+    added.  The trade-off: with an aggregate between the join and the
+    shuffle, AQE cannot split a skewed join partition, so use it where the
+    right side repeats keys heavily (its distinct keys are then small and
+    AQE broadcasts them from the measured size) and not where the keys are
+    already unique and the left side may hold a hot key.
     """
     names = [f"__{tag}_k{i}" for i in range(len(pairs))]
-    keyed = right.select(*[col_of(r).alias(n) for (_, r), n in zip(pairs, names)]).distinct()
-    return keyed, names
+    keyed = right.select(*[col_of(r).alias(n) for (_, r), n in zip(pairs, names)])
+    return (keyed.distinct() if dedup else keyed), names
 
 
 def _condition(left: DataFrame, pairs, names, null_safe: bool) -> Column:
@@ -67,13 +72,14 @@ def _q(name: str) -> str:
 
 def semi_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
               right_keys: Sequence[str] | None = None, *, null_safe: bool = False,
-              broadcast_rows: int | None = None) -> DataFrame:
+              broadcast_rows: int | None = None, dedup: bool = True) -> DataFrame:
     """Rows of ``left`` whose key appears in ``right`` (``IN`` / ``EXISTS``).
 
-    Only the key columns of ``right`` are read, de-duplicated map-side.
+    Only the key columns of ``right`` are read, by default de-duplicated
+    map-side (see ``_keyed_right`` for when to turn that off).
     """
     pairs = _pairs(left_keys, right_keys)
-    keyed, names = _keyed_right(right, pairs, "semi")
+    keyed, names = _keyed_right(right, pairs, "semi", dedup or bool(broadcast_rows))
     if broadcast_rows:
         keyed = bounded_broadcast(keyed, broadcast_rows)
     return left.join(keyed, _condition(left, pairs, names, null_safe), "left_semi")
@@ -81,10 +87,10 @@ def semi_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
 
 def anti_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
               right_keys: Sequence[str] | None = None, *, null_safe: bool = False,
-              broadcast_rows: int | None = None) -> DataFrame:
+              broadcast_rows: int | None = None, dedup: bool = True) -> DataFrame:
     """Rows of ``left`` whose key does not appear in ``right``."""
     pairs = _pairs(left_keys, right_keys)
-    keyed, names = _keyed_right(right, pairs, "anti")
+    keyed, names = _keyed_right(right, pairs, "anti", dedup or bool(broadcast_rows))
     if broadcast_rows:
         keyed = bounded_broadcast(keyed, broadcast_rows)
     return left.join(keyed, _condition(left, pairs, names, null_safe), "left_anti")

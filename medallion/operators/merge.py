@@ -24,7 +24,9 @@ def upsert_frame(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]
     """
     if target is None:
         return batch
-    kept = anti_join(target, batch, list(keys))
+    # batch keys are (nearly) unique: no pre-aggregation, so the anti join
+    # sits directly on its shuffles and AQE can split a hot target key
+    kept = anti_join(target, batch, list(keys), dedup=False)
     return kept.unionByName(batch.select(*target.columns), allowMissingColumns=False)
 
 

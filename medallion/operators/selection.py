@@ -40,8 +40,12 @@ def period_between(df: DataFrame, column: str, lo: Column, hi: Column) -> DataFr
 
 
 def select_children(children: DataFrame, child_fk: str, parents: DataFrame, parent_key: str = "id") -> DataFrame:
-    """Children of the selected parents (``child_fk IN (SELECT parent_key ...)``)."""
-    return semi_join(children, parents, [child_fk], [parent_key])
+    """Children of the selected parents (``child_fk IN (SELECT parent_key ...)``).
+
+    Parent ids are unique, so the key side is not pre-aggregated and AQE
+    can still split a parent with a hot share of the children.
+    """
+    return semi_join(children, parents, [child_fk], [parent_key], dedup=False)
 
 
 def fresh_chain(locations: DataFrame, sensors: DataFrame, mark: Column | str) -> tuple[DataFrame, DataFrame]:

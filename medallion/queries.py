@@ -295,8 +295,8 @@ def q_fresh_ids(spark, d):
 def q_parent_child_selection(spark, d):
     orders = table(spark, d, "orders")
     fresh = fresh_ids(_last_seen(orders, "o_custkey", "o_orderdate"), FRESH_ORDERS_MARK)
-    their_orders = semi_join(orders, fresh, ["o_custkey"], ["id"])
-    return semi_join(table(spark, d, "lineitem"), their_orders, ["l_orderkey"], ["o_orderkey"])
+    their_orders = semi_join(orders, fresh, ["o_custkey"], ["id"], dedup=False)
+    return semi_join(table(spark, d, "lineitem"), their_orders, ["l_orderkey"], ["o_orderkey"], dedup=False)
 
 
 def q_dq_unique(spark, d):

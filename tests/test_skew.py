@@ -84,3 +84,16 @@ def test_locality_key_with_hot_locality(spark):
         got = with_locality_key(loc)
         assert rows(got.where("locality = 'Hot'").select("locality_id").distinct()) == [(0,)]
         assert got.count() == 30_000
+
+
+def test_parent_child_semi_join_with_hot_parent(spark):
+    from medallion.operators.selection import select_children
+
+    with conf(spark, SKEW_CONF):
+        children = skewed(spark).repartition(8)
+        parents = spark.range(0, 2000).select(F.col("id").alias("id"))
+        got = select_children(children, "k", parents)
+        got.collect()
+        assert got.where("k = 0").count() == 30_000
+        assert got.count() == children.where("k < 2000").count()
+        assert "skew=true" in final_plan(got)
