@@ -111,11 +111,16 @@ def archive_new(spark: SparkSession, root: str, entity: str) -> int:
     rename, local disk).  Returns the number of folders moved; an empty or
     missing ``new/`` is fine.
     """
+    import uuid
+
     src = new_dir(root, entity)
     moved = 0
     for name in fs.child_dirs(spark, src):
         if name.startswith(("_", ".")):
             continue
-        fs.rename(spark, f"{src}/{name}", f"{entity_dir(root, entity)}/{name}")
+        dest = f"{entity_dir(root, entity)}/{name}"
+        if fs.exists(spark, dest):  # a batch folder of the same name was archived before
+            dest = f"{dest}_{uuid.uuid4().hex[:8]}"
+        fs.rename(spark, f"{src}/{name}", dest)
         moved += 1
     return moved

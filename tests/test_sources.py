@@ -116,3 +116,13 @@ def test_read_api_pages_explode_flatten_stamp(spark, tmp_path):
     # landed, it is read back by the landing scan
     land(got, str(tmp_path / "raw"), "measurement")
     assert scan_landing(spark, str(tmp_path / "raw"), "measurement", scope="new").count() == 3
+
+
+def test_archive_does_not_nest_a_relanded_batch(spark, tmp_path):
+    root = str(tmp_path)
+    rec = stamp_lineage(spark.createDataFrame([(1, "a")], "id long, name string"), at=dt.datetime(2025, 1, 1))
+    for _ in range(2):
+        rec.write.parquet(f"{root}/country/new/country_b1")
+        assert archive_new(spark, root, "country") == 1
+    archived = sorted(d for d in os.listdir(f"{root}/country") if d.startswith("country_b1"))
+    assert len(archived) == 2 and not os.path.exists(f"{root}/country/country_b1/country_b1")
