@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from medallion.schemas import EXTRACTION_TS, landing_schema
+from medallion.schemas import ENTITY_FIELDS, EXTRACTION_TS, landing_schema
 from medallion.sources import fs
 
 NEW_DIR = "new"
@@ -91,14 +91,21 @@ def batch_name(prefix: str = "", suffix: str = "", now: _dt.datetime | None = No
 
 
 def land(df: DataFrame, root: str, entity: str, *, prefix: str = "", suffix: str = "",
-         skip_empty: bool = True) -> str | None:
+         skip_empty: bool = True, align: bool = True) -> str | None:
     """Append one batch of records under ``<root>/<entity>/new/``.
 
-    An empty batch writes nothing and returns None; otherwise the batch
-    folder is returned.  The write is a normal distributed Parquet write.
+    Rows of a known entity are first aligned to its landing schema (types
+    cast, missing columns null-filled), so files landed here never drift;
+    only pages written by other tools need the footer-signature scan.  An
+    empty batch writes nothing and returns None; otherwise the batch folder
+    is returned.  The write is a normal distributed Parquet write.
     """
     if skip_empty and df.isEmpty():
         return None
+    if align and entity in ENTITY_FIELDS:
+        from medallion.sources.drift import align_to_schema
+
+        df = align_to_schema(df, landing_schema(entity))
     target = f"{new_dir(root, entity)}/{batch_name(prefix or entity, suffix)}"
     df.write.mode("errorifexists").parquet(target)
     return target
