@@ -50,23 +50,28 @@ def _as_text(p: str | Column) -> Column:
     return F.lit(p)
 
 
+# Parsers use try-casts: with ANSI mode on (the Spark 4 default) a single
+# malformed time string in a landed page would otherwise fail the whole
+# job; here it becomes null (and drops out of keyed loads, like a null key).
+
+
 def wall_clock(c: str | Column) -> Column:
     """Local wall-clock timestamp of an ISO text or timestamp column.
 
     ``'2025-12-30T23:05:00+02:00'`` -> ``2025-12-30 23:05:00`` (offset
     ignored), matching a cast to a zone-less datetime.
     """
-    return col_of(c).cast("timestamp_ntz")
+    return col_of(c).try_cast("timestamp_ntz")
 
 
 def text_date(c: str | Column) -> Column:
     """Calendar date of an ISO text or timestamp column (its date part)."""
-    return col_of(c).cast("date")
+    return col_of(c).try_cast("date")
 
 
 def instant(c: str | Column) -> Column:
     """Point in time of an ISO text: the offset counts (``Z``, ``+02:00``)."""
-    return F.to_timestamp(col_of(c))
+    return col_of(c).try_cast("timestamp")
 
 
 def hour_of(c: Column) -> Column:

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.functions.exprs import col_of
+from medallion.functions.exprs import instant
 from medallion.operators.joins import semi_join
 from medallion.operators.watermark import default_mark, fresh_ids
 from medallion.sources.landing import files_exist
@@ -36,7 +36,7 @@ def write_mark(spark: SparkSession, path: str, mark: _dt.datetime) -> None:
 
 def period_between(df: DataFrame, column: str, lo: Column, hi: Column) -> DataFrame:
     """Rows whose period start lies in ``[lo, hi]`` (both edges inclusive)."""
-    return df.where(F.to_timestamp(col_of(column)).between(lo, hi))
+    return df.where(instant(column).between(lo, hi))
 
 
 def select_children(children: DataFrame, child_fk: str, parents: DataFrame, parent_key: str = "id") -> DataFrame:

@@ -44,3 +44,9 @@ def test_instant_honours_offset(spark):
 def test_key_text(spark):
     got = one(spark, key_text("a", "b"), [(1, "x"), (2, None)], "a long, b string")
     assert [r.x for r in got] == ["1|x", "2|"]
+
+
+def test_malformed_times_become_null_not_errors(spark):
+    df = spark.createDataFrame([("not a time",), ("2025-13-45T99:00:00Z",)], "s string")
+    got = df.select(text_date("s").alias("d"), wall_clock("s").alias("w"), instant("s").alias("i")).collect()
+    assert all(r.d is None and r.w is None and r.i is None for r in got)
