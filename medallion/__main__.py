@@ -39,6 +39,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--landing", required=True)
     p.add_argument("--warehouse", required=True)
     p.add_argument("--master", default=None)
+    p.add_argument("--profile", default=None, choices=["cluster"],
+                   help="sizing for large inputs (shuffle/scan partition sizes, skew thresholds)")
     p.add_argument("--full-refresh", action="store_true")
     p.add_argument("--no-archive", action="store_true")
     p.add_argument("--no-test", action="store_true")
@@ -50,7 +52,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--test-scope", default="all", choices=["all", "loaded"])
     args = p.parse_args(argv)
 
-    spark = build_session(args.master)
+    spark = build_session(args.master, profile=args.profile)
     cfg = _config(args)
     runner = Runner(spark, cfg)
     result = None

@@ -37,14 +37,36 @@ BROADCAST_POLICY = {
 }
 
 
+# Sizing for very large inputs (opt-in: ``build_session(profile="cluster")``;
+# values the submitter sets at launch win).  Start with many shuffle
+# partitions and let AQE coalesce them towards the advisory size, so a
+# 100 TB shuffle stays at ~256 MB per task and small ones shrink; read
+# Parquet in 256 MB splits; treat a partition as skewed from 512 MB or 5x
+# the median and split it.
+CLUSTER_PROFILE = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "medallion",
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """Create (or reuse) a session with the semantic defaults applied."""
+                  extra: dict[str, str] | None = None, profile: str | None = None) -> SparkSession:
+    """Create (or reuse) a session with the semantic defaults applied.
+
+    ``profile="cluster"`` adds CLUSTER_PROFILE sizing for large inputs.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
-    for key, value in {**SEMANTIC_CONF, **BROADCAST_POLICY, **(extra or {})}.items():
+    sizing = CLUSTER_PROFILE if profile == "cluster" else {}
+    for key, value in {**SEMANTIC_CONF, **BROADCAST_POLICY, **sizing, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_semantic_conf(spark)
