@@ -65,11 +65,12 @@ def build_session(master: str | None = None, app_name: str = "medallion",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
-    sizing = CLUSTER_PROFILE if profile == "cluster" else {}
-    for key, value in {**SEMANTIC_CONF, **BROADCAST_POLICY, **sizing, **(extra or {})}.items():
+    for key, value in {**SEMANTIC_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_semantic_conf(spark)
+    if profile == "cluster":
+        _apply_unless_launched(spark, CLUSTER_PROFILE, skip=set(extra or {}))
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -81,9 +82,15 @@ def apply_semantic_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
     # the session zone is semantic, not tuning: always UTC
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    _apply_unless_launched(spark, BROADCAST_POLICY)
+
+
+def _apply_unless_launched(spark: SparkSession, values: dict[str, str], skip: set[str] = frozenset()) -> None:
+    """Set session values, except those given at launch (``--conf``,
+    defaults file, builder) or listed in ``skip``."""
     launch = spark.sparkContext.getConf()
-    for key, value in BROADCAST_POLICY.items():
-        if not launch.contains(key):
+    for key, value in values.items():
+        if key not in skip and not launch.contains(key):
             spark.conf.set(key, value)
 
 

@@ -53,3 +53,14 @@ def test_empty_batch_is_optimised_to_the_target_scan(spark):
     # both removed: the plan is a single scan of the target, no join
     p = plan(spark, "empty_batch")
     assert p.count("Scan parquet  (") == 1 and "Join" not in p and "Union" not in p
+
+
+def test_session_policy_respects_launch_values(spark):
+    from medallion.session import BROADCAST_POLICY, CLUSTER_PROFILE, apply_semantic_conf
+
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    apply_semantic_conf(spark)
+    assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") in (
+        BROADCAST_POLICY["spark.sql.adaptive.autoBroadcastJoinThreshold"], "10485760b", "10485760")
+    assert "spark.sql.shuffle.partitions" in CLUSTER_PROFILE
