@@ -36,6 +36,7 @@ from medallion.plans.models import (
 )
 from medallion.schemas import landing_schema
 from medallion.sinks.tables import LayerTable, distinct_values
+from medallion.sources import fs
 from medallion.sources.drift import scan_drifting
 from medallion.sources.landing import archive_new, entity_dir, files_exist, new_dir, scan_landing
 
@@ -154,7 +155,31 @@ class Runner:
         src = batches.read(m.inputs[0])
         df = build_silver(src, m.entity, load_ts=self.load_ts)
         mode = self.cfg.measurement_mode if m.entity == "measurement" else "upsert"
-        return self._write(t, df, full, mode, batches.parts(m.inputs[0]))
+        outcome = self._write(t, df, full, mode, batches.parts(m.inputs[0]))
+        if m.entity == "measurement" and outcome != "skip":
+            self._record_parameter_ids(t, df, full)
+        return outcome
+
+    # The set of parameter ids that have measurements only grows (the id is
+    # part of the measurement key, so no load removes one).  Each silver
+    # load appends its batch's distinct ids to a tiny side table, and the
+    # gold parameter model reads that instead of scanning every measurement.
+    PARAMETER_IDS = "_parameter_ids"
+
+    def _record_parameter_ids(self, t: LayerTable, batch: DataFrame, full: bool) -> None:
+        path = f"{t.path}/{self.PARAMETER_IDS}"
+        if full:  # from the table just written (one narrow column), not the source again
+            t.read().select("parameter_id").distinct().coalesce(1).write.mode("overwrite").parquet(path)
+        else:
+            batch.select("parameter_id").distinct().coalesce(1).write.mode("append").parquet(path)
+
+    def parameters_with_data(self) -> DataFrame:
+        """Distinct-able ``parameter_id`` values present in silver measurements."""
+        t = self.table("silver_measurement")
+        path = f"{t.path}/{self.PARAMETER_IDS}"
+        if fs.has_file(self.spark, path):
+            return self.spark.read.parquet(path)
+        return t.read().select("parameter_id")
 
     def _run_gold(self, m: Model, t: LayerTable, full: bool, batches: "_Batches") -> str:
         ts = self.load_ts
@@ -163,8 +188,8 @@ class Runner:
             return self._write(t, build_gold_country(batches.read("silver_country"),
                                                      country_ids=self.cfg.country_ids, load_ts=ts), full, "upsert")
         if alias == "parameter":
-            every = self.table("silver_measurement").read()
-            return self._write(t, build_gold_parameter(batches.read("silver_parameter"), every, load_ts=ts),
+            with_data = self.parameters_with_data()
+            return self._write(t, build_gold_parameter(batches.read("silver_parameter"), with_data, load_ts=ts),
                                full, "upsert")
         if alias == "sensor":
             return self._write(t, build_gold_sensor(batches.read("silver_sensor"), load_ts=ts), full, "upsert")

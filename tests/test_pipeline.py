@@ -151,3 +151,10 @@ def test_relanding_the_same_batch_is_idempotent(spark, tmp_path):
     again.run_pipeline(test=False)
     after = {t: rows(again.read(*t).drop("load_timestamp")) for t in tables}
     assert after == before
+
+
+def test_parameters_with_data_side_table_matches_a_scan(spark, two_runs):
+    cfg, runner, _, _, _ = two_runs
+    side = {r.parameter_id for r in runner.parameters_with_data().collect()}
+    scan = {r.parameter_id for r in runner.read("silver", "measurement").select("parameter_id").collect()}
+    assert side == scan == {2, 5}
