@@ -372,6 +372,22 @@ def q_filtered_watermark(spark, d):
                       high_watermark(loaded, "o_orderdate"))
 
 
+def q_hourly_aggregate_iso_text(spark, d):
+    """The period start as landed: ISO text with a +02:00 offset.  Date and
+    hour are the text's wall clock (the offset is ignored)."""
+    m = measurements(table(spark, d, "events")).withColumn(
+        "period_datetime_from_utc", F.date_format("period_datetime_from_utc", "yyyy-MM-dd'T'HH:mm:ss'+02:00'"))
+    return _round(hourly_aggregate(m), "hourly_average")
+
+
+def q_dq_relationships_null_fk(spark, d):
+    """Null foreign keys are not failures of a relationship test."""
+    loc = locations(table(spark, d, "supplier")).withColumn(
+        "country_id", F.when(F.col("id") % 5 == 0, F.lit(None).cast("int")).otherwise(F.col("country_id")))
+    gold_country = build_gold_country(countries(table(spark, d, "nation")), country_ids=REGION_KEYS)
+    return relationships(loc, "country_id", gold_country, "id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_aggregate": q_hourly_aggregate,
     "daily_aggregate": q_daily_aggregate,
@@ -403,6 +419,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_measurement_latest": q_bronze_measurement_latest,
     "period_range": q_period_range,
     "filtered_watermark": q_filtered_watermark,
+    "hourly_aggregate_iso_text": q_hourly_aggregate_iso_text,
+    "dq_relationships_null_fk": q_dq_relationships_null_fk,
 }
 
 _REGION = ", ".join(str(k) for k in REGION_KEYS)
@@ -547,4 +565,21 @@ WHERE ts BETWEEN TIMESTAMP '{PERIOD_FROM[:-1].replace('T', ' ')}' AND TIMESTAMP
 WHERE o_orderstatus IN ('F', 'P')
   AND o_orderdate > (SELECT coalesce(max(o_orderdate), TIMESTAMP '1900-01-01') FROM orders
                      WHERE o_orderdate < TIMESTAMP '{ORDERS_BATCH_FROM}')""",
+    "hourly_aggregate_iso_text": """WITH m AS (
+  SELECT value, '01:00:00' AS period_interval, strftime(ts, '%Y-%m-%dT%H:%M:%S+02:00') AS period_datetime_from_utc,
+         event_type AS parameter_id, user_id AS sensor_id
+  FROM events)
+SELECT sensor_id, CAST(period_datetime_from_utc AS DATE) AS date, period_interval, parameter_id,
+       CAST(hour(CAST(period_datetime_from_utc AS TIMESTAMP)) AS BIGINT) AS hour,
+       CAST(isodow(CAST(period_datetime_from_utc AS DATE)) AS BIGINT) AS day_of_week,
+       round(avg(value), 6) AS hourly_average, min(value) AS hourly_minimum, max(value) AS hourly_maximum,
+       count(*) AS number_of_measurements
+FROM m
+GROUP BY sensor_id, CAST(period_datetime_from_utc AS DATE), hour(CAST(period_datetime_from_utc AS TIMESTAMP)),
+         period_interval, parameter_id""",
+    "dq_relationships_null_fk": f"""WITH l AS (
+  SELECT s_suppkey AS id, CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE s_nationkey END AS country_id FROM supplier),
+g AS (SELECT n_nationkey AS id FROM nation WHERE n_nationkey IN ({_REGION}))
+SELECT l.country_id AS from_field FROM l
+WHERE l.country_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM g WHERE g.id = l.country_id)""",
 }
