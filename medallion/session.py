@@ -85,12 +85,21 @@ def apply_semantic_conf(spark: SparkSession) -> None:
     _apply_unless_launched(spark, BROADCAST_POLICY)
 
 
+def _launch_conf(spark: SparkSession):
+    """The context's launch configuration, or None on a remote (Connect)
+    session, which has no local SparkContext."""
+    try:
+        return spark.sparkContext.getConf()
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
 def _apply_unless_launched(spark: SparkSession, values: dict[str, str], skip: set[str] = frozenset()) -> None:
     """Set session values, except those given at launch (``--conf``,
     defaults file, builder) or listed in ``skip``."""
-    launch = spark.sparkContext.getConf()
+    launch = _launch_conf(spark)
     for key, value in values.items():
-        if key not in skip and not launch.contains(key):
+        if key not in skip and (launch is None or not launch.contains(key)):
             spark.conf.set(key, value)
 
 
@@ -101,7 +110,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     read it.  Only when it is unset (local tests) do we create a scratch
     folder and register it as the checkpoint directory.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         existing = sc.getCheckpointDir()
