@@ -17,6 +17,7 @@ hashes equal.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,8 +64,21 @@ def ts_ntz(text: str) -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{text}'")
 
 
+_SCHEMAS: dict[tuple[str, float], object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read a driver table.  Its schema is inferred once per file version and
+    then passed explicitly: schema inference reads a footer in a job of its
+    own on every ``spark.read``."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (path, os.path.getmtime(path) if os.path.exists(path) else -1.0)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def _round(df: DataFrame, *cols: str) -> DataFrame:
