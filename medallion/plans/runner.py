@@ -132,6 +132,10 @@ class Runner:
         if full:
             t.overwrite(df, load_ts=self.load_ts)
             return "full"
+        if mode != "append" and t.partition_by:
+            # the table stages the batch once and checks emptiness on the
+            # staged copy: the batch plan is evaluated a single time
+            return mode if t.upsert(df, load_ts=self.load_ts) else "skip"
         if df.isEmpty():
             return "skip"
         if mode == "append":

@@ -219,32 +219,38 @@ class LayerTable:
         current = self.read()
         self._commit_version(batch if current is None else current.unionByName(batch.select(*current.columns)))
 
-    def upsert(self, batch: DataFrame, *, load_ts: _dt.datetime | None = None) -> None:
+    def upsert(self, batch: DataFrame, *, load_ts: _dt.datetime | None = None) -> bool:
         """Replace rows whose key is in the batch, insert the rest.
 
         Partitioned tables: the batch is staged once under the checkpoint
-        folder (lineage cut; evaluated once), its partitions are read off
-        the staged copy, and only those partitions of the target are merged
-        and rewritten.
+        folder (lineage cut; evaluated once), an empty batch stops there,
+        its partitions are read off the staged copy, and only those
+        partitions of the target are merged and rewritten.  Returns whether
+        anything was written.
         """
         if not self.keys:
             raise ValueError(f"{self.name} has no key; use append")
         current = self.read()
         if not self.partition_by:
             self._commit_version(upsert_frame(current, batch, self.keys))
-            return
+            return True
         stages: list[str] = []
         staged = self._stage(batch, "batch", stages)
-        touched = distinct_values(staged, self.partition_by)
-        if current is None:
-            staged.write.mode("overwrite").partitionBy(self.partition_by).parquet(self._data())
-        else:
-            old = current.where(F.col(self.partition_by).isin(touched))
-            merged = self._stage(upsert_frame(old, staged.select(*current.columns), self.keys), "merged", stages)
-            self._overwrite_partitions(merged)
-        self._log_load(touched, load_ts)
-        for path in stages:  # the table now holds the rows; staged copies go
-            fs.delete(self.spark, path)
+        try:
+            if staged.isEmpty():
+                return False
+            touched = distinct_values(staged, self.partition_by)
+            if current is None:
+                staged.write.mode("overwrite").partitionBy(self.partition_by).parquet(self._data())
+            else:
+                old = current.where(F.col(self.partition_by).isin(touched))
+                merged = self._stage(upsert_frame(old, staged.select(*current.columns), self.keys), "merged", stages)
+                self._overwrite_partitions(merged)
+            self._log_load(touched, load_ts)
+            return True
+        finally:
+            for path in stages:  # the table holds the rows now (or nothing changed)
+                fs.delete(self.spark, path)
 
     def replace_partitions(self, df: DataFrame, *, load_ts: _dt.datetime | None = None,
                            partitions: list | None = None) -> None:
