@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm.common import documents
-from medallion.llm.tokens import WordIds
+from medallion.llm.tokens import word_ids
 
 NULL_ID = -(1 << 63)
 _PARTS = "part long, docs long, ids long"
@@ -70,7 +70,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int) ->
             if not batch.num_rows:
                 continue
             if words is None:
-                words, (fs, base) = WordIds(tokenizer_path), _store(folder)
+                words, (fs, base) = word_ids(tokenizer_path), _store(folder)
                 end = np.array([end_id], words.dtype).tobytes()
                 fs.create_dir(base, recursive=True)
                 names = [f"{base}/part-{part:06d}.{k}" for k in kinds]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.llm.common import documents, map_batches, written
-from medallion.llm.tokens import WordIds
+from medallion.llm.tokens import word_ids
 
 STEPS = 120  # of the least-squares descent
 
@@ -145,7 +145,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, size: int) -> Data
     piece's number among the task's pieces of its length."""
 
     def start() -> tuple:
-        return WordIds(tokenizer_path), defaultdict(int), TaskContext.get().partitionId()
+        return word_ids(tokenizer_path), defaultdict(int), TaskContext.get().partitionId()
 
     def fn(batch: pa.RecordBatch, state: tuple) -> dict:
         words, seen, task = state

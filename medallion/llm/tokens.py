@@ -3,11 +3,12 @@
 A text's tokens never cross certain places (blanks and line ends for the
 sentencepiece model, ASCII white space for the word model).  Texts are cut
 there into units, a unit is encoded by the tokenizer's own library the first
-time a task meets it, and a bounded table in the task answers its repeats.
+time a task meets it, and a bounded table in the Python worker answers its repeats.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections import Counter
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from medallion.llm.common import documents, map_batches
 
-TABLE_BYTES = 96 << 20  # of a task's table of units; it starts anew when full
+TABLE_BYTES = 96 << 20  # of a worker's table of units; it starts anew when full
 _ENTRY = 200  # bytes that an entry takes besides its text
 
 _BLANK = "▁"  # the sentencepiece mark for a blank; in a text it means the same
@@ -78,12 +79,18 @@ class PieceCounts:
         return sum([table[u] * n for u, n in frequency.items()])
 
 
+@functools.lru_cache(maxsize=2)
+def piece_counts(path: str) -> PieceCounts:
+    """One per Python worker: its later tasks find the model and the table."""
+    return PieceCounts(path)
+
+
 def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > ``limit``) per row.
 
     Method: pre-token frequencies per document, pieces counted once per
     distinct pre-token, joined in the task and summed; no ids of a document
-    are made.  The join's inner side is the task's bounded table, so there
+    are made.  The join's inner side is the worker's bounded table, so there
     is no shuffle.  Null text: 0 bytes, 0 tokens.  Repeated rows give a row
     each; a null doc_id stays null; an empty table gives no rows.
     """
@@ -96,7 +103,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
             "n_tokens": [counts.count(t.decode("utf-8", "replace")) for t in texts],
         }
 
-    out = map_batches(documents(docs), fn, "doc_id long, n_bytes long, n_tokens long", lambda: PieceCounts(model_path))
+    out = map_batches(documents(docs), fn, "doc_id long, n_bytes long, n_tokens long", lambda: piece_counts(model_path))
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
@@ -178,6 +185,12 @@ class WordIds:
         return b"".join(map(self.table.__getitem__, words))
 
 
+@functools.lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One per Python worker, as ``piece_counts``."""
+    return WordIds(path)
+
+
 def id_type(tok) -> np.dtype:
     """The smallest of uint16 and uint32 that holds every id."""
     return np.dtype("<u2" if tok.get_vocab_size() <= 1 << 16 else "<u4")
