@@ -66,3 +66,12 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
                 yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files behind tables that are written by now:
+    it does so when the driver's garbage is collected."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -34,11 +34,27 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, folder, id_type(Tokenizer.from_file(path)))
 
 
+def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medallion.llm.simhash import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from medallion.llm.packing import pack
 
     return pack(read_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_token_files, op6_best_fit_packing)}
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medallion.llm.substring import remove_repeated
+
+    got = remove_repeated(read_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_token_counts, op2_token_files, op5_simhash_components, op6_best_fit_packing, op7_substring_dedup)
+}
 ORACLE_SQL: dict[str, str] = {}
