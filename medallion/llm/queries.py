@@ -34,6 +34,18 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, folder, id_type(Tokenizer.from_file(path)))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medallion.llm.topk import top_k
+
+    return top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+def op4_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medallion.llm.ann import nearest
+
+    return nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     from medallion.llm.simhash import near_duplicates
 
@@ -53,8 +65,73 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medallion.llm.langid import identify
+
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medallion.llm.mixing import mix, sized
+
+    return mix(sized(read_table(spark, sf_dir, "documents"))).drop("sources")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op2_token_files, op5_simhash_components, op6_best_fit_packing, op7_substring_dedup)
+    for f in (
+        op1_token_counts,
+        op2_token_files,
+        op3_exact_top_k,
+        op4_projection_forest,
+        op5_simhash_components,
+        op6_best_fit_packing,
+        op7_substring_dedup,
+        op9_language_id,
+        op10_source_mix,
+    )
+}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE_SQL = {
+    "op3_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10""",
+    "op7_substring_dedup": f"""
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS ws FROM documents),
+places AS (SELECT rid, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35),
+win AS (SELECT rid, i, array_to_string(ws[i:i + 34], ' ') AS k FROM places),
+dup AS (SELECT rid, i FROM win WHERE k IN (SELECT k FROM win GROUP BY k HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS j FROM dup),
+word AS (SELECT rid, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (
+  SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS text FROM word ANTI JOIN gone USING (rid, j) GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (rid)""",
+    "op10_source_mix": f"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size,
+    substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':0'), 1, 16) AS key FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS s, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM d GROUP BY source),
+r AS (SELECT *, 3 * CAST(s AS DOUBLE) / w AS ratio FROM s),
+c AS (
+  SELECT *, (sum(s) OVER ()) - 3 * coalesce(sum(s) OVER (ORDER BY ratio, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    sum(w) OVER (ORDER BY ratio, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight FROM r),
+f AS (SELECT arg_min(CAST(rest AS DOUBLE) / CAST(weight AS DOUBLE), ratio) AS share FROM c WHERE CAST(rest AS DOUBLE) / CAST(weight AS DOUBLE) <= ratio),
+t AS (SELECT source, s, least(3 * CAST(s AS DOUBLE), w * share) AS target FROM r, f),
+u AS (SELECT *, CASE WHEN s = 0 THEN 0 ELSE least(3, CAST(floor(target) AS BIGINT) // s) END AS whole FROM t),
+o AS (
+  SELECT d.*, u.s, u.target, u.whole, CAST(floor(target) AS BIGINT) - whole * s AS rest,
+    sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source)
+SELECT doc_id, size, s AS source_size, target,
+  CAST(size * (whole + CASE WHEN 2 * (rest - before) > size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM o""",
 }
-ORACLE_SQL: dict[str, str] = {}
