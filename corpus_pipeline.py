@@ -1,19 +1,68 @@
-"""The corpus pipeline: documents in, packed sequences out."""
+"""The corpus pipeline: documents in, packed sequences out.
+
+Each stage works on all that the one before kept and is written and read
+again before the next, so that a lost executor never costs an earlier stage.
+Null doc_ids can't be told apart: such rows pass the near-duplicate stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from medallion.llm import queries as q
 from medallion.llm.common import read_table, written
+from medallion.llm.langid import UNKNOWN, labelled
+from medallion.llm.mixing import mix, sized
 from medallion.llm.packing import pack
+from medallion.llm.queries import tokenizer
+from medallion.llm.simhash import near_duplicates
+from medallion.llm.substring import remove_repeated
+
+LEAST_SCORE = 0.4  # of a document's language; mixed documents have about a half
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or of no one language, go."""
+    got = labelled(docs)
+    return got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group stays."""
+    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    stay = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return stay.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages are cut out; other documents stay as they are."""
+    got = remove_repeated(docs, carry=tuple(c for c in docs.columns if c != "doc_id"))
+    changed = F.col("n_removed") > 0
+    got = got.withColumn("text", F.when(changed, F.col("kept")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        got = got.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return got.select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each use of a document by the mix; unused documents go."""
+    uses = mix(sized(docs)).where("size > 0 and taken > 0").groupBy("doc_id").agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("uses"))
+    uses = uses.withColumnRenamed("doc_id", "id")
+    got = docs.join(uses, docs["doc_id"].eqNullSafe(uses["id"])).withColumn("use", F.explode(F.sequence(F.lit(1), F.col("uses"))))
+    return got.select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, q.tokenizer("word_bpe_49k.json"))
+    return pack(docs, tokenizer("word_bpe_49k.json"))
 
 
-STAGES = [("best-fit packing", packing)]
+STAGES = [
+    ("language ID", language),
+    ("SimHash near-dedup", near_copies),
+    ("substring dedup", repeated_passages),
+    ("mixing sources to target weights", mixing),
+    ("best-fit packing", packing),
+]
 ORACLE_SQL = None
 
 
@@ -22,5 +71,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = written(docs, f"stage-{name.replace(' ', '-')}")
+            docs = written(docs, "stage-" + name.lower().replace(" ", "-"))
     return docs

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import documents, map_batches, pick
+from medallion.llm.common import map_batches, pick
 
 WINDOW = 128  # bytes
 HIDDEN = 8  # units in each direction
@@ -179,24 +179,34 @@ def train(docs: DataFrame) -> BiGru | None:
     return BiGru(labels).fit(list(windows), np.array(target))
 
 
-def identify(docs: DataFrame, model: BiGru | None = None) -> DataFrame:
-    """doc_id, held_out, lang_pred and score (the label's probability).
-
-    Without a model one is trained on ``docs``.  A text that is null or has
-    no letter, and every text if there was nothing to learn from, is ``und``
-    with score 0.  Repeated rows give a row each; an empty table none.
-    """
-    model = model or train(docs)
+def labelled(docs: DataFrame, model: BiGru | None = None) -> DataFrame:
+    """``docs`` with the columns lang_pred and score added at the end."""
+    model = model or train(docs) or BiGru([])
+    names = docs.columns
+    at = names.index("text")
+    own = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    own = own.withColumn("_text", F.coalesce(F.col(f"_c{at}").cast("string"), F.lit("")).cast("binary"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema[:-1])
 
     def fn(batch: pa.RecordBatch) -> dict:
-        texts = batch.column(1).to_pylist()
+        texts = batch.column("_text").to_pylist()
         lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        known = [i for i, t in enumerate(texts) if model and _LETTER.search(t.decode("utf-8", "replace"))]
+        known = [i for i, t in enumerate(texts) if model.labels and _LETTER.search(t.decode("utf-8", "replace"))]
         if known:
             got = model.document_probabilities([texts[i] for i in known])
             for i, row in zip(known, got, strict=True):
                 lang[i], score[i] = model.labels[row.argmax()], min(1.0, float(row.max()))
-        return {"doc_id": batch.column(0), "lang_pred": lang, "score": score}
+        return {f"_c{i}": batch.column(f"_c{i}") for i in range(len(names))} | {"lang_pred": lang, "score": score}
+
+    return map_batches(own, fn, f"{schema}, lang_pred string, score double").toDF(*names, "lang_pred", "score")
 
-    got = map_batches(documents(docs), fn, "doc_id long, lang_pred string, score double")
+
+def identify(docs: DataFrame, model: BiGru | None = None) -> DataFrame:
+    """doc_id, held_out, lang_pred and score (the label's probability).
+
+    Without a model one is trained on ``docs``.  A text that is null or has
+    no letter, and every text if there was nothing to learn from, is ``und``
+    with score 0.  Repeated rows give a row each; an empty table none.
+    """
+    got = labelled(pick(docs, doc_id="doc_id", text="text"), model or train(docs) or BiGru([]))
     return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -65,6 +65,12 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medallion.llm.htmltree import main_text
+
+    return main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from medallion.llm.langid import identify
 
@@ -87,6 +93,7 @@ QUERIES = {
         op5_simhash_components,
         op6_best_fit_packing,
         op7_substring_dedup,
+        op8_page_text,
         op9_language_id,
         op10_source_mix,
     )

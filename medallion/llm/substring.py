@@ -31,7 +31,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import documents, map_batches, release, written
+from medallion.llm.common import map_batches, pick, release, written
 
 ANCHOR = 6
 _MASK = (1 << 64) - 1
@@ -142,17 +142,17 @@ def _windows(texts: DataFrame, size: int) -> DataFrame:
     return map_batches(texts, fn, "doc_id long, h int, anchor long, window long, at int, n long")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, *more: str) -> DataFrame:
     """A document's key is its doc_id and, for rows that repeat one, a hash
     of the text.  Rows with one key and text have the same spans."""
-    d = documents(docs)
-    return d.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), F.hash("text").alias("h"), "text")
+    raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.hash(raw).alias("h"), raw.alias("text"), *more)
 
 
 def factors(docs: DataFrame, size: int = 35) -> DataFrame:
     """(doc_id, h, spans): for each document with duplicate windows, the runs
     [first word, words) of its factors, as pairs."""
-    keyed, spark = _keyed(docs), docs.sparkSession
+    keyed, spark = _keyed(pick(docs, doc_id="doc_id", text="text")), docs.sparkSession
     known = _anchors(keyed, size).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
     block = ["anchor", "content", "offset", "windows"]
     found = written(_blocks(keyed, size).join(known, "anchor"), "blocks")
@@ -187,8 +187,9 @@ def merged_spans(runs: str, size: int):
            concat(done, array(named_struct('first', x.first, 'words', x.windows + {size - 1})))))""")
 
 
-def remove_repeated(docs: DataFrame, size: int = 35) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (the kept words joined by a blank).
+def remove_repeated(docs: DataFrame, size: int = 35, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_words, n_removed, kept (the kept words joined by a blank),
+    and the columns of ``docs`` named in ``carry``.
 
     Each word covered by a window of ``size`` words whose sequence also
     starts elsewhere, in the same document or another, is removed; windows
@@ -197,6 +198,10 @@ def remove_repeated(docs: DataFrame, size: int = 35) -> DataFrame:
     their own and each give a row.  Empty table: no rows.
     """
     spans = factors(docs, size)
+    names = {f"_k{i}": c for i, c in enumerate(carry)}
+    own = pick(docs, doc_id="doc_id", text="text", **names)
+    own = _keyed(own, *names)
+    schema = "".join(f", {f.name} {f.dataType.simpleString()}" for f in own.schema if f.name in names)
 
     def fn(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {c: [] for c in ("n_words", "n_removed", "kept")}
@@ -210,7 +215,8 @@ def remove_repeated(docs: DataFrame, size: int = 35) -> DataFrame:
             out["n_words"].append(len(words))
             out["n_removed"].append(len(words) - len(keep))
             out["kept"].append(b" ".join(keep).decode("utf-8", "replace"))
-        return {"doc_id": batch.column("doc_id")} | out
+        return {c: batch.column(c) for c in ("doc_id", *names)} | out
 
-    got = map_batches(_keyed(docs).join(spans, ["doc_id", "h"], "left"), fn, "doc_id long, n_words long, n_removed long, kept string")
-    return got.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
+    got = map_batches(own.join(spans, ["doc_id", "h"], "left"), fn, f"doc_id long, n_words long, n_removed long, kept string{schema}")
+    got = got.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
+    return got.toDF("doc_id", "n_words", "n_removed", "kept", *carry)
