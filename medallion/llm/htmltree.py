@@ -2,7 +2,7 @@
 
 Every DOM element has a hidden label, content or not.  A log-linear score of
 the element's own features (tag, words of its class, id and role, share of
-link text, amount of text) and potentials between parent and child make up
+link text) and potentials between parent and child make up
 the model; its graph is the DOM tree, so sum-product messages, once upward
 and once downward, give exact marginals.  The weights are fitted to labelled
 pages by the gradient of the likelihood.  A text is kept where its element's
@@ -43,7 +43,6 @@ _TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<close>/?)(?P<tag>[a-
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role|%s)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""" % CONTENT, re.I)
 _TOKEN = re.compile(r"[a-z]+")
 LINK_SHARES = (0.0, 0.25, 0.6, 0.95)
-LENGTHS = (0, 25, 100, 400)
 
 
 class Dom:
@@ -152,7 +151,7 @@ class Model:
         n = len(self.tags)
         self.words = {w: n + i for i, w in enumerate(words)}
         self.first = n + len(words)
-        self.unary = np.zeros(self.first + len(LINK_SHARES) + len(LENGTHS) + 2)
+        self.unary = np.zeros(self.first + len(LINK_SHARES) + 1)
         self.pair = np.zeros((n, 2, 2))
 
     def features(self, dom: Dom, chars: np.ndarray, link: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,9 +160,8 @@ class Model:
         own = [(i, f) for i, ws in enumerate(dom.words) if ws for w in set(ws) if (f := self.words.get(w))]
         extra = np.array(own, np.int64).reshape(-1, 2)
         share = self.first + np.searchsorted(LINK_SHARES, link / np.maximum(1, chars))
-        length = self.first + len(LINK_SHARES) + 1 + np.searchsorted(LENGTHS, chars)
         every = np.arange(len(tag))
-        return tag, np.concatenate([every, every, every, extra[:, 0]]), np.concatenate([tag, share, length, extra[:, 1]])
+        return tag, np.concatenate([every, every, extra[:, 0]]), np.concatenate([tag, share, extra[:, 1]])
 
     def marginals(self, parent: np.ndarray, levels: list[np.ndarray], tag: np.ndarray, unary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sum-product over all trees at once: P(content) of each element, and
@@ -188,7 +186,7 @@ class Model:
         belief -= _log_sum(belief, 1)[:, None]
         return np.exp(belief[:, 1]), joint
 
-    def fit(self, dom: Dom, steps: int = 200, rate: float = 0.1, prior: float = 0.02) -> Model:
+    def fit(self, dom: Dom, steps: int = 300, rate: float = 0.1, prior: float = 0.002) -> Model:
         """Adam on the log-likelihood of the elements' labels."""
         parent, levels, chars, link = dom.arrays()
         tag, row, feature = self.features(dom, chars, link)

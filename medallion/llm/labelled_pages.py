@@ -75,6 +75,8 @@ def labelled_pages(n: int = 400, seed: int = 0) -> list[str]:
             lambda: f"<h3>{words(1, 3)}</h3><ul>{links(1, 5)}</ul>", lambda: f"<div><p>{words(3, 30)}</p><p>{words(3, 30)}</p></div>", lambda: f"<span>{words(1, 8)}</span>",
             lambda: f"<h1>{words(1, 4)}</h1><p>{words(1, 6)}</p>", lambda: f"&copy; {words(1, 3)} &middot; {words(1, 20)}",
         ))()
+        for _ in range(rnd.choice((0, 0, 0, 0, 0, 1, 2, 6))):
+            inner = box(rnd.choice(("div", "div", "section", "div class=inner", "span")), inner)
         return box(spec, inner, 0)
 
     def page() -> str:
@@ -83,7 +85,10 @@ def labelled_pages(n: int = 400, seed: int = 0) -> list[str]:
             parts.append(paragraph())
             if rnd.random() < 0.08:
                 parts.append(other(rnd.choice(_INSIDE)))
-        article = box(rnd.choice(_ARTICLE), "".join(parts), 1)
+        inner = "".join(parts)
+        for _ in range(rnd.choice((0, 0, 0, 0, 1, 2, 4, 8))):
+            inner = box(rnd.choice(("div", "div", "section", "div class=inner", "span")), inner)
+        article = box(rnd.choice(_ARTICLE), inner, 1)
         before = "".join(other(rnd.choice(_BEFORE)) for _ in range(rnd.randint(0, 3)))
         after = "".join(other(rnd.choice(_AFTER)) for _ in range(rnd.randint(0, 3)))
         body = before + article + after

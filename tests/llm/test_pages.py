@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import re
+from html import unescape
+from itertools import product
+
+import numpy as np
+import pytest
+
+from medallion.llm import htmltree
+from medallion.llm.labelled_pages import CONTENT, labelled_pages
+
+
+@pytest.fixture(scope="module")
+def model():
+    return htmltree.default_model()
+
+
+def article(html):
+    inner = re.sub("</?b>", "", re.search("<article>(.*?)</article>", html, re.S)[1])
+    return " ".join(unescape(re.sub("<[^>]*>", " ", inner)).split())
+
+
+def test_pages_of_the_tables(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {r.page_id: (r.url, article(r.html)) for r in pages.collect()}
+    got = {r.page_id: (r.url, r.text, r.n_chars) for r in htmltree.main_text(pages).collect()}
+    assert got == {k: (u, t, len(t)) for k, (u, t) in want.items()}
+
+
+def test_odd_pages(spark, model):
+    cases = {
+        None: "", "": "", "<html><body></body></html>": "",
+        "<body><nav><a href=/>Home</a></nav><article><p>One &amp; two&nbsp;&#233;<br>x<b>y</b>z  \n q</p>": "One & two é xyz q",
+        "<article><p>a<p>b<script>if(a<b)'</p>'</script><style>p{}</style><!-- c --><p>d": "a b d",
+        "<article><p>1 < 2 & 3 &am</p></article><footer>&copy; f": "1 < 2 & 3 &am",
+        "<article><p title='a>b'>t</p><div class=ad><p>buy</p></div><p>u</p></article><section class=comments><p>reader</p></section>": "t u",
+        "<article>" + "<div>" * 5 + "deep" + "</div>" * 5 + "</article>": "deep",
+        "<div class=ad>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</div>": "",
+        "<article><p>" + "long " * 20000 + "</p></article>": ("long " * 20000).strip(),
+        "<article><p>open <!-- never closed": "open", "</p></article></div>": "",
+    }
+    rows = [(i, None, h, "x", 1) for i, h in enumerate(cases)] + [(3, "u", list(cases)[3], "x", 1)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    got = htmltree.main_text(df).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.text == list(cases.values())[r.page_id], list(cases)[r.page_id]
+        assert r.n_chars == len(r.text)
+    assert htmltree.main_text(df.limit(0)).count() == 0
+
+
+def test_held_out_labelled_pages(model):
+    pages = labelled_pages(150, seed=77)
+    dom = htmltree.Dom()
+    for h in pages:
+        dom.page(h)
+    parent, levels, chars, link = dom.arrays()
+    tag, row, feature = model.features(dom, chars, link)
+    p, _ = model.marginals(parent, levels, tag, np.bincount(row, model.unary[feature], len(tag)))
+    assert CONTENT in pages[0]
+    assert ((p > 0.5) == np.array(dom.labels)).mean() > 0.99
+
+
+def test_marginals_equal_the_sum_over_all_labellings(model):
+    rng = np.random.default_rng(0)
+    parent = np.array([-1, 0, 0, 1, 1, 2])
+    levels = [np.array([0]), np.array([1, 2]), np.array([3, 4, 5])]
+    tag, unary = np.array([0, 1, 2, 1, 3, 2]), rng.normal(size=6)
+    p, joint = model.marginals(parent, levels, tag, unary)
+    total, one, both = 0.0, np.zeros(6), np.zeros((6, 2, 2))
+    for y in product((0, 1), repeat=6):
+        w = np.exp(sum(unary[i] * y[i] for i in range(6)) + sum(model.pair[tag[i], y[parent[i]], y[i]] for i in range(1, 6)))
+        total += w
+        for i in range(6):
+            one[i] += w * y[i]
+            both[i, y[parent[i]], y[i]] += w * (i > 0)
+    assert np.allclose(p, one / total) and np.allclose(joint, both / total)
