@@ -20,9 +20,33 @@ from pyspark.sql import functions as F
 
 from medallion.llm.common import documents, map_batches
 
-TABLE_BYTES = 96 << 20  # of a worker's table of units; it starts anew when full
+TABLE_BYTES = 160 << 20  # of a generation of a worker's table of units
 _ENTRY = 200  # bytes that an entry takes besides its text
 
+
+class Table(dict):
+    """A bounded table of ``make(key)``, in two generations: when the newer is
+    full it becomes the older, from which entries in use are taken over."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old, self.size = make, {}, 0
+
+    def put(self, key, value, size: int):
+        if self.size > TABLE_BYTES:
+            self.old = {**self}
+            self.clear()
+            self.size = 0
+        self[key] = value
+        self.size += size + _ENTRY
+        return value
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        return self.put(key, value, len(key) + len(value))
+
 _BLANK = "▁"  # the sentencepiece mark for a blank; in a text it means the same
 _UNITS = re.compile(r" +[^ \n]*|\n[^ \n]*")
 
@@ -46,22 +70,17 @@ class PieceCounts:
             and self._n("a  b") > self._n("a b")  # blanks are kept
             and self.sp.encode("a", out_type=str)[0].startswith(_BLANK)  # a blank is put before the text
         )
-        self.table: dict[str, int] = {}
-        self.size = 0
+        self.table = Table(None)
 
     def _n(self, text: str) -> int:
         return len(self.sp.encode(text))
 
     def _learn(self, units: list[str]) -> None:
-        if self.size > TABLE_BYTES:
-            self.table.clear()
-            self.size = 0
         # a unit starts with a blank, which the model puts there itself, or
         # with a line end, before which the model puts a blank of one piece
         ids = self.sp.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
         for u, i in zip(units, ids, strict=True):
-            self.table[u] = 1 if u == " " else len(i) - (u[0] == "\n")
-            self.size += len(u) + _ENTRY
+            self.table.put(u, 1 if u == " " else len(i) - (u[0] == "\n"), len(u))
 
     def count(self, text: str) -> int:
         if not text:
@@ -72,11 +91,15 @@ class PieceCounts:
             text = text.replace(_BLANK, " ")
         frequency = Counter(_UNITS.findall(f" {text}"))
         table = self.table
-        if new := [u for u in frequency if u not in table]:
+        if new := [u for u in frequency if u not in table and u not in table.old]:
             self._learn(new)
-            if len(table) < len(frequency):  # the table started anew
-                self._learn([u for u in frequency if u not in table])
-        return sum([table[u] * n for u, n in frequency.items()])
+        old = table.old
+        return sum([(table.get(u) or old.get(u) or self._unit(u)) * n for u, n in frequency.items()])
+
+    def _unit(self, unit: str) -> int:
+        """A unit of a text with more units than the table holds."""
+        self._learn([unit])
+        return self.table[unit]
 
 
 @functools.lru_cache(maxsize=2)
@@ -137,7 +160,7 @@ class WordIds:
             and split.get("pattern", {}).get("Regex") == _WORD_PATTERN
             and not any(a["single_word"] or a["normalized"] or re.search(r"\s", a["content"]) for a in added)
         )
-        self.special = [a["content"] for a in added]
+        self.special = re.compile("|".join(re.escape(a["content"]) for a in added) or r"(?!)").search
         self.find = regex.compile(_WORD_PATTERN).findall
         self.model = self.tok.model
         # byte-level models write a byte as a printable character: printable
@@ -145,44 +168,27 @@ class WordIds:
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         other = [b for b in range(256) if b not in plain]
         self.chars = [chr(b) if b in plain else chr(256 + other.index(b)) for b in range(256)]
-        self.table: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.size = 0
+        self.table, self.parts = Table(self._word), Table(self._part)
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
     def _part(self, p: str) -> bytes:
-        got = self.parts.get(p)
-        if got is None:
-            chars = p if p.isascii() else "".join([self.chars[b] for b in p.encode()])
-            got = self.parts[p] = self._bytes([t.id for t in self.model.tokenize(chars)])
-            self.size += len(p) + len(got) + _ENTRY
-        return got
+        chars = p if p.isascii() else "".join([self.chars[b] for b in p.encode()])
+        return self._bytes([t.id for t in self.model.tokenize(chars)])
 
     def _word(self, word: bytes) -> bytes:
         s = word.decode("utf-8", "replace")
-        if s.isprintable() and max(s) < "̀" and "İ" not in s and not any(x in s for x in self.special):
-            return b"".join([self._part(p) for p in self.find(s.lower())])
+        if word.isalpha():  # ASCII letters: one part
+            return self.parts[s.lower()]
+        if s.isprintable() and (s.isascii() or (max(s) < "\u0300" and "\u0130" not in s)) and not self.special(s):
+            return b"".join([self.parts[p] for p in self.find(s.lower())])
         return self._bytes(self.tok.encode(s, add_special_tokens=False).ids)
 
     def ids(self, text: bytes) -> bytes:
         if not self.words:
             return self._bytes(self.tok.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        words = text.split()  # of bytes: at ASCII white space only
-        try:
-            return b"".join(map(self.table.__getitem__, words))
-        except KeyError:
-            pass
-        if self.size > TABLE_BYTES:
-            self.table.clear()
-            self.parts.clear()
-            self.size = 0
-        for w in set(words):
-            if w not in self.table:
-                self.table[w] = got = self._word(w)
-                self.size += len(w) + len(got) + _ENTRY
-        return b"".join(map(self.table.__getitem__, words))
+        return b"".join(map(self.table.__getitem__, text.split()))  # bytes split at ASCII white space only
 
 
 @functools.lru_cache(maxsize=2)
