@@ -153,7 +153,10 @@ def factors(docs: DataFrame, size: int = 35) -> DataFrame:
     """(doc_id, h, spans): for each document with duplicate windows, the runs
     [first word, words) of its factors, as pairs."""
     keyed, spark = _keyed(pick(docs, doc_id="doc_id", text="text")), docs.sparkSession
-    known = _anchors(keyed, size).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+    # aggregates are written before they are joined: a join right on its
+    # shuffles can be split where one anchor has a great share of the blocks
+    known = written(_anchors(keyed, size).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "anchors")
+    release(spark)
     block = ["anchor", "content", "offset", "windows"]
     found = written(_blocks(keyed, size).join(known, "anchor"), "blocks")
     release(spark)
@@ -163,12 +166,13 @@ def factors(docs: DataFrame, size: int = 35) -> DataFrame:
     whole = found.join(index.where("n > 1").select(*block), block, "left_semi").select("doc_id", "h", "first", "windows")
     # boundaries: anchors with blocks that differ, one of which is alone
     mixed = index.groupBy("anchor").agg(F.count("*").alias("blocks"), F.min("n").alias("least")).where("blocks > 1 and least = 1")
-    look = index.join(mixed.select("anchor"), "anchor").groupBy("one.doc_id", "one.h").agg(
+    mixed = written(mixed.select("anchor"), "mixed-anchors")
+    look = index.join(mixed, "anchor").groupBy("one.doc_id", "one.h").agg(
         F.collect_list(F.struct("anchor", F.col("one.first").alias("first"), "windows", "n")).alias("blocks")
     )
     windows = written(_windows(keyed.join(look, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]), size), "windows")
     release(spark)
-    repeated = windows.groupBy("anchor", "window").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "window")
+    repeated = written(windows.groupBy("anchor", "window").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "window"), "repeated")
     single = windows.where("n = 1").join(repeated, ["anchor", "window"], "left_semi").select("doc_id", "h", F.col("at").alias("first"), F.lit(1).alias("windows"))
     runs = whole.unionByName(single).groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "windows")).alias("runs"))
     spans = written(runs.select("doc_id", "h", merged_spans("runs", size).alias("spans")), "spans")
