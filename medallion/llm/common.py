@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from medallion.session import staging_path
 
 
+ROWS = 512
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under new names: ``pick(df, id="doc_id")``.
 
@@ -52,7 +55,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, start: Callable[[], object] | None = None) -> DataFrame:
     """``mapInArrow`` with one column dictionary per batch.  ``start`` makes a
     task's own state (a model, a cache), given to ``fn`` as its second
-    argument."""
+    argument.  Batches are handed on in slices of ``ROWS``, so that what a
+    worker holds besides the batch stays small."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -61,8 +65,9 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = start() if start else None
         for batch in batches:
-            if batch.num_rows:
-                cols = fn(batch, state) if start else fn(batch)
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                cols = fn(part, state) if start else fn(part)
                 yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)

@@ -23,7 +23,7 @@ DOCS = 128  # labelled documents of each language that are learned from
 WINDOWS = 4  # of each of these documents
 EPOCHS = 8
 BATCH = 64
-_AT_ONCE = 4096  # windows that are labelled together
+_AT_ONCE = 2048  # windows that are labelled together
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 

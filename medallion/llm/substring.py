@@ -36,7 +36,7 @@ from medallion.llm.common import map_batches, pick, release, written
 ANCHOR = 6
 _MASK = (1 << 64) - 1
 _STEP = 0x9E3779B97F4A7C15  # an odd factor, so it can be divided out again
-_WORDS = 1 << 20  # word hashes that a Python worker keeps
+_WORDS = 1 << 18  # word hashes that a Python worker keeps
 
 
 class _WordHash(dict):

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from medallion.llm.common import documents, map_batches
 
-TABLE_BYTES = 160 << 20  # of a generation of a worker's table of units
+TABLE_BYTES = 64 << 20  # of a generation of a worker's table of units
 _ENTRY = 200  # bytes that an entry takes besides its text
 
 
