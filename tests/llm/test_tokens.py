@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import zlib
 from collections import defaultdict
 
@@ -56,11 +57,15 @@ def test_units_add_up_for_any_text_and_small_tables(monkeypatch):
         assert np.frombuffer(ids.ids(t.encode()), ids.dtype).tolist() == ids.tok.encode(t, add_special_tokens=False).ids, repr(t)
 
 
-def word_ids(t, end):
+@functools.cache
+def word_model():
     from tokenizers import Tokenizer
 
-    tok = word_ids.__dict__.setdefault("tok", Tokenizer.from_file(WORD))
-    return np.array([*tok.encode(t, add_special_tokens=False).ids, end], "<u4")
+    return Tokenizer.from_file(WORD)
+
+
+def word_ids(t, end):
+    return np.array([*word_model().encode(t, add_special_tokens=False).ids, end], "<u4")
 
 
 def test_files_round_trip_in_id_order(spark, docs):
