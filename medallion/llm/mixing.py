@@ -21,6 +21,7 @@ from medallion.llm.common import map_batches, pick, written
 
 REPEATS = 3  # uses of a document at most
 WEIGHTS = (1, 2, 3)  # of the sources in order, repeating
+KEY_DIGITS = 6  # hex digits of the order key that are searched by sums
 
 
 def targets(sizes: dict[str | None, int], weights: dict[str | None, float], repeats: int = REPEATS) -> dict[str | None, float]:
@@ -108,10 +109,9 @@ def mix(sized_docs: DataFrame, seed: int = 0, repeats: int = REPEATS) -> DataFra
     sources) and taken: the words the mix takes, repeats counted.
 
     Sources in code point order, null last, weigh 1, 2, 3, repeating.  Only
-    words by pattern reach the driver, and words by the first four digits of
-    the order key of the patterns' documents stay in Spark: they locate the
-    place where a pattern's partial use ends, and only the documents of that
-    65,536th part are put in order.  Empty documents take part with nothing.
+    words by pattern reach the driver.  The place where a pattern's partial
+    use ends is located by sums over parts of the order keys, 256 at a time,
+    and only the documents of one part in 256^3 are put in order.  Empty documents take part with nothing.
     Repeated rows are documents each.  Empty table: no rows.
     """
     spark = sized_docs.sparkSession
@@ -134,12 +134,17 @@ def mix(sized_docs: DataFrame, seed: int = 0, repeats: int = REPEATS) -> DataFra
     plan = written(plan.coalesce(1), "mix-plan")
     docs = docs.join(F.broadcast(plan), docs["sources"].eqNullSafe(plan["sources"])).drop(plan["sources"])
 
-    # the part of the key space where a pattern's partial use ends
-    docs = docs.withColumn("part", F.substring("key", 1, 4))
-    parts = docs.where("rest > 0").groupBy("p", "part", "rest").agg(F.sum("size").alias("size"))
-    before = F.sum("size").over(Window.partitionBy("p").orderBy("part")) - F.col("size")
-    ends = parts.withColumn("before", before).where("before < rest and before + size >= rest").groupBy("p").agg(F.min("part").alias("end"), F.min_by("before", "part").alias("before"))
-    docs = docs.join(F.broadcast(ends), "p", "left")  # a row per pattern at most
+    # where a pattern's partial use ends in the key space: two digits at a
+    # time, from the words of 256 parts of the part found before
+    ends = docs.where("rest > 0").select("p", F.lit("").alias("end"), F.lit(0).cast("long").alias("before")).distinct()
+    for digits in (2, 4, KEY_DIGITS):
+        part = F.substring("key", 1, digits)
+        within = docs.join(F.broadcast(ends), "p").where(F.substring("key", 1, digits - 2) == F.col("end"))
+        sums = within.groupBy("p", part.alias("part"), "before", "rest").agg(F.sum("size").alias("size"))
+        sums = sums.withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("p").orderBy("part")))
+        at_end = sums.where("upto >= rest").groupBy("p").agg(F.min("part").alias("end"), F.min_by(F.col("upto") - F.col("size"), "part").alias("before"))
+        ends = written(at_end, "mix-ends")
+    docs = docs.withColumn("part", F.substring("key", 1, KEY_DIGITS)).join(F.broadcast(ends), "p", "left")  # a row per pattern at most
     near = docs.where("part = end")
     order_by = Window.partitionBy("p").orderBy("key", "doc_id", "size", "tie")
     near = near.withColumn("tie", F.monotonically_increasing_id()).withColumn("at", F.col("before") + F.sum("size").over(order_by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
