@@ -130,10 +130,10 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, probes: float = P
         return {"bytes": pa.concat_arrays([batch.column(0)] * trees), "ids": pa.concat_arrays([batch.column(1)] * trees), "tree": np.repeat(np.arange(trees), len(x)), "leaf": np.concatenate([shared.value.leaf_of(t, x) for t in range(trees)])}
 
     def probe(batch: pa.RecordBatch) -> dict:
-        found = [shared.value.search(q, budget) for q in matrix(batch.column(0).to_pylist())]
+        found = [shared.value.search(q, budget) for q in matrix(batch.column(1).to_pylist())]
         row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
         flat = np.array([p for f in found for p in f], np.int64).reshape(-1, 2)
-        return {"query": batch.column(0).take(row), "tree": flat[:, 0], "leaf": flat[:, 1]}
+        return {"q": batch.column(0).take(row), "query": batch.column(1).take(row), "tree": flat[:, 0], "leaf": flat[:, 1]}
 
     members = map_batches(points, deal, "bytes binary, ids array<long>, tree int, leaf int")
     sizes = members.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
@@ -141,9 +141,11 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, probes: float = P
     block = F.pmod(F.xxhash64("bytes"), F.col("blocks"))
     members = members.groupBy("tree", "leaf", block.alias("block")).agg(F.collect_list(F.struct("bytes", "ids")).alias("rows"))
     queries = own.where(F.pmod("vec_id", F.lit(every)) == 0)
-    wanted = map_batches(queries.select("bytes").distinct(), probe, "query binary, tree int, leaf int")
+    # a query vector goes by the least id of its rows
+    alike = written(queries.groupBy("bytes").agg(F.min("vec_id").alias("q")), "queries")
+    wanted = map_batches(alike.select("q", "bytes"), probe, "q long, query binary, tree int, leaf int")
     parts = max(1, -(-queries.count() // BLOCK))  # no leaf has more queries than there are
-    wanted = wanted.groupBy("tree", "leaf", F.pmod(F.xxhash64("query"), F.lit(parts)).alias("part")).agg(F.collect_list("query").alias("queries"))
+    wanted = wanted.groupBy("tree", "leaf", F.pmod(F.xxhash64("q"), F.lit(parts)).alias("part")).agg(F.collect_list(F.struct("q", "query")).alias("queries"))
     tiles = wanted.join(members, ["tree", "leaf"]).select("queries", "rows")
 
     def rank(frames):
@@ -153,19 +155,20 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, probes: float = P
                 x, xid = matrix([r["bytes"] for r in rows]), np.repeat(np.arange(len(rows)), [len(r["ids"]) for r in rows])
                 flat = np.concatenate([np.asarray(r["ids"]) for r in rows])
                 for q in qs:
-                    d = np.sqrt(((x - np.frombuffer(q)) ** 2).sum(1))
+                    d = np.sqrt(((x - np.frombuffer(q["query"])) ** 2).sum(1))
                     # any row as near as the (k+1)-th
                     near = d <= np.partition(d, k)[k] if len(d) > k + 1 else np.ones(len(d), bool)
                     at = np.flatnonzero(near[xid])
                     at = at[np.lexsort((flat[at], d[xid[at]]))][: k + 1]
-                    found.append(([q] * len(at), flat[at], d[xid[at]]))
+                    found.append((np.full(len(at), q["q"]), flat[at], d[xid[at]]))
             if found:
-                yield pd.DataFrame({"query": [q for g in found for q in g[0]], "vec_id": np.concatenate([g[1] for g in found]), "score": np.concatenate([g[2] for g in found])})
+                yield pd.DataFrame({c: np.concatenate([g[i] for g in found]) for i, c in enumerate(("q", "vec_id", "score"))})
 
     order = [F.col("score"), F.col("vec_id")]
-    lists = tiles.mapInPandas(rank, "query binary, vec_id long, score double")
+    lists = tiles.mapInPandas(rank, "q long, vec_id long, score double")
     # the trees find the same rows again, with the same distance
-    lists = best(lists.groupBy("query", "vec_id").agg(F.min("score").alias("score")), ["query"], order, k + 1).drop("rank")
-    got = queries.select(F.col("vec_id").alias("query_id"), F.col("bytes").alias("query")).distinct().join(lists, "query").where("vec_id != query_id")
+    lists = best(lists.groupBy("q", "vec_id").agg(F.min("score").alias("score")), ["q"], order, k + 1).drop("rank")
+    ids_of = queries.select(F.col("vec_id").alias("query_id"), "bytes").distinct().join(alike, "bytes").select("query_id", "q")
+    got = ids_of.join(lists, "q").where("vec_id != query_id")
     got = best(got.select("query_id", "vec_id", "score").distinct(), ["query_id"], order, k)
     return got.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
