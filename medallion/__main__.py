@@ -1,6 +1,6 @@
 """Command line: run layers, the whole flow, the tests, or the streaming form.
 
-    python -m medallion run      --landing RAW --warehouse WH [--full-refresh] [--no-archive] [--no-test]
+    python -m medallion run      --landing RAW --warehouse WH [--pages JSON] [--full-refresh] [--no-archive] [--no-test]
     python -m medallion layer    --landing RAW --warehouse WH bronze|silver|gold [--full-refresh]
     python -m medallion test     --landing RAW --warehouse WH
     python -m medallion archive  --landing RAW --warehouse WH
@@ -29,6 +29,7 @@ def _config(args) -> PipelineConfig:
         measurement_mode=args.measurement_mode,
         aggregate_mode=args.aggregate_mode,
         locality_mode=args.locality_mode,
+        pages_root=args.pages,
     )
 
 
@@ -49,7 +50,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--measurement-mode", default="upsert", choices=["upsert", "append"])
     p.add_argument("--aggregate-mode", default="recompute", choices=["recompute", "append"])
     p.add_argument("--locality-mode", default="rebuild", choices=["rebuild", "incremental"])
-    p.add_argument("--test-scope", default="all", choices=["all", "loaded"])
+    p.add_argument("--pages", default=None, help="raw JSON pages to land first: <pages>/<entity>/*.json")
     args = p.parse_args(argv)
 
     spark = build_session(args.master, profile=args.profile)
@@ -58,13 +59,13 @@ def main(argv: list[str] | None = None) -> None:
     result = None
     if args.command == "run":
         result = runner.run_pipeline(full_refresh=args.full_refresh, archive=not args.no_archive,
-                                     test=not args.no_test, test_scope=args.test_scope)
+                                     test=not args.no_test)
     elif args.command == "layer":
         if not args.layer:
             p.error("layer needs bronze, silver or gold")
         print(json.dumps(runner.run_layer(args.layer, full_refresh=args.full_refresh)))
     elif args.command == "test":
-        result = runner.test(scope=args.test_scope)
+        result = runner.test()
     elif args.command == "archive":
         print(json.dumps(runner.archive()))
     else:

@@ -4,10 +4,8 @@ from medallion.functions.exprs import (  # noqa: F401
     EPOCH_FLOOR,
     col_of,
     concat_skip_null,
-    days_ago,
     display_name,
     file_stamp,
-    floor_ts,
     hour_of,
     instant,
     iso_dow,

@@ -6,6 +6,8 @@ none is a Python UDF.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,6 +76,14 @@ def instant(c: str | Column) -> Column:
     return col_of(c).try_cast("timestamp")
 
 
+def utc_lit(at: _dt.datetime) -> Column:
+    """A point in time as a literal.  A time without a zone is in UTC,
+    whatever the zone of the driver."""
+    aware = at if at.tzinfo else at.replace(tzinfo=_dt.timezone.utc)
+    micros = (aware - _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)) // _dt.timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros))
+
+
 def hour_of(c: Column) -> Column:
     """Hour 0..23 as bigint."""
     return F.hour(c).cast("bigint")
@@ -97,16 +107,6 @@ def file_stamp(c: Column) -> Column:
     return F.date_format(c, "yyyyMMdd_HHmmssSSSSSS")
 
 
-def floor_ts() -> Column:
-    """The default high-water mark when a target is empty."""
-    return F.lit(EPOCH_FLOOR).cast("timestamp")
-
-
-def days_ago(days: int) -> Column:
-    """``current_timestamp() - INTERVAL <days> DAYS``."""
-    return F.current_timestamp() - F.make_dt_interval(F.lit(days))
-
-
 def display_name(*candidates: str | Column) -> Column:
     """First non-null of the candidates (empty string is not null)."""
     return F.coalesce(*[col_of(c) for c in candidates])

@@ -7,7 +7,7 @@ from medallion.operators.aggregates import (  # noqa: F401
     with_locality_key,
 )
 from medallion.operators.dedup import distinct_rows, latest_wins  # noqa: F401
-from medallion.operators.joins import anti_join, bounded_broadcast, lookup, semi_join  # noqa: F401
+from medallion.operators.joins import anti_join, semi_join  # noqa: F401
 from medallion.operators.merge import (  # noqa: F401
     append_frame,
     empty_like,

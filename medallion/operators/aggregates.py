@@ -19,7 +19,6 @@ from medallion.functions.exprs import (
     text_date,
     wall_clock,
 )
-from medallion.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 
 def _measurement_cte(m: DataFrame, *, with_hour: bool) -> DataFrame:
@@ -84,18 +83,14 @@ def daily_aggregate(measurements: DataFrame) -> DataFrame:
     )
 
 
-def locality_rollup(locations: DataFrame, countries: DataFrame, *,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def locality_rollup(locations: DataFrame, countries: DataFrame) -> DataFrame:
     """One row per (trimmed locality-or-name, country): the locality table.
 
     ``id`` is the smallest location id of the group; ``display_name`` is
     ``"<name>, <country code>"`` and keeps the ``", "`` when the country is
-    unknown.  The country side is a dimension, broadcast behind a row check.
+    unknown.
     """
-    codes = bounded_broadcast(
-        countries.select(F.col("id").alias("__c_id"), F.col("code").alias("__c_code")),
-        broadcast_rows,
-    )
+    codes = countries.select(F.col("id").alias("__c_id"), F.col("code").alias("__c_code"))
     joined = locations.join(codes, locations["country_id"] == F.col("__c_id"), "left")
     g = joined.groupBy(
         locality_name().alias("name"), F.col("country_id"), F.col("__c_code").alias("code")

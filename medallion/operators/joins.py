@@ -1,4 +1,7 @@
-"""Semi / anti / lookup joins with explicit conditions and checked broadcasts.
+"""Semi and anti joins with explicit conditions.
+
+No side is broadcast here: AQE turns a join into a broadcast join where the
+measured size of a side is below its threshold.
 
 Conditions are built column-by-column (not ``on=[names]``) so the left
 side's column order is kept, names with dots work, and the caller chooses
@@ -14,24 +17,6 @@ from pyspark.sql import functions as F
 
 from medallion.functions.exprs import col_of
 
-# Largest dimension (in rows) we are willing to ship to every executor.
-# Dimensions in this domain (countries, parameters, localities) are far
-# below it; anything larger stays a shuffle join and AQE may still convert
-# it at runtime from the *measured* size.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` job: it stops reading as
-    soon as the bound is exceeded, so it stays cheap when the side is large.
-    Beyond the bound the plain DataFrame is returned and the join shuffles.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _pairs(left_keys: Sequence[str], right_keys: Sequence[str] | None) -> list[tuple[str, str]]:
     right_keys = list(right_keys) if right_keys is not None else list(left_keys)
     if len(right_keys) != len(left_keys):
@@ -72,41 +57,21 @@ def _q(name: str) -> str:
 
 def semi_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
               right_keys: Sequence[str] | None = None, *, null_safe: bool = False,
-              broadcast_rows: int | None = None, dedup: bool = True) -> DataFrame:
+              dedup: bool = True) -> DataFrame:
     """Rows of ``left`` whose key appears in ``right`` (``IN`` / ``EXISTS``).
 
     Only the key columns of ``right`` are read, by default de-duplicated
     map-side (see ``_keyed_right`` for when to turn that off).
     """
     pairs = _pairs(left_keys, right_keys)
-    keyed, names = _keyed_right(right, pairs, "semi", dedup or bool(broadcast_rows))
-    if broadcast_rows:
-        keyed = bounded_broadcast(keyed, broadcast_rows)
+    keyed, names = _keyed_right(right, pairs, "semi", dedup)
     return left.join(keyed, _condition(left, pairs, names, null_safe), "left_semi")
 
 
 def anti_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
               right_keys: Sequence[str] | None = None, *, null_safe: bool = False,
-              broadcast_rows: int | None = None, dedup: bool = True) -> DataFrame:
+              dedup: bool = True) -> DataFrame:
     """Rows of ``left`` whose key does not appear in ``right``."""
     pairs = _pairs(left_keys, right_keys)
-    keyed, names = _keyed_right(right, pairs, "anti", dedup or bool(broadcast_rows))
-    if broadcast_rows:
-        keyed = bounded_broadcast(keyed, broadcast_rows)
+    keyed, names = _keyed_right(right, pairs, "anti", dedup)
     return left.join(keyed, _condition(left, pairs, names, null_safe), "left_anti")
-
-
-def lookup(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
-           columns: dict[str, str], *, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left outer join bringing ``columns`` (dim name -> output name) from a dimension.
-
-    The dimension side is broadcast only behind a checked row bound.
-    """
-    names = {c: f"__dim_{i}" for i, c in enumerate(columns)}
-    key_name = "__dim_key"
-    small = dim.select(col_of(dim_key).alias(key_name),
-                       *[col_of(c).alias(n) for c, n in names.items()])
-    small = bounded_broadcast(small, broadcast_rows)
-    joined = left.join(small, left[_q(left_key)] == F.col(key_name), "left")
-    return joined.select(*[left[_q(c)] for c in left.columns],
-                         *[F.col(n).alias(columns[c]) for c, n in names.items()])

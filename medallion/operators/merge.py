@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.operators.joins import anti_join, semi_join
+from medallion.operators.dedup import latest_wins
+from medallion.operators.joins import anti_join
 
 
 def upsert_frame(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -48,26 +49,43 @@ def touched_values(batch: DataFrame, column: str) -> DataFrame:
     return batch.select(column).distinct()
 
 
+def merge_newest(target: DataFrame, batch: DataFrame, keys: Sequence[str], version: str, load: str) -> DataFrame:
+    """Per key, the rows of the newest version over target and batch.
+
+    A row that both hold (equal but for the ``load`` column) is kept once, as
+    first loaded.  So any order and split of the batches, and a batch loaded
+    again, give the rows that one load of everything gives.
+    """
+    both = target.unionByName(batch.select(*target.columns))
+    content = [c for c in target.columns if c != load]
+    once = both.groupBy(*content).agg(F.min(load).alias(load))
+    return latest_wins(once, keys, version).select(*target.columns)
+
+
+def rebuild_touched(source: DataFrame, touched: DataFrame, column: str, build, *, source_column=None) -> DataFrame:
+    """``build`` over all ``source`` rows of the touched values of ``column``.
+
+    ``touched`` is a small frame (the dates of a batch: bounded by the
+    calendar, however many rows the batch has); it is broadcast, so the
+    source isn't shuffled for it and, where it is partitioned by the column,
+    only the touched partitions are scanned.
+    """
+    dates = F.broadcast(touched.select(F.col(column).alias("__touch")).distinct())
+    key = F.col(column) if source_column is None else F.col(source_column) if isinstance(source_column, str) else source_column
+    return build(source.join(dates, key == F.col("__touch"), "left_semi"))
+
+
 def recompute_touched(target: DataFrame | None, source: DataFrame, touched: DataFrame,
                       column: str, build, *, source_column=None) -> DataFrame:
-    """Rebuild an aggregate for the partitions a batch touches.
-
-    ``touched`` holds the values of ``column`` (e.g. dates) the new batch
-    touches; ``build(source_rows) -> aggregate rows``.  The result is the
-    target's rows outside the touched values plus the aggregate recomputed
-    from all ``source`` rows inside them, so a group split over two batches
+    """The target with the aggregate of the touched values of ``column``
+    recomputed from all their source rows, so a group split over two batches
     yields one row, identical to a full rebuild.  ``source_column`` (name or
     Column) maps ``source`` rows to ``column`` values when it is not a
     column of ``source`` itself.
     """
-    touched = touched.select(column).distinct()
-    if source_column is not None:
-        key = F.col(source_column) if isinstance(source_column, str) else source_column
-        src = semi_join(source.withColumn("__touch", key), touched, ["__touch"], [column]).drop("__touch")
-    else:
-        src = semi_join(source, touched, [column])
-    fresh = build(src)
+    fresh = rebuild_touched(source, touched, column, build, source_column=source_column)
     if target is None:
         return fresh
-    kept = anti_join(target, touched, [column])
+    dates = F.broadcast(touched.select(F.col(column).alias("__touch")).distinct())
+    kept = target.join(dates, target[column] == F.col("__touch"), "left_anti")
     return kept.unionByName(fresh.select(*target.columns))

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.functions.exprs import col_of, key_text
-from medallion.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 
 def _as_list(cols: str | Sequence[str]) -> list[str]:
@@ -40,17 +39,15 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(col_of(column).isNull())
 
 
-def relationships(child: DataFrame, column: str, parent: DataFrame, field: str, *,
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child values of ``column`` with no ``parent.field`` (one row per child row).
 
-    The parent is a dimension: its distinct keys are broadcast behind a
-    checked row bound, so the (possibly huge, possibly skewed) child side is
-    never shuffled; beyond the bound it is a shuffled anti join that AQE
-    can split on skew.
+    The parent's keys are not made distinct first: an anti join doesn't
+    repeat rows, parents are keyed by ``field``, and with the join right on
+    its shuffles AQE can broadcast small parents by their measured size and
+    split a hot child key.
     """
-    keys = parent.select(col_of(field).alias("to_field")).where(F.col("to_field").isNotNull()).distinct()
-    keys = bounded_broadcast(keys, broadcast_rows)
+    keys = parent.select(col_of(field).alias("to_field")).where(F.col("to_field").isNotNull())
     kids = child.select(col_of(column).alias("from_field")).where(F.col("from_field").isNotNull())
     return kids.join(keys, kids["from_field"] == keys["to_field"], "left_anti")
 
@@ -109,12 +106,6 @@ def duplicate_report(specs: Sequence[KeySpec]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@dataclass(frozen=True)
-class TestResult:
-    name: str
-    failures: int
-
-
 def run_checks(checks: dict[str, DataFrame]) -> DataFrame:
     """Count failures of named checks into one ``(test, failures)`` frame.
 

@@ -1,8 +1,8 @@
 """Extraction control: the high-water mark of landed data and the
 parent -> child selection of what to fetch next.
 
-The mark lives in a one-row Parquet control table; it is read as a scalar
-subquery (never collected) and advanced only after a successful load.
+Marks live in a small Parquet control table, the newest of which is read as a
+scalar subquery (never collected) and advanced only after a successful load.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.functions.exprs import instant
+from medallion.functions.exprs import instant, utc_lit
 from medallion.operators.joins import semi_join
 from medallion.operators.watermark import default_mark, fresh_ids
 from medallion.sources.landing import files_exist
@@ -29,9 +29,9 @@ def read_mark(spark: SparkSession, path: str, *, default_days: int = 7) -> Colum
 
 
 def write_mark(spark: SparkSession, path: str, mark: _dt.datetime) -> None:
-    """Replace the stored mark (call after the load it covers succeeded)."""
-    spark.range(1).select(F.lit(mark).cast("timestamp").alias(MARK_COLUMN)) \
-        .write.mode("overwrite").parquet(path)
+    """Advance the stored mark (call after the load it covers succeeded).
+    Marks are appended and the newest counts, so a crash never loses one."""
+    spark.range(1).select(utc_lit(mark).alias(MARK_COLUMN)).write.mode("append").parquet(path)
 
 
 def period_between(df: DataFrame, column: str, lo: Column, hi: Column) -> DataFrame:

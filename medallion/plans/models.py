@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.functions.exprs import col_of, display_name, text_date
+from medallion.functions.exprs import col_of, display_name, text_date, utc_lit
 from medallion.operators.aggregates import (
     daily_aggregate,
     hourly_aggregate,
@@ -32,6 +32,7 @@ DEFAULT_COUNTRY_IDS = (132, 110, 103, 80, 75, 65, 131, 62, 74, 97, 104)
 # Partition column added to measurement tables (date part of the period start).
 MEASUREMENT_DATE = "measurement_date"
 
+# The columns of the silver and gold tables.
 SILVER_COLUMNS: dict[str, list[str]] = {
     "country": ["id", "code", "name"],
     "parameter": ["id", "name", "units", "display_name", "description"],
@@ -52,7 +53,7 @@ GOLD_LOCATION_COLUMNS = ["id", "name", "instruments", "owner_name", "provider_na
 def _stamp(df: DataFrame, load_ts) -> DataFrame:
     if load_ts is None:
         return df
-    ts = load_ts if isinstance(load_ts, Column) else F.lit(load_ts).cast("timestamp")
+    ts = load_ts if isinstance(load_ts, Column) else utc_lit(load_ts)
     return df.withColumn(LOAD_TS, ts)
 
 
@@ -71,18 +72,22 @@ def bronze_rename(raw: DataFrame, entity: str) -> DataFrame:
 
 
 def build_bronze(raw: DataFrame, entity: str, *, load_ts=None, mark: Column | None = None,
-                 strategy: str = "aggregate") -> DataFrame:
+                 strategy: str = "aggregate", versioned: bool = False) -> DataFrame:
     """Latest version of every key of the landed rows of ``entity``.
 
     ``mark``: keep only rows extracted after it (high-water mark).  Ties on
     the newest extraction time are all kept; sensors are also de-duplicated
-    on their full row.
+    on their full row.  ``versioned``: the rows of the bronze tables, which
+    keep the extraction time, so that later loads can tell which version is
+    newer, and hold equal rows once, so that a page loaded again adds nothing.
     """
     df = bronze_rename(raw, entity)
     if mark is not None:
         df = newer_than(df, EXTRACTION_TS, mark)
-    df = latest_wins(df, ENTITY_KEYS[entity], EXTRACTION_TS, strategy=strategy).drop(EXTRACTION_TS)
-    if entity == "sensor":
+    df = latest_wins(df, ENTITY_KEYS[entity], EXTRACTION_TS, strategy=strategy)
+    if not versioned:
+        df = df.drop(EXTRACTION_TS)
+    if versioned or entity == "sensor":
         df = distinct_rows(df)
     df = _stamp(df, load_ts)
     if entity == "measurement":
@@ -155,8 +160,6 @@ class Model:
     alias: str
     keys: tuple[str, ...] = ()
     partition_by: str | None = None
-    # upsert | append | recompute (touched partitions) | rebuild (whole table)
-    mode: str = "upsert"
     inputs: tuple[str, ...] = ()
     entity: str | None = None
 
@@ -165,24 +168,24 @@ MEASUREMENT_KEY = tuple(ENTITY_KEYS["measurement"])
 
 MODELS: list[Model] = [
     *[Model(f"bronze_{e}", "bronze", e, tuple(ENTITY_KEYS[e]),
-            MEASUREMENT_DATE if e == "measurement" else None, "upsert", (), e)
+            MEASUREMENT_DATE if e == "measurement" else None, (), e)
       for e in ("country", "parameter", "location", "sensor", "measurement")],
-    *[Model(f"silver_{e}", "silver", e, ("id",), None, "upsert", (f"bronze_{e}",), e)
+    *[Model(f"silver_{e}", "silver", e, ("id",), None, (f"bronze_{e}",), e)
       for e in ("country", "parameter", "location", "sensor")],
-    Model("silver_measurement", "silver", "measurement", MEASUREMENT_KEY, MEASUREMENT_DATE, "upsert",
+    Model("silver_measurement", "silver", "measurement", MEASUREMENT_KEY, MEASUREMENT_DATE,
           ("bronze_measurement",), "measurement"),
-    Model("gold_country", "gold", "country", ("id",), None, "upsert", ("silver_country",)),
-    Model("gold_parameter", "gold", "parameter", ("id",), None, "upsert",
+    Model("gold_country", "gold", "country", ("id",), None, ("silver_country",)),
+    Model("gold_parameter", "gold", "parameter", ("id",), None,
           ("silver_parameter", "silver_measurement")),
-    Model("gold_location", "gold", "location", ("id",), None, "rebuild", ("silver_location",)),
-    Model("gold_locality", "gold", "locality", ("id",), None, "rebuild", ("silver_location", "silver_country")),
-    Model("gold_sensor", "gold", "sensor", ("id",), None, "upsert", ("silver_sensor",)),
-    Model("gold_measurement", "gold", "measurement", MEASUREMENT_KEY, MEASUREMENT_DATE, "upsert",
+    Model("gold_location", "gold", "location", ("id",), None, ("silver_location",)),
+    Model("gold_locality", "gold", "locality", ("id",), None, ("silver_location", "silver_country")),
+    Model("gold_sensor", "gold", "sensor", ("id",), None, ("silver_sensor",)),
+    Model("gold_measurement", "gold", "measurement", MEASUREMENT_KEY, MEASUREMENT_DATE,
           ("silver_measurement",)),
     Model("gold_measurement_hourly_aggregate", "gold", "measurement_hourly_aggregate", (), "date",
-          "recompute", ("silver_measurement",)),
+          ("silver_measurement",)),
     Model("gold_measurement_daily_aggregate", "gold", "measurement_daily_aggregate", (), "date",
-          "recompute", ("silver_measurement",)),
+          ("silver_measurement",)),
 ]
 
 MODELS_BY_NAME = {m.name: m for m in MODELS}

@@ -1,9 +1,11 @@
-"""Run models, layers and the whole daily flow (bronze -> silver -> gold ->
-archive -> tests).
-
-The driver only builds plans and issues writes; per model there are a few
-small actions (existence checks, the batch emptiness check) and one write
-job.  Rows never pass through the driver.
+"""Run models, layers and the whole daily flow: land -> bronze -> silver ->
+gold -> archive -> tests.
+
+The driver only builds plans and issues writes; rows, dates and file lists
+never pass through it.  What a table takes in is what its sources loaded and
+it hasn't consumed yet (see :mod:`medallion.sinks.tables`), so nothing
+depends on the order of load times, and a run that failed is made up by the
+next.
 """
 
 from __future__ import annotations
@@ -14,7 +16,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion.functions.exprs import utc_lit
+from medallion.operators.merge import rebuild_touched
 from medallion.operators.quality import run_checks
+from medallion.operators.selection import write_mark
 from medallion.plans import checks
 from medallion.plans.models import (
     DEFAULT_COUNTRY_IDS,
@@ -23,6 +28,7 @@ from medallion.plans.models import (
     MODELS,
     MODELS_BY_NAME,
     Model,
+    bronze_rename,
     build_bronze,
     build_daily,
     build_gold_country,
@@ -33,12 +39,14 @@ from medallion.plans.models import (
     build_gold_sensor,
     build_hourly,
     build_silver,
+    with_measurement_date,
 )
-from medallion.schemas import landing_schema
-from medallion.sinks.tables import LayerTable, distinct_values
+from medallion.schemas import EXTRACTION_TS, LOAD_TS, landing_schema
+from medallion.sinks.tables import LayerTable
 from medallion.sources import fs
+from medallion.sources.api_pages import bad_pages, read_api_pages
 from medallion.sources.drift import scan_drifting
-from medallion.sources.landing import archive_new, entity_dir, files_exist, new_dir, scan_landing
+from medallion.sources.landing import archive_loaded, batch_name, claim_new, claimed_and_archived, land
 
 
 @dataclass
@@ -50,11 +58,14 @@ class PipelineConfig:
 
     * ``bronze_watermark``: also drop landed rows extracted before the
       bronze table's newest load (reference: yes; default: no, pending
-      files are tracked by the ``new/`` folder itself).
+      files are tracked by the landing folders).
     * ``measurement_mode``: "upsert" (revised values replace) or "append".
     * ``aggregate_mode``: "recompute" touched dates or "append" per batch.
     * ``locality_mode``: "rebuild" the small location/locality tables or
       "incremental" (batch-only, as the reference).
+
+    ``pages_root``: raw JSON pages, ``<pages_root>/<entity>/*.json``, that a
+    run lands first; the extraction mark advances when the run succeeds.
     """
 
     landing_root: str
@@ -64,40 +75,36 @@ class PipelineConfig:
     measurement_mode: str = "upsert"
     aggregate_mode: str = "recompute"
     locality_mode: str = "rebuild"
-    # entities read with the footer-signature drift scan (pages written by a
-    # JSON normaliser drift in type and carry all-null, null-typed columns)
-    drift_entities: tuple[str, ...] = ("country", "parameter", "location", "sensor", "measurement")
     entities: tuple[str, ...] = ("country", "parameter", "location", "sensor", "measurement")
+    pages_root: str | None = None
     extra: dict = field(default_factory=dict)
 
+    @property
+    def dq(self) -> str:
+        return f"{self.warehouse_root.rstrip('/')}/dq"
 
-class _Batches:
-    """Rows of parent tables loaded after a target's high-water mark (all
-    rows when ``mark`` is None), remembering which partitions they can be in."""
+    @property
+    def mark(self) -> str:
+        return f"{self.warehouse_root.rstrip('/')}/control/extraction_mark"
 
-    def __init__(self, runner: "Runner", mark):
-        self.runner, self.mark, self._parts = runner, mark, {}
-
-    def read(self, parent: str) -> DataFrame:
-        t = self.runner.table(parent)
-        if self.mark is None:
-            df, parts = t.read(), None
-        else:
-            df, parts = t.read_since(self.mark)
-        if df is None:
-            raise RuntimeError(f"{parent} has not been built yet")
-        self._parts[parent] = parts
-        return df
 
-    def parts(self, parent: str) -> list | None:
-        return self._parts.get(parent)
+def undated(raw: DataFrame, entity: str) -> DataFrame:
+    """Measurements whose period start can't be read as a time: they have no
+    partition and go to a table of their own."""
+    df = with_measurement_date(bronze_rename(raw, entity))
+    return df.where(F.col(MEASUREMENT_DATE).isNull()).drop(MEASUREMENT_DATE)
 
 
 class Runner:
     def __init__(self, spark: SparkSession, cfg: PipelineConfig, load_ts: _dt.datetime | None = None):
         self.spark = spark
         self.cfg = cfg
-        self.load_ts = load_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        self._load_ts = load_ts
+
+    @property
+    def load_ts(self) -> _dt.datetime:
+        """The given load time (in UTC if it has no zone), else now."""
+        return self._load_ts or _dt.datetime.now(_dt.timezone.utc)
 
     # ---------------------------------------------------------------- tables
     def table(self, model: Model | str) -> LayerTable:
@@ -110,13 +117,12 @@ class Runner:
                 return self.table(m).read()
         return None
 
-    def _raw(self, entity: str, scope: str) -> DataFrame:
-        if entity in self.cfg.drift_entities:
-            path = entity_dir(self.cfg.landing_root, entity) if scope == "all" else new_dir(self.cfg.landing_root, entity)
-            if not files_exist(self.spark, path):
-                return self.spark.createDataFrame([], landing_schema(entity))
-            return scan_drifting(self.spark, path, landing_schema(entity))
-        return scan_landing(self.spark, self.cfg.landing_root, entity, scope=scope)
+    def _source(self, name: str) -> tuple[LayerTable, DataFrame]:
+        t = self.table(name)
+        df = t.read()
+        if df is None:
+            raise RuntimeError(f"{name} has not been built yet")
+        return t, df
 
     # ---------------------------------------------------------------- models
     def run_model(self, name: str, *, full_refresh: bool = False) -> str:
@@ -126,108 +132,103 @@ class Runner:
         full = full_refresh or not t.exists()
         if m.layer == "bronze":
             return self._run_bronze(m, t, full)
-        return getattr(self, f"_run_{m.layer}")(m, t, full, _Batches(self, None if full else t.watermark()))
-
-    def _write(self, t: LayerTable, df: DataFrame, full: bool, mode: str, parts: list | None = None) -> str:
-        if full:
-            t.overwrite(df, load_ts=self.load_ts)
-            return "full"
-        if mode != "append" and t.partition_by:
-            # the table stages the batch once and checks emptiness on the
-            # staged copy: the batch plan is evaluated a single time
-            return mode if t.upsert(df, load_ts=self.load_ts) else "skip"
-        if df.isEmpty():
-            return "skip"
-        if mode == "append":
-            t.append(df, load_ts=self.load_ts, partitions=parts)
-        else:
-            t.upsert(df, load_ts=self.load_ts)
-        return mode
+        if name in ("gold_parameter", "gold_locality") or (name == "gold_location" and self.cfg.locality_mode == "rebuild"):
+            return self._rebuild(m, t, full)
+        return self._run_from(m, t, full)
 
     def _run_bronze(self, m: Model, t: LayerTable, full: bool) -> str:
-        e = m.entity
+        cfg, e = self.cfg, m.entity
+        claimed = claim_new(self.spark, cfg.landing_root, e)
+        if not full and claimed is None:
+            return "skip"
+        paths = claimed_and_archived(self.spark, cfg.landing_root, e) if full else [claimed]
+        return self.load_bronze(m, scan_drifting(self.spark, paths, landing_schema(e)), full)
+
+    def load_bronze(self, m: Model, raw: DataFrame, full: bool) -> str:
+        """Load landed rows into the bronze table of ``m``."""
+        t, e = self.table(m), m.entity
+        ts = t.next_load(self.load_ts)
+        mark = utc_lit(t.newest_load()) if self.cfg.bronze_watermark and not full else None
+        if e == "measurement":
+            bad = undated(raw, e).withColumn(LOAD_TS, utc_lit(ts))
+            bad.coalesce(1).write.mode("overwrite" if full else "append").parquet(f"{self.cfg.dq}/undated_measurement")
+        batch = build_bronze(raw, e, load_ts=ts, mark=mark, versioned=True)
+        if e == "measurement":
+            batch = batch.where(F.col(MEASUREMENT_DATE).isNotNull())
         if full:
-            t.overwrite(build_bronze(self._raw(e, "all"), e, load_ts=self.load_ts), load_ts=self.load_ts)
+            t.overwrite(batch, load_ts=ts)
             return "full"
-        if not files_exist(self.spark, new_dir(self.cfg.landing_root, e)):
+        return "upsert" if t.upsert(batch, load_ts=ts, newest=EXTRACTION_TS) else "skip"
+
+    def _build(self, m: Model, df: DataFrame, ts: _dt.datetime) -> DataFrame:
+        if m.layer == "silver":
+            return build_silver(df, m.entity, load_ts=ts)
+        build = {
+            "country": lambda d, load_ts: build_gold_country(d, country_ids=self.cfg.country_ids, load_ts=load_ts),
+            "location": build_gold_location, "sensor": build_gold_sensor, "measurement": build_gold_measurement,
+            "measurement_hourly_aggregate": build_hourly, "measurement_daily_aggregate": build_daily,
+        }[m.alias]
+        return build(df, load_ts=ts)
+
+    def _run_from(self, m: Model, t: LayerTable, full: bool) -> str:
+        """Take in the loads of the first input that are pending."""
+        source = self.table(m.inputs[0])
+        pending = t.pending(source)  # before the rows are read: later loads wait
+        _, df = self._source(m.inputs[0])
+        ts = t.next_load(self.load_ts)
+        if full:
+            t.overwrite(self._build(m, df, ts), load_ts=ts)
+            outcome = "full"
+        elif pending.isEmpty():
             return "skip"
-        mark = F.lit(t.watermark()).cast("timestamp") if self.cfg.bronze_watermark else None
-        batch = build_bronze(self._raw(e, "new"), e, load_ts=self.load_ts, mark=mark)
-        return self._write(t, batch, False, "upsert")
-
-    def _run_silver(self, m: Model, t: LayerTable, full: bool, batches: "_Batches") -> str:
-        src = batches.read(m.inputs[0])
-        df = build_silver(src, m.entity, load_ts=self.load_ts)
-        mode = self.cfg.measurement_mode if m.entity == "measurement" else "upsert"
-        outcome = self._write(t, df, full, mode, batches.parts(m.inputs[0]))
-        if m.entity == "measurement" and outcome != "skip":
-            self._record_parameter_ids(t, df, full)
+        elif m.partition_by == "date" and self.cfg.aggregate_mode == "recompute":
+            dates = pending.select(F.col(MEASUREMENT_DATE).alias("date"))
+            t.replace_partitions(rebuild_touched(df, dates, "date", lambda d: self._build(m, d, ts),
+                                                 source_column=MEASUREMENT_DATE), load_ts=ts)
+            outcome = "recompute"
+        else:
+            batch = self._build(m, source.rows_of(pending), ts)
+            append = not t.keys or (m.partition_by and self.cfg.measurement_mode == "append")
+            written = t.append(batch, load_ts=ts) if append else t.upsert(batch, load_ts=ts)
+            outcome = ("append" if append else "upsert") if written else "skip"
+        t.consume(source, pending)
         return outcome
 
-    # The set of parameter ids that have measurements only grows (the id is
-    # part of the measurement key, so no load removes one).  Each silver
-    # load appends its batch's distinct ids to a tiny side table, and the
-    # gold parameter model reads that instead of scanning every measurement.
-    PARAMETER_IDS = "_parameter_ids"
-
-    def _record_parameter_ids(self, t: LayerTable, batch: DataFrame, full: bool) -> None:
-        path = f"{t.path}/{self.PARAMETER_IDS}"
-        if full:  # from the table just written (one narrow column), not the source again
-            t.read().select("parameter_id").distinct().coalesce(1).write.mode("overwrite").parquet(path)
-        else:
-            batch.select("parameter_id").distinct().coalesce(1).write.mode("append").parquet(path)
+    def _rebuild(self, m: Model, t: LayerTable, full: bool) -> str:
+        """Small tables that depend on all rows of their inputs are made anew;
+        reference-exact locality mode upserts the pending locations' rows."""
+        ts = t.next_load(self.load_ts)
+        source, df = self._source(m.inputs[0])
+        if m.alias == "parameter":
+            t.overwrite(build_gold_parameter(df, self.parameters_with_data(), load_ts=ts), load_ts=ts)
+            return "full"
+        if m.alias == "location":
+            t.overwrite(build_gold_location(df, load_ts=ts), load_ts=ts)
+            return "full"
+        countries = self._source("silver_country")[1]
+        if full or self.cfg.locality_mode == "rebuild":
+            t.overwrite(build_gold_locality(df, countries, load_ts=ts), load_ts=ts)
+            return "full"
+        pending = t.pending(source)
+        wrote = t.upsert(build_gold_locality(source.rows_of(pending), countries, load_ts=ts), load_ts=ts)
+        t.consume(source, pending)
+        return "upsert" if wrote else "skip"
 
     def parameters_with_data(self) -> DataFrame:
-        """Distinct-able ``parameter_id`` values present in silver measurements."""
-        t = self.table("silver_measurement")
-        path = f"{t.path}/{self.PARAMETER_IDS}"
-        if fs.has_file(self.spark, path):
-            return self.spark.read.parquet(path)
-        return t.read().select("parameter_id")
-
-    def _run_gold(self, m: Model, t: LayerTable, full: bool, batches: "_Batches") -> str:
-        ts = self.load_ts
-        alias = m.alias
-        if alias == "country":
-            return self._write(t, build_gold_country(batches.read("silver_country"),
-                                                     country_ids=self.cfg.country_ids, load_ts=ts), full, "upsert")
-        if alias == "parameter":
-            with_data = self.parameters_with_data()
-            return self._write(t, build_gold_parameter(batches.read("silver_parameter"), with_data, load_ts=ts),
-                               full, "upsert")
-        if alias == "sensor":
-            return self._write(t, build_gold_sensor(batches.read("silver_sensor"), load_ts=ts), full, "upsert")
-        if alias in ("location", "locality"):
-            rebuild = full or self.cfg.locality_mode == "rebuild"
-            loc = self.table("silver_location").read() if rebuild else batches.read("silver_location")
-            if alias == "location":
-                df = build_gold_location(loc, load_ts=ts)
-            else:
-                df = build_gold_locality(loc, self.table("silver_country").read(), load_ts=ts)
-            return self._write(t, df, rebuild, "upsert")
-        if alias == "measurement":
-            return self._write(t, build_gold_measurement(batches.read("silver_measurement"), load_ts=ts),
-                               full, self.cfg.measurement_mode, batches.parts("silver_measurement"))
-        build = build_hourly if "hourly" in alias else build_daily
-        batch = batches.read("silver_measurement")
-        if full:
-            t.overwrite(build(batch, load_ts=ts), load_ts=ts)
-            return "full"
-        if self.cfg.aggregate_mode == "append":
-            return self._write(t, build(batch, load_ts=ts), False, "append", batches.parts("silver_measurement"))
-        return self._recompute(t, batch, build)
-
-    def _recompute(self, t: LayerTable, batch: DataFrame, build) -> str:
-        """Rebuild the aggregate for every date the batch touches, from all
-        silver rows of those dates (partition-pruned), and overwrite just
-        those partitions."""
-        dates = distinct_values(batch, MEASUREMENT_DATE)
-        if not dates:
-            return "skip"
-        silver = self.table("silver_measurement").read()
-        rows = silver.where(F.col(MEASUREMENT_DATE).isin(dates))
-        t.replace_partitions(build(rows, load_ts=self.load_ts), load_ts=self.load_ts, partitions=dates)
-        return "recompute"
+        """Distinct parameter ids present in silver measurements.
+
+        The set only grows, so it is kept in a small side table to which the
+        pending loads' ids are added: an id is there before the load that
+        brought it counts as taken in.
+        """
+        source = self.table("silver_measurement")
+        side = LayerTable(self.spark, self.cfg.warehouse_root, "gold", "_parameters_with_data", ("parameter_id",))
+        pending = side.pending(source)
+        if not side.exists() or not pending.isEmpty():
+            rows = source.rows_of(pending) if side.exists() else source.read()
+            side.upsert(rows.select("parameter_id").distinct())
+            side.consume(source, pending)
+        return side.read() if side.exists() else source.read().select("parameter_id")
 
     # ---------------------------------------------------------------- layers
     def run_layer(self, layer: str, *, full_refresh: bool = False) -> dict[str, str]:
@@ -236,53 +237,57 @@ class Runner:
                 for m in MODELS if m.layer == layer and (m.entity is None or m.entity in self.cfg.entities
                                                           or m.layer != "bronze")}
 
-    def vacuum(self, keep: int = 3) -> dict[str, list[int]]:
-        """Drop old versions of the versioned (dimension) tables."""
-        return {m.name: self.table(m).vacuum(keep) for m in MODELS if not m.partition_by}
+    def land_pages(self) -> dict[str, int]:
+        """Land the pending JSON pages; a page that isn't JSON is kept, whole,
+        under ``dq/bad_pages``.  Landed page files are renamed to ``done/``."""
+        out = {}
+        for e in self.cfg.entities:
+            base = f"{self.cfg.pages_root.rstrip('/')}/{e}"
+            names = [n for n, is_dir in fs.children(self.spark, base) if n.endswith(".json") and not is_dir]
+            claim = f"{base}/loading/{batch_name('pages')}"
+            for n in names:
+                fs.rename(self.spark, f"{base}/{n}", f"{claim}/{n}")
+            for d in fs.child_dirs(self.spark, f"{base}/loading"):
+                path = f"{base}/loading/{d}"
+                land(read_api_pages(self.spark, path, e), self.cfg.landing_root, e)
+                bad = bad_pages(self.spark, path, e).withColumn("entity", F.lit(e))
+                bad.coalesce(1).write.mode("append").parquet(f"{self.cfg.dq}/bad_pages")
+                fs.rename(self.spark, path, f"{base}/done/{d}")
+            out[e] = len(names)
+        return out
 
     def archive(self) -> dict[str, int]:
-        return {e: archive_new(self.spark, self.cfg.landing_root, e) for e in self.cfg.entities}
-
-    def _read_loaded(self, layer: str, alias: str) -> DataFrame | None:
-        """Partitioned fact tables: only the partitions of their latest load
-        (this run's, when the run wrote them); dimension tables: whole."""
-        for m in MODELS:
-            if m.layer == layer and m.alias == alias:
-                t = self.table(m)
-                if not m.partition_by:
-                    return t.read()
-                parts = t.partitions_loaded_since(t.watermark())
-                return t.read() if parts is None else t.read_partitions(parts)
-        return None
-
-    def test(self, *, store: bool = True, scope: str = "all") -> DataFrame:
-        """Run every declared column test; store the duplicate report's failing
-        rows under ``<warehouse>/dq/duplicates``.  Returns ``(test, failures)``.
-
-        scope="all" tests whole tables.  scope="loaded" tests the fact tables
-        only in the partitions this run loaded: their grain key includes the
-        period start, which fixes the partition, and rows are only ever
-        upserted or appended, so new duplicates and orphans can only appear
-        there.  That keeps a daily test run proportional to the batch, not
-        to the table.
-        """
-        read = self.read if scope == "all" else self._read_loaded
-        tests = checks.column_tests(read)
-        dups = checks.duplicates(read)
+        return {e: archive_loaded(self.spark, self.cfg.landing_root, e) for e in self.cfg.entities}
+
+    def test(self, *, store: bool = True) -> DataFrame:
+        """Run every declared column test over the whole tables; store the
+        duplicate report's failing rows under ``<warehouse>/dq/duplicates``.
+        Returns ``(test, failures)``."""
+        tests = checks.column_tests(self.read)
+        dups = checks.duplicates(self.read)
         if dups is not None:
             if store:
-                dups.write.mode("overwrite").parquet(f"{self.cfg.warehouse_root.rstrip('/')}/dq/duplicates")
-                dups = self.spark.read.parquet(f"{self.cfg.warehouse_root.rstrip('/')}/dq/duplicates")
+                dups.write.mode("overwrite").parquet(f"{self.cfg.dq}/duplicates")
+                dups = self.spark.read.schema(dups.schema).parquet(f"{self.cfg.dq}/duplicates")
             tests["duplicates"] = dups
+        for name in ("undated_measurement", "bad_pages"):
+            if fs.has_file(self.spark, f"{self.cfg.dq}/{name}"):
+                # a load that is repeated keeps the same rows aside again
+                tests[name] = self.spark.read.parquet(f"{self.cfg.dq}/{name}").drop(LOAD_TS).distinct()
         return run_checks(tests)
 
-    def run_pipeline(self, *, full_refresh: bool = False, archive: bool = True,
-                     test: bool = True, test_scope: str = "all") -> DataFrame | None:
-        """Bronze, silver, gold, then archive the landed files, then tests.
+    def run_pipeline(self, *, full_refresh: bool = False, archive: bool = True, test: bool = True) -> DataFrame | None:
+        """Land pending pages, bronze, silver, gold, then archive the landed
+        files, advance the extraction mark, then tests.
 
         Tests report and do not gate the load (they run last)."""
+        began = self.load_ts
+        if self.cfg.pages_root:
+            self.land_pages()
         for layer in LAYERS:
             self.run_layer(layer, full_refresh=full_refresh)
         if archive:
             self.archive()
-        return self.test(scope=test_scope) if test else None
+        if self.cfg.pages_root:
+            write_mark(self.spark, self.cfg.mark, began)
+        return self.test() if test else None

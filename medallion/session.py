@@ -28,9 +28,9 @@ SEMANTIC_CONF = {
 # Broadcast policy: never broadcast on a *static* estimate (the planner
 # sizes Parquet relations from compressed file sizes, which is no bound on
 # the rows), but let AQE broadcast a join side whose *measured* shuffle
-# output is small.  Known dimensions get an explicit hint behind a row
-# check (``operators.joins.bounded_broadcast``).  Applied unless the
-# submitter set the thresholds at launch.
+# output is small.  Only frames of dates and loads, bounded by the calendar,
+# get an explicit hint.  Applied unless the submitter set the thresholds at
+# launch.
 BROADCAST_POLICY = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",

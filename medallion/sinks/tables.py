@@ -1,55 +1,63 @@
 """Layer tables on plain Parquet: full refresh, keyed upsert, append.
 
-No table format (Delta/Iceberg) is assumed, so two storage shapes are used:
-
-* **Versioned** (dimension tables keyed by ``id``): every write creates
-  ``<path>/v=<n>/`` and then a one-row commit marker ``<path>/_commits/v=<n>/``.
-  Readers take the newest committed version.  A write never touches the
-  version being read, an interrupted write leaves no marker and is
-  ignored, and the previous version stays readable throughout.
-* **Partitioned** (measurements and aggregates, partitioned by a date
-  column): ``<path>/data/<col>=<value>/``.  Upserts rewrite only the
-  partitions their batch touches (dynamic partition overwrite), after
-  staging the merged rows under ``spark.checkpoint.dir`` so the overwrite
-  never reads the files it replaces and retried tasks read durable input.
-  Every successful write appends its load time and the partitions it
-  touched to a small load log ``<path>/_loads/``.  The high-water mark and
-  "rows loaded since" reads come from that log, so an incremental run
-  never scans the whole fact table for ``max(load_timestamp)`` and reads
-  only the partitions loaded after the mark.
+No table format is assumed.  A table holds numbered versions,
+``<path>/v=<n>/``, of which the newest with a commit marker
+``<path>/_commits/v=<n>/`` is read; the marker holds the schema, so reads
+infer nothing.  A full refresh writes a new version: interrupted, it leaves
+no marker and the old one stays.
+
+* **Dimension** tables are small; every write makes a new version.
+* **Fact** tables are partitioned by a date column.  Upserts and appends
+  work inside the current version and rewrite only the partitions of the
+  batch (dynamic partition overwrite), after staging the merged rows under
+  ``spark.checkpoint.dir``, so that the overwrite never reads the files it
+  replaces.  Rows are rebalanced by date before every write: files follow
+  the data, not the number of shuffle partitions.
+
+Every load has an id, its load time, unique in the table and stamped on its
+rows.  ``<path>/_loads/`` logs the loads with the dates they touched, and
+``<path>/_consumed/`` the loads of other tables that this table has taken
+in.  What is pending is the difference of the two logs, so a load is taken
+in whenever it was committed.  Dates and load ids stay in Spark: small frames
+(a row per load and date) that are broadcast so that they prune partitions.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from medallion.functions.exprs import EPOCH_FLOOR
-from medallion.operators.merge import upsert_frame
-from medallion.operators.watermark import newer_than
+from medallion.functions.exprs import EPOCH_FLOOR, utc_lit
+from medallion.operators.merge import merge_newest, upsert_frame
 from medallion.schemas import LOAD_TS
 from medallion.session import staging_path
 from medallion.sources import fs
-from medallion.sources.landing import files_exist
 
-# Guard for the driver-side list of touched partition values (dates).
-MAX_TOUCHED_PARTITIONS = 100_000
-FLOOR = _dt.datetime.fromisoformat(EPOCH_FLOOR)
+_UTC = _dt.timezone.utc
+FLOOR = _dt.datetime.fromisoformat(EPOCH_FLOOR).replace(tzinfo=_UTC)
+_EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_UTC)
 
 
-def distinct_values(df: DataFrame, column: str, limit: int = MAX_TOUCHED_PARTITIONS) -> list:
-    """Distinct values of a low-cardinality column (e.g. the dates of a
-    batch), collected with a guard: more than ``limit`` values is an error,
-    never a silent cap."""
-    values = [r[0] for r in df.select(column).distinct().limit(limit + 1).collect()]
-    if len(values) > limit:
-        raise ValueError(f"more than {limit} distinct {column} values; run a full refresh instead")
-    return values
+def _time(micros: int | None) -> _dt.datetime:
+    return FLOOR if micros is None else _EPOCH + _dt.timedelta(microseconds=micros)
+
+
+def prune_to(df: DataFrame, values: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose ``columns`` are in ``values``, a small frame of
+    dates (and load ids) that is broadcast; where ``df`` is partitioned by
+    one of them, only those partitions are scanned.  Its size is bounded by
+    the calendar, not by the rows of ``df``."""
+    first = columns[0]
+    # a comparison makes the frame selective for dynamic partition pruning
+    floor = F.lit("0001-01-01").cast(dict(values.dtypes)[first])
+    keys = values.where(F.col(first) >= floor).select(*columns).distinct()
+    return df.join(F.broadcast(keys), list(columns), "left_semi").select(*df.columns)
 
 
 @dataclass
@@ -72,217 +80,177 @@ class LayerTable:
         return f"{self.layer}.{self.alias}"
 
     # ------------------------------------------------------------------ read
-    def _commits(self) -> str:
-        return f"{self.path}/_commits"
-
-    def _data(self) -> str:
-        return f"{self.path}/data"
-
-    def _loads(self) -> str:
-        return f"{self.path}/_loads"
-
     def current_version(self) -> int | None:
-        """Newest committed version (from the commit-marker folder names)."""
-        if self.partition_by:
-            return None
-        versions = [int(d[2:]) for d in fs.child_dirs(self.spark, self._commits())
-                    if d.startswith("v=") and d[2:].isdigit()
-                    and fs.has_file(self.spark, f"{self._commits()}/{d}")]
-        return max(versions) if versions else None
+        """Newest committed version (from the commit markers' names)."""
+        found = [n for n, _ in fs.children(self.spark, f"{self.path}/_commits")]
+        return max((int(n[2:]) for n in found if n.startswith("v=") and n[2:].isdigit()), default=None)
 
     def exists(self) -> bool:
-        if self.partition_by:
-            return files_exist(self.spark, self._data())
         return self.current_version() is not None
 
+    def data(self, version: int | None = None) -> str:
+        return f"{self.path}/v={version or self.current_version()}"
+
     def read(self) -> DataFrame | None:
         """Current content, or None when the table was never written."""
-        if self.partition_by:
-            if not files_exist(self.spark, self._data()):
-                return None
-            return self.spark.read.option("basePath", self._data()).parquet(self._data())
         v = self.current_version()
         if v is None:
             return None
-        return self.spark.read.parquet(f"{self.path}/v={v}")
-
-    def vacuum(self, keep: int = 3) -> list[int]:
-        """Delete committed versions older than the newest ``keep`` and any
-        uncommitted version folder below the newest commit.  Returns the
-        removed version numbers.  Readers of the kept versions are unaffected."""
-        if self.partition_by or keep < 1:
-            return []
-        current = self.current_version()
-        if current is None:
-            return []
-        removed = []
-        for d in fs.child_dirs(self.spark, self.path):
-            if d.startswith("v=") and d[2:].isdigit() and int(d[2:]) <= current - keep:
-                fs.delete(self.spark, f"{self._commits()}/{d}")
-                fs.delete(self.spark, f"{self.path}/{d}")
-                removed.append(int(d[2:]))
-        return sorted(removed)
-
-    # ------------------------------------------------------------- load log
-    def _load_log(self) -> DataFrame | None:
-        if not self.partition_by or not files_exist(self.spark, self._loads()):
-            return None
-        return self.spark.read.parquet(self._loads())
-
-    def watermark(self, column: str = LOAD_TS) -> _dt.datetime:
-        """Newest load time of the table (1900-01-01 when empty), as a value.
-
-        Partitioned tables answer from the load log; versioned (dimension)
-        tables take ``max(column)`` of the current version.
-        """
-        log = self._load_log()
-        if log is not None:
-            value = log.agg(F.max(LOAD_TS)).first()[0]
-        else:
-            df = self.read()
-            value = None if df is None else df.agg(F.max(column)).first()[0]
-        return value if value is not None else FLOOR
-
-    def read_since(self, mark: _dt.datetime, column: str = LOAD_TS) -> tuple[DataFrame | None, list | None]:
-        """Rows loaded after ``mark`` and the partitions they can be in.
-
-        The load log names the partitions the later loads touched, so only
-        they are scanned (static partition pruning) before the row-level
-        ``column > mark`` filter.  The partition list is ``None`` when the
-        table has no log (versioned tables).
-        """
-        df = self.read()
-        if df is None:
-            return None, None
-        log = self._load_log()
-        parts = None
-        if log is not None:
-            parts = distinct_values(log.where(F.col(LOAD_TS) > F.lit(mark).cast("timestamp")), self.partition_by)
-            df = df.where(F.col(self.partition_by).isin(parts))
-        return newer_than(df, column, F.lit(mark).cast("timestamp")), parts
-
-    def partitions_loaded_since(self, mark: _dt.datetime, *, inclusive: bool = True) -> list | None:
-        """Partitions written by loads at (or after) ``mark``; None without a log."""
-        log = self._load_log()
-        if log is None:
-            return None
-        ts = F.lit(mark).cast("timestamp")
-        return distinct_values(log.where(F.col(LOAD_TS) >= ts if inclusive else F.col(LOAD_TS) > ts),
-                               self.partition_by)
-
-    def read_partitions(self, partitions: list) -> DataFrame | None:
-        """All rows of the given partitions (static partition pruning)."""
-        df = self.read()
-        return None if df is None else df.where(F.col(self.partition_by).isin(partitions))
-
-    def _log_load(self, partitions: list | None, load_ts: _dt.datetime | None, *, reset: bool = False) -> None:
-        if not self.partition_by or load_ts is None or not partitions:
+        schema = json.loads(fs.read_text(self.spark, f"{self.path}/_commits/v={v}"))
+        return self.spark.read.schema(T.StructType.fromJson(schema)).parquet(self.data(v))
+
+    # ------------------------------------------------------------- load logs
+    def _log_schema(self) -> str:
+        return f"{LOAD_TS} timestamp, {self.partition_by or '_none'} date"
+
+    def loads(self) -> DataFrame:
+        """(load id, date it touched) of every load (dimension tables: no date)."""
+        path = f"{self.path}/_loads"
+        if not fs.has_file(self.spark, path):
+            return self.spark.createDataFrame([], self._log_schema())
+        return self.spark.read.schema(self._log_schema()).parquet(path)
+
+    def newest_load(self) -> _dt.datetime:
+        """The newest load time of the table (1900-01-01 when empty), in UTC."""
+        return _time(self.loads().agg(F.unix_micros(F.max(LOAD_TS))).first()[0])
+
+    def next_load(self, at: _dt.datetime) -> _dt.datetime:
+        """The id of a load at this time: the time itself, or the next free
+        microsecond after the newest load."""
+        at = at if at.tzinfo else at.replace(tzinfo=_UTC)
+        return max(at, self.newest_load() + _dt.timedelta(microseconds=1))
+
+    def _log(self, df: DataFrame | None, load_ts: _dt.datetime | None) -> None:
+        """``df``: rows whose dates the load touched."""
+        if load_ts is None:
             return
-        dtype = _spark_type_of(partitions[0])
-        entry = uuid.uuid4().hex
-        log = self.spark.createDataFrame([(load_ts, p, entry) for p in partitions],
-                                         f"{LOAD_TS} timestamp, {self.partition_by} {dtype}, load string")
-        writer = log.coalesce(1).write.partitionBy("load")
-        if reset:  # a full refresh starts a new log
-            writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._loads())
+        if self.partition_by:
+            touched = df.select(F.col(self.partition_by).cast("date").alias(self.partition_by)).distinct()
         else:
-            writer.mode("append").parquet(self._loads())
+            touched = self.spark.range(1).select(F.lit(None).cast("date").alias("_none"))
+        touched.select(utc_lit(load_ts).alias(LOAD_TS), *touched.columns).coalesce(1) \
+            .write.mode("append").parquet(f"{self.path}/_loads")
+
+    def pending(self, source: "LayerTable") -> DataFrame:
+        """Loads of ``source`` that this table hasn't consumed, as they are now:
+        (load id, date).  The files of both logs are listed here, so later
+        commits don't change the frame."""
+        loads = source.loads()
+        path = f"{self.path}/_consumed"
+        if not fs.has_file(self.spark, path):
+            return loads
+        taken = self.spark.read.schema(f"source string, {LOAD_TS} timestamp").parquet(path)
+        return loads.join(taken.where(F.col("source") == source.name).select(LOAD_TS), LOAD_TS, "left_anti")
+
+    def consume(self, source: "LayerTable", pending: DataFrame) -> None:
+        """Record that the pending loads were taken in (after the write)."""
+        pending.select(F.lit(source.name).alias("source"), LOAD_TS).distinct().coalesce(1) \
+            .write.mode("append").parquet(f"{self.path}/_consumed")
+
+    def rows_of(self, loads: DataFrame) -> DataFrame:
+        """The table's rows stamped with one of the loads (only their dates
+        are scanned)."""
+        df = self.read()
+        if self.partition_by:
+            return prune_to(df, loads, [self.partition_by, LOAD_TS])
+        return prune_to(df, loads, [LOAD_TS])
 
     # ----------------------------------------------------------------- write
-    def _commit_version(self, df: DataFrame) -> int:
-        v = (self.current_version() or 0) + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v={v}")
-        marker = self.spark.range(1).select(F.current_timestamp().alias("committed_at"))
-        marker.write.mode("overwrite").parquet(f"{self._commits()}/v={v}")
-        return v
+    def _put(self, df: DataFrame, path: str, mode: str, **options: str) -> None:
+        if self.partition_by:
+            writer = df.hint("rebalance", self.partition_by).write.partitionBy(self.partition_by)
+        else:
+            writer = df.write
+        writer.mode(mode).options(**options).parquet(path)
+
+    def _commit(self, df: DataFrame) -> None:
+        """Write ``df`` as a new version; the version before it is kept for its
+        readers, older ones go."""
+        now = self.current_version() or 0
+        self._put(df, self.data(now + 1), "overwrite")
+        fs.write_text(self.spark, f"{self.path}/_commits/v={now + 1}", json.dumps(df.schema.jsonValue()))
+        for d in fs.child_dirs(self.spark, self.path):
+            if d.startswith("v=") and int(d[2:]) < now:
+                fs.delete(self.spark, f"{self.path}/_commits/{d}")
+                fs.delete(self.spark, f"{self.path}/{d}")
 
     def overwrite(self, df: DataFrame, *, load_ts: _dt.datetime | None = None) -> None:
         """Full refresh: the table becomes exactly ``df``."""
-        if self.partition_by:
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy(self.partition_by).parquet(self._data()))
-            if load_ts is not None and self.exists():
-                self._log_load(distinct_values(self.read(), self.partition_by), load_ts, reset=True)
-        else:
-            self._commit_version(df)
+        self._commit(df)
+        self._log(self.read(), load_ts)
 
-    def append(self, batch: DataFrame, *, load_ts: _dt.datetime | None = None,
-               partitions: list | None = None) -> None:
-        """Add the batch rows (no key).  ``partitions``: a known superset of
-        the partitions the batch touches (else they are computed)."""
-        if self.partition_by:
-            if load_ts is not None and partitions is None:
-                partitions = distinct_values(batch, self.partition_by)
-            batch.write.mode("append").partitionBy(self.partition_by).parquet(self._data())
-            self._log_load(partitions, load_ts)
-            return
-        current = self.read()
-        self._commit_version(batch if current is None else current.unionByName(batch.select(*current.columns)))
+    def append(self, batch: DataFrame, *, load_ts: _dt.datetime | None = None) -> bool:
+        """Add the batch rows (no key).  Returns whether there were any."""
+        with _Stages(self) as stage:
+            staged = stage(batch, "batch")
+            if staged.isEmpty():
+                return False
+            current = self.read()
+            if current is None:
+                self._commit(staged)
+            elif self.partition_by:
+                self._put(staged.select(*current.columns), self.data(), "append")
+            else:
+                self._commit(current.unionByName(staged.select(*current.columns)))
+            self._log(staged, load_ts)
+            return True
 
-    def upsert(self, batch: DataFrame, *, load_ts: _dt.datetime | None = None) -> bool:
+    def upsert(self, batch: DataFrame, *, load_ts: _dt.datetime | None = None, newest: str | None = None) -> bool:
         """Replace rows whose key is in the batch, insert the rest.
 
-        Partitioned tables: the batch is staged once under the checkpoint
-        folder (lineage cut; evaluated once), an empty batch stops there,
-        its partitions are read off the staged copy, and only those
-        partitions of the target are merged and rewritten.  Returns whether
-        anything was written.
+        With ``newest``, a version column, the newest version of a key is
+        kept, be it the table's or the batch's.  The batch is staged once
+        (lineage cut, evaluated once) and an empty one stops there.  Returns
+        whether anything was written.
         """
         if not self.keys:
             raise ValueError(f"{self.name} has no key; use append")
-        current = self.read()
-        if not self.partition_by:
-            self._commit_version(upsert_frame(current, batch, self.keys))
-            return True
-        stages: list[str] = []
-        staged = self._stage(batch, "batch", stages)
-        try:
+        with _Stages(self) as stage:
+            staged = stage(batch, "batch")
             if staged.isEmpty():
                 return False
-            touched = distinct_values(staged, self.partition_by)
+            current = self.read()
             if current is None:
-                staged.write.mode("overwrite").partitionBy(self.partition_by).parquet(self._data())
+                self._commit(staged)
             else:
-                old = current.where(F.col(self.partition_by).isin(touched))
-                merged = self._stage(upsert_frame(old, staged.select(*current.columns), self.keys), "merged", stages)
-                self._overwrite_partitions(merged)
-            self._log_load(touched, load_ts)
+                old = prune_to(current, staged, [self.partition_by]) if self.partition_by else current
+                rows = staged.select(*current.columns)
+                merged = merge_newest(old, rows, self.keys, newest, LOAD_TS) if newest else upsert_frame(old, rows, self.keys)
+                if self.partition_by:
+                    self._put(stage(merged, "merged"), self.data(), "overwrite", partitionOverwriteMode="dynamic")
+                else:
+                    self._commit(merged)
+            self._log(staged, load_ts)
             return True
-        finally:
-            for path in stages:  # the table holds the rows now (or nothing changed)
-                fs.delete(self.spark, path)
-
-    def replace_partitions(self, df: DataFrame, *, load_ts: _dt.datetime | None = None,
-                           partitions: list | None = None) -> None:
-        """Overwrite exactly the partitions present in ``df`` (recompute mode).
-        ``partitions``: the partitions ``df`` covers, when the caller knows."""
+
+    def replace_partitions(self, df: DataFrame, *, load_ts: _dt.datetime | None = None) -> None:
+        """Overwrite exactly the partitions present in ``df`` (recompute mode)."""
         if not self.partition_by:
             raise ValueError(f"{self.name} is not partitioned")
-        if load_ts is not None and partitions is None:
-            partitions = distinct_values(df, self.partition_by)
-        self._overwrite_partitions(df)
-        self._log_load(partitions, load_ts)
-
-    def _overwrite_partitions(self, df: DataFrame) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.partition_by).parquet(self._data()))
-
-    def _stage(self, df: DataFrame, tag: str, stages: list[str]) -> DataFrame:
-        """Write ``df`` under the shared checkpoint folder and read it back
-        (lineage cut: retried tasks read durable files)."""
-        stage = staging_path(self.spark, f"{self.layer}-{self.alias}-{tag}")
-        df.write.mode("overwrite").parquet(stage)
-        stages.append(stage)
-        return self.spark.read.parquet(stage)
-
-
-def _spark_type_of(value) -> str:
-    if isinstance(value, _dt.datetime):
-        return "timestamp"
-    if isinstance(value, _dt.date):
-        return "date"
-    if isinstance(value, bool):
-        return "boolean"
-    if isinstance(value, int):
-        return "bigint"
-    return "string"
+        with _Stages(self) as stage:
+            staged = stage(df, "recomputed")
+            if self.exists():
+                self._put(staged.select(*self.read().columns), self.data(), "overwrite", partitionOverwriteMode="dynamic")
+            else:
+                self._commit(staged)
+            self._log(staged, load_ts)
+
+
+class _Stages:
+    """Frames staged under the shared checkpoint folder while a write lasts."""
+
+    def __init__(self, table: LayerTable):
+        self.table, self.paths = table, []
+
+    def __enter__(self):
+        return self.stage
+
+    def stage(self, df: DataFrame, tag: str) -> DataFrame:
+        path = staging_path(self.table.spark, f"{self.table.layer}-{self.table.alias}-{tag}")
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.table.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:  # the table holds the rows now (or nothing changed)
+            fs.delete(self.table.spark, path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.functions.exprs import col_of
+from medallion.functions.exprs import col_of, utc_lit
 from medallion.schemas import EXTRACTION_TS, PARENT_COLUMN, landing_schema, nested_schema
 from medallion.sources.drift import align_to_schema
 from medallion.sources.flatten import flatten_structs
@@ -27,6 +27,27 @@ def page_schema(entity: str, parent_field: str = "parent_id") -> T.StructType:
     return T.StructType(fields)
 
 
+CORRUPT = "_corrupt_page"
+
+
+def _pages(spark: SparkSession, path: str, entity: str, parent_field: str, multi_line: bool) -> DataFrame:
+    schema = page_schema(entity, parent_field).add(CORRUPT, T.StringType())
+    return (spark.read.schema(schema)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("multiLine", str(multi_line).lower())
+            .option("recursiveFileLookup", "true")
+            .json(path))
+
+
+def bad_pages(spark: SparkSession, path: str, entity: str, *, parent_field: str = "parent_id",
+              multi_line: bool = True) -> DataFrame:
+    """(path, page): pages that can't be read as JSON of the declared shape."""
+    pages = _pages(spark, path, entity, parent_field, multi_line)
+    # Spark wants another column to be read beside the corrupt record
+    other = F.coalesce(F.size("results"), F.lit(0)) >= -1
+    return pages.where(F.col(CORRUPT).isNotNull() & other).select(F.col("_metadata.file_path").alias("path"), F.col(CORRUPT).alias("page"))
+
+
 def read_api_pages(spark: SparkSession, path: str, entity: str, *, parent_field: str = "parent_id",
                    multi_line: bool = True, extracted_at=None) -> DataFrame:
     """Landed rows of ``entity`` from the JSON pages under ``path``.
@@ -34,18 +55,14 @@ def read_api_pages(spark: SparkSession, path: str, entity: str, *, parent_field:
     Each page's records become rows; nested objects become dotted columns
     (lists are carried); the parent id becomes the entity's lineage column
     (``location_id`` / ``sensor_id``); ``extraction_timestamp`` is the
-    given time or the file's modification time.
+    given time (UTC if it has no zone) or the file's modification time.
+    Pages that aren't JSON have no rows here; :func:`bad_pages` has them.
     """
-    pages = (spark.read.schema(page_schema(entity, parent_field))
-             .option("multiLine", str(multi_line).lower())
-             .option("recursiveFileLookup", "true")
-             .json(path)
-             .withColumn("__file_ts", F.col("_metadata.file_modification_time")))
+    pages = _pages(spark, path, entity, parent_field, multi_line).where(F.col(CORRUPT).isNull()).withColumn("__file_ts", F.col("_metadata.file_modification_time"))
     keep = ["__file_ts"] + ([parent_field] if entity in PARENT_COLUMN else [])
     records = pages.select(*[col_of(k) for k in keep], F.explode("results").alias("__r"))
     flat = flatten_structs(records.select(*[col_of(k) for k in keep], "__r.*"))
-    stamped = flat.withColumn(EXTRACTION_TS, F.lit(extracted_at).cast("timestamp") if extracted_at is not None
-                              else F.col("__file_ts"))
+    stamped = flat.withColumn(EXTRACTION_TS, utc_lit(extracted_at) if extracted_at is not None else F.col("__file_ts"))
     if entity in PARENT_COLUMN:
         stamped = stamped.withColumnRenamed(parent_field, PARENT_COLUMN[entity])
     return align_to_schema(stamped, landing_schema(entity))

@@ -1,17 +1,16 @@
-"""Schema-drift-tolerant scan: union files by column name, widen types.
+"""Schema-drift-tolerant scan: every landed file aligned to one schema.
 
 Files written page by page by a JSON normaliser drift: a column can be
-int64 in one file and double in the next, or missing.  Spark's
-``mergeSchema`` refuses int64 vs double, and an explicit double schema over
-an int64 file fails at read time.  So:
-
-1. list the files (``binaryFile`` listing, no content read);
-2. read every file's Parquet footer in a distributed ``mapInPandas`` job
-   and emit a signature: the columns whose physical type differs from the
-   target type, and the all-null (Parquet null-typed) columns, which are
-   read as missing;
-3. one ``spark.read`` per distinct signature (there are a handful, not one
-   per file), cast to the target types, ``unionByName``.
+int64 in one file and double in the next, missing, all null (a null-typed
+column), or a list whose elements are empty or lack a field.  Spark reads a
+set of files with one schema and fails on such mixes, so each file is read
+on its own: the ``binaryFile`` source delivers whole files through Spark's
+file systems (any path Spark can open) to tasks, which decode them with
+Arrow, align them to the target schema, nested types included, and hand the
+rows back as Arrow batches.  No path list and no rows pass the driver.
+
+Landed pages are small (an API page of records).  A file is decoded whole in
+one task, so this scan is for pages, not for large tables.
 """
 
 from __future__ import annotations
@@ -19,108 +18,81 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from medallion.functions.exprs import col_of
-from medallion.sources.landing import list_files
-
-VOID = "void"
-_SIMPLE = {
-    "int8": T.ByteType(), "int16": T.ShortType(), "int32": T.IntegerType(), "int64": T.LongType(),
-    "uint8": T.ShortType(), "uint16": T.IntegerType(), "uint32": T.LongType(),
-    "float": T.FloatType(), "halffloat": T.FloatType(), "double": T.DoubleType(),
-    "bool": T.BooleanType(), "string": T.StringType(), "large_string": T.StringType(),
-}
-
-
-def _local_path(uri: str):
-    import pyarrow.fs as pafs
-
-    from urllib.parse import unquote, urlparse
-
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), unquote(urlparse(uri).path)
-    return pafs.FileSystem.from_uri(uri)
-
-
-def _footer_types(uri: str) -> dict[str, str]:
-    import pyarrow.parquet as pq
-
-    fs, p = _local_path(uri)
-    with fs.open_input_file(p) as fh:
-        schema = pq.read_schema(fh)
-    return {f.name: str(f.type) for f in schema}
-
-
-def _signature_fn(targets: dict[str, str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sigs = []
-            for uri in pdf["path"]:
-                types = _footer_types(uri)
-                diffs = []
-                for name, want in targets.items():
-                    have = types.get(name)
-                    if have is None:
-                        continue
-                    if have == "null":
-                        # an all-null page column: read it as missing
-                        diffs.append(f"{name}={VOID}")
-                        continue
-                    spark_t = _SIMPLE.get(have)
-                    if spark_t is not None and spark_t.simpleString() != want:
-                        diffs.append(f"{name}={spark_t.simpleString()}")
-                sigs.append(";".join(sorted(diffs)))
-            yield pd.DataFrame({"path": pdf["path"], "signature": sigs})
-
-    return run
-
-
-def footer_signatures(files: DataFrame, schema: T.StructType) -> DataFrame:
-    """``(path, signature)``: which target columns a file stores with another type."""
-    targets = {f.name: f.dataType.simpleString() for f in schema.fields}
-    return files.select("path").mapInPandas(_signature_fn(targets), "path string, signature string")
-
-
-def _read_schema(schema: T.StructType, signature: str) -> T.StructType:
-    overrides: dict[str, T.DataType | None] = {}
-    for item in filter(None, signature.split(";")):
-        name, tname = item.rsplit("=", 1)
-        overrides[name] = None if tname == VOID else T._parse_datatype_string(tname)
-    return T.StructType([T.StructField(f.name, overrides.get(f.name, f.dataType), True)
-                         for f in schema.fields if f.name not in overrides or overrides[f.name] is not None])
-
-
-def scan_drifting(spark: SparkSession, path: str, schema: T.StructType, *,
+from medallion.sources import fs
+
+
+def align_array(a: pa.Array, to: pa.DataType) -> pa.Array:
+    """``a`` as type ``to``: structs by field name (missing fields null), lists
+    by element, null-typed values as nulls; a value that can't be cast is null."""
+    if a.type == to:
+        return a
+    if pa.types.is_null(a.type):
+        return pa.nulls(len(a), to)
+    if pa.types.is_dictionary(a.type):
+        return align_array(a.dictionary_decode(), to)
+    if pa.types.is_struct(to):
+        if not pa.types.is_struct(a.type):
+            return pa.nulls(len(a), to)
+        have = {a.type.field(i).name: i for i in range(a.type.num_fields)}
+        parts = [align_array(a.field(have[f.name]), f.type) if f.name in have else pa.nulls(len(a), f.type) for f in to]
+        return pa.StructArray.from_arrays(parts, fields=list(to), mask=a.is_null())
+    if pa.types.is_list(to):
+        if not (pa.types.is_list(a.type) or pa.types.is_large_list(a.type)):
+            return pa.nulls(len(a), to)
+        values = align_array(a.flatten(), to.value_type)
+        lengths = pc.fill_null(pc.list_value_length(a), 0)
+        ends = pc.cumulative_sum(lengths.cast(pa.int32()))
+        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+        return pa.ListArray.from_arrays(offsets, values, type=to, mask=a.is_null())
+    try:
+        return a.cast(to, safe=False)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        return pa.array([_one(v, to) for v in a], to)
+
+
+def _one(value: pa.Scalar, to: pa.DataType):
+    try:
+        return value.cast(to, safe=False).as_py()
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        return None
+
+
+def decode_files(files: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of the Parquet files whose bytes are in ``files.content``."""
+    target = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for content in batch.column(0):
+                page = pq.read_table(pa.BufferReader(content.as_buffer()))
+                for rows in page.to_batches():
+                    cols = [align_array(rows.column(f.name), f.type) if f.name in rows.schema.names else pa.nulls(len(rows), f.type)
+                            for f in target]
+                    yield pa.RecordBatch.from_arrays(cols, schema=target)
+
+    return files.select("content").mapInArrow(run, schema)
+
+
+def scan_drifting(spark: SparkSession, path: str | list[str], schema: T.StructType, *,
                   glob: str = "*.parquet") -> DataFrame:
-    """Read every file under ``path`` aligned to ``schema`` (union by name).
-
-    Missing columns are null-filled; a column stored as int in some files and
-    double in others comes out as the target type.
-    """
-    return read_drifting(spark, list_files(spark, path, glob), schema)
-
-
-def read_drifting(spark: SparkSession, files: DataFrame, schema: T.StructType) -> DataFrame:
-    """Read the files listed in ``files.path`` aligned to ``schema``.
-
-    The driver only handles the file paths, grouped by footer signature
-    (Spark's file index lists them on the driver anyway); rows never pass
-    through it.
-    """
-    groups = (footer_signatures(files, schema)
-              .groupBy("signature").agg(F.collect_list("path").alias("paths"))
-              .collect())
-    if not groups:
+    """Every file under the path(s) aligned to ``schema``; paths that don't
+    exist hold no files."""
+    there = [p for p in ([path] if isinstance(path, str) else path) if fs.has_file(spark, p, glob.lstrip("*"))]
+    if not there:
         return spark.createDataFrame([], schema)
-    parts = []
-    for g in groups:
-        rs = _read_schema(schema, g["signature"])
-        parts.append(align_to_schema(spark.read.schema(rs).parquet(*g["paths"]), schema))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(there))
+    return decode_files(files, schema)
 
 
 def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -38,18 +38,27 @@ def has_file(spark: SparkSession, path: str, suffix: str = ".parquet") -> bool:
     return False
 
 
-def child_dirs(spark: SparkSession, path: str) -> list[str]:
-    """Names of the sub-folders of ``path`` (empty when it does not exist)."""
+def children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, is a folder) of what is in ``path`` and isn't hidden (empty when
+    it does not exist)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    found = [(s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(p)]
+    return [(n, d) for n, d in found if not n.startswith(("_", "."))]
+
 
+def child_dirs(spark: SparkSession, path: str) -> list[str]:
+    return [n for n, is_dir in children(spark, path) if is_dir]
 
-def rename(spark: SparkSession, src: str, dest: str) -> bool:
+
+def rename(spark: SparkSession, src: str, dest: str) -> None:
+    """Rename, creating the parent folder; fails if the store refuses."""
     fs, p = _fs(spark, src)
-    jvm = spark.sparkContext._jvm
-    return bool(fs.rename(p, jvm.org.apache.hadoop.fs.Path(dest)))
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dest)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"cannot rename {src} to {dest}")
 
 
 def mkdirs(spark: SparkSession, path: str) -> None:
@@ -61,3 +70,22 @@ def delete(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` (a metadata operation on the file system)."""
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file: written under a hidden name and renamed when complete."""
+    folder, _, name = path.rpartition("/")
+    fs, p = _fs(spark, f"{folder}/.{name}.tmp")
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename(spark, f"{folder}/.{name}.tmp", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

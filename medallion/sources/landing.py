@@ -1,25 +1,31 @@
-"""Landing zone: append-only raw files per entity, ``<root>/<entity>/new/`` for
-files not yet loaded and ``<root>/<entity>/`` for archived ones.
+"""Landing zone: append-only raw files per entity.
 
 Layout::
 
-    <root>/<entity>/new/<prefix>_<stamp>/part-*.parquet   pending batches
-    <root>/<entity>/<prefix>_<stamp>/part-*.parquet       archived batches
+    <root>/<entity>/new/...              landed: batch folders or plain files
+    <root>/<entity>/loading/<load>/...   claimed by a load
+    <root>/<entity>/<load>/...           archived: loaded
+
+A load first *claims* what is in ``new/`` by renaming it to a folder of its
+own, reads exactly the claimed files, and the archive step renames that
+folder.  What lands meanwhile stays in ``new/`` for the next load; what a
+failed load claimed stays in ``loading/`` and is read again by the next.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from medallion.schemas import ENTITY_FIELDS, EXTRACTION_TS, landing_schema
 from medallion.sources import fs
 
 NEW_DIR = "new"
+LOADING_DIR = "loading"
 
 
 def entity_dir(root: str, entity: str) -> str:
@@ -30,6 +36,10 @@ def new_dir(root: str, entity: str) -> str:
     return f"{entity_dir(root, entity)}/{NEW_DIR}"
 
 
+def loading_dir(root: str, entity: str) -> str:
+    return f"{entity_dir(root, entity)}/{LOADING_DIR}"
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet", recursive: bool = True) -> DataFrame:
     """``(path, modificationTime, length)`` of matching files, as a DataFrame.
 
@@ -38,14 +48,13 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.parquet", recursiv
     an empty frame.
     """
     schema = "path string, modificationTime timestamp, length long"
-    try:
-        return (spark.read.format("binaryFile")
-                .option("pathGlobFilter", glob)
-                .option("recursiveFileLookup", str(recursive).lower())
-                .load(path)
-                .select("path", "modificationTime", "length"))
-    except AnalysisException:
+    if not fs.exists(spark, path):
         return spark.createDataFrame([], schema)
+    return (spark.read.format("binaryFile")
+            .option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", str(recursive).lower())
+            .load(path)
+            .select("path", "modificationTime", "length"))
 
 
 def files_exist(spark: SparkSession, path: str, glob: str = "*.parquet") -> bool:
@@ -86,7 +95,7 @@ def stamp_lineage(df: DataFrame, *, parent_column: str | None = None, parent_val
 def batch_name(prefix: str = "", suffix: str = "", now: _dt.datetime | None = None) -> str:
     """``<prefix>_<yyyyMMdd_HHmmssffffff>_<suffix>`` (underscores only where needed)."""
     now = now or _dt.datetime.now(_dt.timezone.utc)
-    stamp = now.strftime("%Y%m%d_%H%M%S%f")
+    stamp = now.strftime("%Y%m%d_%H%M%S%f")  # fixed value: the file-name format of landed batches
     return "_".join(p for p in (prefix, stamp, suffix) if p)
 
 
@@ -96,38 +105,47 @@ def land(df: DataFrame, root: str, entity: str, *, prefix: str = "", suffix: str
 
     Rows of a known entity are first aligned to its landing schema (types
     cast, missing columns null-filled), so files landed here never drift;
-    only pages written by other tools need the footer-signature scan.  An
-    empty batch writes nothing and returns None; otherwise the batch folder
-    is returned.  The write is a normal distributed Parquet write.
+    only pages written by other tools need the drift scan.  The batch is
+    written under a hidden name and renamed when complete, so a load never
+    claims half of it.  An empty batch leaves nothing and returns None.
     """
-    if skip_empty and df.isEmpty():
-        return None
     if align and entity in ENTITY_FIELDS:
         from medallion.sources.drift import align_to_schema
 
         df = align_to_schema(df, landing_schema(entity))
-    target = f"{new_dir(root, entity)}/{batch_name(prefix or entity, suffix)}"
-    df.write.mode("errorifexists").parquet(target)
+    name = batch_name(prefix or entity, suffix)
+    hidden, target = f"{new_dir(root, entity)}/_{name}", f"{new_dir(root, entity)}/{name}"
+    df.write.mode("errorifexists").parquet(hidden)
+    if skip_empty and df.sparkSession.read.schema(df.schema).parquet(hidden).isEmpty():
+        fs.delete(df.sparkSession, hidden)
+        return None
+    fs.rename(df.sparkSession, hidden, target)
     return target
 
 
-def archive_new(spark: SparkSession, root: str, entity: str) -> int:
-    """Move pending batch folders of ``entity`` from ``new/`` to the entity folder.
+def claim_new(spark: SparkSession, root: str, entity: str) -> str | None:
+    """Move what is in ``new/`` to a load folder of its own; returns the folder
+    of all claimed files (older claims included), or None if there are none.
 
-    A metadata-only rename per batch folder (HDFS, object stores with
-    rename, local disk).  Returns the number of folders moved; an empty or
-    missing ``new/`` is fine.
+    One rename per batch folder or plain file: no file is read or copied.
     """
-    import uuid
-
-    src = new_dir(root, entity)
-    moved = 0
-    for name in fs.child_dirs(spark, src):
-        if name.startswith(("_", ".")):
-            continue
-        dest = f"{entity_dir(root, entity)}/{name}"
-        if fs.exists(spark, dest):  # a batch folder of the same name was archived before
-            dest = f"{dest}_{uuid.uuid4().hex[:8]}"
-        fs.rename(spark, f"{src}/{name}", dest)
-        moved += 1
-    return moved
+    pending = fs.children(spark, new_dir(root, entity))
+    if pending:
+        to = f"{loading_dir(root, entity)}/{batch_name('load', uuid.uuid4().hex[:8])}"
+        for name, _ in pending:
+            fs.rename(spark, f"{new_dir(root, entity)}/{name}", f"{to}/{name}")
+    return loading_dir(root, entity) if files_exist(spark, loading_dir(root, entity)) else None
+
+
+def claimed_and_archived(spark: SparkSession, root: str, entity: str) -> list[str]:
+    """Paths of everything claimed or archived: all but ``new/``."""
+    base = entity_dir(root, entity)
+    return [f"{base}/{name}" for name, _ in fs.children(spark, base) if name != NEW_DIR]
+
+
+def archive_loaded(spark: SparkSession, root: str, entity: str) -> int:
+    """Move the claimed load folders to the archive; returns how many."""
+    names = fs.child_dirs(spark, loading_dir(root, entity))
+    for name in names:
+        fs.rename(spark, f"{loading_dir(root, entity)}/{name}", f"{entity_dir(root, entity)}/{name}")
+    return len(names)

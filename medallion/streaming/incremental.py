@@ -6,21 +6,20 @@ needed); ``trigger(availableNow=True)`` processes everything pending and
 stops, which gives the daily batch cadence; ``cleanSource="archive"`` moves
 processed files out of ``new/`` into the entity's archive folder.  Each
 micro-batch is written with the same idempotent keyed upsert as the batch
-runner, so a retried micro-batch leaves the same table.
+runner, newest version of a key first, so a retried micro-batch leaves the
+same table.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from medallion.plans.models import MODELS_BY_NAME, build_bronze
+from medallion.plans.models import MODELS_BY_NAME
 from medallion.plans.runner import PipelineConfig, Runner
 from medallion.schemas import landing_schema
 from medallion.session import ensure_checkpoint_dir
-from medallion.sources.drift import read_drifting
+from medallion.sources.drift import decode_files
 from medallion.sources.landing import entity_dir, new_dir
 
 ARCHIVE_DIR = "archive"
@@ -36,13 +35,12 @@ def stream_checkpoint(spark: SparkSession, cfg: PipelineConfig, entity: str) ->
 
 def landing_stream(spark: SparkSession, cfg: PipelineConfig, entity: str, *, archive: bool = True,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of the *paths* of newly landed files of ``entity``.
+    """Streaming DataFrame of the *contents* of newly landed files of ``entity``.
 
     The file source tracks which files were seen (in its checkpoint) and
-    archives them; the rows are read per micro-batch with the drift scan,
-    because landed pages disagree on column types and one fixed streaming
-    schema cannot read them all.  Only ``path`` is selected, so the
-    ``binaryFile`` source never reads file content.
+    archives them; each micro-batch's files are decoded one by one, as in the
+    drift scan, because landed pages disagree on column types and one fixed
+    streaming schema cannot read them all.
     """
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", "*.parquet"))
@@ -51,7 +49,7 @@ def landing_stream(spark: SparkSession, cfg: PipelineConfig, entity: str, *, arc
                   .option("sourceArchiveDir", f"{entity_dir(cfg.landing_root, entity)}/{ARCHIVE_DIR}"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(f"{new_dir(cfg.landing_root, entity)}/*/").select("path")
+    return reader.load(f"{new_dir(cfg.landing_root, entity)}/*/").select("content")
 
 
 def _bronze_writer(spark: SparkSession, cfg: PipelineConfig, entity: str):
@@ -59,14 +57,7 @@ def _bronze_writer(spark: SparkSession, cfg: PipelineConfig, entity: str):
     model = MODELS_BY_NAME[f"bronze_{entity}"]
 
     def write(files: DataFrame, batch_id: int) -> None:
-        load_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        raw = read_drifting(spark, files, landing_schema(entity))
-        rows = build_bronze(raw, entity, load_ts=load_ts)
-        table = runner.table(model)
-        if not table.exists():
-            table.overwrite(rows, load_ts=load_ts)
-        elif not rows.isEmpty():
-            table.upsert(rows, load_ts=load_ts)
+        runner.load_bronze(model, decode_files(files, landing_schema(entity)), full=False)
 
     return write
 

@@ -101,10 +101,11 @@ def land_first_batch(root: str) -> None:
                "measurement_b1", e1, ("sensor_id", 1000))
     write_page(root, "measurement", [measurement(1.0, NO2, t(29, 10), t(29, 11))],
                "measurement_b1", e1, ("sensor_id", 1001))
-    # the same reading extracted twice in one batch: both copies tie
-    write_page(root, "measurement", [measurement(7.0, PM25, t(29, 23), t(30, 0))],
-               "measurement_b1", e1, ("sensor_id", 1002))
-    write_page(root, "measurement", [measurement(7.0, PM25, t(29, 23), t(30, 0))],
+    # the same reading extracted twice in one batch, with another coverage:
+    # both versions tie in bronze and are one row in silver
+    twice = measurement(7.0, PM25, t(29, 23), t(30, 0))
+    write_page(root, "measurement", [twice], "measurement_b1", e1, ("sensor_id", 1002))
+    write_page(root, "measurement", [{**twice, "coverage": {**twice["coverage"], "observed_count": 2}}],
                "measurement_b1", e1, ("sensor_id", 1002))
 
 

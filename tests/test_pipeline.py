@@ -1,10 +1,19 @@
 """End to end: landed pages -> bronze -> silver -> gold -> archive -> tests."""
 
 import datetime as dt
+import glob
+import json
+import os
+import random
+import shutil
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from medallion.operators.aggregates import daily_aggregate, hourly_aggregate
+from medallion.operators.selection import read_mark
+from medallion.plans.models import MODELS
 from medallion.plans.runner import PipelineConfig, Runner
 from medallion.sources.landing import files_exist
 from tests import landing_fixtures as lf
@@ -35,7 +44,7 @@ def test_first_run_builds_every_layer_and_passes_tests(two_runs):
     # latest-wins keeps both tied copies in bronze and the duplicate report
     # flags exactly that key; every other test passes
     assert {k: v for k, v in tests1.items() if v} == {"duplicates": 1}
-    assert sum(1 for r in snap[("bronze", "measurement")] if r[-3] == 1002) == 2
+    assert sum(1 for r in snap[("bronze", "measurement")] if r[-4] == 1002) == 2
 
 
 def test_second_run_incremental_semantics(spark, two_runs):
@@ -115,25 +124,6 @@ def test_reference_modes_append_partials(spark, tmp_path):
     assert dups >= 1
 
 
-def test_loaded_scope_tests_only_this_runs_partitions(spark, tmp_path):
-    cfg = PipelineConfig(landing_root=str(tmp_path / "raw"), warehouse_root=str(tmp_path / "wh"),
-                         country_ids=(80, 110))
-    lf.land_first_batch(cfg.landing_root)
-    Runner(spark, cfg, load_ts=T1).run_pipeline(test=False)
-    lf.land_second_batch(cfg.landing_root)
-    r = Runner(spark, cfg, load_ts=T2)
-    r.run_pipeline(test=False)
-    # the second batch touched 2025-12-29 and 2025-12-30 only; the tied
-    # duplicate of the first batch sits on 2025-12-29 23:00 (bronze), so it
-    # is in scope, while untouched partitions are not read at all
-    loaded = r._read_loaded("bronze", "measurement")
-    assert sorted({x.measurement_date for x in loaded.select("measurement_date").collect()}) == [
-        dt.date(2025, 12, 29), dt.date(2025, 12, 30)]
-    scoped = {x.test: x.failures for x in r.test(scope="loaded", store=False).collect()}
-    full = {x.test: x.failures for x in r.test(scope="all", store=False).collect()}
-    assert scoped == full
-
-
 def test_relanding_the_same_batch_is_idempotent(spark, tmp_path):
     cfg = PipelineConfig(landing_root=str(tmp_path / "raw"), warehouse_root=str(tmp_path / "wh"),
                          country_ids=(80, 110))
@@ -158,3 +148,146 @@ def test_parameters_with_data_side_table_matches_a_scan(spark, two_runs):
     side = {r.parameter_id for r in runner.parameters_with_data().collect()}
     scan = {r.parameter_id for r in runner.read("silver", "measurement").select("parameter_id").collect()}
     assert side == scan == {2, 5}
+
+
+def content(runner):
+    """All 18 tables without their load times."""
+    return {m.name: rows(df.drop("load_timestamp")) for m in MODELS if (df := runner.read(m.layer, m.alias)) is not None}
+
+
+def config(tmp_path, name=""):
+    return PipelineConfig(landing_root=str(tmp_path / f"raw{name}"), warehouse_root=str(tmp_path / f"wh{name}"),
+                          country_ids=(80, 110))
+
+
+def test_one_runner_takes_in_every_batch(spark, tmp_path):
+    cfg = config(tmp_path)
+    r = Runner(spark, cfg, load_ts=T1)  # one load time for both runs
+    lf.land_first_batch(cfg.landing_root)
+    r.run_pipeline(test=False)
+    lf.land_second_batch(cfg.landing_root)
+    r.run_pipeline(test=False)
+    incremental = content(r)
+    r.run_pipeline(full_refresh=True, test=False)
+    assert content(r) == incremental and len(incremental) == 18
+
+
+def test_a_load_committed_late_is_taken_in(spark, tmp_path):
+    """A bronze load stamped before, but committed after, a silver run."""
+    cfg = config(tmp_path)
+    lf.land_first_batch(cfg.landing_root)
+    Runner(spark, cfg, load_ts=T2).run_pipeline(test=False)
+    lf.land_second_batch(cfg.landing_root)
+    Runner(spark, cfg, load_ts=T1).run_layer("bronze")
+    assert Runner(spark, cfg, load_ts=T1).run_model("silver_measurement") == "upsert"
+    silver = Runner(spark, cfg).read("silver", "measurement")
+    assert rows(silver.where("sensor_id = 1000"), "value") == [(10.0,), (20.0,), (50.0,), (99.0,)]
+
+
+def test_older_versions_never_replace_newer_ones(spark, tmp_path):
+    cfg = config(tmp_path)
+    m = lambda v: [lf.measurement(v, lf.PM25, lf.t(29, 10), lf.t(29, 11))]
+    lf.write_page(cfg.landing_root, "measurement", m(99.0), "b1", dt.datetime(2025, 12, 31), ("sensor_id", 1))
+    r = Runner(spark, cfg)
+    r.run_model("bronze_measurement")
+    lf.write_page(cfg.landing_root, "measurement", m(10.0), "b2", dt.datetime(2025, 12, 30), ("sensor_id", 1))
+    r.run_model("bronze_measurement")
+    assert rows(r.read("bronze", "measurement"), "value") == [(99.0,)]
+
+
+def test_any_order_and_split_of_pages_equals_a_full_refresh(spark, tmp_path):
+    """Also with a parameter whose first reading comes in a later batch."""
+    rnd = random.Random(11)
+    pages = str(tmp_path / "pages")
+    lf.land_first_batch(pages)
+    lf.land_second_batch(pages)
+    co = {"id": 9, "name": "co", "units": "ppm", "display_name": "CO"}
+    lf.write_page(pages, "measurement", [lf.measurement(3.0, co, lf.t(27, 1), lf.t(27, 2))], "measurement_b3",
+                  dt.datetime(2026, 1, 1), ("sensor_id", 1001))
+    lf.write_page(pages, "country", [lf.country(80, "RS", "Old name")], "country_b0", dt.datetime(2025, 12, 1))
+    files = sorted(glob.glob(f"{pages}/*/new/*/*.parquet"))
+    want = None
+    for name, runs in (("full", 1), ("a", 3)):
+        cfg = config(tmp_path, name)
+        order = rnd.sample(files, len(files))
+        # every entity has a page in the first run, so that all layers exist
+        first = {f.split("/new/")[0]: f for f in reversed(order)}
+        split = {f: 0 if runs == 1 or f in first.values() else rnd.randrange(runs) for f in order}
+        for k in range(runs):
+            for f in order:
+                if split[f] == k:
+                    to = f"{cfg.landing_root}/{f[len(pages) + 1:]}"
+                    if rnd.random() < 0.5:  # a plain file in new/
+                        to = f"{to.split('/new/')[0]}/new/{os.path.basename(os.path.dirname(f))}-{os.path.basename(f)}"
+                    os.makedirs(os.path.dirname(to), exist_ok=True)
+                    shutil.copy(f, to)
+            Runner(spark, cfg).run_pipeline(test=False)
+            assert not any(files_exist(spark, f"{cfg.landing_root}/{e}/{d}") for e in cfg.entities for d in ("new", "loading"))
+        got = content(Runner(spark, cfg))
+        assert len(got) == 18
+        want = want or got
+        for table in want:
+            assert got[table] == want[table], (name, table)
+    assert [r[0] for r in want["gold_parameter"]] == [2, 5, 9]
+
+
+def test_rows_without_a_date_are_kept_aside_and_counted(spark, tmp_path):
+    cfg = config(tmp_path)
+    r = Runner(spark, cfg)
+    for k in range(2):
+        lf.write_page(cfg.landing_root, "measurement", [lf.measurement(1.0 + k, lf.PM25, f"no time {k}", lf.t(29, 11)),
+                                                        lf.measurement(5.0, lf.PM25, lf.t(29, 10 + k), lf.t(29, 11 + k))],
+                      f"b{k}", dt.datetime(2025, 12, 30 + k), ("sensor_id", 1))
+        r.run_model("bronze_measurement")
+    assert r.read("bronze", "measurement").count() == 2
+    failures = {x.test: x.failures for x in r.test(store=False).collect()}
+    assert failures["undated_measurement"] == 2
+    r.run_model("bronze_measurement", full_refresh=True)
+    assert {x.test: x.failures for x in r.test(store=False).collect()}["undated_measurement"] == 2
+
+
+def test_files_landed_during_a_run_wait_for_the_next(spark, tmp_path):
+    cfg = config(tmp_path)
+    lf.land_first_batch(cfg.landing_root)
+    r = Runner(spark, cfg)
+    r.run_layer("bronze")
+    lf.land_second_batch(cfg.landing_root)  # while silver and gold run
+    r.archive()
+    assert files_exist(spark, f"{cfg.landing_root}/measurement/new")
+    r.run_pipeline(test=False)
+    assert rows(r.read("silver", "measurement").where("sensor_id = 1000"), "value") == [(10.0,), (20.0,), (50.0,), (99.0,)]
+
+
+def test_pages_are_landed_and_the_mark_advances(spark, tmp_path):
+    cfg = config(tmp_path)
+    cfg.pages_root = str(tmp_path / "json")
+    os.makedirs(f"{cfg.pages_root}/measurement")
+    with open(f"{cfg.pages_root}/measurement/p1.json", "w") as f:
+        json.dump({"parent_id": 1000, "results": [lf.measurement(1.5, lf.PM25, lf.t(29, 10), lf.t(29, 11))]}, f)
+    with open(f"{cfg.pages_root}/measurement/p2.json", "w") as f:
+        f.write('{"results": [{"value": 1.5, "period"')
+    lf.land_first_batch(cfg.landing_root)
+    failures = {x.test: x.failures for x in Runner(spark, cfg, load_ts=T1).run_pipeline().collect()}
+    assert failures["bad_pages"] == 1
+    r = Runner(spark, cfg)
+    assert rows(r.read("bronze", "measurement").where("sensor_id = 1000"), "value") == [(1.5,), (20.0,), (30.0,)]
+    mark = spark.range(1).select(F.unix_micros(read_mark(spark, cfg.mark))).first()[0]
+    assert mark == int(T1.replace(tzinfo=dt.timezone.utc).timestamp() * 1e6)
+    assert os.listdir(f"{cfg.pages_root}/measurement/loading") == []
+
+
+def test_load_times_are_utc_whatever_the_zone_of_the_driver(spark, tmp_path, monkeypatch):
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        cfg = config(tmp_path)
+        lf.land_first_batch(cfg.landing_root)
+        r = Runner(spark, cfg, load_ts=T1)
+        r.run_model("bronze_country")
+        micros = r.read("bronze", "country").select(F.unix_micros("load_timestamp")).distinct().collect()
+        want = int(T1.replace(tzinfo=dt.timezone.utc).timestamp() * 1e6)
+        assert [x[0] for x in micros] == [want]
+        assert r.table("bronze_country").newest_load() == T1.replace(tzinfo=dt.timezone.utc)
+    finally:
+        monkeypatch.undo()
+        time.tzset()

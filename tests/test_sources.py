@@ -5,9 +5,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from medallion.schemas import landing_schema, nested_schema
-from medallion.sources.drift import align_to_schema, footer_signatures, scan_drifting, union_aligned
+from medallion.sources.drift import align_to_schema, scan_drifting, union_aligned
 from medallion.sources.flatten import dotted_to_snake, explode_results, flatten_structs
-from medallion.sources.landing import archive_new, files_exist, land, list_files, scan_landing, stamp_lineage
+from medallion.sources.landing import archive_loaded, claim_new, files_exist, land, list_files, scan_landing, stamp_lineage
 from tests import landing_fixtures as lf
 from tests.conftest import rows
 
@@ -43,8 +43,6 @@ def test_drift_scan_unions_int_double_and_missing(spark, tmp_path):
     root = str(tmp_path)
     lf.land_first_batch(root)
     path = f"{root}/sensor"
-    sig = rows(footer_signatures(list_files(spark, path), landing_schema("sensor")), "signature")
-    assert ("summary.min=bigint",) in sig
     df = scan_drifting(spark, path, landing_schema("sensor"))
     assert dict(df.dtypes)["summary.min"] == "double"
     got = rows(df, "id", "summary.min", "latest.value", "location_id")
@@ -70,10 +68,12 @@ def test_land_stamp_and_archive(spark, tmp_path):
     assert land(rec.where("false"), root, "sensor") is None
     folder = land(stamped, root, "sensor", prefix="sensor")
     assert folder and os.path.basename(folder).startswith("sensor_")
-    assert archive_new(spark, root, "sensor") == 1
+    assert claim_new(spark, root, "sensor") == f"{root}/sensor/loading"
+    assert archive_loaded(spark, root, "sensor") == 1
     assert not files_exist(spark, f"{root}/sensor/new")
     assert spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/sensor").count() == 1
-    assert archive_new(spark, root, "sensor") == 0
+    assert claim_new(spark, root, "sensor") is None and archive_loaded(spark, root, "sensor") == 0
+    assert list_files(spark, f"{root}/nothing").count() == 0
 
 
 def test_align_to_schema(spark):
@@ -118,11 +118,43 @@ def test_read_api_pages_explode_flatten_stamp(spark, tmp_path):
     assert scan_landing(spark, str(tmp_path / "raw"), "measurement", scope="new").count() == 3
 
 
-def test_archive_does_not_nest_a_relanded_batch(spark, tmp_path):
+def test_a_relanded_batch_is_archived_beside_the_first(spark, tmp_path):
     root = str(tmp_path)
     rec = stamp_lineage(spark.createDataFrame([(1, "a")], "id long, name string"), at=dt.datetime(2025, 1, 1))
     for _ in range(2):
         rec.write.parquet(f"{root}/country/new/country_b1")
-        assert archive_new(spark, root, "country") == 1
-    archived = sorted(d for d in os.listdir(f"{root}/country") if d.startswith("country_b1"))
-    assert len(archived) == 2 and not os.path.exists(f"{root}/country/country_b1/country_b1")
+        claim_new(spark, root, "country")
+        assert archive_loaded(spark, root, "country") == 1
+    assert sorted(os.listdir(f"{root}/country/{d}") for d in os.listdir(f"{root}/country") if d.startswith("load_")) == [["country_b1"]] * 2
+
+
+def test_pages_with_empty_lists_and_all_null_fields(spark, tmp_path):
+    root, e1 = str(tmp_path), dt.datetime(2025, 12, 30, 6)
+    a, b, c = (lf.location(i, "n", "l", 80, "RS", 1.0, 2.0) for i in (1, 2, 3))
+    a["instruments"], a["sensors"] = [], []
+    b["sensors"] = [{"id": 20, "name": "s", "parameter": {"id": 2, "name": "pm25", "units": "u", "display_name": None}}]
+    c["instruments"], c["bounds"], c["distance"] = None, [1, 2], 3
+    for i, rec in enumerate((a, b, c)):
+        lf.write_page(root, "location", [rec], f"b %#{i}", e1)
+    for i, ps in enumerate(([], [{**lf.PM25, "display_name": None}], [lf.PM25], None)):
+        lf.write_page(root, "country", [{**lf.country(i, "c", "n"), "parameters": ps}], f"b{i}", e1)
+    got = {r.id: r for r in scan_drifting(spark, f"{root}/location", landing_schema("location")).collect()}
+    assert got[1].instruments == [] and got[3].instruments is None and got[2].instruments[0].name == "Government Monitor"
+    assert got[2].sensors[0].parameter.display_name is None and got[2].sensors[0].parameter.units == "u"
+    assert got[3].bounds == [1.0, 2.0] and got[3].distance == 3.0 and got[1].distance is None
+    got = {r.id: r.parameters for r in scan_drifting(spark, f"{root}/country", landing_schema("country")).collect()}
+    assert got[0] == [] and got[1][0].display_name is None and got[2][0].display_name == "PM2.5" and got[3] is None
+
+
+def test_align_array_keeps_slices_nulls_and_bad_values():
+    import pyarrow as pa
+
+    from medallion.sources.drift import align_array
+
+    to = pa.list_(pa.struct([("x", pa.int64()), ("y", pa.string())]))
+    a = pa.array([[{"x": 1.0}], None, [], [{"x": None}, None]], pa.list_(pa.struct([("x", pa.float64())])))
+    want = [[{"x": 1, "y": None}], None, [], [{"x": None, "y": None}, None]]
+    assert align_array(a, to).to_pylist() == want
+    assert align_array(a.slice(1), to).to_pylist() == want[1:]
+    assert align_array(pa.array(["1", "x", None]), pa.int64()).to_pylist() == [1, None, None]
+    assert align_array(pa.array([{"x": 1}, None]), pa.struct([("x", pa.string())])).to_pylist() == [{"x": "1"}, None]
