@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from medallion.flow_queries import FLOW_QUERIES, FLOW_SQL
+from medallion.queries import ORACLE_SQL, QUERIES
 from scripts.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -22,8 +24,12 @@ def con():
     return c
 
 
+NAMES = sorted({**QUERIES, **FLOW_QUERIES})
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) == {*ORACLE_SQL, *FLOW_SQL}
+    assert set(NAMES) <= set(entry.queries()) and set(NAMES) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -32,7 +38,7 @@ def test_entry_smoke(spark):
     assert df.columns[:4] == ["sensor_id", "date", "period_interval", "parameter_id"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     got = entry.queries()[name](spark, SF).toPandas()
     want = con.sql(entry.oracle_sql()[name]).df()
