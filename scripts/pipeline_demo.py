@@ -25,7 +25,7 @@ from medallion.functions.exprs import iso_text  # noqa: E402
 from medallion.operators.aggregates import daily_aggregate  # noqa: E402
 from medallion.plans.runner import PipelineConfig, Runner  # noqa: E402
 from medallion.session import build_session  # noqa: E402
-from medallion.sources.landing import archive_new, land  # noqa: E402
+from medallion.sources.landing import archive_loaded, land  # noqa: E402
 
 MODELS = ["bronze_measurement", "silver_measurement", "gold_measurement",
           "gold_measurement_hourly_aggregate", "gold_measurement_daily_aggregate"]
@@ -55,8 +55,7 @@ def main() -> None:
     base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark = build_session("local[8]", extra={"spark.sql.shuffle.partitions": "16"})
     spark.sparkContext.setLogLevel("ERROR")
-    cfg = PipelineConfig(landing_root=f"{base}/raw", warehouse_root=f"{base}/wh", entities=("measurement",),
-                         drift_entities=())
+    cfg = PipelineConfig(landing_root=f"{base}/raw", warehouse_root=f"{base}/wh", entities=("measurement",))
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     cut = F.expr(f"TIMESTAMP_NTZ '{CUT}'")
     report = {"sf_dir": sf_dir, "runs": []}
@@ -68,7 +67,7 @@ def main() -> None:
             t0 = time.perf_counter()
             outcome = runner.run_model(m)
             timings[m] = {"outcome": outcome, "sec": round(time.perf_counter() - t0, 3)}
-        archive_new(spark, cfg.landing_root, "measurement")
+        archive_loaded(spark, cfg.landing_root, "measurement")
         report["runs"].append(timings)
     runner = Runner(spark, cfg)
     silver = runner.read("silver", "measurement")
