@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
+from medallion.flow_queries import FLOW_SQL  # noqa: E402
 from medallion.queries import ORACLE_SQL  # noqa: E402
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -36,7 +37,7 @@ def main() -> None:
         return time.perf_counter() - t0
 
     times = {}
-    for name, sql in ORACLE_SQL.items():
+    for name, sql in {**ORACLE_SQL, **FLOW_SQL}.items():
         run(sql)
         times[name] = round(statistics.median(run(sql) for _ in range(3)), 4)
     print(json.dumps({"metric": "total_query_sec", "value": round(sum(times.values()), 4), "unit": "sec",
