@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +13,33 @@ from medallion.session import staging_path
 
 
 ROWS = 512
+_REUSED: list = []
+
+
+def reused(make: Callable) -> Callable:
+    """What ``make`` returns stays in the Python worker for its later tasks
+    (a model, a table), until a task of another operator starts there."""
+    kept = functools.lru_cache(maxsize=2)(make)
+    _REUSED.append(kept)
+    return kept
+
+
+def _started(start: Callable[[], object] | None):
+    before = [kept.cache_info()[:2] for kept in _REUSED]
+    state = start() if start else None
+    for kept, was in zip(_REUSED, before, strict=True):
+        if kept.cache_info()[:2] == was:
+            kept.cache_clear()
+    return state
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``ROWS`` rows, unless the submitter chose a size: rows
+    are whole documents here, and Spark's 10,000 of them take much memory on
+    both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(ROWS))
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
@@ -63,13 +91,14 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = start() if start else None
+        state = _started(start)
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
                 cols = fn(part, state) if start else fn(part)
                 yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in arrow], schema=arrow)
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm.common import documents
+from medallion.llm.common import documents, small_batches
 from medallion.llm.tokens import word_ids
 
 NULL_ID = -(1 << 63)
@@ -59,6 +59,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int) ->
     doc_ids: in the order of the texts' hashes.  Empty table: no part.
     """
     spark = docs.sparkSession
+    small_batches(spark)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()

@@ -31,7 +31,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import map_batches, pick, release, written
+from medallion.llm.common import map_batches, pick, release, reused, written
 
 ANCHOR = 6
 _MASK = (1 << 64) - 1
@@ -49,7 +49,9 @@ class _WordHash(dict):
         return h
 
 
-_hash = _WordHash()
+@reused
+def word_hashes() -> _WordHash:
+    return _WordHash()
 
 
 @functools.lru_cache(maxsize=8)
@@ -70,10 +72,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Hashed:
     """Hashes of any run of a document's words, by prefix sums mod 2^64."""
 
-    def __init__(self, words: list[bytes]):
+    def __init__(self, words: list[bytes], hashes: _WordHash):
         self.n = len(words)
         up, self.down = _powers(1 << max(16, (self.n + 1).bit_length()))
-        h = np.fromiter(map(_hash.__getitem__, words), np.uint64, self.n)
+        h = np.fromiter(map(hashes.__getitem__, words), np.uint64, self.n)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[: self.n])])
 
     def runs(self, begin: np.ndarray, length: np.ndarray | int) -> np.ndarray:
@@ -103,32 +105,32 @@ def _concat(parts: list[np.ndarray], dtype: type = np.int64) -> np.ndarray:
 def _anchors(keyed: DataFrame, size: int) -> DataFrame:
     """(anchor, n) per document and distinct anchor."""
 
-    def fn(batch: pa.RecordBatch) -> dict:
-        got = [np.unique(Hashed(w).blocks(size)[0], return_counts=True) for _, w in _texts(batch, size)]
+    def fn(batch: pa.RecordBatch, hashes: _WordHash) -> dict:
+        got = [np.unique(Hashed(w, hashes).blocks(size)[0], return_counts=True) for _, w in _texts(batch, size)]
         return {"anchor": _concat([a for a, _ in got], np.uint64).view(np.int64), "n": _concat([n for _, n in got])}
 
-    return map_batches(keyed.select("text"), fn, "anchor long, n long")
+    return map_batches(keyed.select("text"), fn, "anchor long, n long", word_hashes)
 
 
 def _blocks(keyed: DataFrame, size: int) -> DataFrame:
-    def fn(batch: pa.RecordBatch) -> dict:
-        got = [(i, *Hashed(w).blocks(size)) for i, w in _texts(batch, size)]
+    def fn(batch: pa.RecordBatch, hashes: _WordHash) -> dict:
+        got = [(i, *Hashed(w, hashes).blocks(size)) for i, w in _texts(batch, size)]
         row = np.repeat([g[0] for g in got], [len(g[1]) for g in got]).astype(np.int64)
         cols = [_concat([g[k] for g in got], np.uint64 if k < 3 else np.int64) for k in range(1, 6)]
         names = ("anchor", "content", "first", "offset", "windows")
         return {c: batch.column(c).take(pa.array(row)) for c in ("doc_id", "h")} | {c: v.view(np.int64) for c, v in zip(names, cols, strict=True)}
 
-    return map_batches(keyed, fn, "doc_id long, h int, anchor long, content long, first int, offset int, windows int")
+    return map_batches(keyed, fn, "doc_id long, h int, anchor long, content long, first int, offset int, windows int", word_hashes)
 
 
 def _windows(texts: DataFrame, size: int) -> DataFrame:
     """A row per window of the blocks listed with each document."""
 
-    def fn(batch: pa.RecordBatch) -> dict:
+    def fn(batch: pa.RecordBatch, hashes: _WordHash) -> dict:
         out: dict[str, list] = {c: [] for c in ("row", "anchor", "window", "at", "n")}
         lists = batch.column("blocks").to_pylist()
         for i, words in _texts(batch, size):
-            hashed = Hashed(words)
+            hashed = Hashed(words, hashes)
             for b in lists[i]:
                 at = b["first"] + np.arange(b["windows"])
                 out["at"].append(at)
@@ -139,7 +141,7 @@ def _windows(texts: DataFrame, size: int) -> DataFrame:
         row = pa.array(cols.pop("row"))
         return {c: batch.column(c).take(row) for c in ("doc_id", "h")} | {c: v.view(np.int64) for c, v in cols.items()}
 
-    return map_batches(texts, fn, "doc_id long, h int, anchor long, window long, at int, n long")
+    return map_batches(texts, fn, "doc_id long, h int, anchor long, window long, at int, n long", word_hashes)
 
 
 def _keyed(docs: DataFrame, *more: str) -> DataFrame:

@@ -8,7 +8,6 @@ time a task meets it, and a bounded table in the Python worker answers its repea
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 from collections import Counter
@@ -18,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import documents, map_batches
+from medallion.llm.common import documents, map_batches, reused
 
 TABLE_BYTES = 64 << 20  # of a generation of a worker's table of units
 _ENTRY = 200  # bytes that an entry takes besides its text
@@ -102,7 +101,7 @@ class PieceCounts:
         return self.table[unit]
 
 
-@functools.lru_cache(maxsize=2)
+@reused
 def piece_counts(path: str) -> PieceCounts:
     """One per Python worker: its later tasks find the model and the table."""
     return PieceCounts(path)
@@ -191,7 +190,7 @@ class WordIds:
         return b"".join(map(self.table.__getitem__, text.split()))  # bytes split at ASCII white space only
 
 
-@functools.lru_cache(maxsize=2)
+@reused
 def word_ids(path: str) -> WordIds:
     """One per Python worker, as ``piece_counts``."""
     return WordIds(path)
