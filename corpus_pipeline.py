@@ -2,7 +2,8 @@
 
 Each stage works on all that the one before kept and is written and read
 again before the next, so that a lost executor never costs an earlier stage.
-Null doc_ids can't be told apart: such rows pass the near-duplicate stage.
+Stages that choose among documents number the rows they get, so that null and
+repeated doc_ids are told apart.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from medallion.llm.langid import UNKNOWN, labelled
 from medallion.llm.mixing import mix, sized
 from medallion.llm.packing import pack
 from medallion.llm.queries import tokenizer
-from medallion.llm.simhash import near_duplicates
+from medallion.llm.simhash import survivors
 from medallion.llm.substring import remove_repeated
 
+ROW = "_row"  # the key of a row within a stage
 LEAST_SCORE = 0.4  # of a document's language; mixed documents have about a half
 
 
@@ -27,11 +29,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row, written, so that it stays as it is."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group stays."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    stay = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return stay.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One row of each group stays: the least doc_id's, null ids last."""
+    rows = numbered(docs)
+    return rows.join(survivors(rows, ROW), ROW, "left_semi").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,10 +51,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each use of a document by the mix; unused documents go."""
-    uses = mix(sized(docs)).where("size > 0 and taken > 0").groupBy("doc_id").agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("uses"))
-    uses = uses.withColumnRenamed("doc_id", "id")
-    got = docs.join(uses, docs["doc_id"].eqNullSafe(uses["id"])).withColumn("use", F.explode(F.sequence(F.lit(1), F.col("uses"))))
+    """A row for each use of a row by the mix; unused rows go."""
+    rows = numbered(docs)
+    uses = mix(sized(rows, row=ROW), row=ROW).where("size > 0 and taken > 0").select(ROW, (F.col("taken") / F.col("size")).cast("int").alias("_uses"))
+    got = rows.join(uses, ROW).withColumn("_use", F.explode(F.sequence(F.lit(1), F.col("_uses"))))
     return got.select(*docs.columns)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -56,14 +56,15 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return flat.select(*[F.col(f"_c{i}").alias(new) for new, i in at.items()])
 
 
-def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: Sequence[str] = ()) -> DataFrame:
     """(doc_id long, text binary): the input of the text operators.  Texts
     travel as UTF-8 bytes, which Python splits without decoding them; a null
-    text is empty."""
-    d = pick(df, doc_id=id_col, text=text_col)
+    text is empty.  The columns ``more`` follow as they are."""
+    d = pick(df, doc_id=id_col, text=text_col, **{c: c for c in more})
     return d.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
+        *more,
     )
 
 

@@ -88,25 +88,32 @@ def min_cost_flow(patterns: list[tuple[tuple, int]], quotas: dict, repeats: int
     return [{s: edges[k ^ 1][1] for s, k in f.items()} for f in flows]
 
 
-def sized(docs: DataFrame, source_col: str = "source") -> DataFrame:
-    """doc_id, size (words), sources (an array of the one source)."""
+def sized(docs: DataFrame, source_col: str = "source", row: str | None = None) -> DataFrame:
+    """doc_id, size (words), sources (an array of the one source), and the
+    column ``row``, a long, if it is named."""
+    more = {row: row} if row else {}
 
     def fn(batch: pa.RecordBatch) -> dict:
-        return {"doc_id": batch.column(0), "size": [len(t.split()) for t in batch.column(1).to_pylist()], "source": batch.column(2)}
+        size = [len(t.split()) for t in batch.column(1).to_pylist()]
+        return {"doc_id": batch.column(0), "size": size, "source": batch.column(2)} | {c: batch.column(c) for c in more}
 
-    d = pick(docs, doc_id="doc_id", text="text", source=source_col)
-    d = d.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"), F.col("source").cast("string").alias("source"))
-    return map_batches(d, fn, "doc_id long, size long, source string").select("doc_id", "size", F.array("source").alias("sources"))
+    d = pick(docs, doc_id="doc_id", text="text", source=source_col, **more)
+    d = d.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"), F.col("source").cast("string").alias("source"), *more)
+    schema = "doc_id long, size long, source string" + "".join(f", {c} long" for c in more)
+    return map_batches(d, fn, schema).select("doc_id", "size", F.array("source").alias("sources"), *more)
 
 
-def order_key(seed: int) -> Column:
-    """The seeded order of documents: 16 hex digits of an md5 of the id."""
-    return F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary")), 1, 16)
+def order_key(seed: int, row: str | None = None) -> Column:
+    """The seeded order of documents: 16 hex digits of an md5 of the id (of a
+    null id: of the row's key, if there is one)."""
+    of_null = F.concat(F.lit("row "), F.col(row).cast("string")) if row else F.lit("")
+    return F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), of_null), F.lit(f":{seed}")).cast("binary")), 1, 16)
 
 
-def mix(sized_docs: DataFrame, seed: int = 0, repeats: int = REPEATS) -> DataFrame:
+def mix(sized_docs: DataFrame, seed: int = 0, repeats: int = REPEATS, row: str | None = None) -> DataFrame:
     """doc_id, size, sources, source_size, target (sums over the document's
-    sources) and taken: the words the mix takes, repeats counted.
+    sources) and taken: the words the mix takes, repeats counted; and the
+    column ``row``, a unique key, if it is named.
 
     Sources in code point order, null last, weigh 1, 2, 3, repeating.  Only
     words by pattern reach the driver.  The place where a pattern's partial
@@ -115,7 +122,8 @@ def mix(sized_docs: DataFrame, seed: int = 0, repeats: int = REPEATS) -> DataFra
     Repeated rows are documents each.  Empty table: no rows.
     """
     spark = sized_docs.sparkSession
-    docs = written(sized_docs.select("doc_id", "size", F.array_sort("sources").alias("sources"), order_key(seed).alias("key")), "sized")
+    more = [row] if row else []
+    docs = written(sized_docs.select("doc_id", "size", F.array_sort("sources").alias("sources"), order_key(seed, row).alias("key"), *more), "sized")
     rows = docs.groupBy("sources").agg(F.sum("size").alias("size")).collect()
     schema = "sources array<string>, whole long, rest long, source_size long, target double"
     sizes: dict = {}
@@ -147,8 +155,8 @@ def mix(sized_docs: DataFrame, seed: int = 0, repeats: int = REPEATS) -> DataFra
     docs = docs.withColumn("part", F.substring("key", 1, KEY_DIGITS)).join(F.broadcast(ends), "p", "left")  # a row per pattern at most
     near = docs.where("part = end")
     order_by = Window.partitionBy("p").orderBy("key", "doc_id", "size", "tie")
-    near = near.withColumn("tie", F.monotonically_increasing_id()).withColumn("at", F.col("before") + F.sum("size").over(order_by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    near = near.withColumn("tie", F.col(row) if row else F.monotonically_increasing_id()).withColumn("at", F.col("before") + F.sum("size").over(order_by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     picked = near.withColumn("more", (2 * (F.col("rest") - F.col("at")) > F.col("size")).cast("long")).drop("tie", "at")
     others = docs.where("end is null or part <> end").withColumn("more", F.coalesce((F.col("part") < F.col("end")).cast("long"), F.lit(0).cast("long")))
     out = others.unionByName(picked)
-    return out.select("doc_id", "size", "sources", "source_size", "target", (F.col("size") * (F.col("whole") + F.col("more"))).alias("taken"))
+    return out.select("doc_id", "size", "sources", "source_size", "target", (F.col("size") * (F.col("whole") + F.col("more"))).alias("taken"), *more)

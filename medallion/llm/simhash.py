@@ -46,14 +46,16 @@ def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, row: str | None = None) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long), and the column ``row``, a
+    long, if it is named."""
+    more = [row] if row else []
 
     def fn(batch: pa.RecordBatch) -> dict:
         got = np.array([fingerprint(t, words, seed) for t in batch.column(1).to_pylist()], np.uint64)
-        return {"doc_id": batch.column(0), "fp": got.view(np.int64)}
+        return {"doc_id": batch.column(0), "fp": got.view(np.int64)} | {c: batch.column(c) for c in more}
 
-    return map_batches(documents(docs), fn, "doc_id long, fp long")
+    return map_batches(documents(docs, more=more), fn, "doc_id long, fp long" + "".join(f", {c} long" for c in more))
 
 
 class BKTree:
@@ -184,3 +186,14 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, seed: int
     linked = linked.join(least, "root").select("fp", "of_root")
     by_fp = distinct.join(linked, "fp", "left").select("fp", F.coalesce("of_root", "least").alias("component_id"))
     return fps.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def survivors(docs: DataFrame, row: str, words: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:
+    """The column ``row``, a unique key, of one row of each component: the
+    least doc_id's, a null doc_id last, the least key's among equal ones."""
+    fps = written(fingerprints(docs, words, seed, row), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row)).alias("least")
+    distinct = written(fps.groupBy("fp").agg(first), "distinct")
+    roots = components(links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
+    of_root = distinct.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
+    return of_root.select(f"least.{row}")

@@ -6,6 +6,7 @@ import corpus_pipeline as pipeline
 
 from medallion.llm import simhash
 from medallion.llm.common import written
+from medallion.llm.mixing import mix, sized
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,3 +46,27 @@ def test_empty_documents(spark):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_null_and_repeated_ids_are_told_apart(spark):
+    base = spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null and n_chars > 400").limit(30)
+    rows, schema = base.collect(), "doc_id long, text string, lang string, source string, n_chars long"
+    t = [r.text for r in rows]
+    own = [(1, t[0]), (None, t[0]), (None, t[0]), (None, t[1]), (None, t[1]), (2, t[2]), (2, t[3]), (3, t[3]), (2, t[3]), (None, t[4])]
+    df = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in own], schema).repartition(3)
+    near = [(r.doc_id, r.text) for r in pipeline.near_copies(spark, df, SF).collect()]
+    fps = {x: simhash.fingerprint(x.encode()) for x in t[:5]}
+    assert len(set(fps.values())) == 5  # texts of groups of their own
+    assert Counter(near) == Counter([(1, t[0]), (None, t[1]), (2, t[2]), (2, t[3]), (None, t[4])])
+
+
+def test_mix_takes_null_id_rows_one_by_one(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    own = [(None if i % 3 == 0 else i // 2, f"t{i} " * (1 + i % 5), "abc"[i % 3 if i > 60 else 0]) for i in range(300)] + [(None, "", "a"), (None, None, "b")]
+    df = spark.createDataFrame([(i, x, "en", s, 1) for i, x, s in own], schema).repartition(3)
+    uses = Counter(r.text for r in pipeline.mixing(spark, df, SF).collect())
+    want = {r.sources[0]: r.target for r in mix(sized(df)).collect()}
+    assert not uses[""] and not uses[None] and max(uses.values()) <= 3
+    for s in "abc":
+        words = sum(len(x.split()) * uses[x] for _, x, c in own if x and c == s)
+        assert abs(words - want[s]) <= 5 / 2 + 1, s
