@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm.common import read_table, written
-from medallion.llm.langid import UNKNOWN, labelled
+from medallion.llm.langid import BiGru, labelled, train
 from medallion.llm.mixing import mix, sized
 from medallion.llm.packing import pack
 from medallion.llm.queries import tokenizer
@@ -24,9 +24,11 @@ LEAST_SCORE = 0.4  # of a document's language; mixed documents have about a half
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or of no one language, go."""
-    got = labelled(docs)
-    return got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    """Documents without letters, or of no one language, go.  If there was
+    nothing to learn languages from, only those without letters go."""
+    model = train(docs)
+    of_one = F.col("score") >= LEAST_SCORE if model else F.lit(True)
+    return labelled(docs, model or BiGru([])).where(F.col("has_letter") & of_one).select(*docs.columns)
 
 
 def numbered(docs: DataFrame) -> DataFrame:

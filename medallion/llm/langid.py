@@ -180,7 +180,8 @@ def train(docs: DataFrame) -> BiGru | None:
 
 
 def labelled(docs: DataFrame, model: BiGru | None = None) -> DataFrame:
-    """``docs`` with the columns lang_pred and score added at the end."""
+    """``docs`` with the columns lang_pred, score and has_letter added at the
+    end.  Without a model that knows a label, every lang_pred is ``und``."""
     model = model or train(docs) or BiGru([])
     names = docs.columns
     at = names.index("text")
@@ -191,14 +192,15 @@ def labelled(docs: DataFrame, model: BiGru | None = None) -> DataFrame:
     def fn(batch: pa.RecordBatch) -> dict:
         texts = batch.column("_text").to_pylist()
         lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        known = [i for i, t in enumerate(texts) if model.labels and _LETTER.search(t.decode("utf-8", "replace"))]
-        if known:
+        letter = [_LETTER.search(t.decode("utf-8", "replace")) is not None for t in texts]
+        known = [i for i, has in enumerate(letter) if has]
+        if known and model.labels:
             got = model.document_probabilities([texts[i] for i in known])
             for i, row in zip(known, got, strict=True):
                 lang[i], score[i] = model.labels[row.argmax()], min(1.0, float(row.max()))
-        return {f"_c{i}": batch.column(f"_c{i}") for i in range(len(names))} | {"lang_pred": lang, "score": score}
+        return {f"_c{i}": batch.column(f"_c{i}") for i in range(len(names))} | {"lang_pred": lang, "score": score, "has_letter": letter}
 
-    return map_batches(own, fn, f"{schema}, lang_pred string, score double").toDF(*names, "lang_pred", "score")
+    return map_batches(own, fn, f"{schema}, lang_pred string, score double, has_letter boolean").toDF(*names, "lang_pred", "score", "has_letter")
 
 
 def identify(docs: DataFrame, model: BiGru | None = None) -> DataFrame:

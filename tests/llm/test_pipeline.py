@@ -70,3 +70,10 @@ def test_mix_takes_null_id_rows_one_by_one(spark):
     for s in "abc":
         words = sum(len(x.split()) * uses[x] for _, x, c in own if x and c == s)
         assert abs(words - want[s]) <= 5 / 2 + 1, s
+
+
+def test_documents_without_a_language_to_learn_stay(spark):
+    rows = [(1, "some clean text", None), (2, None, None), (3, "", "en"), (4, "12 ... 3", None), (None, "日本", None), (5, "x", None)]
+    df = spark.createDataFrame([(i, t, lang, "s", 1) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = pipeline.language(spark, df, SF)
+    assert got.columns == df.columns and {r.text for r in got.collect()} == {"some clean text", "日本", "x"}
