@@ -23,20 +23,23 @@ from pyspark.sql import functions as F
 from medallion.llm.common import map_batches, pick
 from medallion.llm.labelled_pages import CONTENT, labelled_pages
 
-# The elements of HTML that have no end tag, whose text isn't
-# shown, that start a new block, and that end an open element of the kinds
-# listed when they start.
+# The elements of HTML that have no end tag, whose content is
+# raw to their end tag and isn't shown, that start a new block, that end an
+# open element of the kinds listed when they start, and that hold another
+# language: a block ends it, unless it is within an element that holds HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript template iframe noframes xmp svg math object".split())
+RAW = set("script style title textarea template iframe noframes".split())
 BLOCK = set(
     "address article aside blockquote body br button caption center dd details dialog div dl dt fieldset figcaption figure footer form "
-    "h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
+    "h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul xmp".split()
 )
 ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
     "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th"), "body": ("head",),
 }
 _NO_P = BLOCK - set("body br button caption dd dt head html label legend li option select td th tr tbody thead tfoot".split())
+FOREIGN = ("svg", "math")
+_HOLDS_HTML = ("foreignobject", "desc", "annotation-xml", "mi", "mo", "mn", "ms", "mtext")
 _WITHIN = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "tbody": ("table",), "tfoot": ("table",)}
 
 _TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*|[^>]*)(?:>|\Z)|[!?/][^>]*(?:>|\Z))""", re.S)
@@ -79,7 +82,7 @@ class Dom:
         out: list[tuple[int, str]] = []
         self.texts.append(out)
         stack = [self._add(-1, "#page", "")]
-        at, tags = 0, self.tag
+        at, tags, foreign = 0, self.tag, False
 
         def text(raw: str) -> None:
             if raw:
@@ -115,12 +118,16 @@ class Dom:
                     close = re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(html, at)
                     at = close.end() if close else len(html)
                 continue
+            foreign = foreign or tag in FOREIGN
+            if foreign and tag in BLOCK:
+                end(FOREIGN, _HOLDS_HTML)
             for kind in ENDS.get(tag, ()):
                 end((kind,), _WITHIN.get(tag, ()))
             if tag in _NO_P:
                 end(("p",), ("td", "th", "button", "li"))
             node = self._add(stack[-1], tag, attrs)
-            if tag not in VOID:
+            closed = foreign and attrs.endswith("/") and (tag in FOREIGN or any(tags[i] in FOREIGN for i in stack))
+            if tag not in VOID and not closed:
                 stack.append(node)
         text(html[at:])
 
@@ -144,7 +151,8 @@ class Dom:
 
 class Model:
     """Weights of a vocabulary of features, and of parent-child potentials by
-    the child's tag."""
+    the child's tag.  An unknown tag's are how often all elements have their
+    parent's label."""
 
     def __init__(self, tags: list[str], words: list[str]):
         self.tags = {t: i for i, t in enumerate(["?", *tags])}
@@ -204,6 +212,8 @@ class Model:
                 m[0] += 0.1 * (d - m[0])
                 m[1] += 0.01 * (d * d - m[1])
                 w += rate * (m[0] / (1 - 0.9**t)) / (np.sqrt(m[1] / (1 - 0.99**t)) + 1e-8)
+        n = seen.sum(0) + 1
+        self.pair[0] = np.log(n / n.sum(1, keepdims=True))
         return self
 
     def extract(self, pages: list[str]) -> list[str]:

@@ -50,6 +50,22 @@ def test_odd_pages(spark, model):
     assert htmltree.main_text(df.limit(0)).count() == 0
 
 
+def test_only_raw_elements_are_skipped(model):
+    cases = {
+        "<article><p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b</p></article>": "a x=2 b",
+        "<article><p>a <svg><title>t</title><path d=''/><text>lab</text></svg> z</p></article>": "a lab z",
+        "<article><p>a</p><object>one<object>two</object>three</object><p>b</p></article>": "a onetwothree b",
+        "<article><p>a</p><object><p>b</p></object><noscript><p>c</p></noscript><xmp>d</xmp>e</article>": "a b c d e",
+        "<article><p>a<svg/><math><mspace/>x<p>b</p></article>": "ax b",
+        "<body><noscript>enable it</noscript><nav><svg><text>logo</text></svg></nav><article><p>a</p></article><footer><object>o</object></footer></body>": "a",
+        "<article><p>a</p><template>t</template><iframe>f</iframe><noframes>n</noframes><p>b<textarea>c": "a b",
+    }
+    for tag in ("math", "svg", "object", "noscript", "xmp"):  # not closed
+        cases[f"<body><article><p>a</p><{tag}>b<p>c</p><h2>d</h2></article><footer><p>f</p></footer></body>"] = "a b c d"
+    for html, text in cases.items():
+        assert model.extract([html]) == [text], html
+
+
 def test_held_out_labelled_pages(model):
     pages = labelled_pages(150, seed=77)
     dom = htmltree.Dom()
