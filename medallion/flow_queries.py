@@ -33,6 +33,7 @@ from medallion.sources.landing import land, new_dir
 from medallion.streaming.incremental import start_bronze_stream
 
 PARAMETERS = 1000  # parameter ids that the events' readings are of
+PAGE = 8192  # records of a JSON page at most
 
 
 def _day(k: int) -> Column:
@@ -195,12 +196,14 @@ def q_pipeline_gold_sensor(spark, d):
 
 
 def q_page_flatten(spark, d):
-    """JSON pages, one per sensor, read as landed rows."""
+    """JSON pages of a sensor's records, read as landed rows.  A page takes
+    them from ``PAGE`` rows that follow each other in a part of the table, so
+    no page has more, whatever a sensor's share."""
     path = f"{staging_path(spark, 'pages')}/measurement"
     record = F.struct("value", F.struct(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("utc")).alias("datetime_from")).alias("period"),
                       F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("name")).alias("parameter"))
-    table(spark, d, "events").groupBy(F.col("user_id").alias("parent_id"), F.pmod(F.xxhash64("event_id"), F.lit(16)).alias("page")) \
-        .agg(F.collect_list(record).alias("results")).drop("page").write.json(path)  # a sensor's records in 16 pages
+    events = table(spark, d, "events").withColumn("page", F.expr(f"monotonically_increasing_id() div {PAGE}"))
+    events.groupBy(F.col("user_id").alias("parent_id"), "page").agg(F.collect_list(record).alias("results")).drop("page").write.json(path)
     out = read_api_pages(spark, path, "measurement", multi_line=False)
     return out.select("sensor_id", "value", *[col_of(c).alias(c.replace(".", "_")) for c in ("period.datetime_from.utc", "parameter.id", "parameter.name")])
 

@@ -97,3 +97,19 @@ def test_parent_child_semi_join_with_hot_parent(spark):
         assert got.where("k = 0").count() == 30_000
         assert got.count() == children.where("k < 2000").count()
         assert "skew=true" in final_plan(got)
+
+
+def test_pages_of_a_hot_sensor_are_bounded(spark, tmp_path, monkeypatch):
+    from medallion import flow_queries
+
+    pages = str(tmp_path / "pages")
+    monkeypatch.setattr(flow_queries, "staging_path", lambda spark, name: pages)
+    events = spark.range(200_000).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("ts"), F.when(F.col("id") % 10 > 0, 7).when(F.col("id") % 20 > 0, 8).cast("long").alias("user_id"),
+        F.lit("t").alias("event_type"), F.lit(1.5).alias("value"))
+    events.repartition(2).write.parquet(str(tmp_path / "events.parquet"))
+    got = flow_queries.q_page_flatten(spark, str(tmp_path))
+    assert rows(got.groupBy("sensor_id").count()) == [(7, 180_000), (8, 10_000), (None, 10_000)]
+    assert got.select("parameter_id").distinct().count() == 200_000
+    most = spark.read.json(f"{pages}/measurement").select(F.max(F.size("results"))).first()[0]
+    assert most <= 8192
