@@ -1,10 +1,11 @@
-"""Duplicate passages by relative Lempel-Ziv parsing.
+"""Duplicate passages by window hashes with anchors (in place of a relative
+Lempel-Ziv parse: nothing is extended greedily or checked on the words).
 
 A window is ``size`` = 35 consecutive words.  Every window has an anchor, the
 least hash among its runs of ``ANCHOR`` words, so equal windows have equal
 anchors at equal places.  The stretch of a document whose windows share an
 anchor is a block; the blocks, keyed by their anchor, are the index that all
-documents are parsed against.
+documents are looked up in.
 
 * A block that occurs twice is a factor as a whole.
 * Where documents stop agreeing, blocks with a known anchor differ: these are
