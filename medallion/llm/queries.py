@@ -83,6 +83,14 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(sized(read_table(spark, sf_dir, "documents"))).drop("sources")
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medallion.llm.infill import fill_in_middle, restored
+
+    got = fill_in_middle(read_table(spark, sf_dir, "documents"))
+    shas = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return got.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *shas)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -96,6 +104,7 @@ QUERIES = {
         op8_page_text,
         op9_language_id,
         op10_source_mix,
+        op12_fill_in_middle,
     )
 }
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -141,4 +150,21 @@ o AS (
   FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source)
 SELECT doc_id, size, s AS source_size, target,
   CAST(size * (whole + CASE WHEN 2 * (rest - before) > size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM o""",
+    "op12_fill_in_middle": """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (
+  SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS t, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, CAST(len(t) AS BIGINT) AS n, least(h1 % (len(t) + 1), h2 % (len(t) + 1)) AS a, greatest(h1 % (len(t) + 1), h2 % (len(t) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (
+  SELECT doc_id, n, form, text, array_to_string(t[1:a], '') AS p, array_to_string(t[a + 1:b], '') AS m, array_to_string(t[b + 1:], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p""",
 }
