@@ -68,13 +68,19 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mor
     )
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
-    A lost executor then costs a re-read, not a recomputation."""
+    A lost executor then costs a re-read, not a recomputation.  The folder is
+    for the caller to delete when the frame's last reader has been written."""
     spark = df.sparkSession
     path = staging_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """:func:`stored`, for frames that a query's result still reads."""
+    return stored(df, name)[0]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -91,6 +91,30 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *shas)
 
 
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medallion.llm.shallot import clusters
+
+    return clusters(read_table(spark, sf_dir, "embeddings"))
+
+
+def _rounds_sql(rounds: int = 10, k: int = 8) -> str:
+    """The rounds as a chain of tables: ``cN`` the centroids after N rounds,
+    ``aN`` the nearest centroid of every vector by them."""
+    parts = []
+    for r in range(rounds + 1):
+        if r:
+            parts.append(f"""s{r} AS (
+  SELECT c, i, sum(q[i]) AS s, count(*) AS n FROM (SELECT c, q, unnest(range(1, 65)) AS i FROM a{r - 1}) GROUP BY c, i),
+c{r} AS MATERIALIZED (
+  SELECT o.c, coalesce(m.v, o.v) AS v FROM c{r - 1} o
+  LEFT JOIN (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{r} GROUP BY c) m USING (c))""")
+        parts.append(f"""d{r} AS (
+  SELECT rid, vec_id, q, c, list_sum(list_transform(list_zip(q, v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM kept, c{r}),
+a{r} AS MATERIALIZED (
+  SELECT rid, any_value(vec_id) AS vec_id, any_value(q) AS q, arg_min(c, d * {k} + c) AS c, min(d) AS d FROM d{r} GROUP BY rid)""")
+    return ",\n".join(parts)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -105,6 +129,7 @@ QUERIES = {
         op9_language_id,
         op10_source_mix,
         op12_fill_in_middle,
+        op13_centroid_clusters,
     )
 }
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -167,4 +192,15 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT)
   sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
   sha256(text) AS restored_sha256
 FROM p""",
+    "op13_centroid_clusters": f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT)) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, vec_id, v) - 1 AS c, v
+  FROM (SELECT sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, vec_id, q AS v FROM kept ORDER BY h, vec_id, v LIMIT 8)),
+{_rounds_sql()}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(v, ',')) AS centroid_sha256
+FROM a10 a JOIN c10 f ON a.c = f.c""",
 }
