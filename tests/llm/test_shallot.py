@@ -80,4 +80,4 @@ def test_bounds_never_decide_wrongly():
         rest[np.arange(len(v)), bounds[0]] = np.inf
         assert (bounds[2] ** 2 >= d.min(axis=1)).all() and (np.maximum(bounds[3], 0) ** 2 <= rest.min(axis=1)).all()
         before, cents = cents, (np.array(cents) + rng.integers(-3, 4, size=(9, 3)) * (r % 3 == 0)).tolist()
-    assert searched[0] == 600 and min(searched) < 300  # the bounds spare most where little moves
+    assert searched[0] > 500 and min(searched) == 0  # the bounds spare those that stay clear
