@@ -83,6 +83,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(sized(read_table(spark, sf_dir, "documents"))).drop("sources")
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medallion.llm.ngrams import score_texts
+
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from medallion.llm.infill import fill_in_middle, restored
 
@@ -128,6 +134,7 @@ QUERIES = {
         op8_page_text,
         op9_language_id,
         op10_source_mix,
+        op11_lm_scores,
         op12_fill_in_middle,
         op13_centroid_clusters,
     )
