@@ -154,6 +154,7 @@ class Model:
     least_class: int  # of the common words
     segments: DataFrame  # segment, bits
     n_segments: int
+    prior: float = PRIOR
 
     def own(self, n):
         """The probability of a word that was counted n times."""
@@ -229,7 +230,7 @@ def _scores(found: Tokens, levels: np.ndarray, at_word: np.ndarray, at_pair: np.
     before = np.concatenate([[0.0], word[:-1]]) if len(word) else word
     before[starts] = end
     pair = np.minimum(np.minimum(counts[at_pair], before), word)
-    p = np.log10((pair + PRIOR * model.own(word)) / (before + PRIOR))
+    p = np.log10((pair + model.prior * model.own(word)) / (before + model.prior))
     a, b = _signed(found.keys[:, 0]), _signed(found.keys[:, 1])
     at = np.minimum(np.searchsorted(ca, a), max(0, len(ca) - 1))
     known = (ca[at] == a) & (cb[at] == b) if len(ca) else np.zeros(len(a), bool)
@@ -252,13 +253,14 @@ class _Shape:
 
     tokens: int
     vocabulary: int
+    prior: float
     own = Model.own
 
 
 def _shape(model: Model) -> tuple:
     a, b = _signed(_hashes([END])[0])
     end = model.words.where((F.col("a") == int(a)) & (F.col("b") == int(b))).select("n").first()
-    return _Shape(model.tokens, model.vocabulary), model.common, float(end[0]) if end else 0.0
+    return _Shape(model.tokens, model.vocabulary, model.prior), model.common, float(end[0]) if end else 0.0
 
 
 def _by_broadcast(docs: DataFrame, model: Model) -> DataFrame:
