@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -13,6 +15,7 @@ from medallion.session import staging_path
 
 
 ROWS = 512
+BUCKET_BYTES = 64 << 20
 _REUSED: list = []
 
 
@@ -68,12 +71,33 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mor
     )
 
 
+_collected: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def collecting(paths: list[str]) -> Iterator[None]:
+    """Within it, the folders of written tables are also listed in ``paths``,
+    for the caller to delete when what was made of them has been written."""
+    _collected.append(paths)
+    try:
+        yield
+    finally:
+        _collected.pop()
+
+
+def _staged(spark: SparkSession, name: str) -> str:
+    path = staging_path(spark, f"llm-{name}")
+    for paths in _collected:
+        paths.append(path)
+    return path
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
     A lost executor then costs a re-read, not a recomputation.  The folder is
     for the caller to delete when the frame's last reader has been written."""
     spark = df.sparkSession
-    path = staging_path(spark, f"llm-{name}")
+    path = _staged(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -83,6 +107,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return stored(df, name)[0]
 
 
+def laid_out(df: DataFrame, key: str, name: str, size: int) -> DataFrame:
+    """``df``, of about ``size`` bytes, written in hash buckets of its column
+    ``key``: joins on it shuffle the other side only, however often."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    n = min(n, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    table, path = f"llm_{name}_{uuid.uuid4().hex}", _staged(spark, name)
+    df.repartition(n, key).write.bucketBy(n, key).option("path", path).format("parquet").saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the files stay, and the frame knows them
+    return out
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

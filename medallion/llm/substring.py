@@ -13,8 +13,9 @@ documents are looked up in.
 * A document's consecutive windows that were found make up its factors, each
   of at least ``size`` words; their words are the duplicate spans.
 
-Only hashes are shuffled (128 bits for a window: its anchor's and its own),
-and the texts twice, by document.  Equal anchors, blocks and windows are
+Hashes are shuffled (128 bits for a window: its anchor's and its own), and the
+texts once: they are laid out in buckets by row, and the joins with the windows
+to look up and with the spans read that layout as it is.  Equal anchors, blocks and windows are
 counted by aggregations with map-side combining, so a passage shared by a
 third of all documents doesn't meet in one task.
 """
@@ -22,7 +23,6 @@ third of all documents doesn't meet in one task.
 from __future__ import annotations
 
 import functools
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +32,8 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import map_batches, pick, release, reused, written
+from medallion.llm.common import laid_out, map_batches, pick, release, reused, stored, written
+from medallion.sources import fs
 
 ANCHOR = 6
 _MASK = (1 << 64) - 1
@@ -103,25 +104,15 @@ def _concat(parts: list[np.ndarray], dtype: type = np.int64) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
 
-def _anchors(keyed: DataFrame, size: int) -> DataFrame:
-    """(anchor, n) per document and distinct anchor."""
-
-    def fn(batch: pa.RecordBatch, hashes: _WordHash) -> dict:
-        got = [np.unique(Hashed(w, hashes).blocks(size)[0], return_counts=True) for _, w in _texts(batch, size)]
-        return {"anchor": _concat([a for a, _ in got], np.uint64).view(np.int64), "n": _concat([n for _, n in got])}
-
-    return map_batches(keyed.select("text"), fn, "anchor long, n long", word_hashes)
-
-
-def _blocks(keyed: DataFrame, size: int) -> DataFrame:
+def _blocks(texts: DataFrame, size: int) -> DataFrame:
     def fn(batch: pa.RecordBatch, hashes: _WordHash) -> dict:
         got = [(i, *Hashed(w, hashes).blocks(size)) for i, w in _texts(batch, size)]
         row = np.repeat([g[0] for g in got], [len(g[1]) for g in got]).astype(np.int64)
         cols = [_concat([g[k] for g in got], np.uint64 if k < 3 else np.int64) for k in range(1, 6)]
         names = ("anchor", "content", "first", "offset", "windows")
-        return {c: batch.column(c).take(pa.array(row)) for c in ("doc_id", "h")} | {c: v.view(np.int64) for c, v in zip(names, cols, strict=True)}
+        return {"row": batch.column("row").take(pa.array(row))} | {c: v.view(np.int64) for c, v in zip(names, cols, strict=True)}
 
-    return map_batches(keyed, fn, "doc_id long, h int, anchor long, content long, first int, offset int, windows int", word_hashes)
+    return map_batches(texts, fn, "row long, anchor long, content long, first int, offset int, windows int", word_hashes)
 
 
 def _windows(texts: DataFrame, size: int) -> DataFrame:
@@ -140,58 +131,73 @@ def _windows(texts: DataFrame, size: int) -> DataFrame:
                     out[c].append(np.full(len(at), v, np.int64))
         cols = {c: _concat(v, np.uint64 if c == "window" else np.int64) for c, v in out.items()}
         row = pa.array(cols.pop("row"))
-        return {c: batch.column(c).take(row) for c in ("doc_id", "h")} | {c: v.view(np.int64) for c, v in cols.items()}
+        return {"row": batch.column("row").take(row)} | {c: v.view(np.int64) for c, v in cols.items()}
 
-    return map_batches(texts, fn, "doc_id long, h int, anchor long, window long, at int, n long", word_hashes)
+    return map_batches(texts, fn, "row long, anchor long, window long, at int, n long", word_hashes)
 
 
-def _keyed(docs: DataFrame, *more: str) -> DataFrame:
-    """A document's key is its doc_id and, for rows that repeat one, a hash
-    of the text.  Rows with one key and text have the same spans."""
-    raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.hash(raw).alias("h"), raw.alias("text"), *more)
+def _rows(docs: DataFrame, **carry: str) -> DataFrame:
+    """row, a unique key, doc_id, text (bytes) and the columns ``carry``,
+    laid out by row once, for all joins with the texts."""
+    own = pick(docs, doc_id="doc_id", text="text", **carry)
+    raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
+    own = own.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), raw, *carry)
+    return laid_out(own, "row", "texts", own.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
 
-def factors(docs: DataFrame, size: int = 35) -> DataFrame:
-    """(doc_id, h, spans): for each document with duplicate windows, the runs
-    [first word, words) of its factors, as pairs."""
-    keyed, spark = _keyed(pick(docs, doc_id="doc_id", text="text")), docs.sparkSession
+def factors(texts: DataFrame, size: int = 35) -> DataFrame:
+    """(row, spans): for each row of (row, text) with duplicate windows, the
+    runs [first word, words) of its factors."""
+    spark = texts.sparkSession
     # aggregates are written before they are joined: a join right on its
     # shuffles can be split where one anchor has a great share of the blocks
-    known = written(_anchors(keyed, size).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "anchors")
+    every, path = stored(_blocks(texts.select("row", "text"), size), "all-blocks")
+    known = written(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     release(spark)
     block = ["anchor", "content", "offset", "windows"]
-    found = written(_blocks(keyed, size).join(known, "anchor"), "blocks")
+    found = written(every.join(known, "anchor"), "blocks")
+    fs.delete(spark, path)
     release(spark)
-    one = F.struct("doc_id", "h", "first")
+    one = F.struct("row", "first")
     index = written(found.groupBy(*block).agg(F.count("*").alias("n"), F.min(one).alias("one")), "block-index")
     release(spark)
-    whole = found.join(index.where("n > 1").select(*block), block, "left_semi").select("doc_id", "h", "first", "windows")
+    whole = found.join(index.where("n > 1").select(*block), block, "left_semi").select("row", "first", "windows")
     # boundaries: anchors with blocks that differ, one of which is alone
     mixed = index.groupBy("anchor").agg(F.count("*").alias("blocks"), F.min("n").alias("least")).where("blocks > 1 and least = 1")
     mixed = written(mixed.select("anchor"), "mixed-anchors")
-    look = index.join(mixed, "anchor").groupBy("one.doc_id", "one.h").agg(
-        F.collect_list(F.struct("anchor", F.col("one.first").alias("first"), "windows", "n")).alias("blocks")
-    )
-    windows = written(_windows(keyed.join(look, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]), size), "windows")
+    look = index.join(mixed, "anchor").groupBy("one.row").agg(F.collect_list(F.struct("anchor", F.col("one.first").alias("first"), "windows", "n")).alias("blocks"))
+    looked = texts.select("row", "text").join(look.hint("shuffle_hash"), "row")
+    windows = written(_windows(looked, size), "windows")
     release(spark)
     repeated = written(windows.groupBy("anchor", "window").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "window"), "repeated")
-    single = windows.where("n = 1").join(repeated, ["anchor", "window"], "left_semi").select("doc_id", "h", F.col("at").alias("first"), F.lit(1).alias("windows"))
-    runs = whole.unionByName(single).groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "windows")).alias("runs"))
-    spans = written(runs.select("doc_id", "h", merged_spans("runs", size).alias("spans")), "spans")
+    single = windows.where("n = 1").join(repeated, ["anchor", "window"], "left_semi").select("row", F.col("at").alias("first"), F.lit(1).alias("windows"))
+    runs = whole.unionByName(single).groupBy("row").agg(F.collect_list(F.struct("first", "windows")).alias("runs"))
+    spans = written(merged_spans(runs, size), "spans")
     release(spark)
     return spans
 
 
-def merged_spans(runs: str, size: int):
-    """Runs of windows to disjoint spans of words, in order.  A run of ``w``
-    windows covers ``w + size - 1`` words; runs that touch or overlap merge."""
-    return F.expr(f"""
-      aggregate(array_sort({runs}), cast(array() as array<struct<first: int, words: int>>), (done, x) ->
-        if(size(done) > 0 and x.first <= element_at(done, -1).first + element_at(done, -1).words,
-           concat(slice(done, 1, size(done) - 1), array(named_struct('first', element_at(done, -1).first, 'words',
-             greatest(element_at(done, -1).words, x.first + x.windows + {size - 1} - element_at(done, -1).first)))),
-           concat(done, array(named_struct('first', x.first, 'words', x.windows + {size - 1})))))""")
+def merged(first: np.ndarray, windows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of windows to disjoint spans of words, in order: (first, words).  A
+    run of ``w`` windows covers ``w + size - 1`` words; runs that touch merge."""
+    order = np.argsort(first, kind="stable")
+    first, reach = first[order], np.maximum.accumulate((first + windows + size - 1)[order])
+    begins = np.flatnonzero(np.concatenate([[True], first[1:] > reach[:-1]]))
+    ends = np.append(begins[1:], len(first)) - 1
+    return first[begins], reach[ends] - first[begins]
+
+
+def merged_spans(runs: DataFrame, size: int) -> DataFrame:
+    def fn(batch: pa.RecordBatch) -> dict:
+        lists = batch.column("runs")
+        flat, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy())
+        first, windows = (flat.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+        parts = [merged(first[a:b], windows[a:b], size) for a, b in zip(np.append(0, ends[:-1]), ends, strict=True)] if len(ends) else []
+        counts = np.cumsum([0] + [len(p[0]) for p in parts])
+        items = pa.StructArray.from_arrays([pa.array(_concat([p[k] for p in parts]).astype(np.int32)) for k in (0, 1)], ["first", "words"])
+        return {"row": batch.column("row"), "spans": pa.ListArray.from_arrays(pa.array(counts, pa.int32()), items)}
+
+    return map_batches(runs, fn, "row long, spans array<struct<first: int, words: int>>")
 
 
 def remove_repeated(docs: DataFrame, size: int = 35, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -201,13 +207,14 @@ def remove_repeated(docs: DataFrame, size: int = 35, carry: tuple[str, ...] = ()
     Each word covered by a window of ``size`` words whose sequence also
     starts elsewhere, in the same document or another, is removed; windows
     are judged on the input.  Null and empty texts, and those shorter than a
-    window, lose nothing.  Rows repeated with their doc_id count as places of
-    their own and each give a row.  Empty table: no rows.
+    window, lose nothing.  Every row is a place of its own and gives a row,
+    whether its doc_id is null, repeated or unique.  A text is held by one task
+    as a list of its words, whatever its length.  Empty table: no rows.  Extra
+    columns, whatever their names, are left out if they aren't carried.
     """
-    spans = factors(docs, size)
     names = {f"_k{i}": c for i, c in enumerate(carry)}
-    own = pick(docs, doc_id="doc_id", text="text", **names)
-    own = _keyed(own, *names)
+    own = _rows(docs, **names)
+    spans = factors(own, size)
     schema = "".join(f", {f.name} {f.dataType.simpleString()}" for f in own.schema if f.name in names)
 
     def fn(batch: pa.RecordBatch) -> dict:
@@ -224,6 +231,6 @@ def remove_repeated(docs: DataFrame, size: int = 35, carry: tuple[str, ...] = ()
             out["kept"].append(b" ".join(keep).decode("utf-8", "replace"))
         return {c: batch.column(c) for c in ("doc_id", *names)} | out
 
-    got = map_batches(own.join(spans, ["doc_id", "h"], "left"), fn, f"doc_id long, n_words long, n_removed long, kept string{schema}")
-    got = got.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
+    joined = own.join(spans.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "spans", *names)
+    got = map_batches(joined, fn, f"doc_id long, n_words long, n_removed long, kept string{schema}")
     return got.toDF("doc_id", "n_words", "n_removed", "kept", *carry)

@@ -140,3 +140,43 @@ def test_removed_words_of_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert Counter(tuple(r) for r in substring.remove_repeated(docs).collect()) == brute_removed(rows, 35)
+
+
+def test_rows_are_told_apart_without_ids(spark):
+    """Texts whose 32-bit hashes collide, all of one null id."""
+    from pyspark.sql import functions as F
+
+    n = 200_000
+    ids = spark.range(n).select("id", F.concat_ws(" ", *[F.concat(F.lit(f"v{k}_"), F.col("id")) for k in range(40)]).alias("text"))
+    hashed = ids.select("id", "text", F.hash(F.col("text").cast("binary")).alias("h"))
+    twice = hashed.groupBy("h").agg(F.collect_list("text").alias("texts")).where("size(texts) > 1").limit(3).collect()
+    assert twice  # about five pairs are to be expected
+    rows = [(None, t) for r in twice for t in r.texts[:2]] + [(5, r.texts[0]) for r in twice] + [(None, None)] * 50
+    assert Counter(tuple(r) for r in substring.remove_repeated(frame(spark, rows)).collect()) == brute_removed(rows, 35)
+
+
+def test_spans_merge_in_linear_time():
+    import time
+
+    import numpy as np
+
+    rnd = random.Random(2)
+    for _ in range(50):
+        first = np.array([rnd.randrange(60) for _ in range(rnd.randint(1, 12))])
+        windows = np.array([rnd.randint(1, 5) for _ in first])
+        got = substring.merged(first, windows, 4)
+        covered = {w for f, n in zip(first, windows, strict=True) for w in range(f, f + n + 3)}
+        assert {w for f, n in zip(*got, strict=True) for w in range(f, f + n)} == covered
+        assert all(f + n < g for f, n, g in zip(got[0], got[1], got[0][1:]))
+    began = time.time()
+    substring.merged(np.arange(2_000_000) * 50, np.ones(2_000_000, int), 35)
+    assert time.time() - began < 5
+
+
+def test_a_text_of_a_million_words(spark):
+    rnd = random.Random(4)
+    words = [f"w{rnd.randrange(50_000)}" for _ in range(1_000_000)]
+    words[900_000:900_100] = words[100:200]
+    rows = [(1, " ".join(words)), (2, " ".join(words[500_000:500_040]))]
+    got = {r.doc_id: r.n_removed for r in substring.remove_repeated(frame(spark, rows)).collect()}
+    assert got == {1: 240, 2: 40}
