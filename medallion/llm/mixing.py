@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -21,7 +22,10 @@ from medallion.llm.common import map_batches, pick, written
 
 REPEATS = 3  # uses of a document at most
 WEIGHTS = (1, 2, 3)  # of the sources in order, repeating
-KEY_DIGITS = 6  # hex digits of the order key that are searched by sums
+KEY_DIGITS = 4  # hex digits of the order key that a search by sums adds
+WIDTH = 64  # hex digits of the order key
+FEW = 1 << 16  # documents that are put in order, or broadcast, of a pattern
+PATTERNS = 1 << 16  # sets of sources that the driver's flow is made for
 
 
 def targets(sizes: dict[str | None, int], weights: dict[str | None, float], repeats: int = REPEATS) -> dict[str | None, float]:
@@ -103,29 +107,53 @@ def sized(docs: DataFrame, source_col: str = "source", row: str | None = None) -
     return map_batches(d, fn, schema).select("doc_id", "size", F.array("source").alias("sources"), *more)
 
 
-def order_key(seed: int, row: str | None = None) -> Column:
-    """The seeded order of documents: 16 hex digits of an md5 of the id (of a
-    null id: of the row's key, if there is one)."""
-    of_null = F.concat(F.lit("row "), F.col(row).cast("string")) if row else F.lit("")
-    return F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), of_null), F.lit(f":{seed}")).cast("binary")), 1, 16)
-
-
-def mix(sized_docs: DataFrame, seed: int = 0, repeats: int = REPEATS, row: str | None = None) -> DataFrame:
-    """doc_id, size, sources, source_size, target (sums over the document's
-    sources) and taken: the words the mix takes, repeats counted; and the
-    column ``row``, a unique key, if it is named.
-
-    Sources in code point order, null last, weigh 1, 2, 3, repeating.  Only
-    words by pattern reach the driver.  The place where a pattern's partial
-    use ends is located by sums over parts of the order keys, 256 at a time,
-    and only the documents of one part in 256^3 are put in order.  Empty documents take part with nothing.
-    Repeated rows are documents each.  Empty table: no rows.
+def order_key(seed: int, row: str, doc_id: Column, size: Column, by_row: bool = True) -> Column:
+    """The seeded order of documents as hex digits: 16 of an md5 of the id (of
+    a null id: of the row's number, if it counts), then the id, the size and
+    the row's number, which tell apart those that share an id."""
+    of_null = F.concat(F.lit("row "), F.col(row).cast("string")) if by_row else F.lit("")
+    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), of_null), F.lit(f":{seed}")).cast("binary"))
+    wide = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
+    ident = F.coalesce(doc_id.cast("long"), F.lit(-1)).bitwiseXOR(F.lit(-(1 << 63)))  # unsigned digits in the order of the ids
+    return F.concat(F.substring(digest, 1, 16), wide(ident), wide(size), wide(F.col(row)))
+
+
+@dataclass
+class Mix:
+    """What a mix takes of a pattern's documents: each ``whole`` times, and once
+    more those whose order key is below ``end`` (all keys of the part ``end``
+    itself are judged one by one: ``last`` has them with their decision)."""
+
+    patterns: DataFrame  # sources, whole, source_size, target, p, end (null: no partial use)
+    last: DataFrame  # row, more
+    n_last: int
+
+    def uses(self, docs: DataFrame, row: str) -> DataFrame:
+        """``docs`` (sources, key, the column ``row`` and others) with the
+        columns of the pattern and ``uses``."""
+        plan = self.patterns.withColumnRenamed("sources", "_sources")
+        got = docs.join(F.broadcast(plan), docs["sources"].eqNullSafe(plan["_sources"])).drop("_sources")
+        last = self.last.select(F.col("row").alias("_last"), F.col("more").alias("_more"))
+        got = got.join(F.broadcast(last) if self.n_last <= FEW else last, got[row] == F.col("_last"), "left")
+        more = F.when(F.col("_more").isNotNull(), F.col("_more")).when(F.substring("key", 1, F.length("end")) < F.col("end"), 1).otherwise(0)
+        return got.withColumn("uses", F.col("whole") + F.coalesce(more, F.lit(0))).drop("_last", "_more")
+
+
+def plan_mix(docs: DataFrame, repeats: int = REPEATS) -> Mix:
+    """The mix of ``docs`` (row, size, sources, key), a written table.
+
+    Only words by pattern reach the driver: sources are what a mix is
+    configured by, and over ``PATTERNS`` patterns it refuses to start.  Where a
+    partial use ends is found by sums over parts of the order keys,
+    ``KEY_DIGITS`` digits at a time, until no part to be put in order holds more
+    than ``FEW`` documents; so rows that share an id are dealt by their size and
+    key like others.
     """
-    spark = sized_docs.sparkSession
-    more = [row] if row else []
-    docs = written(sized_docs.select("doc_id", "size", F.array_sort("sources").alias("sources"), order_key(seed, row).alias("key"), *more), "sized")
-    rows = docs.groupBy("sources").agg(F.sum("size").alias("size")).collect()
-    schema = "sources array<string>, whole long, rest long, source_size long, target double"
+    spark = docs.sparkSession
+    rows = docs.groupBy("sources").agg(F.sum("size").alias("size")).limit(PATTERNS + 1).collect()
+    if len(rows) > PATTERNS:
+        raise ValueError(f"more than {PATTERNS} patterns of sources")
+    schema = "sources array<string>, whole long, rest long, source_size long, target double, p long"
     sizes: dict = {}
     for r in rows:
         for s in r.sources:
@@ -134,29 +162,51 @@ def mix(sized_docs: DataFrame, seed: int = 0, repeats: int = REPEATS, row: str |
     want = targets(sizes, {s: WEIGHTS[i % len(WEIGHTS)] for i, s in enumerate(order)}, repeats)
     flows = min_cost_flow([(tuple(r.sources), r["size"]) for r in rows], want, repeats)
     table = []
-    for r, flow in zip(rows, flows, strict=True):
+    for p, (r, flow) in enumerate(zip(rows, flows, strict=True)):
         used = sum(flow.values())
         whole = min(repeats, used // r["size"]) if r["size"] else 0
-        table.append((r.sources, whole, used - whole * r["size"], sum(sizes[s] for s in r.sources), float(sum(want[s] for s in r.sources))))
-    plan = spark.createDataFrame(table, schema).withColumn("p", F.monotonically_increasing_id())
-    plan = written(plan.coalesce(1), "mix-plan")
-    docs = docs.join(F.broadcast(plan), docs["sources"].eqNullSafe(plan["sources"])).drop(plan["sources"])
-
-    # where a pattern's partial use ends in the key space: two digits at a
-    # time, from the words of 256 parts of the part found before
-    ends = docs.where("rest > 0").select("p", F.lit("").alias("end"), F.lit(0).cast("long").alias("before")).distinct()
-    for digits in (2, 4, KEY_DIGITS):
-        part = F.substring("key", 1, digits)
-        within = docs.join(F.broadcast(ends), "p").where(F.substring("key", 1, digits - 2) == F.col("end"))
-        sums = within.groupBy("p", part.alias("part"), "before", "rest").agg(F.sum("size").alias("size"))
+        table.append((r.sources, whole, used - whole * r["size"], sum(sizes[s] for s in r.sources), float(sum(want[s] for s in r.sources)), p))
+    patterns = spark.createDataFrame(table, schema)
+    of_plan = patterns.where("rest > 0").select(F.col("sources").alias("_sources"), "rest", "p")
+    open_ = docs.join(F.broadcast(of_plan), docs["sources"].eqNullSafe(of_plan["_sources"])).select("row", "size", "key", "rest", "p")
+
+    # a row per pattern: (p, end, before); the part ``end`` holds n documents
+    ends = [(r[5], "", 0, None) for r in table if r[2] > 0]
+    digits = 0
+    while ends and digits < WIDTH and (digits == 0 or max(e[3] for e in ends) > FEW):
+        digits += KEY_DIGITS
+        at = spark.createDataFrame(ends, "p long, end string, before long, n long")
+        within = open_.join(F.broadcast(at), "p").where(F.substring("key", 1, digits - KEY_DIGITS) == F.col("end"))
+        sums = within.groupBy("p", F.substring("key", 1, digits).alias("part"), "before", "rest").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
         sums = sums.withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("p").orderBy("part")))
-        at_end = sums.where("upto >= rest").groupBy("p").agg(F.min("part").alias("end"), F.min_by(F.col("upto") - F.col("size"), "part").alias("before"))
-        ends = written(at_end, "mix-ends")
-    docs = docs.withColumn("part", F.substring("key", 1, KEY_DIGITS)).join(F.broadcast(ends), "p", "left")  # a row per pattern at most
-    near = docs.where("part = end")
-    order_by = Window.partitionBy("p").orderBy("key", "doc_id", "size", "tie")
-    near = near.withColumn("tie", F.col(row) if row else F.monotonically_increasing_id()).withColumn("at", F.col("before") + F.sum("size").over(order_by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    picked = near.withColumn("more", (2 * (F.col("rest") - F.col("at")) > F.col("size")).cast("long")).drop("tie", "at")
-    others = docs.where("end is null or part <> end").withColumn("more", F.coalesce((F.col("part") < F.col("end")).cast("long"), F.lit(0).cast("long")))
-    out = others.unionByName(picked)
-    return out.select("doc_id", "size", "sources", "source_size", "target", (F.col("size") * (F.col("whole") + F.col("more"))).alias("taken"), *more)
+        at_end = sums.where("upto >= rest").groupBy("p").agg(F.min_by(F.struct("part", F.col("upto") - F.col("size"), "n"), "part").alias("e"))
+        ends = [(r.p, *r.e) for r in at_end.select("p", "e").collect()]
+    at = spark.createDataFrame(ends, "p long, end string, before long, n long")
+    within = open_.join(F.broadcast(at), "p").where(F.substring("key", 1, digits) == F.col("end"))
+    place = Window.partitionBy("p").orderBy("key", "row").rowsBetween(Window.unboundedPreceding, 0)
+    near = within.withColumn("at", F.col("before") + F.sum("size").over(place) - F.col("size"))
+    last = written(near.select("row", (2 * (F.col("rest") - F.col("at")) > F.col("size")).cast("long").alias("more")), "mix-last")
+    return Mix(patterns.join(F.broadcast(at.select("p", "end")), "p", "left").drop("p", "rest"), last, last.count())
+
+
+def keyed(sized_docs: DataFrame, seed: int = 0, row: str | None = None) -> DataFrame:
+    """``sized_docs`` with the columns ``row`` and ``key``, written.  Without a
+    key of its own, a row's number decides between rows of one id and size."""
+    docs = sized_docs.withColumn("sources", F.array_sort("sources"))
+    docs = docs.withColumn("row", F.col(row) if row else F.monotonically_increasing_id())
+    return written(docs.withColumn("key", order_key(seed, "row", F.col("doc_id"), F.col("size"), bool(row))), "sized")
+
+
+def mix(sized_docs: DataFrame, seed: int = 0, repeats: int = REPEATS, row: str | None = None) -> DataFrame:
+    """doc_id, size, sources, source_size, target (sums over the document's
+    sources) and taken: the words the mix takes, repeats counted; and the
+    column ``row``, a unique key, if it is named.
+
+    Sources in code point order, null last, weigh 1, 2, 3, repeating.  Empty
+    documents take part with nothing.  Repeated rows, and rows that share a
+    doc_id or have none, are documents each, whatever their number.  Empty
+    table: no rows.
+    """
+    docs = keyed(sized_docs, seed, row)
+    out = plan_mix(docs, repeats).uses(docs, "row")
+    return out.select("doc_id", "size", "sources", "source_size", "target", (F.col("size") * F.col("uses")).alias("taken"), *([row] if row else []))

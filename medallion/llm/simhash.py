@@ -188,12 +188,15 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, seed: int
     return fps.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def survivors(docs: DataFrame, row: str, words: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:
-    """The column ``row``, a unique key, of one row of each component: the
-    least doc_id's, a null doc_id last, the least key's among equal ones."""
+def copies(docs: DataFrame, row: str, words: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:
+    """The column ``row``, a unique key, of all rows but one of each component:
+    the least doc_id's stays, a null doc_id last, the least key's among equal
+    ones."""
     fps = written(fingerprints(docs, words, seed, row), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row)).alias("least")
     distinct = written(fps.groupBy("fp").agg(first), "distinct")
     roots = components(links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
-    of_root = distinct.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
-    return of_root.select(f"least.{row}")
+    of_root = written(distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least"), "roots")
+    best = of_root.groupBy("root").agg(F.min("least").alias("least"))
+    stays = of_root.select("fp", "root").join(best, "root").select("fp", F.col(f"least.{row}").alias("stays"))
+    return fps.join(stays, "fp").where(F.col(row) != F.col("stays")).select(row)

@@ -200,9 +200,10 @@ def merged_spans(runs: DataFrame, size: int) -> DataFrame:
     return map_batches(runs, fn, "row long, spans array<struct<first: int, words: int>>")
 
 
-def remove_repeated(docs: DataFrame, size: int = 35, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeated(docs: DataFrame, size: int = 35, carry: tuple[str, ...] = (), as_is: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the kept words joined by a blank),
-    and the columns of ``docs`` named in ``carry``.
+    and the columns of ``docs`` named in ``carry``.  ``as_is``: texts that
+    lose nothing are kept with their white space.
 
     Each word covered by a window of ``size`` words whose sequence also
     starts elsewhere, in the same document or another, is removed; windows
@@ -228,7 +229,7 @@ def remove_repeated(docs: DataFrame, size: int = 35, carry: tuple[str, ...] = ()
             keep += words[at:]
             out["n_words"].append(len(words))
             out["n_removed"].append(len(words) - len(keep))
-            out["kept"].append(b" ".join(keep).decode("utf-8", "replace"))
+            out["kept"].append((text if as_is and not runs else b" ".join(keep)).decode("utf-8", "replace"))
         return {c: batch.column(c) for c in ("doc_id", *names)} | out
 
     joined = own.join(spans.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "spans", *names)

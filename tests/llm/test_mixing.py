@@ -86,3 +86,28 @@ def test_mix_of_overlapping_sources(spark):
     rows = [(i, 10, ["a"] if i < 50 else ["a", "b"] if i < 80 else ["b", "c"]) for i in range(100)]
     got = mix(spark.createDataFrame(rows, "doc_id long, size long, sources array<string>")).collect()
     assert sum(r.taken for r in got) == pytest.approx(sum(mixing.targets({"a": 800, "b": 500, "c": 200}, {"a": 1, "b": 2, "c": 3}).values()), abs=30)
+
+
+def test_rows_that_share_an_id_are_dealt_without_meeting(spark, monkeypatch):
+    """A third of all rows of one id, and more of none: the search goes on to
+    sizes and row numbers until few rows are left."""
+    monkeypatch.setattr(mixing, "FEW", 8)
+    rnd = random.Random(9)
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, rnd.randint(0, 3), ["a"] if i % 5 else ["b"]) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, size long, sources array<string>").repartition(4)
+    docs = mixing.keyed(df)
+    plan = mixing.plan_mix(docs)
+    assert 0 < plan.n_last <= 16
+    got = mix(df).collect()
+    want = {r.sources[0]: r.target for r in got}
+    for s in "ab":
+        assert abs(sum(r.taken for r in got if r.sources[0] == s) - want[s]) <= 3 / 2 + 1
+    again = mix(df.repartition(7)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_too_many_patterns_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PATTERNS", 3)
+    df = spark.createDataFrame([(i, 1, [f"s{i}"]) for i in range(5)], "doc_id long, size long, sources array<string>")
+    with pytest.raises(ValueError):
+        mix(df)

@@ -77,3 +77,35 @@ def test_documents_without_a_language_to_learn_stay(spark):
     df = spark.createDataFrame([(i, t, lang, "s", 1) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = pipeline.language(spark, df, SF)
     assert got.columns == df.columns and {r.text for r in got.collect()} == {"some clean text", "日本", "x"}
+
+
+def test_no_column_name_clashes(spark):
+    base = spark.read.parquet(f"{SF}/documents.parquet").collect()[:60]
+    names = ["score", "has_letter", "kept", "n_removed", "_uses", "sources", "key", "row", "TEXT", "Text", "_row", "lang_pred", "_null", "_c0"]
+    values = [str(k) for k in range(len(names))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    df = spark.createDataFrame([(r.doc_id, r.text, r.lang, r.source, r.n_chars, *values) for r in base], schema).repartition(2)
+    want = [c.name for c in df.schema]
+    for k, (name, stage) in enumerate(pipeline.STAGES):
+        got = stage(spark, df, SF)
+        if k < 4:
+            assert got.columns == want, name
+            rows = got.collect()
+            assert rows and all(list(r)[5:] == values for r in rows), name
+        else:
+            assert got.count() > 0
+
+
+def test_a_stage_drops_the_tables_of_the_one_before(spark):
+    from medallion.sources import fs
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = written(pipeline.language(spark, docs, SF), "test-stage")
+    docs = written(pipeline.near_copies(spark, docs, SF), "test-stage")
+    before = list(pipeline._left)
+    assert before and all(fs.exists(spark, p) for p in before)
+    lazy = pipeline.repeated_passages(spark, docs, SF)  # its own tables stay while they are read
+    assert not any(fs.exists(spark, p) for p in before)
+    n = lazy.count()
+    pipeline.mixing(spark, lazy, SF)
+    assert lazy.count() == n == docs.count()
