@@ -116,31 +116,50 @@ def estimates() -> np.ndarray:
     return np.concatenate([[0.0], (starts[:-1] + starts[1:] - 1) / 2])
 
 
-def _places(x: np.ndarray, q: int, probe: int) -> np.ndarray:
-    """Bit of a segment that ``probe`` of the event (x, q) sets."""
-    y = mixed(x ^ mixed(np.full(1, q, np.uint64)))
-    return ((y & _MASK) + np.uint64(probe) * ((y >> np.uint64(32)) | np.uint64(1))) & np.uint64(SEGMENT_BITS - 1)
+_SALTS = mixed(np.arange(256, dtype=np.uint64))  # of the levels
+
+
+def _probes(x: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first bit of the event (x, q), and the step to the next ones."""
+    y = mixed(x ^ _SALTS[q])
+    return y & _MASK, (y >> np.uint64(32)) | np.uint64(1)
+
+
+_BIT = np.uint64(SEGMENT_BITS - 1)
+SEGMENT_BYTES = SEGMENT_BITS // 8
+
+
+def segment_of(x: np.ndarray, n: int) -> np.ndarray:
+    """Segments are ranges of the hashes: sorted hashes read them in turn."""
+    return ((x >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
 def segment_bits(x: np.ndarray, levels: np.ndarray) -> bytes:
     flags = np.zeros(SEGMENT_BITS, bool)
     for q in range(1, int(levels.max(initial=0)) + 1):
         x, levels = x[levels >= q], levels[levels >= q]
-        for probe in range(PROBES):
-            flags[_places(x, q, probe)] = True
+        place, step = _probes(x, q)
+        for _ in range(PROBES):
+            flags[place & _BIT] = True
+            place += step
     return np.packbits(flags, bitorder="little").tobytes()
 
 
 def read_levels(bits: np.ndarray, at: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Levels of the hashes ``x``, whose segments are the rows ``at`` of
+    """Levels of the hashes ``x``, whose segments begin at the bytes ``at`` of
     ``bits``."""
     found, open_, q = np.zeros(len(x), np.uint8), np.arange(len(x)), 0
     while len(open_):
         q += 1
-        for probe in range(PROBES):
-            place = _places(x[open_], q, probe)
-            byte = bits[at[open_], (place >> np.uint64(3)).astype(np.int64)]
-            open_ = open_[(byte >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        begin = at[open_]
+        place, step = _probes(x[open_], q)
+        for _ in range(PROBES):
+            here = place & _BIT
+            byte = bits[begin + (here >> np.uint64(3)).view(np.int64)]
+            hit = (byte >> (here & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            if not hit.all():
+                open_, begin, place, step = open_[hit], begin[hit], place[hit], step[hit]
+            place += step
         found[open_] = q
     return found
 
@@ -203,7 +222,7 @@ def train(docs: DataFrame, held_out: Column) -> Model:
         x = group["x"].to_numpy(np.int64).view(np.uint64)
         return pd.DataFrame({"segment": group["segment"].iloc[:1], "bits": [segment_bits(x, group["q"].to_numpy())]})
 
-    cut = entries.withColumn("segment", F.pmod("x", F.lit(n_segments)))
+    cut = entries.withColumn("segment", F.shiftright(F.shiftrightunsigned("x", 32) * F.lit(n_segments).cast("long"), 32))
     segments = written(cut.groupBy("segment").applyInPandas(build, "segment long, bits binary"), "filter")
     fs.delete(spark, path)
     return Model(total[0], total[1], table, common, least, segments, n_segments)
@@ -265,16 +284,16 @@ def _shape(model: Model) -> tuple:
 
 def _by_broadcast(docs: DataFrame, model: Model) -> DataFrame:
     sc = docs.sparkSession.sparkContext
-    bits = np.zeros((model.n_segments, SEGMENT_BITS // 8), np.uint8)
+    bits = np.zeros(model.n_segments * SEGMENT_BYTES, np.uint8)
     for r in model.segments.toLocalIterator():
-        bits[r.segment] = np.frombuffer(r.bits, np.uint8)
+        bits[r.segment * SEGMENT_BYTES : (r.segment + 1) * SEGMENT_BYTES] = np.frombuffer(r.bits, np.uint8)
     held, shape = sc.broadcast(bits), sc.broadcast(_shape(model))
 
     def fn(batch: pa.RecordBatch) -> dict:
         found = tokens(batch.column("text"))
         x, at_word, at_pair = _distinct(found)
         own = held.value
-        levels = read_levels(own, _signed(x) % len(own), x)
+        levels = read_levels(own, segment_of(x, len(own) // SEGMENT_BYTES) * SEGMENT_BYTES, x)
         return {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out")} | _scores(found, levels, at_word, at_pair, shape.value)
 
     return map_batches(docs, fn, SCORED)
@@ -285,7 +304,7 @@ def _by_slices(docs: DataFrame, model: Model) -> DataFrame:
     distinct n-grams.  A slice that is asked for more than ``ASKED`` hashes
     meets them in several tasks, each with a copy of it."""
     sc = docs.sparkSession.sparkContext
-    a_slice = max(1, BROADCAST // (SEGMENT_BITS // 8))
+    a_slice = max(1, BROADCAST // SEGMENT_BYTES)
     n_slices, n_segments = -(-model.n_segments // a_slice), model.n_segments
     schema = "doc_id array<long>, held_out array<boolean>, text array<binary>"
 
@@ -298,7 +317,7 @@ def _by_slices(docs: DataFrame, model: Model) -> DataFrame:
         out: dict = {"block": [], "slice": [], "asked": []}
         for block, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
             x = _distinct(tokens(texts.values))[0]
-            where = _signed(x) % n_segments // a_slice
+            where = segment_of(x, n_segments) // a_slice
             for s in np.unique(where).tolist():
                 for c, v in zip(out, (block, s, x[where == s].tobytes()), strict=True):
                     out[c].append(v)
@@ -312,13 +331,14 @@ def _by_slices(docs: DataFrame, model: Model) -> DataFrame:
     copies = copies.select("segment", "bits", "slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"))
 
     def answer(asks: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros((a_slice, SEGMENT_BITS // 8), np.uint8)
+        bits = np.zeros(a_slice * SEGMENT_BYTES, np.uint8)
         for s, raw in zip(parts["segment"], parts["bits"], strict=True):
-            bits[s % a_slice] = np.frombuffer(raw, np.uint8)
+            at = s % a_slice * SEGMENT_BYTES
+            bits[at : at + SEGMENT_BYTES] = np.frombuffer(raw, np.uint8)
         out = []
         for raw in asks["asked"]:
             x = np.frombuffer(raw, np.uint64)
-            out.append(read_levels(bits, _signed(x) % n_segments % a_slice, x).tobytes())
+            out.append(read_levels(bits, segment_of(x, n_segments) % a_slice * SEGMENT_BYTES, x).tobytes())
         return pd.DataFrame({"block": asks["block"], "slice": asks["slice"], "levels": out})
 
     answers = dealt.groupBy("slice", "share").cogroup(copies.groupBy("slice", "share")).applyInPandas(answer, "block long, slice long, levels binary")
@@ -330,7 +350,7 @@ def _by_slices(docs: DataFrame, model: Model) -> DataFrame:
         for ids, held, texts, answers in zip(*(batch.column(c) for c in ("doc_id", "held_out", "text", "answers"))):
             found = tokens(texts.values)
             x, at_word, at_pair = _distinct(found)
-            where, levels = _signed(x) % n_segments // a_slice, np.zeros(len(x), np.uint8)
+            where, levels = segment_of(x, n_segments) // a_slice, np.zeros(len(x), np.uint8)
             for item in answers.as_py():
                 levels[where == item["slice"]] = np.frombuffer(item["levels"], np.uint8)
             parts.append({"doc_id": ids.values, "held_out": held.values} | _scores(found, levels, at_word, at_pair, shape.value))
@@ -344,7 +364,7 @@ def score(docs: DataFrame, held_out: Column, model: Model) -> DataFrame:
     documents), train_tokens, base_score (exact counts) and score (the
     filter's), log10 probabilities of the whole text."""
     d = docs.select("doc_id", "text", held_out.alias("held_out"))
-    way = _by_broadcast if model.n_segments * (SEGMENT_BITS // 8) <= BROADCAST else _by_slices
+    way = _by_broadcast if model.n_segments * SEGMENT_BYTES <= BROADCAST else _by_slices
     got = written(way(d, model).withColumn("row", F.monotonically_increasing_id()), "scored")
     open_ = got.select("row", F.explode("rest").alias("w")).select("row", "w.*")
     counts = model.words.where(count_class(F.col("t")) < model.least_class).select("a", "b", F.col("n").alias("c"))

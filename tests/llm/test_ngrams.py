@@ -101,7 +101,7 @@ def test_levels_are_never_too_low_and_seldom_too_high():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2**63, 650_000).astype(np.uint64)
     levels = np.minimum(rng.geometric(0.8, len(x)), 40)[:500_000]
-    bits = np.frombuffer(segment_bits(x[:500_000], levels), np.uint8)[None]
+    bits = np.frombuffer(segment_bits(x[:500_000], levels), np.uint8)
     got = read_levels(bits, np.zeros(len(x), np.int64), x)
     assert (got[:500_000] >= levels).all() and (got[:500_000] != levels).mean() < 0.01
     assert (got[500_000:] > 0).mean() < 0.01
