@@ -145,20 +145,24 @@ class Runner:
         return self.load_bronze(m, scan_drifting(self.spark, paths, landing_schema(e)), full)
 
     def load_bronze(self, m: Model, raw: DataFrame, full: bool) -> str:
-        """Load landed rows into the bronze table of ``m``."""
+        """Load landed rows into the bronze table of ``m``.  The rows are
+        written once as they come from the landed files, so that those are read
+        once however often the load goes over them."""
         t, e = self.table(m), m.entity
         ts = t.next_load(self.load_ts)
         mark = utc_lit(t.newest_load()) if self.cfg.bronze_watermark and not full else None
-        if e == "measurement":
-            bad = undated(raw, e).withColumn(LOAD_TS, utc_lit(ts))
-            bad.coalesce(1).write.mode("overwrite" if full else "append").parquet(f"{self.cfg.dq}/undated_measurement")
-        batch = build_bronze(raw, e, load_ts=ts, mark=mark, versioned=True)
-        if e == "measurement":
-            batch = batch.where(F.col(MEASUREMENT_DATE).isNotNull())
-        if full:
-            t.overwrite(batch, load_ts=ts)
-            return "full"
-        return "upsert" if t.upsert(batch, load_ts=ts, newest=EXTRACTION_TS) else "skip"
+        with t.stages() as stage:
+            raw = stage(raw, "landed")
+            if e == "measurement":
+                bad = undated(raw, e).withColumn(LOAD_TS, utc_lit(ts))
+                bad.hint("rebalance").write.mode("overwrite" if full else "append").parquet(f"{self.cfg.dq}/undated_measurement")
+            batch = build_bronze(raw, e, load_ts=ts, mark=mark, versioned=True)
+            if e == "measurement":
+                batch = batch.where(F.col(MEASUREMENT_DATE).isNotNull())
+            if full:
+                t.overwrite(batch, load_ts=ts)
+                return "full"
+            return "upsert" if t.upsert(batch, load_ts=ts, newest=EXTRACTION_TS) else "skip"
 
     def _build(self, m: Model, df: DataFrame, ts: _dt.datetime) -> DataFrame:
         if m.layer == "silver":
@@ -251,7 +255,7 @@ class Runner:
                 path = f"{base}/loading/{d}"
                 land(read_api_pages(self.spark, path, e), self.cfg.landing_root, e)
                 bad = bad_pages(self.spark, path, e).withColumn("entity", F.lit(e))
-                bad.coalesce(1).write.mode("append").parquet(f"{self.cfg.dq}/bad_pages")
+                bad.hint("rebalance").write.mode("append").parquet(f"{self.cfg.dq}/bad_pages")
                 fs.rename(self.spark, path, f"{base}/done/{d}")
             out[e] = len(names)
         return out

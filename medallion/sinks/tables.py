@@ -155,6 +155,11 @@ class LayerTable:
             return prune_to(df, loads, [self.partition_by, LOAD_TS])
         return prune_to(df, loads, [LOAD_TS])
 
+    def stages(self) -> "_Stages":
+        """``with table.stages() as stage: stage(df, tag)``: frames written under
+        the shared checkpoint folder that go at the end."""
+        return _Stages(self)
+
     # ----------------------------------------------------------------- write
     def _put(self, df: DataFrame, path: str, mode: str, **options: str) -> None:
         if self.partition_by:

@@ -19,7 +19,7 @@ from medallion.plans.models import MODELS_BY_NAME
 from medallion.plans.runner import PipelineConfig, Runner
 from medallion.schemas import landing_schema
 from medallion.session import ensure_checkpoint_dir
-from medallion.sources.drift import decode_files
+from medallion.sources.drift import scan_files
 from medallion.sources.landing import entity_dir, new_dir
 
 ARCHIVE_DIR = "archive"
@@ -35,12 +35,13 @@ def stream_checkpoint(spark: SparkSession, cfg: PipelineConfig, entity: str) ->
 
 def landing_stream(spark: SparkSession, cfg: PipelineConfig, entity: str, *, archive: bool = True,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of the *contents* of newly landed files of ``entity``.
+    """Streaming DataFrame of newly landed files of ``entity``, with their content.
 
     The file source tracks which files were seen (in its checkpoint) and
-    archives them; each micro-batch's files are decoded one by one, as in the
+    archives them; each micro-batch's files are read by signature, as in the
     drift scan, because landed pages disagree on column types and one fixed
-    streaming schema cannot read them all.
+    streaming schema cannot read them all.  Folders and files whose names begin
+    with ``_`` or ``.`` are not complete yet and aren't listed.
     """
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", "*.parquet"))
@@ -49,7 +50,7 @@ def landing_stream(spark: SparkSession, cfg: PipelineConfig, entity: str, *, arc
                   .option("sourceArchiveDir", f"{entity_dir(cfg.landing_root, entity)}/{ARCHIVE_DIR}"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(f"{new_dir(cfg.landing_root, entity)}/*/").select("content")
+    return reader.load(f"{new_dir(cfg.landing_root, entity)}/[^_.]*/").select("path", "length", "content")
 
 
 def _bronze_writer(spark: SparkSession, cfg: PipelineConfig, entity: str):
@@ -57,7 +58,7 @@ def _bronze_writer(spark: SparkSession, cfg: PipelineConfig, entity: str):
     model = MODELS_BY_NAME[f"bronze_{entity}"]
 
     def write(files: DataFrame, batch_id: int) -> None:
-        runner.load_bronze(model, decode_files(files, landing_schema(entity)), full=False)
+        runner.load_bronze(model, scan_files(files.sparkSession, files, landing_schema(entity)), full=False)
 
     return write
 

@@ -40,8 +40,10 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    got = entry.queries()[name](spark, SF).toPandas()
-    want = con.sql(entry.oracle_sql()[name]).df()
-    assert sorted(got.columns) == sorted(want.columns)
+    df = entry.queries()[name](spark, SF)
+    got = [tuple(r) for r in df.collect()]
+    rel = con.sql(entry.oracle_sql()[name])
+    want = rel.fetchall()
+    assert sorted(df.columns) == sorted(rel.columns)
     assert len(got) == len(want)
-    assert digest(got) == digest(want)
+    assert digest(df.columns, got) == digest(rel.columns, want)

@@ -146,15 +146,69 @@ def test_pages_with_empty_lists_and_all_null_fields(spark, tmp_path):
     assert got[0] == [] and got[1][0].display_name is None and got[2][0].display_name == "PM2.5" and got[3] is None
 
 
-def test_align_array_keeps_slices_nulls_and_bad_values():
+def write(path, **columns):
     import pyarrow as pa
+    import pyarrow.parquet as pq
 
-    from medallion.sources.drift import align_array
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    pq.write_table(pa.table(columns), path)
 
-    to = pa.list_(pa.struct([("x", pa.int64()), ("y", pa.string())]))
-    a = pa.array([[{"x": 1.0}], None, [], [{"x": None}, None]], pa.list_(pa.struct([("x", pa.float64())])))
-    want = [[{"x": 1, "y": None}], None, [], [{"x": None, "y": None}, None]]
-    assert align_array(a, to).to_pylist() == want
-    assert align_array(a.slice(1), to).to_pylist() == want[1:]
-    assert align_array(pa.array(["1", "x", None]), pa.int64()).to_pylist() == [1, None, None]
-    assert align_array(pa.array([{"x": 1}, None]), pa.struct([("x", pa.string())])).to_pylist() == [{"x": "1"}, None]
+
+def test_columns_of_any_type_are_aligned(spark, tmp_path):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    at = dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
+    item = pa.list_(pa.struct([("x", pa.float64())]))
+    shapes = {
+        "floats": {"l": pa.array([[{"x": 1.0}], None, [], [{"x": None}, None]], item)},
+        "empty": {"l": pa.array([[], None, [None], []], pa.list_(pa.null()))},
+        "all null": {"l": pa.nulls(4), "n": pa.nulls(4), "s": pa.nulls(4), "t": pa.nulls(4)},
+        "text": {"n": pa.array(["1", "x", None, "2"]), "s": pa.array([{"x": 1}, None, {"x": 2}, {"x": None}], pa.struct([("x", pa.int64())]))},
+        "no struct": {"s": pa.array([1, 2, 3, 4]), "n": pa.array([1.9, -1.9, float("nan"), None])},
+        "small": {"n": pa.array([1, 2, 3, None], pa.int16()), "s": pa.array([{"y": "z"}] * 4)},
+        "dict": {"n": pa.array([1, 2, None, 3], pa.uint32()), "t": pa.array([at] * 4, pa.timestamp("us"))},
+        "nanos": {"t": pa.array([at] * 4, pa.timestamp("ns", "UTC"))},
+        "words": {"t": pa.array(["2024-01-02T03:04:05.123456Z", "soon", None, ""]), "n": pa.array([True, False, None, True])},
+        "binary": {"n": pa.array([b"1"] * 4), "more": pa.array([1] * 4)},
+    }
+    for name, columns in shapes.items():
+        write(f"{tmp_path}/{name} [*]{{a}}.parquet", k=pa.array([f"{name}{i}" for i in range(4)]).dictionary_encode(), **columns)
+    schema = T.StructType.fromDDL("k string, l array<struct<x: long, y: string>>, n long, s struct<x: string>, t timestamp")
+    got = {r.k: r for r in scan_drifting(spark, str(tmp_path), schema).collect()}
+    assert len(got) == 4 * len(shapes)
+    column = lambda name, c: [got[f"{name}{i}"][c] for i in range(4)]
+    assert column("floats", "l") == [[(1, None)], None, [], [(None, None), None]]
+    assert column("empty", "l") == [[], None, [None], []] and column("all null", "l") == [None] * 4
+    assert column("text", "n") == [1, None, None, 2] and column("text", "s") == [("1",), None, ("2",), (None,)]
+    assert column("no struct", "s") == [None] * 4 and column("no struct", "n")[:2] == [1, -1]
+    assert column("small", "n") == [1, 2, 3, None] and column("dict", "n") == [1, 2, None, 3]
+    assert column("dict", "t") == column("nanos", "t") == [at] * 4 and column("words", "t") == [at, None, None, None]
+    assert column("words", "n") == [1, 0, None, 1]
+
+
+def test_a_scan_for_each_signature_with_pruning_and_pushdown(spark, tmp_path):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    for i in range(6):
+        write(f"{tmp_path}/p{i}.parquet", id=pa.array([i, i + 10]), v=pa.array([1, 2]) if i % 2 else pa.array([0.5, 1.5]), w=pa.array(["a", "b"]))
+    df = scan_drifting(spark, str(tmp_path), T.StructType.fromDDL("id long, v double, w string")).where("id > 5").select("id", "v")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and "MapInArrow" not in plan
+    assert plan.count("ReadSchema: struct<id:bigint,v:double>") == 1 and plan.count("ReadSchema: struct<id:bigint,v:bigint>") == 1
+    assert plan.count("PushedFilters: [IsNotNull(id), GreaterThan(id,5)]") == 2
+    assert df.count() == 6 + 0 and rows(df, "v")[0] == (1.5,)
+
+
+def test_files_too_large_for_the_footer_job(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from medallion.sources import drift
+
+    monkeypatch.setattr(drift, "LARGE", 0)
+    write(f"{tmp_path}/a.parquet", id=pa.array([1]), v=pa.array([3]))
+    write(f"{tmp_path}/b.parquet", id=pa.array([2]), v=pa.array([2.5]))
+    got = scan_drifting(spark, str(tmp_path), T.StructType.fromDDL("id long, v double"))
+    assert rows(got) == [(1, 3.0), (2, 2.5)]

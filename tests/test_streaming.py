@@ -49,3 +49,17 @@ def test_available_now_pipeline_and_archive(spark, tmp_path):
     for dirpath, _, files in os.walk(f"{cfg.landing_root}/measurement/archive"):
         archived += [f for f in files if f.endswith(".parquet")]
     assert archived
+
+
+def test_a_batch_that_is_still_being_written_waits(spark, tmp_path):
+    cfg = PipelineConfig(landing_root=str(tmp_path / "raw"), warehouse_root=str(tmp_path / "wh"),
+                         country_ids=(80, 110), extra={"stream_checkpoint_root": str(tmp_path / "ckpt")})
+    lf.land_first_batch(cfg.landing_root)
+    new = f"{cfg.landing_root}/country/new"
+    [batch] = os.listdir(new)
+    os.rename(f"{new}/{batch}", f"{new}/_{batch}")
+    start_bronze_stream(spark, cfg, "country").awaitTermination()
+    assert Runner(spark, cfg).read("bronze", "country") is None
+    os.rename(f"{new}/_{batch}", f"{new}/{batch}")
+    start_bronze_stream(spark, cfg, "country").awaitTermination()
+    assert Runner(spark, cfg).read("bronze", "country").count() == 3
