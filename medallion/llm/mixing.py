@@ -22,8 +22,8 @@ from medallion.llm.common import map_batches, pick, written
 
 REPEATS = 3  # uses of a document at most
 WEIGHTS = (1, 2, 3)  # of the sources in order, repeating
-KEY_DIGITS = 4  # hex digits of the order key that a search by sums adds
-WIDTH = 64  # hex digits of the order key
+KEY_DIGITS = 3  # hex digits of the order key that a search by sums adds
+WIDTH = 66  # hex digits of the order key are 64; a multiple of KEY_DIGITS
 FEW = 1 << 16  # documents that are put in order, or broadcast, of a pattern
 PATTERNS = 1 << 16  # sets of sources that the driver's flow is made for
 
