@@ -109,6 +109,63 @@ def q_pipeline_hourly_incremental(spark, d):
     return out.select("sensor_id", "parameter_id", "date", "hour", F.round("hourly_average", 6).alias("hourly_average"), "number_of_measurements")
 
 
+def _merged(spark: SparkSession, d: str, alias: str) -> DataFrame:
+    """An aggregate kept by merging the states of three loads, of which the
+    later ones bring older and newer versions of readings."""
+    models = ["bronze_measurement", "silver_measurement", f"gold_{alias}"]
+    runner = Runner(spark, _config(spark))
+    events = table(spark, d, "events")
+    for k in range(3):
+        # a reading's versions are dealt over the loads by the event's kind
+        part = events.where(F.pmod(F.crc32("event_type") + F.col("event_id"), F.lit(3)) == k)
+        land(_readings(part), runner.cfg.landing_root, "measurement")
+        for name in models:
+            runner.run_model(name)
+        runner.archive()
+    return runner.read("gold", alias)
+
+
+def q_aggregate_state_daily(spark, d):
+    out = _merged(spark, d, "measurement_daily_aggregate")
+    return out.select("sensor_id", "parameter_id", "date", "day_of_week", F.round("daily_average", 6).alias("daily_average"),
+                      "daily_minimum", "daily_maximum", "number_of_measurements")
+
+
+def q_aggregate_state_hourly(spark, d):
+    out = _merged(spark, d, "measurement_hourly_aggregate")
+    return out.select("sensor_id", "parameter_id", "date", "hour", F.round("hourly_average", 6).alias("hourly_average"),
+                      "hourly_minimum", "hourly_maximum", "number_of_measurements")
+
+
+def _moved_localities(spark: SparkSession, d: str) -> Runner:
+    """Locations and countries, then every third location moves to another
+    place and every fifth country has another code: only what that touches is
+    made anew."""
+    runner = Runner(spark, _config(spark))
+    loc, own = locations(table(spark, d, "supplier")), countries(table(spark, d, "nation"))
+    dotted = {"id": "id", "name": "name", "locality": "locality", "country.id": "country_id", "owner.name": "owner_name", "provider.name": "provider_name",
+              "coordinates.latitude": "coordinates_latitude", "coordinates.longitude": "coordinates_longitude"}
+    moved = loc.where(_revised()).withColumn("locality", F.concat(F.lit(" moved "), F.col("id") % 4))
+    recoded = own.where(F.col("id") % 5 == 0).withColumn("code", F.concat(F.lit("X"), F.col("id")))
+    for k, (places, nations) in enumerate(((loc, own), (moved, own.limit(0)), (moved.limit(0), recoded))):
+        land(_page(places, "location", dotted, _day(k + 1)), runner.cfg.landing_root, "location")
+        land(_page(nations, "country", {c: c for c in ("id", "code", "name")}, _day(k + 1)), runner.cfg.landing_root, "country")
+        for name in ("bronze_country", "silver_country", "bronze_location", "silver_location", "gold_location", "gold_locality"):
+            runner.run_model(name)
+        runner.archive()
+    return runner
+
+
+def q_locality_touched_groups(spark, d):
+    out = _moved_localities(spark, d).read("gold", "locality")
+    return out.select("id", "country_id", "name", "display_name", F.round("coordinates_latitude", 6).alias("coordinates_latitude"),
+                      F.round("coordinates_longitude", 6).alias("coordinates_longitude"))
+
+
+def q_location_touched_groups(spark, d):
+    return _moved_localities(spark, d).read("gold", "location").select("id", "name", "owner_name", "locality_id")
+
+
 def q_pipeline_gold_parameter(spark, d):
     """Parameters whose first reading comes after they were loaded."""
     def before(runner: Runner) -> None:
@@ -221,7 +278,26 @@ FLOW_QUERIES = {name[2:]: fn for name, fn in globals().copy().items() if name.st
 
 _FROM = "strftime(h, '%Y-%m-%dT%H:%M:%SZ')"
 _REGION = ", ".join(str(k) for k in REGION_KEYS)
+_MOVED = f"""c AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS id, CASE WHEN n_nationkey % 5 = 0 THEN concat('X', n_nationkey) WHEN n_regionkey = 4 THEN NULL ELSE concat('N', n_nationkey) END AS code FROM nation),
+k AS (
+  SELECT id, name, owner_name, country_id, coordinates_latitude, coordinates_longitude,
+    regexp_replace(CASE WHEN id % 3 = 0 THEN concat(' moved ', id % 4) ELSE coalesce(locality, name) END, '^\\p{{Zs}}+|\\p{{Zs}}+$', '', 'g') AS place FROM ({LOCATIONS_SQL}))"""
 FLOW_SQL = {
+    "aggregate_state_daily": f"""WITH {_READINGS_SQL}, s AS (SELECT DISTINCT sensor_id, parameter_id, h, value FROM latest)
+SELECT sensor_id, parameter_id, CAST(h AS DATE) AS date, CAST(isodow(h) AS BIGINT) AS day_of_week, round(avg(value), 6) AS daily_average,
+  min(value) AS daily_minimum, max(value) AS daily_maximum, count(*) AS number_of_measurements
+FROM s GROUP BY sensor_id, parameter_id, CAST(h AS DATE), isodow(h)""",
+    "aggregate_state_hourly": f"""WITH {_READINGS_SQL}, s AS (SELECT DISTINCT sensor_id, parameter_id, h, value FROM latest)
+SELECT sensor_id, parameter_id, CAST(h AS DATE) AS date, CAST(hour(h) AS BIGINT) AS hour, round(avg(value), 6) AS hourly_average,
+  min(value) AS hourly_minimum, max(value) AS hourly_maximum, count(*) AS number_of_measurements
+FROM s GROUP BY sensor_id, parameter_id, h""",
+    "locality_touched_groups": f"""WITH {_MOVED}
+SELECT min(k.id) AS id, country_id, place AS name, concat(place, ', ', c.code) AS display_name, round(avg(coordinates_latitude), 6) AS coordinates_latitude,
+  round(avg(coordinates_longitude), 6) AS coordinates_longitude
+FROM k LEFT JOIN c ON k.country_id = c.id GROUP BY place, country_id, c.code""",
+    "location_touched_groups": f"""WITH {_MOVED}
+SELECT id, name, owner_name, min(id) OVER (PARTITION BY place, country_id) AS locality_id FROM k""",
     "pipeline_bronze_measurement": f"WITH {_READINGS_SQL} SELECT sensor_id, parameter_id, {_FROM} AS period_datetime_from_utc, value, CAST(h AS DATE) AS measurement_date FROM latest",
     "pipeline_gold_measurement": f"WITH {_READINGS_SQL} SELECT DISTINCT sensor_id, parameter_id, {_FROM} AS period_datetime_from_utc, value FROM latest",
     "stream_bronze_upsert": f"WITH {_READINGS_SQL} SELECT sensor_id, parameter_id, {_FROM} AS period_datetime_from_utc, value FROM latest",

@@ -83,6 +83,43 @@ def daily_aggregate(measurements: DataFrame) -> DataFrame:
     )
 
 
+# ------------------------------------------------------- mergeable state
+def partials(measurements: DataFrame, *, hourly: bool) -> DataFrame:
+    """The mergeable state of the aggregates: sum, count, least and greatest
+    value of each group.  States of disjoint rows merge to the state of all."""
+    m = _measurement_cte(measurements, with_hour=hourly).withColumnRenamed("measurement_date", "date")
+    return m.groupBy(*state_groups(hourly)).agg(
+        F.sum("value").alias("total"), F.count("value").alias("n_values"),
+        F.min("value").alias("minimum"), F.max("value").alias("maximum"), F.count(F.lit(1)).alias("n"))
+
+
+def state_groups(hourly: bool) -> list[str]:
+    return ["sensor_id", "date", "period_interval", "parameter_id"] + (["hour"] if hourly else [])
+
+
+def state_cell(hourly: bool) -> list[str]:
+    """The part of a group that follows from a reading's key: a revised
+    reading stays in its cell."""
+    return [c for c in state_groups(hourly) if c != "period_interval"]
+
+
+def merged_partials(states: DataFrame, *, hourly: bool) -> DataFrame:
+    return states.groupBy(*state_groups(hourly)).agg(
+        F.sum("total").alias("total"), F.sum("n_values").alias("n_values"),
+        F.min("minimum").alias("minimum"), F.max("maximum").alias("maximum"), F.sum("n").alias("n"))
+
+
+def finished(state: DataFrame, *, hourly: bool) -> DataFrame:
+    """The hourly or daily aggregate that a state stands for."""
+    name = "hourly" if hourly else "daily"
+    return state.select(
+        "sensor_id", "date", "period_interval", "parameter_id", *(["hour"] if hourly else []),
+        iso_dow(F.col("date")).alias("day_of_week"),
+        F.when(F.col("n_values") > 0, F.col("total") / F.col("n_values")).alias(f"{name}_average"),
+        F.col("minimum").alias(f"{name}_minimum"), F.col("maximum").alias(f"{name}_maximum"),
+        F.col("n").alias("number_of_measurements"))
+
+
 def locality_rollup(locations: DataFrame, countries: DataFrame) -> DataFrame:
     """One row per (trimmed locality-or-name, country): the locality table.
 
@@ -113,6 +150,17 @@ def locality_rollup(locations: DataFrame, countries: DataFrame) -> DataFrame:
     )
 
 
+def locality_groups(locations: DataFrame) -> DataFrame:
+    """The distinct (place, country) groups of the locations."""
+    return locations.select(locality_name().alias("place"), F.col("country_id").alias("country")).distinct()
+
+
+def of_groups(locations: DataFrame, groups: DataFrame) -> DataFrame:
+    """The locations of the groups; null places and countries are groups too."""
+    cond = locality_name().eqNullSafe(F.col("place")) & F.col("country_id").eqNullSafe(F.col("country"))
+    return locations.join(groups, cond, "left_semi")
+
+
 def with_locality_key(locations: DataFrame, *, out: str = "locality_id") -> DataFrame:
     """Add ``min(id) over (partition by trimmed locality-or-name, country_id)``.
 

@@ -12,11 +12,14 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.functions.exprs import utc_lit
+from medallion.operators.aggregates import finished, locality_groups, merged_partials, of_groups, partials, state_cell
+from medallion.operators.joins import anti_join, semi_join
 from medallion.operators.merge import rebuild_touched
 from medallion.operators.quality import run_checks
 from medallion.operators.selection import write_mark
@@ -42,7 +45,7 @@ from medallion.plans.models import (
     with_measurement_date,
 )
 from medallion.schemas import EXTRACTION_TS, LOAD_TS, landing_schema
-from medallion.sinks.tables import LayerTable
+from medallion.sinks.tables import LayerTable, load_time, prune_to
 from medallion.sources import fs
 from medallion.sources.api_pages import bad_pages, read_api_pages
 from medallion.sources.drift import scan_drifting
@@ -60,8 +63,11 @@ class PipelineConfig:
       bronze table's newest load (reference: yes; default: no, pending
       files are tracked by the landing folders).
     * ``measurement_mode``: "upsert" (revised values replace) or "append".
-    * ``aggregate_mode``: "recompute" touched dates or "append" per batch.
-    * ``locality_mode``: "rebuild" the small location/locality tables or
+    * ``aggregate_mode``: "merge" the loads' partial states and recompute only
+      groups with a replaced reading (default), "recompute" touched dates, or
+      "append" per batch.
+    * ``locality_mode``: "groups" recomputes the localities that a load
+      touched (default), "rebuild" the location/locality tables whole, or
       "incremental" (batch-only, as the reference).
 
     ``pages_root``: raw JSON pages, ``<pages_root>/<entity>/*.json``, that a
@@ -73,8 +79,8 @@ class PipelineConfig:
     country_ids: tuple[int, ...] = DEFAULT_COUNTRY_IDS
     bronze_watermark: bool = False
     measurement_mode: str = "upsert"
-    aggregate_mode: str = "recompute"
-    locality_mode: str = "rebuild"
+    aggregate_mode: str = "merge"
+    locality_mode: str = "groups"
     entities: tuple[str, ...] = ("country", "parameter", "location", "sensor", "measurement")
     pages_root: str | None = None
     extra: dict = field(default_factory=dict)
@@ -95,6 +101,10 @@ def undated(raw: DataFrame, entity: str) -> DataFrame:
     return df.where(F.col(MEASUREMENT_DATE).isNull()).drop(MEASUREMENT_DATE)
 
 
+# Tables that keep what their loads changed, for the tables made of them.
+FEEDS = ("silver_measurement", "silver_location", "silver_country")
+
+
 class Runner:
     def __init__(self, spark: SparkSession, cfg: PipelineConfig, load_ts: _dt.datetime | None = None):
         self.spark = spark
@@ -109,7 +119,7 @@ class Runner:
     # ---------------------------------------------------------------- tables
     def table(self, model: Model | str) -> LayerTable:
         m = MODELS_BY_NAME[model] if isinstance(model, str) else model
-        return LayerTable(self.spark, self.cfg.warehouse_root, m.layer, m.alias, m.keys, m.partition_by)
+        return LayerTable(self.spark, self.cfg.warehouse_root, m.layer, m.alias, m.keys, m.partition_by, m.name in FEEDS)
 
     def read(self, layer: str, alias: str) -> DataFrame | None:
         for m in MODELS:
@@ -132,8 +142,12 @@ class Runner:
         full = full_refresh or not t.exists()
         if m.layer == "bronze":
             return self._run_bronze(m, t, full)
+        if name in ("gold_location", "gold_locality") and self.cfg.locality_mode == "groups":
+            return self._run_groups(m, t, full)
         if name in ("gold_parameter", "gold_locality") or (name == "gold_location" and self.cfg.locality_mode == "rebuild"):
             return self._rebuild(m, t, full)
+        if m.partition_by == "date" and self.cfg.aggregate_mode == "merge":
+            return self._run_aggregate(m, t, full)
         return self._run_from(m, t, full)
 
     def _run_bronze(self, m: Model, t: LayerTable, full: bool) -> str:
@@ -198,13 +212,107 @@ class Runner:
         t.consume(source, pending)
         return outcome
 
+    def _run_aggregate(self, m: Model, t: LayerTable, full: bool) -> str:
+        """Merge the states of the pending loads' new readings into the state
+        table; groups in whose cell a reading was replaced are recomputed from
+        their readings.  Only the touched dates of state and table are written.
+
+        Every written date of the state says up to which load it holds
+        (``through``), so a run that failed in between merges nothing twice.
+        """
+        hourly = m.alias == "measurement_hourly_aggregate"
+        source = self.table(m.inputs[0])
+        pending = t.pending(source)
+        _, df = self._source(m.inputs[0])
+        ts = t.next_load(self.load_ts)
+        state = LayerTable(self.spark, self.cfg.warehouse_root, "gold", f"_{m.alias}_state", (), "date")
+        finish = lambda s: finished(s, hourly=hourly).withColumn(LOAD_TS, utc_lit(ts))
+        if not full and pending.isEmpty():
+            return "skip"
+        through = utc_lit(load_time(source.loads().agg(F.unix_micros(F.max(LOAD_TS))).first()[0]))
+        changes = None if full or not state.exists() else source.changes(pending)
+        if changes is None:
+            state.overwrite(partials(df, hourly=hourly).withColumn("through", through))
+            t.overwrite(finish(state.read()), load_ts=ts)
+            outcome = "full"
+        else:
+            dates = pending.select(F.col(MEASUREMENT_DATE).alias("date")).distinct()
+            held = prune_to(state.read(), dates, ["date"])
+            cell = state_cell(hourly)
+            with state.stages() as stage:
+                # cells are few (revised readings), dates fewer: written, so that
+                # each is worked out once
+                dirty = stage(partials(changes.where("_change = 'replaced'"), hourly=hourly).select(*cell).distinct(), "dirty")
+                upto = stage(held.groupBy("date").agg(F.max("through").alias("upto")), "through")
+                added = changes.where("_change = 'added'")
+                late = added.join(F.broadcast(upto), F.col(MEASUREMENT_DATE) == F.col("date"), "left")
+                late = late.where(F.col("upto").isNull() | (F.col("_load") > F.col("upto"))).select(*added.columns)
+                cells = dirty.withColumnRenamed("date", MEASUREMENT_DATE)
+                redo = prune_to(df, cells, [MEASUREMENT_DATE])
+                redo = semi_join(redo, cells, ["sensor_id", "parameter_id", MEASUREMENT_DATE])
+                states = [
+                    anti_join(held.drop("through"), dirty, cell, null_safe=True, dedup=False),
+                    anti_join(partials(late, hourly=hourly), dirty, cell, null_safe=True, dedup=False),
+                    semi_join(partials(redo, hourly=hourly), dirty, cell, null_safe=True, dedup=False),
+                ]
+                new = merged_partials(reduce(DataFrame.unionByName, states), hourly=hourly)
+                state.replace_partitions(new.withColumn("through", through))
+            t.replace_partitions(finish(prune_to(state.read(), dates, ["date"])), load_ts=ts)
+            outcome = "merge"
+        t.consume(source, pending)
+        return outcome
+
+    def _run_groups(self, m: Model, t: LayerTable, full: bool) -> str:
+        """Location and locality after the pending loads: the groups that a
+        changed location was in or is in now, and those of a changed country,
+        are made anew from their locations; all other rows stay."""
+        sources = [self.table(n) for n in m.inputs]
+        pending = [t.pending(s) for s in sources]
+        locations = self._source("silver_location")[1]
+        build = build_gold_location
+        if m.alias == "locality":
+            countries = self._source("silver_country")[1]
+            build = lambda d, load_ts: build_gold_locality(d, countries, load_ts=load_ts)
+        ts = t.next_load(self.load_ts)
+        if not full and all(p.isEmpty() for p in pending):
+            return "skip"
+        changes = [None if full else s.read().limit(0) if p.isEmpty() else s.changes(p) for s, p in zip(sources, pending, strict=True)]
+        if any(c is None for c in changes):
+            t.overwrite(build(locations, load_ts=ts), load_ts=ts)
+            outcome = "full"
+        else:
+            with t.stages() as stage:
+                touched = locality_groups(changes[0])
+                if m.alias == "locality":
+                    ids = changes[1].select("id").distinct()
+                    touched = touched.union(locality_groups(semi_join(locations, ids, ["country_id"], ["id"]))).distinct()
+                touched = stage(touched, "groups")
+                members = of_groups(locations, touched)
+                current = t.read()
+                if m.alias == "locality":
+                    cond = current["name"].eqNullSafe(F.col("place")) & current["country_id"].eqNullSafe(F.col("country"))
+                    kept = current.join(touched, cond, "left_anti")
+                else:
+                    kept = current.join(members.select(F.col("id").alias("__id")), F.col("id") == F.col("__id"), "left_anti")
+                t.overwrite(kept.unionByName(build(members, load_ts=ts)), load_ts=ts)
+            outcome = "groups"
+        for s, p in zip(sources, pending, strict=True):
+            t.consume(s, p)
+        return outcome
+
     def _rebuild(self, m: Model, t: LayerTable, full: bool) -> str:
         """Small tables that depend on all rows of their inputs are made anew;
         reference-exact locality mode upserts the pending locations' rows."""
         ts = t.next_load(self.load_ts)
         source, df = self._source(m.inputs[0])
         if m.alias == "parameter":
+            sources = [self.table(n) for n in m.inputs]
+            pending = [t.pending(s) for s in sources]
+            if not full and all(p.isEmpty() for p in pending):
+                return "skip"
             t.overwrite(build_gold_parameter(df, self.parameters_with_data(), load_ts=ts), load_ts=ts)
+            for s, p in zip(sources, pending, strict=True):
+                t.consume(s, p)
             return "full"
         if m.alias == "location":
             t.overwrite(build_gold_location(df, load_ts=ts), load_ts=ts)

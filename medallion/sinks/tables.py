@@ -18,7 +18,11 @@ Every load has an id, its load time, unique in the table and stamped on its
 rows.  ``<path>/_loads/`` logs the loads with the dates they touched, and
 ``<path>/_consumed/`` the loads of other tables that this table has taken
 in.  What is pending is the difference of the two logs, so a load is taken
-in whenever it was committed.  Dates and load ids stay in Spark: small frames
+in whenever it was committed.  A table with a *feed* also keeps what each of
+its upserts and appends changed, ``<path>/_changes/load=<micros>/``: the rows
+it added and the rows it replaced, as they were.  Tables made of it read that
+instead of its partitions.  A load without a feed (a full refresh) says that
+anything may have changed.  Dates and load ids stay in Spark: small frames
 (a row per load and date) that are broadcast so that they prune partitions.
 """
 
@@ -34,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions.exprs import EPOCH_FLOOR, utc_lit
+from medallion.operators.joins import semi_join
 from medallion.operators.merge import merge_newest, upsert_frame
 from medallion.schemas import LOAD_TS
 from medallion.session import staging_path
@@ -44,7 +49,14 @@ FLOOR = _dt.datetime.fromisoformat(EPOCH_FLOOR).replace(tzinfo=_UTC)
 _EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_UTC)
 
 
-def _time(micros: int | None) -> _dt.datetime:
+CHANGE = "_change"
+
+
+def _micros(t: _dt.datetime) -> int:
+    return (t - _EPOCH) // _dt.timedelta(microseconds=1)
+
+
+def load_time(micros: int | None) -> _dt.datetime:
     return FLOOR if micros is None else _EPOCH + _dt.timedelta(microseconds=micros)
 
 
@@ -70,6 +82,7 @@ class LayerTable:
     alias: str
     keys: Sequence[str] = field(default_factory=tuple)
     partition_by: str | None = None
+    feed: bool = False
 
     @property
     def path(self) -> str:
@@ -112,7 +125,7 @@ class LayerTable:
 
     def newest_load(self) -> _dt.datetime:
         """The newest load time of the table (1900-01-01 when empty), in UTC."""
-        return _time(self.loads().agg(F.unix_micros(F.max(LOAD_TS))).first()[0])
+        return load_time(self.loads().agg(F.unix_micros(F.max(LOAD_TS))).first()[0])
 
     def next_load(self, at: _dt.datetime) -> _dt.datetime:
         """The id of a load at this time: the time itself, or the next free
@@ -147,6 +160,28 @@ class LayerTable:
         pending.select(F.lit(source.name).alias("source"), LOAD_TS).distinct().coalesce(1) \
             .write.mode("append").parquet(f"{self.path}/_consumed")
 
+    def _feed(self, added: DataFrame, replaced: DataFrame | None, load_ts: _dt.datetime | None) -> None:
+        """Written before the rows are: a load that then fails is never logged,
+        so its feed is never read."""
+        if self.feed and load_ts is not None:
+            rows = added.withColumn(CHANGE, F.lit("added"))
+            if replaced is not None:
+                rows = rows.unionByName(replaced.withColumn(CHANGE, F.lit("replaced")))
+            rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/_changes/load={_micros(load_ts)}")
+
+    def changes(self, loads: DataFrame) -> DataFrame | None:
+        """The table's columns, ``_change`` (added or replaced) and ``_load``
+        (the load that made it) of the given loads; None if one of them kept no
+        feed."""
+        ids = [r[0] for r in loads.select(F.unix_micros(LOAD_TS).alias("m")).distinct().collect()]  # a number a load
+        kept = set(fs.child_dirs(self.spark, f"{self.path}/_changes"))
+        if not ids or any(f"load={m}" not in kept for m in ids):
+            return None
+        schema = self.read().schema.add(CHANGE, T.StringType())
+        df = self.spark.read.schema(schema.add("load", T.LongType())).option("basePath", f"{self.path}/_changes")
+        df = df.parquet(*[f"{self.path}/_changes/load={m}" for m in sorted(ids)])
+        return df.withColumn("_load", F.timestamp_micros("load")).drop("load")
+
     def rows_of(self, loads: DataFrame) -> DataFrame:
         """The table's rows stamped with one of the loads (only their dates
         are scanned)."""
@@ -191,6 +226,7 @@ class LayerTable:
             if staged.isEmpty():
                 return False
             current = self.read()
+            self._feed(staged, None, load_ts)
             if current is None:
                 self._commit(staged)
             elif self.partition_by:
@@ -216,10 +252,12 @@ class LayerTable:
                 return False
             current = self.read()
             if current is None:
+                self._feed(staged, None, load_ts)
                 self._commit(staged)
             else:
                 old = prune_to(current, staged, [self.partition_by]) if self.partition_by else current
                 rows = staged.select(*current.columns)
+                self._feed(rows, semi_join(old, rows, list(self.keys), list(self.keys), dedup=False), load_ts)
                 merged = merge_newest(old, rows, self.keys, newest, LOAD_TS) if newest else upsert_frame(old, rows, self.keys)
                 if self.partition_by:
                     self._put(stage(merged, "merged"), self.data(), "overwrite", partitionOverwriteMode="dynamic")

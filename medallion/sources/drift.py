@@ -46,19 +46,20 @@ _READ_AS = {
 _WIDENS = {("int32", "bigint"), ("int32", "double"), ("float", "double"), ("int8", "int"), ("int16", "int")}
 
 
-def described(t: pa.DataType):
+def described(t: pa.DataType, int96: bool = False):
     """The type of a column of a file: a name, ["list", element] or a dict of
-    fields.  None: a type that no landed column has (read as missing)."""
+    fields.  None: a type that no landed column has (read as missing).
+    ``int96``: its nanoseconds are the old Parquet type, which is an instant."""
     if pa.types.is_dictionary(t):
-        return described(t.value_type)
+        return described(t.value_type, int96)
     if pa.types.is_list(t) or pa.types.is_large_list(t):
-        item = described(t.value_type)
+        item = described(t.value_type, int96)
         return None if item is None else ["list", item]
     if pa.types.is_struct(t):
-        fields = {f.name: described(f.type) for f in t}
+        fields = {f.name: described(f.type, int96) for f in t}
         return {n: d for n, d in fields.items() if d is not None} or None
     if pa.types.is_timestamp(t):
-        return "nanos" if t.unit == "ns" else "instant" if t.tz else "wall"
+        return "nanos" if t.unit == "ns" and not int96 else "instant" if t.tz or int96 else "wall"
     return str(t) if str(t) in _READ_AS else f"decimal({t.precision},{t.scale})" if pa.types.is_decimal128(t) else None
 
 
@@ -130,8 +131,10 @@ def signatures(files: DataFrame, schema: T.StructType) -> DataFrame:
         for batch in batches:
             out = []
             for footer in batch.column(1):
-                own = pq.ParquetFile(pa.BufferReader(b"PAR1" + footer.as_py())).schema_arrow
-                found = {f.name: described(f.type) for f in own if f.name in targets}
+                file = pq.ParquetFile(pa.BufferReader(b"PAR1" + footer.as_py()))
+                # a leaf's path begins with its column, whose name may have dots
+                old = [c.path + "." for c in map(file.schema.column, range(len(file.schema))) if c.physical_type == "INT96"]
+                found = {f.name: described(f.type, any(p.startswith(f.name + ".") for p in old)) for f in file.schema_arrow if f.name in targets}
                 out.append(signature(found, targets))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["path", "signature"])
 

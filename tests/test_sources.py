@@ -156,6 +156,7 @@ def write(path, **columns):
 
 def test_columns_of_any_type_are_aligned(spark, tmp_path):
     import pyarrow as pa
+    import pyarrow.parquet as pq
     from pyspark.sql import types as T
 
     at = dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
@@ -174,6 +175,8 @@ def test_columns_of_any_type_are_aligned(spark, tmp_path):
     }
     for name, columns in shapes.items():
         write(f"{tmp_path}/{name} [*]{{a}}.parquet", k=pa.array([f"{name}{i}" for i in range(4)]).dictionary_encode(), **columns)
+    pq.write_table(pa.table({"k": [f"old{i}" for i in range(4)], "t": pa.array([at] * 4, pa.timestamp("us"))}), f"{tmp_path}/old.parquet", use_deprecated_int96_timestamps=True)
+    shapes["old"] = {}
     schema = T.StructType.fromDDL("k string, l array<struct<x: long, y: string>>, n long, s struct<x: string>, t timestamp")
     got = {r.k: r for r in scan_drifting(spark, str(tmp_path), schema).collect()}
     assert len(got) == 4 * len(shapes)
@@ -183,7 +186,7 @@ def test_columns_of_any_type_are_aligned(spark, tmp_path):
     assert column("text", "n") == [1, None, None, 2] and column("text", "s") == [("1",), None, ("2",), (None,)]
     assert column("no struct", "s") == [None] * 4 and column("no struct", "n")[:2] == [1, -1]
     assert column("small", "n") == [1, 2, 3, None] and column("dict", "n") == [1, 2, None, 3]
-    assert column("dict", "t") == column("nanos", "t") == [at] * 4 and column("words", "t") == [at, None, None, None]
+    assert column("dict", "t") == column("nanos", "t") == column("old", "t") == [at] * 4 and column("words", "t") == [at, None, None, None]
     assert column("words", "n") == [1, 0, None, 1]
 
 
