@@ -29,8 +29,8 @@ from medallion.schemas import EXTRACTION_TS, landing_schema
 from medallion.session import staging_path
 from medallion.sources.api_pages import read_api_pages
 from medallion.sources.drift import align_to_schema, scan_drifting
-from medallion.sources.landing import land, new_dir
-from medallion.streaming.incremental import start_bronze_stream
+from medallion.sources.landing import land, new_dir, scan_landing
+from medallion.streaming.incremental import run_available_now, start_bronze_stream, start_page_stream
 
 PARAMETERS = 1000  # parameter ids that the events' readings are of
 PAGE = 8192  # records of a JSON page at most
@@ -191,6 +191,47 @@ def q_stream_bronze_upsert(spark, d):
     return out.select("sensor_id", "parameter_id", "period_datetime_from_utc", "value")
 
 
+def q_stream_layers(spark, d):
+    """Bronze, silver and the daily aggregate as streams, chained twice."""
+    cfg = _config(spark)
+    cfg.extra["stream_checkpoint_root"], cfg.entities = f"{cfg.warehouse_root}/streams", ("measurement",)
+    events = table(spark, d, "events")
+    for k in range(2):
+        land(_readings(events.where(F.col("event_id") % 2 == 1 - k)), cfg.landing_root, "measurement")
+        run_available_now(spark, cfg, test=False, models=["silver_measurement", "gold_measurement_daily_aggregate"])
+    out = Runner(spark, cfg).read("gold", "measurement_daily_aggregate")
+    return out.select("sensor_id", "parameter_id", "date", F.round("daily_average", 6).alias("daily_average"), "number_of_measurements")
+
+
+def _json_pages(events: DataFrame, path: str) -> None:
+    """Pages of a sensor's records, from ``PAGE`` rows that follow each other in
+    a part of the table, so no page has more, whatever a sensor's share."""
+    record = F.struct("value", F.struct(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("utc")).alias("datetime_from")).alias("period"),
+                      F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("name")).alias("parameter"))
+    paged = events.withColumn("page", F.expr(f"monotonically_increasing_id() div {PAGE}"))
+    paged.groupBy(F.col("user_id").alias("parent_id"), "page").agg(F.collect_list(record).alias("results")).drop("page").write.mode("append").json(path)
+
+
+def q_stream_json_pages(spark, d):
+    """JSON pages landed by a stream, in two parts, some of them cut off; with
+    what was landed, the number of bad pages of each part."""
+    cfg = _config(spark)
+    cfg.pages_root = f"{cfg.landing_root}-pages"
+    cfg.extra["stream_checkpoint_root"] = f"{cfg.warehouse_root}/streams"
+    events = table(spark, d, "events")
+    path = f"{cfg.pages_root}/measurement"
+    for k in range(2):
+        _json_pages(events.where(F.col("event_id") % 2 == k), path)
+        # every thousandth event has a page of its own that ends early
+        events.where((F.col("event_id") % 2 == k) & (F.col("event_id") % 1000 == k)).select(F.concat(F.lit('{"results": [{"value": '), F.col("event_id")).alias("value")) \
+            .write.mode("append").text(path)
+        start_page_stream(spark, cfg, "measurement", multi_line=False).awaitTermination()
+    landed = scan_landing(spark, cfg.landing_root, "measurement", scope="new")
+    bad = spark.read.option("recursiveFileLookup", "true").parquet(f"{cfg.dq}/bad_pages")
+    return landed.select("sensor_id", "value", col_of("parameter.id").alias("parameter_id"), F.lit(None).cast("string").alias("bad_page")) \
+        .unionByName(bad.select(F.lit(None).cast("long").alias("sensor_id"), F.lit(None).cast("double").alias("value"), F.lit(None).cast("long").alias("parameter_id"), F.col("page").alias("bad_page")))
+
+
 def q_landing_drift_scan(spark, d):
     """Files that hold ``value`` as a whole number, as a double, or not."""
     path = f"{new_dir(_config(spark).landing_root, 'reading')}"
@@ -253,14 +294,9 @@ def q_pipeline_gold_sensor(spark, d):
 
 
 def q_page_flatten(spark, d):
-    """JSON pages of a sensor's records, read as landed rows.  A page takes
-    them from ``PAGE`` rows that follow each other in a part of the table, so
-    no page has more, whatever a sensor's share."""
+    """JSON pages of a sensor's records, read as landed rows."""
     path = f"{staging_path(spark, 'pages')}/measurement"
-    record = F.struct("value", F.struct(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("utc")).alias("datetime_from")).alias("period"),
-                      F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("name")).alias("parameter"))
-    events = table(spark, d, "events").withColumn("page", F.expr(f"monotonically_increasing_id() div {PAGE}"))
-    events.groupBy(F.col("user_id").alias("parent_id"), "page").agg(F.collect_list(record).alias("results")).drop("page").write.json(path)
+    _json_pages(table(spark, d, "events"), path)
     out = read_api_pages(spark, path, "measurement", multi_line=False)
     return out.select("sensor_id", "value", *[col_of(c).alias(c.replace(".", "_")) for c in ("period.datetime_from.utc", "parameter.id", "parameter.name")])
 
@@ -301,6 +337,11 @@ SELECT id, name, owner_name, min(id) OVER (PARTITION BY place, country_id) AS lo
     "pipeline_bronze_measurement": f"WITH {_READINGS_SQL} SELECT sensor_id, parameter_id, {_FROM} AS period_datetime_from_utc, value, CAST(h AS DATE) AS measurement_date FROM latest",
     "pipeline_gold_measurement": f"WITH {_READINGS_SQL} SELECT DISTINCT sensor_id, parameter_id, {_FROM} AS period_datetime_from_utc, value FROM latest",
     "stream_bronze_upsert": f"WITH {_READINGS_SQL} SELECT sensor_id, parameter_id, {_FROM} AS period_datetime_from_utc, value FROM latest",
+    "stream_layers": f"""WITH {_READINGS_SQL}, s AS (SELECT DISTINCT sensor_id, parameter_id, h, value FROM latest)
+SELECT sensor_id, parameter_id, CAST(h AS DATE) AS date, round(avg(value), 6) AS daily_average, count(*) AS number_of_measurements
+FROM s GROUP BY sensor_id, parameter_id, CAST(h AS DATE)""",
+    "stream_json_pages": """SELECT user_id AS sensor_id, value, event_id AS parameter_id, NULL AS bad_page FROM events
+UNION ALL SELECT NULL, NULL, NULL, concat('{"results": [{"value": ', event_id) FROM events WHERE event_id % 1000 IN (0, 1) AND event_id % 1000 = event_id % 2""",
     "pipeline_daily_incremental": f"""WITH {_READINGS_SQL}, s AS (SELECT DISTINCT sensor_id, parameter_id, h, value FROM latest),
 g AS (SELECT CAST(h AS DATE) AS date, avg(value) AS a, count(*) AS n FROM s GROUP BY date, sensor_id, parameter_id)
 SELECT date, count(*) AS n_groups, round(sum(a), 4) AS averages, CAST(sum(n) AS BIGINT) AS readings FROM g GROUP BY date""",

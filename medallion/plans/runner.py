@@ -47,9 +47,9 @@ from medallion.plans.models import (
 from medallion.schemas import EXTRACTION_TS, LOAD_TS, landing_schema
 from medallion.sinks.tables import LayerTable, load_time, prune_to
 from medallion.sources import fs
-from medallion.sources.api_pages import bad_pages, read_api_pages
+from medallion.sources.api_pages import bad_of, landed_rows, parsed_pages
 from medallion.sources.drift import scan_drifting
-from medallion.sources.landing import archive_loaded, batch_name, claim_new, claimed_and_archived, land
+from medallion.sources.landing import archive_loaded, batch_name, claim_new, claimed_and_archived, is_landed, land
 
 
 @dataclass
@@ -106,10 +106,17 @@ FEEDS = ("silver_measurement", "silver_location", "silver_country")
 
 
 class Runner:
-    def __init__(self, spark: SparkSession, cfg: PipelineConfig, load_ts: _dt.datetime | None = None):
+    """``batch``: the stream and micro-batch that this runner's loads are made
+    by; ``loads``: the loads of a source, by its name, that it takes in (the
+    others wait for their own micro-batch)."""
+
+    def __init__(self, spark: SparkSession, cfg: PipelineConfig, load_ts: _dt.datetime | None = None,
+                 batch: tuple[str, int] | None = None, loads: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.cfg = cfg
         self._load_ts = load_ts
+        self.batch = batch
+        self.loads = loads or {}
 
     @property
     def load_ts(self) -> _dt.datetime:
@@ -119,7 +126,7 @@ class Runner:
     # ---------------------------------------------------------------- tables
     def table(self, model: Model | str) -> LayerTable:
         m = MODELS_BY_NAME[model] if isinstance(model, str) else model
-        return LayerTable(self.spark, self.cfg.warehouse_root, m.layer, m.alias, m.keys, m.partition_by, m.name in FEEDS)
+        return LayerTable(self.spark, self.cfg.warehouse_root, m.layer, m.alias, m.keys, m.partition_by, m.name in FEEDS, self.batch)
 
     def read(self, layer: str, alias: str) -> DataFrame | None:
         for m in MODELS:
@@ -140,6 +147,10 @@ class Runner:
         m = MODELS_BY_NAME[name]
         t = self.table(m)
         full = full_refresh or not t.exists()
+        if t.has_batch():  # tried again after its load was logged
+            for s in map(self.table, m.inputs):
+                t.consume(s, self._pending(t, s, False))
+            return "done"
         if m.layer == "bronze":
             return self._run_bronze(m, t, full)
         if name in ("gold_location", "gold_locality") and self.cfg.locality_mode == "groups":
@@ -150,6 +161,12 @@ class Runner:
             return self._run_aggregate(m, t, full)
         return self._run_from(m, t, full)
 
+    def _pending(self, t: LayerTable, source: LayerTable, full: bool) -> DataFrame:
+        pending = t.pending(source)
+        if full or source.name not in self.loads:
+            return pending
+        return semi_join(pending, self.loads[source.name], [LOAD_TS])
+
     def _run_bronze(self, m: Model, t: LayerTable, full: bool) -> str:
         cfg, e = self.cfg, m.entity
         claimed = claim_new(self.spark, cfg.landing_root, e)
@@ -163,6 +180,8 @@ class Runner:
         written once as they come from the landed files, so that those are read
         once however often the load goes over them."""
         t, e = self.table(m), m.entity
+        if t.has_batch():
+            return "done"
         ts = t.next_load(self.load_ts)
         mark = utc_lit(t.newest_load()) if self.cfg.bronze_watermark and not full else None
         with t.stages() as stage:
@@ -191,7 +210,7 @@ class Runner:
     def _run_from(self, m: Model, t: LayerTable, full: bool) -> str:
         """Take in the loads of the first input that are pending."""
         source = self.table(m.inputs[0])
-        pending = t.pending(source)  # before the rows are read: later loads wait
+        pending = self._pending(t, source, full)  # before the rows are read: later loads wait
         _, df = self._source(m.inputs[0])
         ts = t.next_load(self.load_ts)
         if full:
@@ -222,16 +241,18 @@ class Runner:
         """
         hourly = m.alias == "measurement_hourly_aggregate"
         source = self.table(m.inputs[0])
-        pending = t.pending(source)
+        pending = self._pending(t, source, full)
         _, df = self._source(m.inputs[0])
         ts = t.next_load(self.load_ts)
         state = LayerTable(self.spark, self.cfg.warehouse_root, "gold", f"_{m.alias}_state", (), "date")
         finish = lambda s: finished(s, hourly=hourly).withColumn(LOAD_TS, utc_lit(ts))
         if not full and pending.isEmpty():
             return "skip"
-        through = utc_lit(load_time(source.loads().agg(F.unix_micros(F.max(LOAD_TS))).first()[0]))
         changes = None if full or not state.exists() else source.changes(pending)
+        taken = pending if changes is not None else source.loads()
+        through = utc_lit(load_time(taken.agg(F.unix_micros(F.max(LOAD_TS))).first()[0]))
         if changes is None:
+            pending = t.pending(source)  # all rows are read: no load waits
             state.overwrite(partials(df, hourly=hourly).withColumn("through", through))
             t.overwrite(finish(state.read()), load_ts=ts)
             outcome = "full"
@@ -267,7 +288,7 @@ class Runner:
         changed location was in or is in now, and those of a changed country,
         are made anew from their locations; all other rows stay."""
         sources = [self.table(n) for n in m.inputs]
-        pending = [t.pending(s) for s in sources]
+        pending = [self._pending(t, s, full) for s in sources]
         locations = self._source("silver_location")[1]
         build = build_gold_location
         if m.alias == "locality":
@@ -278,6 +299,7 @@ class Runner:
             return "skip"
         changes = [None if full else s.read().limit(0) if p.isEmpty() else s.changes(p) for s, p in zip(sources, pending, strict=True)]
         if any(c is None for c in changes):
+            pending = [t.pending(s) for s in sources]  # all rows are read: no load waits
             t.overwrite(build(locations, load_ts=ts), load_ts=ts)
             outcome = "full"
         else:
@@ -307,7 +329,7 @@ class Runner:
         source, df = self._source(m.inputs[0])
         if m.alias == "parameter":
             sources = [self.table(n) for n in m.inputs]
-            pending = [t.pending(s) for s in sources]
+            pending = [self._pending(t, s, full) for s in sources]
             if not full and all(p.isEmpty() for p in pending):
                 return "skip"
             t.overwrite(build_gold_parameter(df, self.parameters_with_data(), load_ts=ts), load_ts=ts)
@@ -361,13 +383,24 @@ class Runner:
                 fs.rename(self.spark, f"{base}/{n}", f"{claim}/{n}")
             for d in fs.child_dirs(self.spark, f"{base}/loading"):
                 path = f"{base}/loading/{d}"
-                land(read_api_pages(self.spark, path, e), self.cfg.landing_root, e)
-                bad = bad_pages(self.spark, path, e).withColumn("entity", F.lit(e))
-                bad.hint("rebalance").write.mode("append").parquet(f"{self.cfg.dq}/bad_pages")
+                self.land_parsed(parsed_pages(self.spark.read, path, e), e, d)
                 fs.rename(self.spark, path, f"{base}/done/{d}")
             out[e] = len(names)
         return out
 
+    def land_parsed(self, pages: DataFrame, entity: str, batch: str) -> None:
+        """Land the records of parsed pages and keep the bad ones aside, under
+        the batch's name: a batch that is tried again lands nothing twice.  The
+        pages are parsed once, for both."""
+        table = self.table(f"bronze_{entity}")
+        with table.stages() as stage:
+            parsed = stage(pages, "pages")
+            name = f"pages_{batch}"
+            if not is_landed(self.spark, self.cfg.landing_root, entity, name):
+                land(landed_rows(parsed, entity), self.cfg.landing_root, entity, name=name)
+            bad = bad_of(parsed).withColumn("entity", F.lit(entity))
+            bad.hint("rebalance").write.mode("overwrite").parquet(f"{self.cfg.dq}/bad_pages/{entity}-{batch}")
+
     def archive(self) -> dict[str, int]:
         return {e: archive_loaded(self.spark, self.cfg.landing_root, e) for e in self.cfg.entities}
 
@@ -385,7 +418,8 @@ class Runner:
         for name in ("undated_measurement", "bad_pages"):
             if fs.has_file(self.spark, f"{self.cfg.dq}/{name}"):
                 # a load that is repeated keeps the same rows aside again
-                tests[name] = self.spark.read.parquet(f"{self.cfg.dq}/{name}").drop(LOAD_TS).distinct()
+                kept = self.spark.read.option("recursiveFileLookup", "true").parquet(f"{self.cfg.dq}/{name}")
+                tests[name] = kept.drop(LOAD_TS).distinct()
         return run_checks(tests)
 
     def run_pipeline(self, *, full_refresh: bool = False, archive: bool = True, test: bool = True) -> DataFrame | None:

@@ -18,7 +18,9 @@ Every load has an id, its load time, unique in the table and stamped on its
 rows.  ``<path>/_loads/`` logs the loads with the dates they touched, and
 ``<path>/_consumed/`` the loads of other tables that this table has taken
 in.  What is pending is the difference of the two logs, so a load is taken
-in whenever it was committed.  A table with a *feed* also keeps what each of
+in whenever it was committed.  A load made by a micro-batch of a stream is
+logged with the stream's name and the batch's number, in the same file, so a
+micro-batch that is tried again finds its load and logs no other.  A table with a *feed* also keeps what each of
 its upserts and appends changed, ``<path>/_changes/load=<micros>/``: the rows
 it added and the rows it replaced, as they were.  Tables made of it read that
 instead of its partitions.  A load without a feed (a full refresh) says that
@@ -83,6 +85,7 @@ class LayerTable:
     keys: Sequence[str] = field(default_factory=tuple)
     partition_by: str | None = None
     feed: bool = False
+    batch: tuple[str, int] | None = None
 
     @property
     def path(self) -> str:
@@ -114,14 +117,27 @@ class LayerTable:
 
     # ------------------------------------------------------------- load logs
     def _log_schema(self) -> str:
-        return f"{LOAD_TS} timestamp, {self.partition_by or '_none'} date"
+        return f"{LOAD_TS} timestamp, {self.partition_by or '_none'} date, stream string, batch long"
+
+    def load_log(self) -> str:
+        """The folder of the load log, a file a load (a stream may read it)."""
+        return f"{self.path}/_loads"
 
     def loads(self) -> DataFrame:
         """(load id, date it touched) of every load (dimension tables: no date)."""
-        path = f"{self.path}/_loads"
-        if not fs.has_file(self.spark, path):
+        return self._logged().drop("stream", "batch")
+
+    def _logged(self) -> DataFrame:
+        if not fs.has_file(self.spark, self.load_log()):
             return self.spark.createDataFrame([], self._log_schema())
-        return self.spark.read.schema(self._log_schema()).parquet(path)
+        return self.spark.read.schema(self._log_schema()).parquet(self.load_log())
+
+    def has_batch(self) -> bool:
+        """Was this micro-batch of a stream logged with a load already?"""
+        if self.batch is None:
+            return False
+        stream, batch = self.batch
+        return not self._logged().where((F.col("stream") == stream) & (F.col("batch") == batch)).isEmpty()
 
     def newest_load(self) -> _dt.datetime:
         """The newest load time of the table (1900-01-01 when empty), in UTC."""
@@ -141,8 +157,10 @@ class LayerTable:
             touched = df.select(F.col(self.partition_by).cast("date").alias(self.partition_by)).distinct()
         else:
             touched = self.spark.range(1).select(F.lit(None).cast("date").alias("_none"))
-        touched.select(utc_lit(load_ts).alias(LOAD_TS), *touched.columns).coalesce(1) \
-            .write.mode("append").parquet(f"{self.path}/_loads")
+        stream, batch = self.batch or (None, None)
+        of_batch = F.lit(stream).cast("string").alias("stream"), F.lit(batch).cast("long").alias("batch")
+        touched.select(utc_lit(load_ts).alias(LOAD_TS), *touched.columns, *of_batch).coalesce(1) \
+            .write.mode("append").parquet(self.load_log())
 
     def pending(self, source: "LayerTable") -> DataFrame:
         """Loads of ``source`` that this table hasn't consumed, as they are now:

@@ -30,22 +30,30 @@ def page_schema(entity: str, parent_field: str = "parent_id") -> T.StructType:
 CORRUPT = "_corrupt_page"
 
 
-def _pages(spark: SparkSession, path: str, entity: str, parent_field: str, multi_line: bool) -> DataFrame:
+def parsed_pages(reader, path: str, entity: str, *, parent_field: str = "parent_id", multi_line: bool = True) -> DataFrame:
+    """The pages under ``path``, by ``spark.read`` or ``spark.readStream``:
+    results, parent id, the whole page if it can't be read as JSON of the
+    declared shape, and its file's path and time."""
     schema = page_schema(entity, parent_field).add(CORRUPT, T.StringType())
-    return (spark.read.schema(schema)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .option("multiLine", str(multi_line).lower())
-            .option("recursiveFileLookup", "true")
-            .json(path))
+    pages = (reader.schema(schema)
+             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+             .option("multiLine", str(multi_line).lower())
+             .option("recursiveFileLookup", "true")
+             .json(path))
+    return pages.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_modification_time").alias("_file_ts"))
+
+
+def bad_of(pages: DataFrame) -> DataFrame:
+    """(path, page) of the parsed pages that can't be read."""
+    # Spark wants another column to be read beside the corrupt record
+    other = F.coalesce(F.size("results"), F.lit(0)) >= -1
+    return pages.where(F.col(CORRUPT).isNotNull() & other).select(F.col("_path").alias("path"), F.col(CORRUPT).alias("page"))
 
 
 def bad_pages(spark: SparkSession, path: str, entity: str, *, parent_field: str = "parent_id",
               multi_line: bool = True) -> DataFrame:
     """(path, page): pages that can't be read as JSON of the declared shape."""
-    pages = _pages(spark, path, entity, parent_field, multi_line)
-    # Spark wants another column to be read beside the corrupt record
-    other = F.coalesce(F.size("results"), F.lit(0)) >= -1
-    return pages.where(F.col(CORRUPT).isNotNull() & other).select(F.col("_metadata.file_path").alias("path"), F.col(CORRUPT).alias("page"))
+    return bad_of(parsed_pages(spark.read, path, entity, parent_field=parent_field, multi_line=multi_line))
 
 
 def read_api_pages(spark: SparkSession, path: str, entity: str, *, parent_field: str = "parent_id",
@@ -58,11 +66,16 @@ def read_api_pages(spark: SparkSession, path: str, entity: str, *, parent_field:
     given time (UTC if it has no zone) or the file's modification time.
     Pages that aren't JSON have no rows here; :func:`bad_pages` has them.
     """
-    pages = _pages(spark, path, entity, parent_field, multi_line).where(F.col(CORRUPT).isNull()).withColumn("__file_ts", F.col("_metadata.file_modification_time"))
-    keep = ["__file_ts"] + ([parent_field] if entity in PARENT_COLUMN else [])
+    return landed_rows(parsed_pages(spark.read, path, entity, parent_field=parent_field, multi_line=multi_line), entity, parent_field=parent_field, extracted_at=extracted_at)
+
+
+def landed_rows(pages: DataFrame, entity: str, *, parent_field: str = "parent_id", extracted_at=None) -> DataFrame:
+    """Landed rows of parsed pages."""
+    pages = pages.where(F.col(CORRUPT).isNull())
+    keep = ["_file_ts"] + ([parent_field] if entity in PARENT_COLUMN else [])
     records = pages.select(*[col_of(k) for k in keep], F.explode("results").alias("__r"))
     flat = flatten_structs(records.select(*[col_of(k) for k in keep], "__r.*"))
-    stamped = flat.withColumn(EXTRACTION_TS, utc_lit(extracted_at) if extracted_at is not None else F.col("__file_ts"))
+    stamped = flat.withColumn(EXTRACTION_TS, utc_lit(extracted_at) if extracted_at is not None else F.col("_file_ts"))
     if entity in PARENT_COLUMN:
         stamped = stamped.withColumnRenamed(parent_field, PARENT_COLUMN[entity])
     return align_to_schema(stamped, landing_schema(entity))

@@ -99,8 +99,16 @@ def batch_name(prefix: str = "", suffix: str = "", now: _dt.datetime | None = No
     return "_".join(p for p in (prefix, stamp, suffix) if p)
 
 
+def is_landed(spark: SparkSession, root: str, entity: str, name: str) -> bool:
+    """Is a batch of this name landed, claimed or archived?"""
+    base = entity_dir(root, entity)
+    folders = [new_dir(root, entity), *(f"{loading_dir(root, entity)}/{n}" for n in fs.child_dirs(spark, loading_dir(root, entity))),
+               *(f"{base}/{n}" for n in fs.child_dirs(spark, base))]
+    return any(fs.exists(spark, f"{f}/{name}") for f in folders)
+
+
 def land(df: DataFrame, root: str, entity: str, *, prefix: str = "", suffix: str = "",
-         skip_empty: bool = True, align: bool = True) -> str | None:
+         skip_empty: bool = True, align: bool = True, name: str | None = None) -> str | None:
     """Append one batch of records under ``<root>/<entity>/new/``.
 
     Rows of a known entity are first aligned to its landing schema (types
@@ -108,14 +116,16 @@ def land(df: DataFrame, root: str, entity: str, *, prefix: str = "", suffix: str
     only pages written by other tools need the drift scan.  The batch is
     written under a hidden name and renamed when complete, so a load never
     claims half of it.  An empty batch leaves nothing and returns None.
+    ``name``: the batch's own name; what an earlier try left of it goes.
     """
     if align and entity in ENTITY_FIELDS:
         from medallion.sources.drift import align_to_schema
 
         df = align_to_schema(df, landing_schema(entity))
-    name = batch_name(prefix or entity, suffix)
+    mode = "overwrite" if name else "errorifexists"
+    name = name or batch_name(prefix or entity, suffix)
     hidden, target = f"{new_dir(root, entity)}/_{name}", f"{new_dir(root, entity)}/{name}"
-    df.write.mode("errorifexists").parquet(hidden)
+    df.write.mode(mode).parquet(hidden)
     if skip_empty and df.sparkSession.read.schema(df.schema).parquet(hidden).isEmpty():
         fs.delete(df.sparkSession, hidden)
         return None
