@@ -1,11 +1,13 @@
 """Approximate nearest neighbours by a forest of random-projection trees.
 
-The trees are grown on a bounded sample: a node cuts its points at the median
-of their projections on the line through two of them.  Every row is then
-dealt to its leaf of each tree.  A query searches all trees through one
-priority queue, ordered by how far the query is on the wrong side of the cuts
-so far, until ``probes`` leaves are taken; the rows of those leaves are
-ranked by their exact distance.
+Vectors of each length have a forest of their own.  Its trees are grown on a
+bounded sample: a node cuts its points at the median of their projections on
+the line through two of them.  Every row is then dealt to its leaf of each
+tree.  A query searches all trees through one priority queue, ordered by how
+far the query is on the wrong side of the cuts so far, until the leaves it took
+hold ``probes`` of what all leaves hold, and at least ``AT_LEAST`` rows (a row
+counts in each tree); this is the rule at every size.  The rows of those leaves
+are ranked by their exact distance.
 
 Rows with equal vectors are indexed once, with their least ids: a list of k
 can't need more of them, as ties go to smaller ids.
@@ -24,11 +26,14 @@ from pyspark.sql import functions as F
 from medallion.llm.common import map_batches, written
 from medallion.llm.topk import best, matrix, usable, with_bytes
 
-SAMPLE = 16384  # vectors that the trees are grown on: at most so many rows reach the driver
+SAMPLE = 16384  # vectors of a length that trees are grown on: at most so many rows reach the driver,
+SAMPLES = 65536  # of all lengths together, but for a few of each
+FEW = 256
 TREES = 16
 LEAVES = 256  # of a tree, at most
 LEAF = 64  # points of the sample in a leaf, about and at least
-PROBES = 0.07  # of all leaves of the forest
+PROBES = 0.07  # of the rows in all leaves of the forest
+AT_LEAST = 4096  # rows in the leaves that a query takes
 BLOCK = 2048  # vectors of a leaf, and queries, that meet in one tile
 
 
@@ -38,7 +43,7 @@ class Forest:
     def __init__(self, sample: np.ndarray, trees: int, leaves: int, seed: int = 0):
         rng = np.random.default_rng(seed)
         self.trees = [self._grow(sample, max(LEAF, len(sample) // leaves), rng) for _ in range(trees)]
-        self.leaves = [sum(isinstance(n, int) for n in t) for t in self.trees]
+        self.held = [np.zeros(sum(isinstance(n, int) for n in t), np.int64) for t in self.trees]  # rows of each leaf
 
     def _grow(self, x: np.ndarray, size: int, rng: np.random.Generator) -> list:
         nodes: list = []
@@ -80,14 +85,17 @@ class Forest:
                 todo += [(node[2], rows[left]), (node[3], rows[~left])]
         return out
 
-    def search(self, q: np.ndarray, probes: int) -> list[tuple[int, int]]:
-        """(tree, leaf) of the first ``probes`` leaves from the queue."""
+    def search(self, q: np.ndarray, probes: float) -> list[tuple[int, int]]:
+        """(tree, leaf) of the leaves from the queue, until they hold enough."""
+        enough = max(AT_LEAST, probes * sum(h.sum() for h in self.held))
         queue, out = [(-np.inf, t, 0) for t in range(len(self.trees))], []
-        while queue and len(out) < probes:
+        while queue and enough > 0:
             wrong, t, me = heapq.heappop(queue)
             node = self.trees[t][me]
             if isinstance(node, int):
-                out.append((t, node))
+                if self.held[t][node]:
+                    out.append((t, node))
+                    enough -= self.held[t][node]
             else:
                 p = float(q @ node[0]) - node[1]
                 heapq.heappush(queue, (max(wrong, p), t, node[2]))
@@ -100,43 +108,62 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, probes: float = P
     distance in double precision; ties to the smaller vec_id.
 
     Queries are the rows whose vec_id is divisible by ``every``; candidates
-    are all rows but those of the query's vec_id.  Where there are no more
-    than a few times k points, a forest's leaves are all taken, so that all
-    candidates are returned.  Null ids and vectors, zero vectors and vectors with null or
-    non-finite components take no part; nor do vectors whose length isn't the
-    most common one.  Repeated rows count once per vec_id and vector.  Empty
-    table: no rows.
+    are all rows of the query's length but those of its vec_id.  Null ids and
+    vectors, zero vectors and vectors with null or non-finite components take
+    no part.  Repeated rows count once per vec_id and vector.  Empty table: no
+    rows.  Extra columns are left out.
     """
     spark = vectors.sparkSession
     own = usable(vectors).select("vec_id", F.size("v").alias("dim"), "v").where(F.exists("v", lambda x: x != 0))
     own = written(with_bytes(own), "vectors")
-    dims = own.groupBy("dim").count().orderBy(F.col("count").desc(), "dim").limit(1).collect()
     schema = "query_id long, rank int, vec_id long, score double"
-    if not dims:
-        return spark.createDataFrame([], schema)
-    own = own.where(F.col("dim") == dims[0].dim)
-
     # equal vectors: the k + 1 least ids (one may be the query's own)
     ids = best(own.select("bytes", "vec_id").distinct(), ["bytes"], [F.col("vec_id")], k + 1, "nth")
     points = written(ids.groupBy("bytes").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "points")
-    sample = points.select("bytes").orderBy(F.xxhash64("bytes"), "bytes").limit(SAMPLE).collect()
-    forest = Forest(matrix(pd.Series([bytes(r.bytes) for r in sample])), TREES, LEAVES)
-    # on few points, every leaf is taken: no list may lack candidates
-    budget = round(probes * sum(forest.leaves)) if len(sample) >= 64 * (k + 1) else sum(forest.leaves)
-    shared = spark.sparkContext.broadcast(forest)
+    dims = sorted(r.dim for r in points.select(F.length("bytes").alias("dim")).distinct().collect())  # a row per length
+    if not dims:
+        return spark.createDataFrame([], schema)
+    each = min(SAMPLE, max(FEW, SAMPLES // len(dims)))
+    drawn = best(points.select("bytes", F.length("bytes").alias("dim")), ["dim"], [F.xxhash64("bytes"), F.col("bytes")], each).collect()
+    drawn = {d: sorted((r.rank, bytes(r.bytes)) for r in drawn if r.dim == d) for d in dims}
+    forests = {d: Forest(matrix(pd.Series([x for _, x in rows])), TREES, LEAVES) for d, rows in drawn.items()}
+    first = {d: i * TREES for i, d in enumerate(dims)}  # number of a forest's first tree
+    grown = spark.sparkContext.broadcast(forests)
+
+    def by_length(vectors: list[bytes]):
+        for d, forest in grown.value.items():
+            at = [i for i, v in enumerate(vectors) if len(v) == d]
+            if at:
+                yield d, forest, np.array(at)
 
     def deal(batch: pa.RecordBatch) -> dict:
-        x, trees = matrix(batch.column(0).to_pylist()), len(shared.value.trees)
-        return {"bytes": pa.concat_arrays([batch.column(0)] * trees), "ids": pa.concat_arrays([batch.column(1)] * trees), "tree": np.repeat(np.arange(trees), len(x)), "leaf": np.concatenate([shared.value.leaf_of(t, x) for t in range(trees)])}
+        vectors, out = batch.column(0).to_pylist(), ([], [], [])
+        for d, forest, at in by_length(vectors):
+            x = matrix([vectors[i] for i in at])
+            for t in range(TREES):
+                for column, v in zip(out, (at, np.full(len(at), first[d] + t), forest.leaf_of(t, x)), strict=True):
+                    column.append(v)
+        row, tree, leaf = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in out)
+        return {"bytes": batch.column(0).take(pa.array(row)), "ids": batch.column(1).take(pa.array(row)), "tree": tree, "leaf": leaf}
+
+    members = map_batches(points, deal, "bytes binary, ids array<long>, tree int, leaf int")
+    held = members.groupBy("tree", "leaf").count().collect()  # TREES * LEAVES rows a length, and a few
+    for r in held:
+        d = dims[r.tree // TREES]
+        forests[d].held[r.tree % TREES][r.leaf] = r["count"]
+    shared = spark.sparkContext.broadcast(forests)
 
     def probe(batch: pa.RecordBatch) -> dict:
-        found = [shared.value.search(q, budget) for q in matrix(batch.column(1).to_pylist())]
+        vectors = batch.column(1).to_pylist()
+        found = []
+        for v in vectors:
+            d = len(v)
+            found.append([(first[d] + t, leaf) for t, leaf in shared.value[d].search(np.frombuffer(v), probes)])
         row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
         flat = np.array([p for f in found for p in f], np.int64).reshape(-1, 2)
         return {"q": batch.column(0).take(row), "query": batch.column(1).take(row), "tree": flat[:, 0], "leaf": flat[:, 1]}
 
-    members = map_batches(points, deal, "bytes binary, ids array<long>, tree int, leaf int")
-    sizes = members.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sizes = spark.createDataFrame([(r.tree, r.leaf, -(-r["count"] // BLOCK)) for r in held], "tree int, leaf int, blocks long")
     members = members.join(F.broadcast(sizes), ["tree", "leaf"])  # at most TREES * LEAVES rows and a few
     block = F.pmod(F.xxhash64("bytes"), F.col("blocks"))
     members = members.groupBy("tree", "leaf", block.alias("block")).agg(F.collect_list(F.struct("bytes", "ids")).alias("rows"))

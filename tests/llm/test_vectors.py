@@ -76,7 +76,7 @@ def lists(got):
 
 
 def test_nearest_of_odd_vectors(spark, odd):
-    # so few points that every leaf is taken: the lists are exact
+    # so few rows that enough are only in all leaves: the lists are exact
     got = lists(ann.nearest(frame(spark, odd)))
     want = brute_nearest(odd)
     assert got.keys() == want.keys()
@@ -98,3 +98,24 @@ def test_recall_and_exact_scores(spark):
     for q, hits in got.items():
         assert hits == sorted(hits) and len(hits) == 10
         assert all(abs(s - np.sqrt(((by_id[q] - by_id[i]) ** 2).sum())) < 1e-12 for s, i in hits)
+
+
+def test_a_forest_for_each_length(spark):
+    """Most rows are of one length, and all queries of the others."""
+    rng = np.random.default_rng(12)
+    vectors = [(i * 7 + 1 if (i * 7 + 1) % 100 else 9001, rng.normal(size=8).tolist()) for i in range(320)]
+    vectors += [(100 * i, rng.normal(size=6).tolist()) for i in range(1, 5)] + [(20_001 + i, rng.normal(size=6).tolist()) for i in range(76)]
+    vectors += [(700, [1.0, 2.0])]
+    got, want = lists(ann.nearest(frame(spark, vectors))), brute_nearest(vectors)
+    assert got.keys() == {q for q, hits in want.items() if hits} == {100, 200, 300, 400}
+    for q in got:
+        assert [i for _, i in got[q]] == [i for _, i in want[q]]
+
+
+@pytest.mark.parametrize("n", [600, 710, 1500, 4000])
+def test_recall_at_any_size(spark, n):
+    rng = np.random.default_rng(n)
+    vectors = [(i * 10, v.tolist()) for i, v in enumerate(rng.normal(size=(n, 64)))]
+    got, want = lists(ann.nearest(frame(spark, vectors))), brute_nearest(vectors)
+    found = sum(len({i for _, i in got[q]} & {i for _, i in hits}) for q, hits in want.items())
+    assert found >= 0.9 * sum(len(h) for h in want.values())
