@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import documents, map_batches, stored, written
+from medallion.llm.common import documents, map_batches, release, stored, written
 from medallion.sources import fs
 
 LEVEL_BASE = 1.5  # of the log scale of counts
@@ -197,6 +197,7 @@ def train(docs: DataFrame, held_out: Column) -> Model:
 
     counted = map_batches(d.select("text", "_own"), words, "a long, b long, n long, t long").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     table = written(counted, "words")
+    release(spark)
     total = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0))).first()
     classes = sorted(((r[0], r[1]) for r in table.groupBy(count_class(F.col("t"))).count().collect()), reverse=True)
     room, least = COMMON, 1 << 30
@@ -216,6 +217,7 @@ def train(docs: DataFrame, held_out: Column) -> Model:
     learned = map_batches(d.where("_own").select("text"), pairs, "x long, n long").groupBy("x").agg(F.sum("n").alias("n"))
     both = learned.select("x", level(F.col("n")).alias("q")).unionByName(table.where("n > 0").select(F.col("a").alias("x"), level(F.col("n")).alias("q")))
     entries, path = stored(both, "n-grams")
+    release(spark)
     n_segments = max(1, -(-(entries.agg(F.sum("q")).first()[0] or 0) // SEGMENT_EVENTS))
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
@@ -225,6 +227,7 @@ def train(docs: DataFrame, held_out: Column) -> Model:
     cut = entries.withColumn("segment", F.shiftright(F.shiftrightunsigned("x", 32) * F.lit(n_segments).cast("long"), 32))
     segments = written(cut.groupBy("segment").applyInPandas(build, "segment long, bits binary"), "filter")
     fs.delete(spark, path)
+    release(spark)
     return Model(total[0], total[1], table, common, least, segments, n_segments)
 
 
