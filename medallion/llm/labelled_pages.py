@@ -1,7 +1,8 @@
 """Labelled pages to train the page model on.
 
 Pages are put together from the ways in which sites mark their parts: an
-article in one of several containers, and menus, headers, footers, sidebars,
+article in one of several containers, some with names that no other site has
+or none, and menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments around and inside it.  The
 attribute ``CONTENT`` labels an element and what is in it.
 """
@@ -9,6 +10,7 @@ attribute ``CONTENT`` labels an element and what is in it.
 from __future__ import annotations
 
 import random
+import re
 
 CONTENT = "data-content"
 
@@ -17,21 +19,39 @@ _ROOT = ("", "", "div id=page", "div class=wrapper", "div class=container", "mai
 _BEFORE = (
     "nav", "header", "div class=menu", "div id=navigation role=navigation", "div class='site-header banner' role=banner", "ul class=breadcrumb",
     "div class=cookie-notice", "div class='notice alert'", "div id=consent", "div class=ad", "div class='advert sponsored'", "div id=banner-ad", "form class=search", "div class=topbar",
+    "noscript",
 )
 _AFTER = (
     "footer", "footer", "aside", "div class=sidebar", "div id=sidebar role=complementary", "section class=comments", "div id=comments", "ol class=comment-list", "div class='comment reply'",
     "div class=related", "div class=share", "div class=social", "form class=newsletter", "form", "div class=subscribe", "div class=footer role=contentinfo", "div class=copyright",
+    "div class='discussion thread'", "div id=disqus-thread", "section class='responses replies'",
     "div class=ads", "div class=promo", "div class=widget", "div class=popup", "div class='legal disclaimer'", "div class=tags", "div class=recommended",
 )
 _INSIDE = ("aside", "div class=ad", "div class=advertisement", "nav class=toc", "form", "div class=share", "div class=newsletter", "section class=comments", "div class=related", "div class=notice", "footer")
 
 
-def labelled_pages(n: int = 400, seed: int = 0) -> list[str]:
+def _labelled(parts: list[str]) -> bool:
+    return any(CONTENT in p for p in parts)
+
+
+def labelled_pages(n: int = 1200, seed: int = 0) -> list[str]:
     rnd = random.Random(seed)
 
     def words(lo: int, hi: int) -> str:
         return " ".join("".join(rnd.choice("aeioulnrst") for _ in range(rnd.randint(1, 9))) for _ in range(rnd.randint(lo, hi)))
 
+    def name() -> str:
+        return "".join(rnd.choice("bcdfghjkmpqvwxyz") for _ in range(rnd.randint(2, 5)))
+
+    def prose(lo: int, hi: int) -> str:
+        """Sentences, most with their marks."""
+        out = []
+        for w in words(lo, hi).split():
+            out.append(w.capitalize() if not out or out[-1][-1] in ".!?" else w)
+            if rnd.random() < 0.17:
+                out[-1] += rnd.choice(".....,,,!?")
+        return " ".join(out) + "."
+
     def box(spec: str, inner: str, label: int | None = None) -> str:
         mark = "" if label is None else f" {CONTENT}={label}"
         return f"<{spec}{mark}>{inner}</{spec.split()[0]}>"
@@ -44,10 +64,21 @@ def labelled_pages(n: int = 400, seed: int = 0) -> list[str]:
         return box(kind, words(1, 4))
 
     def paragraph() -> str:
-        text = words(1, 60)
+        said = prose if rnd.random() < 0.85 else words
+        text = said(1, 60)
         while rnd.random() < 0.4:
-            text += f" {inline()} {words(1, 20)}"
+            text += f" {inline()} {said(1, 20)}"
+        odd = rnd.random()
+        if odd < 0.07:  # long, repeated, or shouted
+            text = said(100, 500)
+        elif odd < 0.14:
+            text = " ".join([words(1, 2)] * rnd.randint(30, 600))
+        elif odd < 0.18:
+            text = words(5, 200).upper().replace(" ", rnd.choice((" ", "!! ", " | ", ", ", " ... ")))
         kind = rnd.random()
+        if kind < 0.05:
+            fallback = rnd.choice((text, f"<p>{text}</p>", words(1, 4), f"{words(1, 3)}<object>{words(1, 3)}</object>{words(1, 3)}"))
+            return box(rnd.choice(("noscript", "object", "object", "xmp")), fallback)
         if kind < 0.7:
             return f"<p>{text}" + ("</p>" if rnd.random() < 0.9 else "")
         if kind < 0.75:
@@ -71,11 +102,11 @@ def labelled_pages(n: int = 400, seed: int = 0) -> list[str]:
         if tag == "form":
             return box(spec, f"<label>{words(1, 3)}</label><input name=q><select><option>{words(1, 2)}</select><button>{words(1, 2)}</button>", 0)
         inner = rnd.choice((
-            lambda: f"<ul>{links(1, 8)}</ul>", lambda: words(1, 40), lambda: f"<p>{words(1, 40)}</p>", lambda: f"<a href=/z>{words(1, 3)}</a> {words(1, 9)}",
-            lambda: f"<h3>{words(1, 3)}</h3><ul>{links(1, 5)}</ul>", lambda: f"<div><p>{words(3, 30)}</p><p>{words(3, 30)}</p></div>", lambda: f"<span>{words(1, 8)}</span>",
+            lambda: f"<ul>{links(1, 8)}</ul>", lambda: words(1, 40), lambda: f"<p>{prose(1, 40)}</p>", lambda: prose(1, 20), lambda: f"<a href=/z>{words(1, 3)}</a> {words(1, 9)}",
+            lambda: f"<h3>{words(1, 3)}</h3><ul>{links(1, 5)}</ul>", lambda: f"<div><p>{prose(3, 30)}</p><p>{prose(3, 30)}</p></div>", lambda: f"<span>{words(1, 8)}</span>",
             lambda: f"<h1>{words(1, 4)}</h1><p>{words(1, 6)}</p>", lambda: f"&copy; {words(1, 3)} &middot; {words(1, 20)}",
         ))()
-        for _ in range(rnd.choice((0, 0, 0, 0, 0, 1, 2, 6))):
+        for _ in range(rnd.choice((0, 0, 0, 0, 0, 1, 2, 6, 20))):
             inner = box(rnd.choice(("div", "div", "section", "div class=inner", "span")), inner)
         return box(spec, inner, 0)
 
@@ -86,14 +117,33 @@ def labelled_pages(n: int = 400, seed: int = 0) -> list[str]:
             if rnd.random() < 0.08:
                 parts.append(other(rnd.choice(_INSIDE)))
         inner = "".join(parts)
-        for _ in range(rnd.choice((0, 0, 0, 0, 1, 2, 4, 8))):
+        for _ in range(rnd.choice((0, 0, 0, 0, 1, 2, 4, 8, 16))):
             inner = box(rnd.choice(("div", "div", "section", "div class=inner", "span")), inner)
-        article = box(rnd.choice(_ARTICLE), inner, 1)
         before = "".join(other(rnd.choice(_BEFORE)) for _ in range(rnd.randint(0, 3)))
         after = "".join(other(rnd.choice(_AFTER)) for _ in range(rnd.randint(0, 3)))
+        layout = rnd.random()
+        if layout < 0.55:
+            article = box(rnd.choice(_ARTICLE), inner, 1)
+        elif layout < 0.76:  # a name that says nothing
+            article = box(rnd.choice((f"div class={name()}", f"div id={name()}", f"section class='{name()} {name()}'", "div", "section")), inner, 1)
+        elif layout < 0.88:  # no container
+            tags = "p h1 h2 h3 h4 ul ol table figure blockquote div section pre"
+            article = re.sub(rf"<({tags.replace(' ', '|')})\b(?![^>]*{CONTENT})", rf"<\1 {CONTENT}=1", "".join(parts)) if not _labelled(parts) else box("article", inner, 1)
+        else:  # a table that lays the page out
+            menu = rnd.choice((f"<ul>{links(1, 8)}</ul>", "".join(f"<a href=/x>{words(1, 2)}</a><br>" for _ in range(rnd.randint(2, 8))), links(2, 6)))
+            cells = [f"<td {CONTENT}=0>{menu}</td>", f"<td {CONTENT}=1>{inner}</td>"]
+            if rnd.random() < 0.3:
+                cells.append(f"<td {CONTENT}=0>{words(1, 12)}")
+            head = f"<tr><td colspan=2>{words(1, 5)}" if rnd.random() < 0.4 else ""
+            article = f"<table>{head}<tr>{''.join(cells)}</table>"
+        if rnd.random() < 0.06:  # nothing but what surrounds an article
+            article = ""
+            before = before or other(rnd.choice(_BEFORE))
+        if rnd.random() < 0.15:  # links in a box whose name says nothing
+            before += box(f"div class={name()}", f"<ul>{links(2, 8)}</ul>", 0)
         body = before + article + after
         root = rnd.choice(_ROOT)
-        if root:
+        if root and layout < 0.76:
             body = before + box(root, article, 0) + after if rnd.random() < 0.5 else box(root, body, 0)
         return f"<!DOCTYPE html><html><head><title>{words(1, 5)}</title></head><body {CONTENT}=0>{body}" + ("</body></html>" if rnd.random() < 0.8 else "")
 

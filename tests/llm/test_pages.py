@@ -92,3 +92,59 @@ def test_marginals_equal_the_sum_over_all_labellings(model):
             one[i] += w * y[i]
             both[i, y[parent[i]], y[i]] += w * (i > 0)
     assert np.allclose(p, one / total) and np.allclose(joint, both / total)
+
+
+PROSE = "<p>It was late, and the river had risen over its banks. Nobody had seen that coming, not even the wardens.</p>"
+STORY = "<h1>A river rises</h1>" + PROSE * 4
+
+
+def said(html):
+    return " ".join(unescape(re.sub("<[^>]*>", " ", html)).split())
+
+
+@pytest.mark.parametrize("page", [
+    "<body><nav><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul></nav><div class=zq1>{}</div><footer>&copy; f</footer></body>",
+    "<body><nav><a href=/>Home</a></nav><div class=inhalt>{}</div><footer>&copy; f</footer></body>",
+    "<body><div class=inhalt><div class=x7>{}</div></div></body>",
+    "<body>{}</body>",
+    "<body><header><a href=/>Home</a></header>{}<footer>&copy; f</footer></body>",
+    "<body><nav><a href=/>Home</a></nav><main>{}</main><footer>&copy; f</footer></body>",
+    "<body><table><tr><td><a href=/>Home</a><br><a href=/n>News</a><br><a href=/s>Sport</a></td><td>{}</td></tr></table></body>",
+    "<body><article>{}</article><div class=disqus-thread><p>I don't agree.</p><p>Me neither, sorry.</p></div></body>",
+])
+def test_articles_in_containers_of_any_name(model, page):
+    assert model.extract([page.replace("{}", STORY)]) == [said(STORY)]
+
+
+def test_held_out_names_and_layouts(model):
+    """Pages in containers that the generator never uses."""
+    right = 0
+    for k in range(40):
+        name = ("qx", "hauptteil", "corpo", "kern", "zz9")[k % 5] + str(k)
+        before = f"<div class=r{name}><ul>" + "".join(f"<li><a href=/{i}>Go there</a>" for i in range(3 + k % 5)) + "</ul></div>"
+        page = f"<body>{before}<div class={name}>{STORY}{PROSE * (k % 4)}</div><footer>&copy; someone</footer></body>"
+        right += model.extract([page]) == [said(STORY + PROSE * (k % 4))]
+    assert right >= 36
+
+
+@pytest.mark.parametrize("part", ["<span>", "<div>", "<ul><li>", "<table><tr><td>", "<svg><g>", "<b><p>"])
+def test_parsing_takes_linear_time(part):
+    import time
+
+    def took(n):
+        began = time.perf_counter()
+        dom = htmltree.Dom()
+        dom.page("<body>" + part * n + "<p>x<td>y</b><li>z<br/></svg>" * n)
+        return time.perf_counter() - began
+
+    took(200)
+    small, large = min(took(2000) for _ in range(3)), took(16000)
+    assert large < 40 * small + 0.5 and large < 5
+
+
+def test_a_page_of_many_levels(model):
+    import time
+
+    began = time.time()
+    assert model.extract(["<article>" + "<div>" * 20000 + "deep</article>"])[0] in ("deep", "")
+    assert time.time() - began < 60
