@@ -1,10 +1,12 @@
 """Layer tables on plain Parquet: full refresh, keyed upsert, append.
 
-No table format is assumed.  A table holds numbered versions,
-``<path>/v=<n>/``, of which the newest with a commit marker
-``<path>/_commits/v=<n>/`` is read; the marker holds the schema, so reads
-infer nothing.  A full refresh writes a new version: interrupted, it leaves
-no marker and the old one stays.
+No table format is assumed.  A table holds numbered versions, each written to
+a folder of its own, ``<path>/v=<n>-<id>/``, and the newest with a commit marker
+``<path>/_commits/v=<n>`` is read; the marker names the folder and holds the
+schema, so reads infer nothing.  A full refresh writes a new version:
+interrupted, it leaves no whole marker and the old one stays.  Of two writers
+that make the same version, the marker's exclusive creation lets one through;
+the other fails, and neither has touched the other's files.
 
 * **Dimension** tables are small; every write makes a new version.
 * **Fact** tables are partitioned by a date column.  Upserts and appends
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -96,24 +99,39 @@ class LayerTable:
         return f"{self.layer}.{self.alias}"
 
     # ------------------------------------------------------------------ read
-    def current_version(self) -> int | None:
-        """Newest committed version (from the commit markers' names)."""
+    def _markers(self) -> list[int]:
+        """Version numbers that have a marker, whole or not, newest first."""
         found = [n for n, _ in fs.children(self.spark, f"{self.path}/_commits")]
-        return max((int(n[2:]) for n in found if n.startswith("v=") and n[2:].isdigit()), default=None)
+        return sorted((int(n[2:]) for n in found if n.startswith("v=") and n[2:].isdigit()), reverse=True)
+
+    def _current(self) -> tuple[int, dict] | None:
+        """The newest committed version and its marker.  A marker that can't
+        be read is of a writer that failed, or is about to end."""
+        for v in self._markers():
+            try:
+                return v, json.loads(fs.read_text(self.spark, f"{self.path}/_commits/v={v}"))
+            except ValueError:
+                continue
+        return None
+
+    def current_version(self) -> int | None:
+        """Newest committed version."""
+        now = self._current()
+        return now[0] if now else None
 
     def exists(self) -> bool:
         return self.current_version() is not None
 
-    def data(self, version: int | None = None) -> str:
-        return f"{self.path}/v={version or self.current_version()}"
+    def data(self) -> str:
+        """The folder of the current version."""
+        return f"{self.path}/{self._current()[1]['data']}"
 
     def read(self) -> DataFrame | None:
         """Current content, or None when the table was never written."""
-        v = self.current_version()
-        if v is None:
+        now = self._current()
+        if now is None:
             return None
-        schema = json.loads(fs.read_text(self.spark, f"{self.path}/_commits/v={v}"))
-        return self.spark.read.schema(T.StructType.fromJson(schema)).parquet(self.data(v))
+        return self.spark.read.schema(T.StructType.fromJson(now[1]["schema"])).parquet(f"{self.path}/{now[1]['data']}")
 
     # ------------------------------------------------------------- load logs
     def _log_schema(self) -> str:
@@ -224,12 +242,13 @@ class LayerTable:
     def _commit(self, df: DataFrame) -> None:
         """Write ``df`` as a new version; the version before it is kept for its
         readers, older ones go."""
-        now = self.current_version() or 0
-        self._put(df, self.data(now + 1), "overwrite")
-        fs.write_text(self.spark, f"{self.path}/_commits/v={now + 1}", json.dumps(df.schema.jsonValue()))
+        now, version = self.current_version() or 0, max(self._markers(), default=0) + 1
+        folder = f"v={version}-{uuid.uuid4().hex}"
+        self._put(df, f"{self.path}/{folder}", "errorifexists")
+        fs.create_text(self.spark, f"{self.path}/_commits/v={version}", json.dumps({"data": folder, "schema": df.schema.jsonValue()}))
         for d in fs.child_dirs(self.spark, self.path):
-            if d.startswith("v=") and int(d[2:]) < now:
-                fs.delete(self.spark, f"{self.path}/_commits/{d}")
+            if d.startswith("v=") and int(d[2:].split("-")[0]) < now:
+                fs.delete(self.spark, f"{self.path}/_commits/{d.split('-')[0]}")
                 fs.delete(self.spark, f"{self.path}/{d}")
 
     def overwrite(self, df: DataFrame, *, load_ts: _dt.datetime | None = None) -> None:

@@ -72,14 +72,13 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small new file: written under a hidden name and renamed when complete."""
-    folder, _, name = path.rpartition("/")
-    fs, p = _fs(spark, f"{folder}/.{name}.tmp")
-    out = fs.create(p, True)
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file; fails if it is there already."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    out = fs.create(p, False)
     out.write(bytearray(text.encode()))
     out.close()
-    rename(spark, f"{folder}/.{name}.tmp", path)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

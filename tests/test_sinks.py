@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import os
 
 import pytest
@@ -17,7 +18,7 @@ def test_versioned_table_upsert_append_overwrite(spark, tmp_path):
     assert t.current_version() == 2
     assert rows(t.read()) == [(1, "a"), (2, "B"), (3, "c")]
     # the previous version is untouched and still readable
-    assert rows(spark.read.parquet(f"{t.path}/v=1")) == [(1, "a"), (2, "b")]
+    assert rows(spark.read.parquet(glob.glob(f"{t.path}/v=1-*")[0])) == [(1, "a"), (2, "b")]
     t.append(spark.createDataFrame([(4, "d")], "id long, v string"))
     assert rows(t.read(), "id") == [(1,), (2,), (3,), (4,)]
 
@@ -117,5 +118,34 @@ def test_only_the_version_before_is_kept(spark, tmp_path):
     for i in range(4):
         t.upsert(spark.createDataFrame([(i, "x")], "id long, v string"))
     assert t.current_version() == 4
-    assert sorted(d for d in os.listdir(t.path) if d.startswith("v=")) == ["v=3", "v=4"]
+    assert sorted(d.split("-")[0] for d in os.listdir(t.path) if d.startswith("v=")) == ["v=3", "v=4"]
     assert rows(t.read(), "id") == [(0,), (1,), (2,), (3,)]
+
+
+def test_of_two_writers_of_a_version_one_fails(spark, tmp_path, monkeypatch):
+    t, other = (LayerTable(spark, str(tmp_path), "silver", "x", ("id",)) for _ in range(2))
+    t.overwrite(spark.createDataFrame([(1, "a")], "id long, v string"))
+    put = LayerTable._put
+
+    def late(self, df, path, mode, **options):
+        put(self, df, path, mode, **options)
+        if self is t:  # the other writer commits in between
+            other.overwrite(spark.createDataFrame([(2, "b")], "id long, v string"))
+
+    monkeypatch.setattr(LayerTable, "_put", late)
+    with pytest.raises(Exception, match="already exists|AlreadyExists"):
+        t.overwrite(spark.createDataFrame([(3, "c")], "id long, v string"))
+    monkeypatch.setattr(LayerTable, "_put", put)
+    assert rows(t.read()) == [(2, "b")]
+    t.upsert(spark.createDataFrame([(4, "d")], "id long, v string"))
+    assert rows(t.read()) == [(2, "b"), (4, "d")]
+
+
+def test_a_marker_that_was_not_finished_is_no_version(spark, tmp_path):
+    t = LayerTable(spark, str(tmp_path), "silver", "x", ("id",))
+    t.overwrite(spark.createDataFrame([(1, "a")], "id long, v string"))
+    with open(f"{t.path}/_commits/v=2", "w") as f:
+        f.write('{"data": "v=2')
+    assert t.current_version() == 1 and rows(t.read()) == [(1, "a")]
+    t.overwrite(spark.createDataFrame([(5, "e")], "id long, v string"))
+    assert t.current_version() == 3 and rows(t.read()) == [(5, "e")]
