@@ -189,15 +189,22 @@ def train(docs: DataFrame, held_out: Column) -> Model:
     spark = docs.sparkSession
     d = docs.withColumn("_own", ~held_out)
 
-    def words(batch: pa.RecordBatch) -> dict:
+    def count(batch: pa.RecordBatch) -> dict:
+        """Words (a, b) with their numbers in training and in all documents,
+        and pairs (a, null) with theirs in training documents."""
         found = tokens(batch.column("text"))
-        own = np.repeat(batch.column("_own").to_numpy(zero_copy_only=False).astype(bool), found.sizes)
-        every = np.bincount(found.codes, minlength=len(found.keys))
-        return {"a": _signed(found.keys[:, 0]), "b": _signed(found.keys[:, 1]), "n": np.bincount(found.codes[own], minlength=len(found.keys)), "t": every}
-
-    counted = map_batches(d.select("text", "_own"), words, "a long, b long, n long, t long").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-    table = written(counted, "words")
+        learned = batch.column("_own").to_numpy(zero_copy_only=False).astype(bool)
+        own = np.repeat(learned, found.sizes)
+        n, t = (np.bincount(codes, minlength=len(found.keys)) for codes in (found.codes[own], found.codes))
+        x, m = np.unique(found.of(learned).pairs(), return_counts=True)
+        no_word = np.arange(len(n) + len(m)) >= len(n)
+        b = np.concatenate([_signed(found.keys[:, 1]), np.zeros(len(m), np.int64)])
+        return {"a": np.concatenate([_signed(found.keys[:, 0]), _signed(x)]), "b": pa.array(b, mask=no_word), "n": np.concatenate([n, m]), "t": np.concatenate([t, np.zeros(len(m), np.int64)])}
+
+    counted = map_batches(d.select("text", "_own"), count, "a long, b long, n long, t long").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    counts, path = stored(counted, "n-grams")
     release(spark)
+    table = written(counts.where("b is not null"), "words")
     total = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0))).first()
     classes = sorted(((r[0], r[1]) for r in table.groupBy(count_class(F.col("t"))).count().collect()), reverse=True)
     room, least = COMMON, 1 << 30
@@ -210,14 +217,7 @@ def train(docs: DataFrame, held_out: Column) -> Model:
     order = np.argsort(a)
     common = tuple(x[order] for x in (a, top["b"].to_numpy(np.int64), top["n"].to_numpy(np.int64)))
 
-    def pairs(batch: pa.RecordBatch) -> dict:
-        x, n = np.unique(tokens(batch.column(0)).pairs(), return_counts=True)
-        return {"x": _signed(x), "n": n}
-
-    learned = map_batches(d.where("_own").select("text"), pairs, "x long, n long").groupBy("x").agg(F.sum("n").alias("n"))
-    both = learned.select("x", level(F.col("n")).alias("q")).unionByName(table.where("n > 0").select(F.col("a").alias("x"), level(F.col("n")).alias("q")))
-    entries, path = stored(both, "n-grams")
-    release(spark)
+    entries = counts.where("n > 0").select(F.col("a").alias("x"), level(F.col("n")).alias("q"))
     n_segments = max(1, -(-(entries.agg(F.sum("q")).first()[0] or 0) // SEGMENT_EVENTS))
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
