@@ -106,6 +106,36 @@ def duplicate_report(specs: Sequence[KeySpec]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def key_suspects(specs: Sequence[KeySpec]) -> DataFrame:
+    """What the key tests of many tables need, from one scan and one
+    aggregation of each: ``id`` (the key as text), ``table_name``, ``count`` and
+    ``null_key`` of the keys that occur more than once or have a null part.  A
+    table that passes has no row here, so the frame is small and is written by
+    its user before the tests read it."""
+    parts = []
+    for spec in specs:
+        names = [f"__k{i}" for i in range(len(spec.keys))]
+        grouped = spec.frame.groupBy(*[col_of(k).alias(n) for k, n in zip(spec.keys, names)]).agg(F.count(F.lit(1)).alias("count"))
+        null_key = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
+        ident = F.col(names[0]).cast("string") if len(names) == 1 else key_text(*[F.col(n) for n in names])
+        parts.append(grouped.where((F.col("count") > 1) | null_key)
+                     .select(ident.alias("id"), F.lit(spec.table_name).alias("table_name"), "count", null_key.alias("null_key")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def duplicates_of(suspects: DataFrame) -> DataFrame:
+    """The duplicate report, from the suspects of its tables."""
+    return suspects.where(F.col("count") > 1).select("id", "table_name", "count").distinct()
+
+
+def key_failures(suspects: DataFrame) -> DataFrame:
+    """Per table with a suspect: failures of the tests ``unique`` (keys without
+    null that repeat) and ``not_null`` (rows whose key has a null)."""
+    repeats = ~F.col("null_key") & (F.col("count") > 1)
+    return suspects.groupBy("table_name").agg(
+        F.sum(F.when(repeats, 1).otherwise(0)).alias("unique"), F.sum(F.when(F.col("null_key"), F.col("count")).otherwise(0)).alias("not_null"))
+
+
 def run_checks(checks: dict[str, DataFrame]) -> DataFrame:
     """Count failures of named checks into one ``(test, failures)`` frame.
 

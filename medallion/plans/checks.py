@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from medallion.operators.quality import KeySpec, duplicate_report, not_null, relationships, unique
+from medallion.operators.quality import KeySpec, duplicate_report, key_failures, key_suspects, not_null, relationships, unique
 from medallion.plans.models import MEASUREMENT_KEY
 
 # The declared tests.  (table, column) pairs with unique +
@@ -67,14 +67,41 @@ def column_tests(read: Callable[[str, str], DataFrame | None]) -> dict[str, Data
     return out
 
 
-def duplicates(read: Callable[[str, str], DataFrame | None]) -> DataFrame | None:
-    """The 16-branch duplicate report over the layer tables that exist."""
-    specs = []
+def _specs(read: Callable[[str, str], DataFrame | None]) -> list[KeySpec]:
+    out = []
     for layer, tables in DUPLICATE_GRAIN.items():
         for t in tables:
             df = read(layer, t)
-            if df is None:
-                continue
-            keys = MEASUREMENT_KEY if t == "measurement" else ("id",)
-            specs.append(KeySpec(f"{layer}_{t}", df, tuple(keys)))
+            if df is not None:
+                out.append(KeySpec(f"{layer}_{t}", df, tuple(MEASUREMENT_KEY) if t == "measurement" else ("id",)))
+    return out
+
+
+def suspects(read: Callable[[str, str], DataFrame | None]) -> DataFrame | None:
+    """The keys that the key tests and the duplicate report are about: every
+    table is scanned once."""
+    specs = _specs(read)
+    return key_suspects(specs) if specs else None
+
+
+def key_tests(read: Callable[[str, str], DataFrame | None], found: DataFrame) -> dict[str, int]:
+    """Failures of the declared unique and not_null tests, by test name, from
+    the suspects (a row per table reaches the driver)."""
+    by = {r.table_name: r for r in key_failures(found).collect()}
+    out = {}
+    for layer, tables in KEYED.items():
+        for t in tables:
+            if read(layer, t) is not None:
+                for test in ("unique", "not_null"):
+                    out[f"{test}_{layer}_{t}_id"] = by[f"{layer}_{t}"][test] if f"{layer}_{t}" in by else 0
+    return out
+
+
+def relationship_tests(read: Callable[[str, str], DataFrame | None]) -> dict[str, DataFrame]:
+    return {name: df for name, df in column_tests(read).items() if name.startswith("relationships_")}
+
+
+def duplicates(read: Callable[[str, str], DataFrame | None]) -> DataFrame | None:
+    """The 16-branch duplicate report over the layer tables that exist."""
+    specs = _specs(read)
     return duplicate_report(specs) if specs else None

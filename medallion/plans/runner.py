@@ -21,7 +21,7 @@ from medallion.functions.exprs import utc_lit
 from medallion.operators.aggregates import finished, locality_groups, merged_partials, of_groups, partials, state_cell
 from medallion.operators.joins import anti_join, semi_join
 from medallion.operators.merge import rebuild_touched
-from medallion.operators.quality import run_checks
+from medallion.operators.quality import duplicates_of, run_checks
 from medallion.operators.selection import write_mark
 from medallion.plans import checks
 from medallion.plans.models import (
@@ -45,6 +45,7 @@ from medallion.plans.models import (
     with_measurement_date,
 )
 from medallion.schemas import EXTRACTION_TS, LOAD_TS, landing_schema
+from medallion.session import staging_path
 from medallion.sinks.tables import LayerTable, load_time, prune_to
 from medallion.sources import fs
 from medallion.sources.api_pages import bad_of, landed_rows, parsed_pages
@@ -407,10 +408,16 @@ class Runner:
     def test(self, *, store: bool = True) -> DataFrame:
         """Run every declared column test over the whole tables; store the
         duplicate report's failing rows under ``<warehouse>/dq/duplicates``.
-        Returns ``(test, failures)``."""
-        tests = checks.column_tests(self.read)
-        dups = checks.duplicates(self.read)
-        if dups is not None:
+        Key tests and report come from one scan of each table.  Returns
+        ``(test, failures)``."""
+        tests, counted = checks.relationship_tests(self.read), {}
+        found = checks.suspects(self.read)
+        if found is not None:
+            path = f"{self.cfg.dq}/key_suspects" if store else staging_path(self.spark, "key-suspects")
+            found.write.mode("overwrite").parquet(path)
+            found = self.spark.read.schema(found.schema).parquet(path)
+            counted = checks.key_tests(self.read, found)
+            dups = duplicates_of(found)
             if store:
                 dups.write.mode("overwrite").parquet(f"{self.cfg.dq}/duplicates")
                 dups = self.spark.read.schema(dups.schema).parquet(f"{self.cfg.dq}/duplicates")
@@ -420,7 +427,8 @@ class Runner:
                 # a load that is repeated keeps the same rows aside again
                 kept = self.spark.read.option("recursiveFileLookup", "true").parquet(f"{self.cfg.dq}/{name}")
                 tests[name] = kept.drop(LOAD_TS).distinct()
-        return run_checks(tests)
+        known = self.spark.createDataFrame(list(counted.items()), "test string, failures long")
+        return known.unionByName(run_checks(tests)) if tests else known
 
     def run_pipeline(self, *, full_refresh: bool = False, archive: bool = True, test: bool = True) -> DataFrame | None:
         """Land pending pages, bronze, silver, gold, then archive the landed

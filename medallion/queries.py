@@ -27,7 +27,7 @@ from medallion.operators.aggregates import daily_aggregate, hourly_aggregate
 from medallion.operators.dedup import latest_wins
 from medallion.operators.joins import semi_join
 from medallion.operators.merge import append_frame, empty_like, recompute_touched, upsert_frame
-from medallion.operators.quality import KeySpec, duplicate_report, not_null, relationships, unique
+from medallion.operators.quality import KeySpec, duplicate_report, key_failures, key_suspects, not_null, relationships, unique
 from medallion.operators.selection import period_between
 from medallion.operators.watermark import fresh_ids, high_watermark, newer_than
 from medallion.plans.models import (
@@ -312,8 +312,8 @@ def q_dq_relationships(spark, d):
     return relationships(locations(table(spark, d, "supplier")), "country_id", gold_country, "id")
 
 
-def q_duplicate_report(spark, d):
-    specs = [
+def _key_specs(spark, d):
+    return [
         KeySpec("orders_by_customer", table(spark, d, "orders"), ("o_custkey",)),
         KeySpec("lineitem", table(spark, d, "lineitem"), ("l_orderkey", "l_linenumber")),
         KeySpec("customer", table(spark, d, "customer"), ("c_custkey",)),
@@ -321,7 +321,17 @@ def q_duplicate_report(spark, d):
         KeySpec("part_by_brand", table(spark, d, "part"), ("p_brand",)),
         KeySpec("events_by_user_type", table(spark, d, "events"), ("user_id", "event_type")),
     ]
-    return duplicate_report(specs)
+
+
+def q_duplicate_report(spark, d):
+    return duplicate_report(_key_specs(spark, d))
+
+
+def q_dq_key_tests(spark, d):
+    """Unique and not-null failures of several tables from one scan of each; a
+    location's locality is a key with nulls here."""
+    specs = [*_key_specs(spark, d), KeySpec("location_by_locality", locations(table(spark, d, "supplier")), ("locality", "country_id"))]
+    return key_failures(key_suspects(specs)).select("table_name", "unique", "not_null")
 
 
 def q_schema_drift_union(spark, d):
@@ -413,6 +423,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parent_child_selection": q_parent_child_selection,
     "dq_unique": q_dq_unique,
     "dq_not_null": q_dq_not_null,
+    "dq_key_tests": q_dq_key_tests,
     "dq_relationships": q_dq_relationships,
     "duplicate_report": q_duplicate_report,
     "schema_drift_union": q_schema_drift_union,
@@ -529,6 +540,16 @@ WHERE l_orderkey IN (
     "dq_unique": """SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "dq_key_tests": f"""WITH g AS (
+  SELECT 'orders_by_customer' AS table_name, count(*) AS n, o_custkey IS NULL AS no_key FROM orders GROUP BY o_custkey
+  UNION ALL SELECT 'lineitem', count(*), l_orderkey IS NULL OR l_linenumber IS NULL FROM lineitem GROUP BY l_orderkey, l_linenumber
+  UNION ALL SELECT 'customer', count(*), c_custkey IS NULL FROM customer GROUP BY c_custkey
+  UNION ALL SELECT 'nation_by_region', count(*), n_regionkey IS NULL FROM nation GROUP BY n_regionkey
+  UNION ALL SELECT 'part_by_brand', count(*), p_brand IS NULL FROM part GROUP BY p_brand
+  UNION ALL SELECT 'events_by_user_type', count(*), user_id IS NULL OR event_type IS NULL FROM events GROUP BY user_id, event_type
+  UNION ALL SELECT 'location_by_locality', count(*), locality IS NULL OR country_id IS NULL FROM ({LOCATIONS_SQL}) GROUP BY locality, country_id)
+SELECT table_name, CAST(count(*) FILTER (NOT no_key AND n > 1) AS BIGINT) AS "unique", CAST(coalesce(sum(n) FILTER (no_key), 0) AS BIGINT) AS not_null
+FROM g GROUP BY table_name HAVING count(*) FILTER (no_key OR n > 1) > 0""",
     "dq_not_null": f"WITH l AS ({LOCATIONS_SQL}) SELECT id, name, locality, country_id FROM l WHERE locality IS NULL",
     "dq_relationships": f"""WITH l AS ({LOCATIONS_SQL}), c AS ({COUNTRIES_SQL}),
 g AS (SELECT id FROM c WHERE id IN ({_REGION}))

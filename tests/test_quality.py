@@ -36,3 +36,17 @@ def test_run_checks_counts(spark):
     df = spark.createDataFrame([(1,), (1,)], "id long")
     got = rows(run_checks({"u": unique(df, "id"), "n": not_null(df, "id")}))
     assert got == [("n", 0), ("u", 1)]
+
+
+def test_key_tests_from_one_scan_of_each_table(spark):
+    from medallion.operators.quality import duplicates_of, key_failures, key_suspects
+
+    a = spark.createDataFrame([(1,), (1,), (None,), (None,), (2,)], "id long")
+    b = spark.createDataFrame([(1, "x"), (1, "x"), (1, None), (2, "y|z"), (2, "y|z"), (2, "y|z")], "k long, s string")
+    c = spark.createDataFrame([(1,), (2,)], "id long")
+    specs = [KeySpec("a", a, ("id",)), KeySpec("b", b, ("k", "s")), KeySpec("c", c, ("id",))]
+    found = key_suspects(specs)
+    assert rows(key_failures(found), "table_name", "unique", "not_null") == [("a", 1, 2), ("b", 2, 1)]
+    assert rows(duplicates_of(found)) == rows(duplicate_report(specs))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 3 or plan.count("LocalTableScan") == 3
