@@ -15,6 +15,7 @@ from medallion.session import staging_path
 
 
 ROWS = 512
+AT_END = 1 << 17  # rows of a batch of what was kept back
 BUCKET_BYTES = 64 << 20
 _REUSED: list = []
 
@@ -124,23 +125,33 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, start: Callable[[], object] | None = None) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str, start: Callable[[], object] | None = None,
+                end: Callable[[object], dict] | None = None) -> DataFrame:
     """``mapInArrow`` with one column dictionary per batch.  ``start`` makes a
     task's own state (a model, a cache), given to ``fn`` as its second
     argument.  Batches are handed on in slices of ``ROWS``, so that what a
-    worker holds besides the batch stays small."""
+    worker holds besides the batch stays small.  ``fn`` may keep rows back in
+    the state (None: no rows yet); ``end`` gives those left at the end."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
+    def made(cols: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in arrow], schema=arrow)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _started(start)
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
                 cols = fn(part, state) if start else fn(part)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in arrow], schema=arrow)
+                if cols is not None:
+                    yield made(cols)
+        if end:
+            whole = made(end(state))
+            for lo in range(0, whole.num_rows, AT_END):
+                yield whole.slice(lo, AT_END)
 
     small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)

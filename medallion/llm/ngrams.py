@@ -29,7 +29,9 @@ columns, whatever their names, are left out.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import itertools
+from collections import defaultdict
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -48,6 +50,7 @@ SEGMENT_EVENTS = 650_000  # on average; at 726,817 half of the bits are set
 BROADCAST = 256 << 20  # bytes of a filter that every worker may hold
 COMMON = 1 << 18  # words whose exact counts every worker holds
 PRIOR = 1000.0  # pseudo-counts of the prior of words after a word
+HELD = 1 << 21  # tokens whose counts a task holds before it hands them on
 ASKED = 1 << 25  # hashes that meet a slice in one task
 END = b" end"  # no word has a space
 
@@ -95,10 +98,9 @@ def tokens(texts) -> Tokens:
         flat += words
         flat.append(END)
         sizes.append(len(words) + 1)
-    all_ = np.empty(len(flat), object)
-    all_[:] = flat
-    codes, words = pd.factorize(all_)
-    return Tokens(np.array(sizes, np.int64), codes, _hashes(words))
+    code_of: dict[bytes, int] = defaultdict(itertools.count().__next__)
+    codes = np.fromiter(map(code_of.__getitem__, flat), np.int64, len(flat))
+    return Tokens(np.array(sizes, np.int64), codes, _hashes(code_of))
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -184,24 +186,45 @@ def count_class(t: Column) -> Column:
     return F.floor(F.log2(t.cast("double")) * 16)
 
 
+@dataclass
+class _Held:
+    """What a task has seen since it last handed on counts."""
+
+    words: list = field(default_factory=list)  # a, b, n, t: a row each, by batch
+    pairs: list = field(default_factory=list)
+    size: int = 0  # tokens
+
+    def counts(self) -> dict:
+        """Words (a, b) with their numbers in training and in all documents,
+        and pairs (a, null) with theirs in training documents."""
+        a, b, n, t = np.concatenate([np.zeros((4, 0), np.uint64), *self.words], axis=1)
+        order = np.lexsort((b, a))
+        a, b, n, t = (c[order] for c in (a, b, n, t))
+        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)])
+        n, t = (np.add.reduceat(c, first) if len(first) else c for c in (n, t))
+        x, m = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.pairs]), return_counts=True)
+        self.words, self.pairs, self.size = [], [], 0
+        no_word = np.arange(len(n) + len(m)) >= len(n)
+        none = np.zeros(len(m), np.int64)
+        return {"a": np.concatenate([_signed(a[first]), _signed(x)]), "b": pa.array(np.concatenate([_signed(b[first]), none]), mask=no_word),
+                "n": np.concatenate([_signed(n), m]), "t": np.concatenate([_signed(t), none])}
+
+
 def train(docs: DataFrame, held_out: Column) -> Model:
     """Counts over ``docs`` (documents); those ``held_out`` aren't learned from."""
     spark = docs.sparkSession
     d = docs.withColumn("_own", ~held_out)
 
-    def count(batch: pa.RecordBatch) -> dict:
-        """Words (a, b) with their numbers in training and in all documents,
-        and pairs (a, null) with theirs in training documents."""
+    def count(batch: pa.RecordBatch, held: _Held) -> dict | None:
         found = tokens(batch.column("text"))
         learned = batch.column("_own").to_numpy(zero_copy_only=False).astype(bool)
         own = np.repeat(learned, found.sizes)
-        n, t = (np.bincount(codes, minlength=len(found.keys)) for codes in (found.codes[own], found.codes))
-        x, m = np.unique(found.of(learned).pairs(), return_counts=True)
-        no_word = np.arange(len(n) + len(m)) >= len(n)
-        b = np.concatenate([_signed(found.keys[:, 1]), np.zeros(len(m), np.int64)])
-        return {"a": np.concatenate([_signed(found.keys[:, 0]), _signed(x)]), "b": pa.array(b, mask=no_word), "n": np.concatenate([n, m]), "t": np.concatenate([t, np.zeros(len(m), np.int64)])}
+        held.words.append(np.stack([found.keys[:, 0], found.keys[:, 1], *(np.bincount(codes, minlength=len(found.keys)).astype(np.uint64) for codes in (found.codes[own], found.codes))]))
+        held.pairs.append(found.of(learned).pairs())
+        held.size += len(found.codes)
+        return held.counts() if held.size >= HELD else None
 
-    counted = map_batches(d.select("text", "_own"), count, "a long, b long, n long, t long").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    counted = map_batches(d.select("text", "_own"), count, "a long, b long, n long, t long", _Held, _Held.counts).groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     counts, path = stored(counted, "n-grams")
     release(spark)
     table = written(counts.where("b is not null"), "words")
