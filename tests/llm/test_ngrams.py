@@ -7,7 +7,6 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from medallion.llm import ngrams
@@ -107,22 +106,3 @@ def test_levels_are_never_too_low_and_seldom_too_high():
     assert (got[:500_000] >= levels).all() and (got[:500_000] != levels).mean() < 0.01
     assert (got[500_000:] > 0).mean() < 0.01
     assert estimates()[:6].tolist() == [0, 1, 2, 3, 4.5, 6.5]
-
-
-def test_counts_of_several_batches_are_merged():
-    held = ngrams._Held()
-    texts = [[b"a b a", b"", b"C c"], [b"b", b"a b"], []]
-    for part in texts:
-        found = ngrams.tokens(pa.array(part, pa.binary()))
-        n = np.bincount(found.codes, minlength=len(found.keys)).astype(np.uint64)
-        held.words.append(np.stack([found.keys[:, 0], found.keys[:, 1], n, 2 * n]))
-        held.pairs.append(found.pairs())
-    got = held.counts()
-    keys = {w: ngrams._signed(ngrams._hashes([w])[0]).tolist() for w in (b"a", b"b", b"c", ngrams.END)}
-    by = {(a, b): (n, t) for a, b, n, t in zip(*(pa.array(got[c]).to_pylist() for c in "abnt")) if b is not None}
-    assert by == {tuple(keys[w]): (n, 2 * n) for w, n in ((b"a", 3), (b"b", 3), (b"c", 2), (ngrams.END, 5))}
-    pairs = sorted(n for b, n in zip(pa.array(got["b"]).to_pylist(), got["n"].tolist()) if b is None)
-    # end-a 2, a-b 2, b-end 2; b-a, a-end, end-end, end-c, c-c, c-end, end-b once
-    assert pairs == [1] * 7 + [2] * 3
-    empty = held.counts()
-    assert len(empty["a"]) == len(empty["n"]) == 0
