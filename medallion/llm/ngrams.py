@@ -3,7 +3,8 @@
 The filter holds the counts of words and of pairs of words, quantised on a log
 scale: an n-gram of level q was inserted q times, as (n-gram, 1) ... (n-gram,
 q).  Its level is read by probing for 1, 2, ... until a probe fails, and stands
-for the mean of the counts of that level.  A word's probability after another is
+for the mean of the counts of that level.  An event's bits are in two words of
+64 bits, so a probe reads two places of the filter.  A word's probability after another is
 smoothed with the word's own (a Dirichlet prior of weight ``PRIOR``); a pair
 can't be more frequent than its words, which catches most false hits.
 
@@ -29,6 +30,8 @@ columns, whatever their names, are left out.
 
 from __future__ import annotations
 
+import itertools
+from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,7 +45,7 @@ from medallion.llm.common import documents, map_batches, release, stored, writte
 from medallion.sources import fs
 
 LEVEL_BASE = 1.5  # of the log scale of counts
-PROBES = 8  # bits of an event
+PROBES = 8  # bits of an event, four in each of two words
 SEGMENT_BITS = 1 << 23
 SEGMENT_EVENTS = 650_000  # on average; at 726,817 half of the bits are set
 BROADCAST = 256 << 20  # bytes of a filter that every worker may hold
@@ -51,7 +54,6 @@ PRIOR = 1000.0  # pseudo-counts of the prior of words after a word
 ASKED = 1 << 25  # hashes that meet a slice in one task
 END = b" end"  # no word has a space
 
-_MASK = np.uint64(0xFFFFFFFF)
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -95,10 +97,9 @@ def tokens(texts) -> Tokens:
         flat += words
         flat.append(END)
         sizes.append(len(words) + 1)
-    all_ = np.empty(len(flat), object)
-    all_[:] = flat
-    codes, words = pd.factorize(all_)
-    return Tokens(np.array(sizes, np.int64), codes, _hashes(words))
+    code_of: dict[bytes, int] = defaultdict(itertools.count().__next__)
+    codes = np.fromiter(map(code_of.__getitem__, flat), np.int64, len(flat))
+    return Tokens(np.array(sizes, np.int64), codes, _hashes(code_of))
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -119,14 +120,26 @@ def estimates() -> np.ndarray:
 _SALTS = mixed(np.arange(256, dtype=np.uint64))  # of the levels
 
 
-def _probes(x: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first bit of the event (x, q), and the step to the next ones."""
-    y = mixed(x ^ _SALTS[q])
-    return y & _MASK, (y >> np.uint64(32)) | np.uint64(1)
+_WORD, _TWELVE = np.uint64(SEGMENT_BITS // 64 - 1), np.uint64(4095)
+# masks of two bits of a word, by their twelve-bit numbers
+_TWO = (np.uint64(1) << (np.arange(4096, dtype=np.uint64) & np.uint64(63))) | (np.uint64(1) << (np.arange(4096, dtype=np.uint64) >> np.uint64(6)))
+SEGMENT_BYTES = SEGMENT_BITS // 8
 
 
-_BIT = np.uint64(SEGMENT_BITS - 1)
-SEGMENT_BYTES = SEGMENT_BITS // 8
+def _mask(y: np.ndarray, shift: int) -> np.ndarray:
+    """Four bits of a word, by the 24 bits of ``y`` from ``shift`` on."""
+    return _TWO[((y >> np.uint64(shift)) & _TWELVE).view(np.int64)] | _TWO[((y >> np.uint64(shift + 12)) & _TWELVE).view(np.int64)]
+
+
+def _event(x: np.ndarray, q: int) -> np.ndarray:
+    return mixed(x ^ _SALTS[q])
+
+
+def _probe(y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k-th of the two words of 64 bits that hold the events ``y``, and the
+    ``PROBES / 2`` bits in it."""
+    word = ((y >> np.uint64(17 * k)) & _WORD).view(np.int64)
+    return word, _mask(y, 34) if k == 0 else _mask(y * _M1, 40)
 
 
 def segment_of(x: np.ndarray, n: int) -> np.ndarray:
@@ -135,31 +148,27 @@ def segment_of(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def segment_bits(x: np.ndarray, levels: np.ndarray) -> bytes:
-    flags = np.zeros(SEGMENT_BITS, bool)
+    words = np.zeros(SEGMENT_BITS // 64, "<u8")
     for q in range(1, int(levels.max(initial=0)) + 1):
         x, levels = x[levels >= q], levels[levels >= q]
-        place, step = _probes(x, q)
-        for _ in range(PROBES):
-            flags[place & _BIT] = True
-            place += step
-    return np.packbits(flags, bitorder="little").tobytes()
+        y = _event(x, q)
+        for k in (0, 1):
+            np.bitwise_or.at(words, *_probe(y, k))
+    return words.tobytes()
 
 
 def read_levels(bits: np.ndarray, at: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Levels of the hashes ``x``, whose segments begin at the bytes ``at`` of
     ``bits``."""
-    found, open_, q = np.zeros(len(x), np.uint8), np.arange(len(x)), 0
+    words, found, q = bits.view("<u8"), np.zeros(len(x), np.uint8), 0
+    open_, begin = np.arange(len(x)), at >> 3
     while len(open_):
         q += 1
-        begin = at[open_]
-        place, step = _probes(x[open_], q)
-        for _ in range(PROBES):
-            here = place & _BIT
-            byte = bits[begin + (here >> np.uint64(3)).view(np.int64)]
-            hit = (byte >> (here & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            if not hit.all():
-                open_, begin, place, step = open_[hit], begin[hit], place[hit], step[hit]
-            place += step
+        y = _event(x, q)
+        for k in (0, 1):
+            word, mask = _probe(y, k)
+            hit = words[begin + word] & mask == mask
+            y, x, open_, begin = y[hit], x[hit], open_[hit], begin[hit]
         found[open_] = q
     return found
 
