@@ -4,6 +4,7 @@
     python -m medallion layer    --landing RAW --warehouse WH bronze|silver|gold [--full-refresh]
     python -m medallion test     --landing RAW --warehouse WH
     python -m medallion archive  --landing RAW --warehouse WH
+    python -m medallion compact  --landing RAW --warehouse WH
     python -m medallion stream   --landing RAW --warehouse WH [--no-archive]
 
 Cluster resources come from ``spark-submit``; the session only pins the
@@ -29,13 +30,15 @@ def _config(args) -> PipelineConfig:
         measurement_mode=args.measurement_mode,
         aggregate_mode=args.aggregate_mode,
         locality_mode=args.locality_mode,
+        side_by_side=args.side_by_side,
+        catalog=args.catalog,
         pages_root=args.pages,
     )
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="medallion")
-    p.add_argument("command", choices=["run", "layer", "test", "archive", "stream"])
+    p.add_argument("command", choices=["run", "layer", "test", "archive", "compact", "stream"])
     p.add_argument("layer", nargs="?", choices=["bronze", "silver", "gold"])
     p.add_argument("--landing", required=True)
     p.add_argument("--warehouse", required=True)
@@ -48,8 +51,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--countries", default="")
     p.add_argument("--bronze-watermark", action="store_true")
     p.add_argument("--measurement-mode", default="upsert", choices=["upsert", "append"])
-    p.add_argument("--aggregate-mode", default="recompute", choices=["recompute", "append"])
-    p.add_argument("--locality-mode", default="rebuild", choices=["rebuild", "incremental"])
+    p.add_argument("--aggregate-mode", default="merge", choices=["merge", "recompute", "append"])
+    p.add_argument("--locality-mode", default="groups", choices=["groups", "rebuild", "incremental"])
+    p.add_argument("--side-by-side", type=int, default=4, help="models that run at the same time")
+    p.add_argument("--catalog", default=None, help="publish tables as views, in databases <prefix>bronze, ...")
     p.add_argument("--pages", default=None, help="raw JSON pages to land first: <pages>/<entity>/*.json")
     args = p.parse_args(argv)
 
@@ -68,6 +73,8 @@ def main(argv: list[str] | None = None) -> None:
         result = runner.test()
     elif args.command == "archive":
         print(json.dumps(runner.archive()))
+    elif args.command == "compact":
+        print(json.dumps(runner.compact()))
     else:
         from medallion.streaming.incremental import run_available_now
 

@@ -11,9 +11,12 @@ next.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +29,6 @@ from medallion.operators.selection import write_mark
 from medallion.plans import checks
 from medallion.plans.models import (
     DEFAULT_COUNTRY_IDS,
-    LAYERS,
     MEASUREMENT_DATE,
     MODELS,
     MODELS_BY_NAME,
@@ -46,7 +48,8 @@ from medallion.plans.models import (
 )
 from medallion.schemas import EXTRACTION_TS, LOAD_TS, landing_schema
 from medallion.session import staging_path
-from medallion.sinks.tables import LayerTable, load_time, prune_to
+from medallion.sinks.catalog import publish
+from medallion.sinks.tables import TARGET_BYTES, LayerTable, load_time, prune_to
 from medallion.sources import fs
 from medallion.sources.api_pages import bad_of, landed_rows, parsed_pages
 from medallion.sources.drift import scan_drifting
@@ -71,6 +74,10 @@ class PipelineConfig:
       touched (default), "rebuild" the location/locality tables whole, or
       "incremental" (batch-only, as the reference).
 
+    ``side_by_side``: models that run at the same time.  ``catalog``: when set
+    ("" included), a model's table is published as a view, in a database named
+    by this prefix and its layer, whenever the model ran.
+
     ``pages_root``: raw JSON pages, ``<pages_root>/<entity>/*.json``, that a
     run lands first; the extraction mark advances when the run succeeds.
     """
@@ -83,6 +90,8 @@ class PipelineConfig:
     aggregate_mode: str = "merge"
     locality_mode: str = "groups"
     entities: tuple[str, ...] = ("country", "parameter", "location", "sensor", "measurement")
+    side_by_side: int = 4
+    catalog: str | None = None
     pages_root: str | None = None
     extra: dict = field(default_factory=dict)
 
@@ -145,6 +154,12 @@ class Runner:
     # ---------------------------------------------------------------- models
     def run_model(self, name: str, *, full_refresh: bool = False) -> str:
         """Load one model; returns what happened (full / upsert / append / skip ...)."""
+        outcome = self._run_model(name, full_refresh)
+        if self.cfg.catalog is not None:
+            self.publish([name])
+        return outcome
+
+    def _run_model(self, name: str, full_refresh: bool) -> str:
         m = MODELS_BY_NAME[name]
         t = self.table(m)
         full = full_refresh or not t.exists()
@@ -367,10 +382,44 @@ class Runner:
 
     # ---------------------------------------------------------------- layers
     def run_layer(self, layer: str, *, full_refresh: bool = False) -> dict[str, str]:
-        """Run a layer's models in dependency order."""
-        return {m.name: self.run_model(m.name, full_refresh=full_refresh)
-                for m in MODELS if m.layer == layer and (m.entity is None or m.entity in self.cfg.entities
-                                                          or m.layer != "bronze")}
+        """Run a layer's models (bronze: those of the configured entities)."""
+        return self.run_models([m.name for m in MODELS if m.layer == layer], full_refresh=full_refresh)
+
+    def run_models(self, names: Sequence[str], *, full_refresh: bool = False) -> dict[str, str]:
+        """Run the models, each after those among them that it reads; what
+        doesn't depend on each other runs side by side, from ``side_by_side``
+        driver threads.  Under ``spark.scheduler.mode=FAIR`` each has a pool of
+        its own, so a long model doesn't hold up the others.
+
+        When a model fails, those that read it don't run, the others do, and
+        then the failure is raised; the next run makes up what is missing.
+        """
+        chosen = [m for m in MODELS if m.name in names and (m.layer != "bronze" or m.entity in self.cfg.entities)]
+
+        @inheritable_thread_target(self.spark)
+        def run(m: Model, before: list[Future]) -> str:
+            for f in before:
+                f.result()
+            self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", m.name)
+            return self.run_model(m.name, full_refresh=full_refresh)
+
+        running: dict[str, Future] = {}
+        # MODELS is in dependency order, so what a thread waits for has a thread
+        with ThreadPoolExecutor(max(1, self.cfg.side_by_side)) as threads:
+            for m in chosen:
+                running[m.name] = threads.submit(run, m, [running[n] for n in m.inputs if n in running])
+        return {name: f.result() for name, f in running.items()}
+
+    def publish(self, names: Sequence[str] | None = None) -> list[str]:
+        """Views of the tables' committed versions in the session's catalog, in
+        a database a layer, named with the prefix ``catalog``."""
+        chosen = [m for m in MODELS if names is None or m.name in names]
+        return [v for m in chosen if (v := publish(self.spark, self.table(m), self.cfg.catalog or ""))]
+
+    def compact(self, target_bytes: int = TARGET_BYTES) -> dict[str, tuple[int, int]]:
+        """Pack small files and logs of all tables; files before and after, by
+        table (see :meth:`LayerTable.compact`).  No model or stream may run."""
+        return {m.name: t.compact(target_bytes) for m in MODELS if (t := self.table(m)).exists()}
 
     def land_pages(self) -> dict[str, int]:
         """Land the pending JSON pages; a page that isn't JSON is kept, whole,
@@ -438,8 +487,7 @@ class Runner:
         began = self.load_ts
         if self.cfg.pages_root:
             self.land_pages()
-        for layer in LAYERS:
-            self.run_layer(layer, full_refresh=full_refresh)
+        self.run_models([m.name for m in MODELS], full_refresh=full_refresh)
         if archive:
             self.archive()
         if self.cfg.pages_root:

@@ -14,7 +14,9 @@ the other fails, and neither has touched the other's files.
   batch (dynamic partition overwrite), after staging the merged rows under
   ``spark.checkpoint.dir``, so that the overwrite never reads the files it
   replaces.  Rows are rebalanced by date before every write: files follow
-  the data, not the number of shuffle partitions.
+  the data, not the number of shuffle partitions.  In a file they are in the
+  order of sensor and parameter, so that the statistics of row groups and pages
+  let a scan of some sensors skip the others.
 
 Every load has an id, its load time, unique in the table and stamped on its
 rows.  ``<path>/_loads/`` logs the loads with the dates they touched, and
@@ -55,6 +57,8 @@ _EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_UTC)
 
 
 CHANGE = "_change"
+TARGET_BYTES = 128 << 20  # of a packed file
+CLUSTERED = ("sensor_id", "parameter_id")  # the order of rows in a file of a fact table
 
 
 def _micros(t: _dt.datetime) -> int:
@@ -234,7 +238,9 @@ class LayerTable:
     # ----------------------------------------------------------------- write
     def _put(self, df: DataFrame, path: str, mode: str, **options: str) -> None:
         if self.partition_by:
-            writer = df.hint("rebalance", self.partition_by).write.partitionBy(self.partition_by)
+            ordered = [c for c in CLUSTERED if c in df.columns]
+            rows = df.hint("rebalance", self.partition_by).sortWithinPartitions(self.partition_by, *ordered)
+            writer = rows.write.partitionBy(self.partition_by)
         else:
             writer = df.write
         writer.mode(mode).options(**options).parquet(path)
@@ -303,6 +309,45 @@ class LayerTable:
             self._log(staged, load_ts)
             return True
 
+    def compact(self, target_bytes: int = TARGET_BYTES) -> tuple[int, int]:
+        """Pack small files: partitions (or a whole dimension table) whose bytes
+        fit in fewer files of ``target_bytes`` are written anew under the same
+        rows, and the logs, a file a load, become one file each.  The rows keep
+        their load ids and no load is logged, so nothing becomes pending.
+        Returns the numbers of data files before and after.
+
+        A log is packed into a file that is added before the packed ones go; one
+        that stops in between leaves entries twice, which count once.  Nothing
+        else may write the table at the time.
+        """
+        folder = self.data()
+        before = fs.data_files(self.spark, folder)
+        sizes: dict[str, list[int]] = {}
+        for name, size in before.items():
+            sizes.setdefault(name.rpartition("/")[0], []).append(size)
+        small = [part for part, s in sizes.items() if len(s) > max(1, -(-sum(s) // target_bytes))]
+        for log in (self.load_log(), f"{self.path}/_consumed"):
+            self._pack_log(log)
+        if not small:
+            return len(before), len(before)
+        if self.partition_by:
+            dates = [part.rpartition("=")[2] for part in small]
+            df = self.read().where(F.col(self.partition_by).cast("string").isin(dates))
+            with _Stages(self) as stage:
+                self._put(stage(df, "small"), folder, "overwrite", partitionOverwriteMode="dynamic")
+        else:
+            self._commit(self.read().hint("rebalance"))
+        return len(before), len(fs.data_files(self.spark, self.data()))
+
+    def _pack_log(self, path: str) -> None:
+        held = list(fs.data_files(self.spark, path))
+        if len(held) > 1:
+            schema = self._log_schema() if path == self.load_log() else f"source string, {LOAD_TS} timestamp"
+            entries = self.spark.read.schema(schema).parquet(*[f"{path}/{n}" for n in held])
+            entries.distinct().coalesce(1).write.mode("append").parquet(path)
+            for n in held:
+                fs.delete(self.spark, f"{path}/{n}")
+
     def replace_partitions(self, df: DataFrame, *, load_ts: _dt.datetime | None = None) -> None:
         """Overwrite exactly the partitions present in ``df`` (recompute mode)."""
         if not self.partition_by:

@@ -48,6 +48,21 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     return [(n, d) for n, d in found if not n.startswith(("_", "."))]
 
 
+def data_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> dict[str, int]:
+    """Sizes of the data files under ``path`` (recursive), by their path in it."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return {}
+    base, out = fs.makeQualified(p).toUri().getPath().rstrip("/") + "/", {}
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        status = it.next()
+        name = status.getPath().toUri().getPath()[len(base):]
+        if name.endswith(suffix) and not any(part.startswith(("_", ".")) for part in name.split("/")):
+            out[name] = status.getLen()
+    return out
+
+
 def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return [n for n, is_dir in children(spark, path) if is_dir]
 
