@@ -93,6 +93,14 @@ def partials(measurements: DataFrame, *, hourly: bool) -> DataFrame:
         F.min("value").alias("minimum"), F.max("value").alias("maximum"), F.count(F.lit(1)).alias("n"))
 
 
+def reading_states(measurements: DataFrame, *, hourly: bool) -> DataFrame:
+    """The state of each reading by itself, for :func:`merged_partials`."""
+    m = _measurement_cte(measurements, with_hour=hourly).withColumnRenamed("measurement_date", "date")
+    return m.select(
+        *state_groups(hourly), F.col("value").alias("total"), F.col("value").isNotNull().cast("long").alias("n_values"),
+        F.col("value").alias("minimum"), F.col("value").alias("maximum"), F.lit(1).cast("long").alias("n"))
+
+
 def state_groups(hourly: bool) -> list[str]:
     return ["sensor_id", "date", "period_interval", "parameter_id"] + (["hour"] if hourly else [])
 

@@ -8,15 +8,16 @@ timestamp never survive: equality with null is unknown.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.functions.exprs import col_of
 
 
-def _not_null(keys: Sequence[str], ts: str):
+def not_null(keys: Sequence[str], ts: str) -> Column:
+    """Has a row a whole key and a version?"""
     cond = col_of(ts).isNotNull()
     for k in keys:
         cond = cond & col_of(k).isNotNull()
@@ -39,7 +40,7 @@ def latest_wins(df: DataFrame, keys: Sequence[str], ts: str, *, strategy: str =
     rows all land in one task.
     """
     keys = list(keys)
-    clean = df.where(_not_null(keys, ts))
+    clean = df.where(not_null(keys, ts))
     if strategy == "window":
         w = Window.partitionBy(*[col_of(k) for k in keys]).orderBy(col_of(ts).desc())
         return (clean.withColumn("__rank", F.rank().over(w))
@@ -55,6 +56,34 @@ def latest_wins(df: DataFrame, keys: Sequence[str], ts: str, *, strategy: str =
     return clean.join(newest, cond, "left_semi")
 
 
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_key``: the hashes of the keys that more than one row of ``df`` has,
+    for keys of whole numbers and text.  Eight bytes a row are shuffled, and
+    keys that share a hash by chance only add to what is compared later."""
+    hashes = df.select(_key_hash(keys).alias("_key"))
+    return hashes.groupBy("_key").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("_key")
+
+
+def of_repeated(df: DataFrame, keys: Sequence[str], repeated: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose key is among the ``repeated``, a small frame that is
+    broadcast (with ``how="left_anti"`` all others)."""
+    return df.join(F.broadcast(repeated), _key_hash(keys) == F.col("_key"), how).select(*df.columns)
+
+
+def resolve_repeated(df: DataFrame, keys: Sequence[str], repeated: DataFrame | None,
+                     resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``resolve(df)``, which works on the rows of each key by themselves and
+    gives a key's only row as it is.  With ``repeated``, the hashes of all keys
+    with several rows, only their rows are shuffled and compared."""
+    if repeated is None:
+        return resolve(df)
+    return of_repeated(df, keys, repeated, "left_anti").unionByName(resolve(of_repeated(df, keys, repeated)))
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`" if "." in name else name
 

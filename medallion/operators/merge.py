@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.operators.dedup import latest_wins
+from medallion.operators.dedup import latest_wins, not_null, resolve_repeated
 from medallion.operators.joins import anti_join
 
 
@@ -49,17 +49,26 @@ def touched_values(batch: DataFrame, column: str) -> DataFrame:
     return batch.select(column).distinct()
 
 
-def merge_newest(target: DataFrame, batch: DataFrame, keys: Sequence[str], version: str, load: str) -> DataFrame:
+def merge_newest(target: DataFrame, batch: DataFrame, keys: Sequence[str], version: str, load: str,
+                 repeated: DataFrame | None = None) -> DataFrame:
     """Per key, the rows of the newest version over target and batch.
 
     A row that both hold (equal but for the ``load`` column) is kept once, as
     first loaded.  So any order and split of the batches, and a batch loaded
-    again, give the rows that one load of everything gives.
+    again, give the rows that one load of everything gives.  Equal rows have one
+    version, so they are put together after older versions went, on the
+    partitions of the join that drops those.
+
+    ``repeated``: the keys with several rows in both together, if they are few
+    (:func:`medallion.operators.dedup.repeated_keys`).
     """
     both = target.unionByName(batch.select(*target.columns))
     content = [c for c in target.columns if c != load]
-    once = both.groupBy(*content).agg(F.min(load).alias(load))
-    return latest_wins(once, keys, version).select(*target.columns)
+
+    def newest(rows: DataFrame) -> DataFrame:
+        return latest_wins(rows, keys, version).groupBy(*content).agg(F.min(load).alias(load)).select(*target.columns)
+
+    return resolve_repeated(both.where(not_null(keys, version)), keys, repeated, newest)
 
 
 def rebuild_touched(source: DataFrame, touched: DataFrame, column: str, build, *, source_column=None) -> DataFrame:

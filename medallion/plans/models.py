@@ -20,7 +20,7 @@ from medallion.operators.aggregates import (
     locality_rollup,
     with_locality_key,
 )
-from medallion.operators.dedup import distinct_rows, latest_wins
+from medallion.operators.dedup import distinct_rows, latest_wins, not_null, resolve_repeated
 from medallion.operators.joins import semi_join
 from medallion.operators.watermark import newer_than
 from medallion.schemas import ENTITY_KEYS, EXTRACTION_TS, LOAD_TS, landed_columns
@@ -72,7 +72,7 @@ def bronze_rename(raw: DataFrame, entity: str) -> DataFrame:
 
 
 def build_bronze(raw: DataFrame, entity: str, *, load_ts=None, mark: Column | None = None,
-                 strategy: str = "aggregate", versioned: bool = False) -> DataFrame:
+                 strategy: str = "aggregate", versioned: bool = False, repeated: DataFrame | None = None) -> DataFrame:
     """Latest version of every key of the landed rows of ``entity``.
 
     ``mark``: keep only rows extracted after it (high-water mark).  Ties on
@@ -80,15 +80,20 @@ def build_bronze(raw: DataFrame, entity: str, *, load_ts=None, mark: Column | No
     on their full row.  ``versioned``: the rows of the bronze tables, which
     keep the extraction time, so that later loads can tell which version is
     newer, and hold equal rows once, so that a page loaded again adds nothing.
+    ``repeated``, with ``versioned``: the keys that several landed rows have, if
+    they are few.
     """
     df = bronze_rename(raw, entity)
     if mark is not None:
         df = newer_than(df, EXTRACTION_TS, mark)
-    df = latest_wins(df, ENTITY_KEYS[entity], EXTRACTION_TS, strategy=strategy)
-    if not versioned:
-        df = df.drop(EXTRACTION_TS)
-    if versioned or entity == "sensor":
-        df = distinct_rows(df)
+    keys = ENTITY_KEYS[entity]
+    if versioned:
+        df = resolve_repeated(df.where(not_null(keys, EXTRACTION_TS)), keys, repeated,
+                              lambda d: distinct_rows(latest_wins(d, keys, EXTRACTION_TS, strategy=strategy)))
+    else:
+        df = latest_wins(df, keys, EXTRACTION_TS, strategy=strategy).drop(EXTRACTION_TS)
+        if entity == "sensor":
+            df = distinct_rows(df)
     df = _stamp(df, load_ts)
     if entity == "measurement":
         df = with_measurement_date(df)
@@ -96,11 +101,12 @@ def build_bronze(raw: DataFrame, entity: str, *, load_ts=None, mark: Column | No
 
 
 # ---------------------------------------------------------------- silver
-def build_silver(bronze: DataFrame, entity: str, *, load_ts=None) -> DataFrame:
-    """Column pruning of a bronze table; measurements are also made distinct."""
+def build_silver(bronze: DataFrame, entity: str, *, load_ts=None, repeated: DataFrame | None = None) -> DataFrame:
+    """Column pruning of a bronze table; measurements are also made distinct.
+    ``repeated``: the keys that several of them have, if they are few."""
     df = bronze.select(*SILVER_COLUMNS[entity])
     if entity == "measurement":
-        df = distinct_rows(df)
+        df = resolve_repeated(df, ENTITY_KEYS[entity], repeated, distinct_rows)
     df = _stamp(df, load_ts)
     if entity == "measurement":
         df = with_measurement_date(df)
@@ -137,8 +143,8 @@ def build_gold_sensor(silver_sensor: DataFrame, *, load_ts=None) -> DataFrame:
     return _stamp(silver_sensor.select(*SILVER_COLUMNS["sensor"]), load_ts)
 
 
-def build_gold_measurement(silver_measurement: DataFrame, *, load_ts=None) -> DataFrame:
-    df = distinct_rows(silver_measurement.select(*SILVER_COLUMNS["measurement"]))
+def build_gold_measurement(silver_measurement: DataFrame, *, load_ts=None, repeated: DataFrame | None = None) -> DataFrame:
+    df = resolve_repeated(silver_measurement.select(*SILVER_COLUMNS["measurement"]), ENTITY_KEYS["measurement"], repeated, distinct_rows)
     return with_measurement_date(_stamp(df, load_ts))
 
 

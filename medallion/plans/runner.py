@@ -11,7 +11,7 @@ next.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.functions.exprs import utc_lit
-from medallion.operators.aggregates import finished, locality_groups, merged_partials, of_groups, partials, state_cell
+from medallion.operators.aggregates import finished, locality_groups, merged_partials, of_groups, partials, reading_states, state_cell
+from medallion.operators.dedup import repeated_keys
 from medallion.operators.joins import anti_join, semi_join
 from medallion.operators.merge import rebuild_touched
 from medallion.operators.quality import duplicates_of, run_checks
@@ -49,7 +50,7 @@ from medallion.plans.models import (
 from medallion.schemas import EXTRACTION_TS, LOAD_TS, landing_schema
 from medallion.session import staging_path
 from medallion.sinks.catalog import publish
-from medallion.sinks.tables import TARGET_BYTES, LayerTable, load_time, prune_to
+from medallion.sinks.tables import TARGET_BYTES, LayerTable, few, load_time, prune_to
 from medallion.sources import fs
 from medallion.sources.api_pages import bad_of, landed_rows, parsed_pages
 from medallion.sources.drift import scan_drifting
@@ -205,15 +206,30 @@ class Runner:
             if e == "measurement":
                 bad = undated(raw, e).withColumn(LOAD_TS, utc_lit(ts))
                 bad.hint("rebalance").write.mode("overwrite" if full else "append").parquet(f"{self.cfg.dq}/undated_measurement")
-            batch = build_bronze(raw, e, load_ts=ts, mark=mark, versioned=True)
+            repeated = None
+            if m.partition_by:
+                landed = with_measurement_date(bronze_rename(raw, e))
+                repeated = self._repeated(t, landed, None if full else landed, stage)
+            batch = build_bronze(raw, e, load_ts=ts, mark=mark, versioned=True, repeated=repeated)
             if e == "measurement":
                 batch = batch.where(F.col(MEASUREMENT_DATE).isNotNull())
             if full:
                 t.overwrite(batch, load_ts=ts)
                 return "full"
-            return "upsert" if t.upsert(batch, load_ts=ts, newest=EXTRACTION_TS) else "skip"
-
-    def _build(self, m: Model, df: DataFrame, ts: _dt.datetime) -> DataFrame:
+            return "upsert" if t.upsert(batch, load_ts=ts, newest=EXTRACTION_TS, repeated=repeated) else "skip"
+
+    def _repeated(self, t: LayerTable, rows: DataFrame, dates: DataFrame | None, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame | None:
+        """The keys with several rows in ``rows``, and in the table's rows of
+        their ``dates`` if there are any, together; None if they aren't few."""
+        found, current = rows.select(*t.keys), None if dates is None else t.read()
+        if current is not None:
+            found = found.union(prune_to(current, dates, [t.partition_by]).select(*t.keys))
+        return few(stage(repeated_keys(found, t.keys), "repeated"))
+
+    def _build(self, m: Model, df: DataFrame, ts: _dt.datetime, repeated: DataFrame | None = None) -> DataFrame:
+        if repeated is not None:  # of measurements
+            build = build_gold_measurement if m.layer == "gold" else lambda d, **of: build_silver(d, m.entity, **of)
+            return build(df, load_ts=ts, repeated=repeated)
         if m.layer == "silver":
             return build_silver(df, m.entity, load_ts=ts)
         build = {
@@ -240,9 +256,14 @@ class Runner:
                                                  source_column=MEASUREMENT_DATE), load_ts=ts)
             outcome = "recompute"
         else:
-            batch = self._build(m, source.rows_of(pending), ts)
+            rows = source.rows_of(pending)
             append = not t.keys or (m.partition_by and self.cfg.measurement_mode == "append")
-            written = t.append(batch, load_ts=ts) if append else t.upsert(batch, load_ts=ts)
+            if append:
+                written = t.append(self._build(m, rows, ts), load_ts=ts)
+            else:
+                with t.stages() as stage:
+                    repeated = self._repeated(t, rows, pending, stage) if m.partition_by else None
+                    written = t.upsert(self._build(m, rows, ts, repeated), load_ts=ts, repeated=repeated)
             outcome = ("append" if append else "upsert") if written else "skip"
         t.consume(source, pending)
         return outcome
@@ -278,23 +299,26 @@ class Runner:
             cell = state_cell(hourly)
             with state.stages() as stage:
                 # cells are few (revised readings), dates fewer: written, so that
-                # each is worked out once
+                # each is worked out once.  Few cells are broadcast, and the
+                # readings are combined with the states in one aggregate
                 dirty = stage(partials(changes.where("_change = 'replaced'"), hourly=hourly).select(*cell).distinct(), "dirty")
                 upto = stage(held.groupBy("date").agg(F.max("through").alias("upto")), "through")
                 added = changes.where("_change = 'added'")
                 late = added.join(F.broadcast(upto), F.col(MEASUREMENT_DATE) == F.col("date"), "left")
                 late = late.where(F.col("upto").isNull() | (F.col("_load") > F.col("upto"))).select(*added.columns)
-                cells = dirty.withColumnRenamed("date", MEASUREMENT_DATE)
-                redo = prune_to(df, cells, [MEASUREMENT_DATE])
-                redo = semi_join(redo, cells, ["sensor_id", "parameter_id", MEASUREMENT_DATE])
+                small = few(dirty)
+                redone, state_of = (dirty, partials) if small is None else (small, reading_states)
+                redo = prune_to(df, dirty.withColumnRenamed("date", MEASUREMENT_DATE), [MEASUREMENT_DATE])
+                redo = semi_join(redo, redone, ["sensor_id", "parameter_id", MEASUREMENT_DATE], ["sensor_id", "parameter_id", "date"], dedup=small is None)
                 states = [
-                    anti_join(held.drop("through"), dirty, cell, null_safe=True, dedup=False),
-                    anti_join(partials(late, hourly=hourly), dirty, cell, null_safe=True, dedup=False),
-                    semi_join(partials(redo, hourly=hourly), dirty, cell, null_safe=True, dedup=False),
+                    anti_join(held.drop("through"), redone, cell, null_safe=True, dedup=False),
+                    anti_join(state_of(late, hourly=hourly), redone, cell, null_safe=True, dedup=False),
+                    semi_join(state_of(redo, hourly=hourly), redone, cell, null_safe=True, dedup=False),
                 ]
                 new = merged_partials(reduce(DataFrame.unionByName, states), hourly=hourly)
                 state.replace_partitions(new.withColumn("through", through))
-            t.replace_partitions(finish(prune_to(state.read(), dates, ["date"])), load_ts=ts)
+            held = prune_to(state.read(), dates, ["date"])
+            t.replace_partitions(finish(held), load_ts=ts, touched=held)
             outcome = "merge"
         t.consume(source, pending)
         return outcome

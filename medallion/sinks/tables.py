@@ -11,9 +11,9 @@ the other fails, and neither has touched the other's files.
 * **Dimension** tables are small; every write makes a new version.
 * **Fact** tables are partitioned by a date column.  Upserts and appends
   work inside the current version and rewrite only the partitions of the
-  batch (dynamic partition overwrite), after staging the merged rows under
-  ``spark.checkpoint.dir``, so that the overwrite never reads the files it
-  replaces.  Rows are rebalanced by date before every write: files follow
+  batch.  A dynamic partition overwrite puts its files in the place of the old
+  ones when all of its tasks have ended, so the merged rows are written as they
+  are worked out.  Rows are rebalanced by date before every write: files follow
   the data, not the number of shuffle partitions.  In a file they are in the
   order of sensor and parameter, so that the statistics of row groups and pages
   let a scan of some sensors skip the others.
@@ -45,8 +45,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions.exprs import EPOCH_FLOOR, utc_lit
-from medallion.operators.joins import semi_join
-from medallion.operators.merge import merge_newest, upsert_frame
+from medallion.operators.dedup import of_repeated, resolve_repeated
+from medallion.operators.joins import anti_join, semi_join
+from medallion.operators.merge import merge_newest
 from medallion.schemas import LOAD_TS
 from medallion.session import staging_path
 from medallion.sources import fs
@@ -58,6 +59,7 @@ _EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_UTC)
 
 CHANGE = "_change"
 TARGET_BYTES = 128 << 20  # of a packed file
+FEW = 200_000  # keys that are broadcast, by their count
 CLUSTERED = ("sensor_id", "parameter_id")  # the order of rows in a file of a fact table
 
 
@@ -81,6 +83,11 @@ def prune_to(df: DataFrame, values: DataFrame, columns: Sequence[str]) -> DataFr
     return df.join(F.broadcast(keys), list(columns), "left_semi").select(*df.columns)
 
 
+def few(keys: DataFrame) -> DataFrame | None:
+    """``keys``, a staged frame of keys, to be broadcast if it is small."""
+    return F.broadcast(keys) if keys.count() <= FEW else None
+
+
 @dataclass
 class LayerTable:
     """A table ``<root>/<layer>/<alias>`` with its grain and storage shape."""
@@ -202,12 +209,13 @@ class LayerTable:
 
     def _feed(self, added: DataFrame, replaced: DataFrame | None, load_ts: _dt.datetime | None) -> None:
         """Written before the rows are: a load that then fails is never logged,
-        so its feed is never read."""
+        so its feed is never read.  ``added`` and ``replaced`` are staged: their
+        scans pack small files, so the feed's files follow its rows."""
         if self.feed and load_ts is not None:
             rows = added.withColumn(CHANGE, F.lit("added"))
             if replaced is not None:
                 rows = rows.unionByName(replaced.withColumn(CHANGE, F.lit("replaced")))
-            rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/_changes/load={_micros(load_ts)}")
+            rows.write.mode("overwrite").parquet(f"{self.path}/_changes/load={_micros(load_ts)}")
 
     def changes(self, loads: DataFrame) -> DataFrame | None:
         """The table's columns, ``_change`` (added or replaced) and ``_load``
@@ -279,11 +287,14 @@ class LayerTable:
             self._log(staged, load_ts)
             return True
 
-    def upsert(self, batch: DataFrame, *, load_ts: _dt.datetime | None = None, newest: str | None = None) -> bool:
+    def upsert(self, batch: DataFrame, *, load_ts: _dt.datetime | None = None, newest: str | None = None,
+               repeated: DataFrame | None = None) -> bool:
         """Replace rows whose key is in the batch, insert the rest.
 
         With ``newest``, a version column, the newest version of a key is
-        kept, be it the table's or the batch's.  The batch is staged once
+        kept, be it the table's or the batch's.  With ``repeated``, the keys
+        with several rows in table and batch together, only rows of those are
+        shuffled by key.  The batch is staged once
         (lineage cut, evaluated once) and an empty one stops there.  Returns
         whether anything was written.
         """
@@ -299,11 +310,20 @@ class LayerTable:
                 self._commit(staged)
             else:
                 old = prune_to(current, staged, [self.partition_by]) if self.partition_by else current
-                rows = staged.select(*current.columns)
-                self._feed(rows, semi_join(old, rows, list(self.keys), list(self.keys), dedup=False), load_ts)
-                merged = merge_newest(old, rows, self.keys, newest, LOAD_TS) if newest else upsert_frame(old, rows, self.keys)
+                rows, keys = staged.select(*current.columns), list(self.keys)
+                may_go, gone = old, rows  # rows that may be replaced; rows with their keys
+                if repeated is not None:
+                    may_go, gone = of_repeated(old, keys, repeated), of_repeated(rows, keys, repeated)
+                if self.feed and load_ts is not None:
+                    gone = stage(semi_join(may_go, gone, keys, dedup=False), "replaced")
+                    self._feed(rows, gone, load_ts)
+                if newest:
+                    merged = merge_newest(old, rows, keys, newest, LOAD_TS, repeated)
+                else:
+                    kept = resolve_repeated(old, keys, repeated, lambda d: anti_join(d, gone, keys, dedup=False))
+                    merged = kept.unionByName(rows)
                 if self.partition_by:
-                    self._put(stage(merged, "merged"), self.data(), "overwrite", partitionOverwriteMode="dynamic")
+                    self._put(merged, self.data(), "overwrite", partitionOverwriteMode="dynamic")
                 else:
                     self._commit(merged)
             self._log(staged, load_ts)
@@ -348,17 +368,20 @@ class LayerTable:
             for n in held:
                 fs.delete(self.spark, f"{path}/{n}")
 
-    def replace_partitions(self, df: DataFrame, *, load_ts: _dt.datetime | None = None) -> None:
-        """Overwrite exactly the partitions present in ``df`` (recompute mode)."""
+    def replace_partitions(self, df: DataFrame, *, load_ts: _dt.datetime | None = None, touched: DataFrame | None = None) -> None:
+        """Overwrite exactly the partitions present in ``df`` (recompute mode).
+        ``touched``: rows with exactly the dates of ``df`` that don't come from
+        this table; without it ``df`` is staged, so that the log of the load
+        doesn't work it out again."""
         if not self.partition_by:
             raise ValueError(f"{self.name} is not partitioned")
         with _Stages(self) as stage:
-            staged = stage(df, "recomputed")
+            staged = df if load_ts is None or touched is not None else stage(df, "recomputed")
             if self.exists():
                 self._put(staged.select(*self.read().columns), self.data(), "overwrite", partitionOverwriteMode="dynamic")
             else:
                 self._commit(staged)
-            self._log(staged, load_ts)
+            self._log(staged if touched is None else touched, load_ts)
 
 
 class _Stages:

@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from medallion.functions import text_date
 from medallion.operators.aggregates import daily_aggregate
-from medallion.operators.merge import append_frame, empty_like, recompute_touched, upsert_frame
+from medallion.operators.dedup import repeated_keys, resolve_repeated
+from medallion.operators.merge import append_frame, empty_like, merge_newest, recompute_touched, upsert_frame
 from tests.conftest import rows
 
 
@@ -42,3 +43,24 @@ def test_recompute_equals_full_rebuild_for_straddling_day(spark):
     assert rows(got) == rows(daily_aggregate(m))
     appended = append_frame(daily_aggregate(first), daily_aggregate(second))
     assert appended.count() == daily_aggregate(m).count() + 1
+
+
+def test_only_keys_with_several_rows_are_merged(spark):
+    schema = "id long, k string, v double, version int, load int"
+    old = [(1, "a", 1.0, 1, 1), (2, "b", 2.0, 5, 1), (3, "c", 3.0, 1, 1), (3, "c", 3.5, 1, 1), (4, "d", 4.0, 2, 1), (None, "n", 9.0, 1, 1)]
+    new = [(1, "x", 6.0, 1, 2), (2, "b", 7.0, 4, 2), (4, "d", 4.0, 2, 2), (4, "d", 8.0, 3, 2), (4, "d", 8.0, 3, 2), (5, "e", 1.0, None, 2), (6, None, 1.0, 1, 2)]
+    t, b = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    repeated = repeated_keys(t.union(b).select("id", "k"), ["id", "k"])
+    assert repeated.count() == 3  # 2, 3 and 4
+    got = rows(merge_newest(t, b, ["id", "k"], "version", "load", repeated))
+    assert got == rows(merge_newest(t, b, ["id", "k"], "version", "load"))
+    assert got == [(1, "a", 1.0, 1, 1), (1, "x", 6.0, 1, 2), (2, "b", 2.0, 5, 1), (3, "c", 3.0, 1, 1), (3, "c", 3.5, 1, 1), (4, "d", 8.0, 3, 2)]
+    seen = []
+    resolve_repeated(t, ["id", "k"], repeated, lambda d: seen.append(rows(d, "id")) or d)
+    assert seen == [[(2,), (3,), (3,), (4,)]]
+
+
+def test_rows_without_a_key_are_distinct_too(spark):
+    df = spark.createDataFrame([(1, "a"), (None, None), (None, None), (None, "b"), (2, "b")], "id long, k string")
+    got = resolve_repeated(df, ["id", "k"], repeated_keys(df, ["id", "k"]), lambda d: d.distinct())
+    assert rows(got) == rows(df.distinct())

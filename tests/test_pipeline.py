@@ -15,6 +15,7 @@ from medallion.operators.aggregates import daily_aggregate, hourly_aggregate
 from medallion.operators.selection import read_mark
 from medallion.plans.models import MODELS
 from medallion.plans.runner import PipelineConfig, Runner
+from medallion.sinks import tables
 from medallion.sources.landing import files_exist
 from tests import landing_fixtures as lf
 from tests.conftest import rows
@@ -340,6 +341,33 @@ def test_aggregate_states_merge_to_a_full_rebuild(spark, tmp_path):
     assert run_measurements(r) == ["skip", "skip"]
 
 
+@pytest.mark.parametrize("few", [tables.FEW, -1])
+def test_a_fact_table_is_merged_as_it_is_written(spark, tmp_path, monkeypatch, few):
+    """Only rows of keys that come again are shuffled by key, if those are few,
+    and merged rows aren't written twice."""
+    monkeypatch.setattr(tables, "FEW", few)
+    staged, stage = {}, tables._Stages.stage
+
+    def counted(self, df, tag):
+        out = stage(self, df, tag)
+        staged.setdefault(tag, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(tables._Stages, "stage", counted)
+    r = Runner(spark, config(tmp_path))
+    land_readings(r.cfg, 0, [reading(1, 28, 10, 1.0), reading(1, 28, 11, 2.0), reading(2, 28, 10, None)])
+    run_measurements(r)
+    land_readings(r.cfg, 1, [reading(1, 28, 10, 9.0), reading(1, 28, 10, 9.0), reading(3, 28, 1, 7.0)])
+    run_measurements(r)
+    assert "merged" not in staged and "recomputed" not in staged
+    # nothing is archived, so bronze reads its three rows again; one key of silver comes again
+    assert staged["repeated"] == [0, 3, 1]
+    assert rows(r.read("bronze", "measurement"), "sensor_id", "value") == [(1, 2.0), (1, 9.0), (2, None), (3, 7.0)]
+    assert rows(r.table("silver_measurement").changes(r.table("silver_measurement").loads().orderBy(F.desc("load_timestamp")).limit(1)), "_change", "value") \
+        == [("added", 7.0), ("added", 9.0), ("replaced", 1.0)]
+    aggregates(r)
+
+
 def test_several_pending_loads_are_merged_once(spark, tmp_path, monkeypatch):
     cfg = config(tmp_path)
     r = Runner(spark, cfg)
