@@ -92,19 +92,19 @@ def _staged(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def stored(df: DataFrame, name: str, options: dict | None = None) -> tuple[DataFrame, str]:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
     A lost executor then costs a re-read, not a recomputation.  The folder is
     for the caller to delete when the frame's last reader has been written."""
     spark = df.sparkSession
     path = _staged(spark, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
     """:func:`stored`, for frames that a query's result still reads."""
-    return stored(df, name)[0]
+    return stored(df, name, options)[0]
 
 
 def laid_out(df: DataFrame, key: str, name: str, size: int) -> DataFrame:
@@ -124,10 +124,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, start: Callable[[], object] | None = None) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, start: Callable[[], object] | None = None, rows: int = ROWS) -> DataFrame:
     """``mapInArrow`` with one column dictionary per batch.  ``start`` makes a
     task's own state (a model, a cache), given to ``fn`` as its second
-    argument.  Batches are handed on in slices of ``ROWS``, so that what a
+    argument.  Batches are handed on in slices of ``rows``, so that what a
     worker holds besides the batch stays small."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -137,8 +137,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _started(start)
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for lo in range(0, batch.num_rows, rows):
+                part = batch.slice(lo, rows)
                 cols = fn(part, state) if start else fn(part)
                 yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in arrow], schema=arrow)
 

@@ -14,7 +14,11 @@ into segments of a mebibyte by n-gram hash, as many as the n-grams need, so it
 grows with the corpus at the same error rate.  Up to ``BROADCAST`` bytes it is
 broadcast.  A larger filter stays distributed: a block of documents sends its
 distinct n-grams to slices of the filter and gets their levels back (an
-eighth of the bytes), with the same results.
+eighth of the bytes), with the same results.  A block is kept as the codes and
+the hashes of its words, so its texts are split into words once.  Filter and
+n-grams travel in pieces of ``PIECE`` bytes, sorted by slice, so that a task
+holds one slice and a batch of pieces, whatever the size of the corpus.  The
+documents ask in ``ROUNDS`` rounds, whose tables and shuffles go before the next.
 
 The base score needs exact counts: those of words in the highest count classes,
 ``COMMON`` at most, are broadcast, so that no frequent word is shuffled; the
@@ -30,7 +34,9 @@ columns, whatever their names, are left out.
 
 from __future__ import annotations
 
+import functools
 import itertools
+import math
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -48,10 +54,16 @@ LEVEL_BASE = 1.5  # of the log scale of counts
 PROBES = 8  # bits of an event, four in each of two words
 SEGMENT_BITS = 1 << 23
 SEGMENT_EVENTS = 650_000  # on average; at 726,817 half of the bits are set
-BROADCAST = 256 << 20  # bytes of a filter that every worker may hold
+BROADCAST = 16 << 20  # bytes of a filter that every worker may hold
+SLICE = 4 << 20  # bytes of a slice of a larger one; of ``SLICES`` slices and more, up to 16 times that
+SLICES = 256
+ROUNDS = 4  # parts of the documents that ask a filter in slices one after another
+PIECE = 1 << 15  # bytes of a row of the filter or of n-grams
+TURN = 64  # pieces whose levels are read at once
+BLOCK_BYTES = 4 << 20  # of the texts of a block, and one text more
 COMMON = 1 << 18  # words whose exact counts every worker holds
 PRIOR = 1000.0  # pseudo-counts of the prior of words after a word
-ASKED = 1 << 25  # hashes that meet a slice in one task
+ASKED = 1 << 22  # hashes, or fewer, that meet a slice of ``SLICE`` bytes in one task
 END = b" end"  # no word has a space
 
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -180,7 +192,7 @@ class Model:
     words: DataFrame  # a, b (hash), n (in training documents), t (in all)
     common: tuple[np.ndarray, np.ndarray, np.ndarray]  # a, b, n, by a
     least_class: int  # of the common words
-    segments: DataFrame  # segment, bits
+    segments: DataFrame  # segment, piece, bits
     n_segments: int
     prior: float = PRIOR
 
@@ -231,10 +243,12 @@ def train(docs: DataFrame, held_out: Column) -> Model:
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         x = group["x"].to_numpy(np.int64).view(np.uint64)
-        return pd.DataFrame({"segment": group["segment"].iloc[:1], "bits": [segment_bits(x, group["q"].to_numpy())]})
+        bits = segment_bits(x, group["q"].to_numpy())
+        pieces = [bits[i : i + PIECE] for i in range(0, SEGMENT_BYTES, PIECE)]
+        return pd.DataFrame({"segment": group["segment"].iloc[0], "piece": range(len(pieces)), "bits": pieces})
 
     cut = entries.withColumn("segment", F.shiftright(F.shiftrightunsigned("x", 32) * F.lit(n_segments).cast("long"), 32))
-    segments = written(cut.groupBy("segment").applyInPandas(build, "segment long, bits binary"), "filter")
+    segments = written(cut.groupBy("segment").applyInPandas(build, "segment long, piece int, bits binary"), "filter")
     fs.delete(spark, path)
     release(spark)
     return Model(total[0], total[1], table, common, least, segments, n_segments)
@@ -298,7 +312,8 @@ def _by_broadcast(docs: DataFrame, model: Model) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     bits = np.zeros(model.n_segments * SEGMENT_BYTES, np.uint8)
     for r in model.segments.toLocalIterator():
-        bits[r.segment * SEGMENT_BYTES : (r.segment + 1) * SEGMENT_BYTES] = np.frombuffer(r.bits, np.uint8)
+        at = r.segment * SEGMENT_BYTES + r.piece * PIECE
+        bits[at : at + PIECE] = np.frombuffer(r.bits, np.uint8)
     held, shape = sc.broadcast(bits), sc.broadcast(_shape(model))
 
     def fn(batch: pa.RecordBatch) -> dict:
@@ -311,64 +326,114 @@ def _by_broadcast(docs: DataFrame, model: Model) -> DataFrame:
     return map_batches(docs, fn, SCORED)
 
 
-def _by_slices(docs: DataFrame, model: Model) -> DataFrame:
-    """Blocks of documents ask slices of the filter for the levels of their
-    distinct n-grams.  A slice that is asked for more than ``ASKED`` hashes
-    meets them in several tasks, each with a copy of it."""
-    sc = docs.sparkSession.sparkContext
-    a_slice = max(1, BROADCAST // SEGMENT_BYTES)
-    n_slices, n_segments = -(-model.n_segments // a_slice), model.n_segments
-    schema = "doc_id array<long>, held_out array<boolean>, text array<binary>"
+BLOCK = "doc_id array<long>, held_out array<boolean>, sizes array<long>, codes binary, keys binary, n long"
+#: A block is a long row: by Parquet's own rule a hundred of them would be a page.
+FEW_A_PAGE = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 4, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 4}
+
+
+def _pack(batch: pa.RecordBatch) -> dict:
+    """Blocks of the texts in order."""
+    found = tokens(batch.column("text"))
+    ends = np.cumsum([len(t) for t in batch.column("text").to_pylist()])
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(ends // BLOCK_BYTES)) + 1, [len(ends)]]).astype(np.int32)
+    out: dict = {c: pa.ListArray.from_arrays(pa.array(cuts), v) for c, v in (("doc_id", batch.column("doc_id")), ("held_out", batch.column("held_out")), ("sizes", pa.array(found.sizes)))}
+    out |= {"codes": [], "keys": [], "n": []}
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        chosen = np.zeros(len(ends), bool)
+        chosen[lo:hi] = True
+        own, codes = np.unique(found.of(chosen).codes, return_inverse=True) if len(cuts) > 2 else (slice(None), found.codes)
+        keys = found.keys[own]
+        out["codes"].append(codes.astype(np.uint16 if len(keys) <= 1 << 16 else np.uint32).tobytes())
+        out["keys"].append(keys.tobytes())
+        out["n"].append(len(codes) + len(keys))  # the n-grams are no more
+    return out
+
 
-    def pack(batch: pa.RecordBatch) -> dict:
-        return {c: pa.array([batch.column(c).to_pylist()], t) for c, t in (("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("text", pa.list_(pa.binary())))}
+def _unpacked(block: pa.RecordBatch) -> Tokens:
+    """The tokens of a block, a row."""
+    sizes = block.column("sizes")[0].values.to_numpy()
+    raw = block.column("codes")[0].as_buffer()
+    codes = np.frombuffer(raw, f"<u{raw.size // int(sizes.sum())}").astype(np.int64)
+    return Tokens(sizes, codes, np.frombuffer(block.column("keys")[0].as_buffer(), "<u8").reshape(-1, 2))
 
-    blocks = written(map_batches(docs, pack, schema).withColumn("block", F.monotonically_increasing_id()), "blocks")
+
+def _by_slices(docs: DataFrame, model: Model) -> DataFrame:
+    """Blocks of documents ask slices of the filter for the levels of their
+    distinct n-grams, in order of the hashes, which is that of the slices.  A
+    slice that may be asked for more than ``ASKED`` hashes meets them in
+    several tasks, each with a copy of it.  Rows get their ``row`` here."""
+    spark = docs.sparkSession
+    shape, parts = spark.sparkContext.broadcast(_shape(model)), []
+    for k in range(ROUNDS):
+        chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == k)
+        blocks, blocks_path = stored(map_batches(chosen, _pack, BLOCK).withColumn("block", F.monotonically_increasing_id()), "blocks", FEW_A_PAGE)
+        answers, answers_path = stored(_answers(blocks, model), "answers")
+        release(spark)
+        got = _scored(blocks, answers, shape)
+        parts.append(written(got.withColumn("row", F.monotonically_increasing_id() * ROUNDS + k), "scored"))
+        for path in (blocks_path, answers_path):
+            fs.delete(spark, path)
+        release(spark)
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _answers(blocks: DataFrame, model: Model) -> DataFrame:
+    """The levels of the blocks' distinct n-grams: block, slice, at (the
+    number of the piece), levels."""
+    n_segments = model.n_segments
+    a_slice = max(1, min(SLICE, BROADCAST) // SEGMENT_BYTES, min(16 * SLICE // SEGMENT_BYTES, n_segments // SLICES))
+    n_slices, a_piece = -(-n_segments // a_slice), PIECE // 8
+    asked = ASKED * max(1, a_slice * SEGMENT_BYTES // SLICE)
+    shares = max(1, math.ceil((blocks.agg(F.sum("n")).first()[0] or 0) / n_slices / asked))
 
     def ask(batch: pa.RecordBatch) -> dict:
-        out: dict = {"block": [], "slice": [], "asked": []}
-        for block, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
-            x = _distinct(tokens(texts.values))[0]
-            where = segment_of(x, n_segments) // a_slice
-            for s in np.unique(where).tolist():
-                for c, v in zip(out, (block, s, x[where == s].tobytes()), strict=True):
-                    out[c].append(v)
-        return out
-
-    asked = written(map_batches(blocks.select("block", "text"), ask, "block long, slice long, asked binary"), "asked")
-    load = asked.groupBy("slice").agg(F.ceil(F.sum(F.length("asked")) / (8 * ASKED)).alias("shares"))
-    load = written(load, "slices")  # a row a slice
-    dealt = asked.join(load, "slice").select("block", "slice", "asked", F.pmod(F.xxhash64("block"), F.col("shares")).alias("share"))
-    copies = model.segments.withColumn("slice", F.floor(F.col("segment") / a_slice)).join(load, "slice")
-    copies = copies.select("segment", "bits", "slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"))
-
-    def answer(asks: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(a_slice * SEGMENT_BYTES, np.uint8)
-        for s, raw in zip(parts["segment"], parts["bits"], strict=True):
-            at = s % a_slice * SEGMENT_BYTES
-            bits[at : at + SEGMENT_BYTES] = np.frombuffer(raw, np.uint8)
-        out = []
-        for raw in asks["asked"]:
-            x = np.frombuffer(raw, np.uint64)
-            out.append(read_levels(bits, segment_of(x, n_segments) % a_slice * SEGMENT_BYTES, x).tobytes())
-        return pd.DataFrame({"block": asks["block"], "slice": asks["slice"], "levels": out})
-
-    answers = dealt.groupBy("slice", "share").cogroup(copies.groupBy("slice", "share")).applyInPandas(answer, "block long, slice long, levels binary")
-    lists = answers.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("slice", "levels"))).alias("answers"))  # a row a slice
-    shape = sc.broadcast(_shape(model))
+        x = _distinct(_unpacked(batch))[0]
+        ends = np.searchsorted(segment_of(x, n_segments) // a_slice, np.arange(n_slices + 1))
+        rows = [(s, i, x[lo : min(lo + a_piece, ends[s + 1])]) for s in range(n_slices) for i, lo in enumerate(range(ends[s], ends[s + 1], a_piece))]
+        return {"block": np.full(len(rows), batch.column("block")[0].as_py(), np.int64), "slice": [r[0] for r in rows], "at": [r[1] for r in rows], "data": [r[2].tobytes() for r in rows]}
+
+    asks = map_batches(blocks.select("block", "sizes", "codes", "keys"), ask, "block long, slice long, at long, data binary", rows=1)
+    asks = asks.withColumn("share", F.pmod(F.xxhash64("block"), F.lit(shares)))
+    at = F.col("segment") % a_slice * SEGMENT_BYTES + F.col("piece") * PIECE
+    copies = model.segments.select(F.lit(-1).cast("long").alias("block"), F.floor(F.col("segment") / a_slice).alias("slice"), at.alias("at"), F.col("bits").alias("data"))
+    copies = copies.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
+
+    def answer(batches):
+        held, bits = None, np.zeros(a_slice * SEGMENT_BYTES, np.uint8)
+        for batch in batches:
+            keys = [batch.column(c).to_numpy() for c in ("slice", "share", "block", "at")]
+            data = batch.column("data")
+            turns = np.flatnonzero((np.diff(keys[0]) != 0) | (np.diff(keys[1]) != 0)) + 1
+            for lo, hi in zip([0, *turns], [*turns, batch.num_rows]):
+                if held != (held := (keys[0][lo], keys[1][lo])):
+                    bits[:] = 0
+                first = lo + int((keys[2][lo:hi] < 0).sum())  # the filter's rows come first
+                for i in range(lo, first):
+                    raw = np.frombuffer(data[i].as_buffer(), np.uint8)
+                    bits[keys[3][i] : keys[3][i] + len(raw)] = raw
+                for i in range(first, hi, TURN):
+                    j = min(i + TURN, hi)
+                    parts = [np.frombuffer(v.as_buffer(), "<u8") for v in data[i:j]]
+                    x = np.concatenate(parts)
+                    levels = read_levels(bits, segment_of(x, n_segments) % a_slice * SEGMENT_BYTES, x)
+                    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+                    cut = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends), pa.py_buffer(levels)])
+                    yield pa.RecordBatch.from_arrays([*(pa.array(k[i:j]) for k in (keys[2], keys[0], keys[3])), cut], ["block", "slice", "at", "levels"])
+
+    met = copies.select("slice", "share", "block", "at", "data").unionByName(asks).repartition("slice", "share").sortWithinPartitions("slice", "share", "block", "at")
+    return met.mapInArrow(answer, "block long, slice long, at long, levels binary")
+
+
+def _scored(blocks: DataFrame, answers: DataFrame, shape) -> DataFrame:
+    lists = answers.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("slice", "at", "levels"))).alias("answers"))
 
     def fn(batch: pa.RecordBatch) -> dict:
-        parts = []
-        for ids, held, texts, answers in zip(*(batch.column(c) for c in ("doc_id", "held_out", "text", "answers"))):
-            found = tokens(texts.values)
-            x, at_word, at_pair = _distinct(found)
-            where, levels = segment_of(x, n_segments) // a_slice, np.zeros(len(x), np.uint8)
-            for item in answers.as_py():
-                levels[where == item["slice"]] = np.frombuffer(item["levels"], np.uint8)
-            parts.append({"doc_id": ids.values, "held_out": held.values} | _scores(found, levels, at_word, at_pair, shape.value))
-        return {c: pa.concat_arrays([pa.array(p[c]) for p in parts]) for c in parts[0]}
+        found = _unpacked(batch)
+        x, at_word, at_pair = _distinct(found)
+        levels = np.frombuffer(b"".join(batch.column("answers")[0].values.field("levels").to_pylist()), np.uint8)
+        return {c: batch.column(c)[0].values for c in ("doc_id", "held_out")} | _scores(found, levels, at_word, at_pair, shape.value)
 
-    return map_batches(blocks.join(lists, "block").drop("block"), fn, SCORED)
+    return map_batches(blocks.join(lists, "block"), fn, SCORED, rows=1)
 
 
 def score(docs: DataFrame, held_out: Column, model: Model) -> DataFrame:
@@ -376,8 +441,10 @@ def score(docs: DataFrame, held_out: Column, model: Model) -> DataFrame:
     documents), train_tokens, base_score (exact counts) and score (the
     filter's), log10 probabilities of the whole text."""
     d = docs.select("doc_id", "text", held_out.alias("held_out"))
-    way = _by_broadcast if model.n_segments * SEGMENT_BYTES <= BROADCAST else _by_slices
-    got = written(way(d, model).withColumn("row", F.monotonically_increasing_id()), "scored")
+    if model.n_segments * SEGMENT_BYTES <= BROADCAST:
+        got = written(_by_broadcast(d, model).withColumn("row", F.monotonically_increasing_id()), "scored")
+    else:
+        got = _by_slices(d, model)
     open_ = got.select("row", F.explode("rest").alias("w")).select("row", "w.*")
     counts = model.words.where(count_class(F.col("t")) < model.least_class).select("a", "b", F.col("n").alias("c"))
     p = (F.col("c") + 0.5) / F.lit(model.tokens + 0.5 * (model.vocabulary + 1))

@@ -1,15 +1,19 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from medallion.llm import ngrams
+from medallion.llm.common import collecting
 from medallion.llm.ngrams import estimates, read_levels, score_texts, segment_bits
 
 SCHEMA = "doc_id long, text string, score double, n int, TEXT string, held_out string"
@@ -90,6 +94,32 @@ def test_few_common_words_and_a_filter_in_slices_change_nothing(spark, rows, mon
     assert sorted(map(key, got)) == sorted(map(key, want))
 
 
+def test_a_filter_in_slices_travels_in_pieces_and_rounds_leave_no_tables(spark, rows, monkeypatch):
+    monkeypatch.setattr(ngrams, "SEGMENT_EVENTS", 700)
+    monkeypatch.setattr(ngrams, "BROADCAST", 3 << 20)
+    paths = []
+    with collecting(paths):
+        got = score_texts(frame(spark, rows))
+    left = {p.rpartition("/")[2].split("-")[1]: p for p in paths if os.path.exists(p.removeprefix("file:"))}
+    assert set(left) == {"words", "filter", "scored"}
+    assert spark.read.parquet(left["filter"]).agg(F.max(F.length("bits"))).first()[0] <= 1 << 16
+    assert shown(got.collect()) == brute(rows)
+
+
+def test_long_texts_are_blocks_of_their_own():
+    texts = [b"a b a", b"", b"long " * 2_000_000, b"b c"]
+    ids, held = pa.array([1, None, 3, 4], pa.int64()), pa.array([True, False, False, True])
+    cols = ngrams._pack(pa.RecordBatch.from_arrays([ids, held, pa.array(texts, pa.binary())], ["doc_id", "held_out", "text"]))
+    blocks = pa.RecordBatch.from_arrays([pa.array(cols[c]) for c in cols], list(cols))
+    assert blocks.column("doc_id").to_pylist() == [[1, None], [3, 4]]
+    assert blocks.column("held_out").to_pylist() == [[True, False], [False, True]]
+    for k, own in enumerate((texts[:2], texts[2:])):
+        found, want = ngrams._unpacked(blocks.slice(k, 1)), ngrams.tokens(pa.array(own))
+        assert found.sizes.tolist() == want.sizes.tolist()
+        assert (found.keys[found.codes] == want.keys[want.codes]).all() and (found.pairs() == want.pairs()).all()
+        assert blocks.column("n")[k].as_py() == len(want.codes) + len(want.keys)
+
+
 def test_nothing_to_learn_from(spark):
     only = [i for i in range(200) if held_out(i)][:5]
     got = score_texts(frame(spark, [(i, "a b a") for i in only])).collect()
